@@ -6,10 +6,12 @@ from . import (
     best_fit_packing,
     decontamination,
     exact_dedup,
+    language_id,
     line_dedup,
+    ngram_join,
 )
 
-MODULES = (best_fit_packing, decontamination, line_dedup, exact_dedup)
+MODULES = (best_fit_packing, decontamination, line_dedup, exact_dedup, ngram_join, language_id)
 
 
 def queries() -> dict:
