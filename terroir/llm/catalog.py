@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from . import (
     best_fit_packing,
+    chunk_dedup,
     decontamination,
     exact_dedup,
     language_id,
     line_dedup,
     ngram_join,
+    pii,
+    quote_links,
+    url_filters,
 )
 
-MODULES = (best_fit_packing, decontamination, line_dedup, exact_dedup, ngram_join, language_id)
+MODULES = (best_fit_packing, url_filters, pii, chunk_dedup, quote_links, decontamination, line_dedup, exact_dedup, ngram_join, language_id)
 
 
 def queries() -> dict:
-    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
+    import corpus_pipeline
+
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -186,8 +186,9 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> Network | None:
         return None
     languages = tuple(sorted({lang for lang, _ in rows}))
     texts = [w for _, cut in rows for w in cut]
-    # every other window is shortened, so that short texts are known too
-    texts = [t if i % 3 else t[: 24 + (i * 37) % 200] for i, t in enumerate(texts)]
+    # some windows are shortened and some put in capitals, so that such texts are known too
+    texts = [t if i % 3 else t[: 6 + (i * 37) % 200] for i, t in enumerate(texts)]
+    texts = [t.decode("utf-8", "ignore").upper().encode()[:WINDOW] if i % 7 == 3 else t for i, t in enumerate(texts)]
     labels = np.array([languages.index(lang) for lang, cut in rows for _ in cut])
     return train(windows_of(texts)[0], labels, languages)
 
@@ -216,8 +217,8 @@ def predict(docs: DataFrame, net: Network | None, columns: list[str]) -> DataFra
     return read.mapInArrow(run, T.StructType([read.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
-def keep_known(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """``docs`` without the texts that have no language or none that most of their windows agree on."""
+def keep_known(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
+    """``docs`` without the texts that have no language (``und``) or that no language scores ``least_score`` for."""
     told = predict(docs, learn(docs), docs.columns)
     return told.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("row.*")
 
