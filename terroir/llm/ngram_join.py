@@ -30,6 +30,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import settle, slices, small, table, text_bytes
 from .components import components
@@ -296,9 +297,9 @@ def one_of_each(docs: DataFrame, measure: Measure) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array([_signature(x) if len(x) else None for x in found], pa.binary())], names=["row", "doc_id", "sig"])
 
     read = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    schema = read.select("row", "doc_id", F.lit(b"").alias("sig")).schema
-    signed = read.mapInArrow(sign, schema)
-    return signed.join(small(gone, 80, BROADCAST_BYTES), ["doc_id", "sig"], "left_anti").select("row.*")
+    signed = read.mapInArrow(sign, T.StructType([read.schema["row"], read.schema["doc_id"], T.StructField("sig", T.BinaryType())]))
+    out = small(gone.select(F.col("doc_id").alias("gone_id"), F.col("sig").alias("gone_sig")), 80, BROADCAST_BYTES)
+    return signed.join(out, F.col("doc_id").eqNullSafe(F.col("gone_id")) & F.col("sig").eqNullSafe(F.col("gone_sig")), "left_anti").select("row.*")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
