@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one slice of an Arrow batch holds before Python works on it.
 SLICE_BYTES = 8 << 20
+#: Bytes of an Arrow batch between the JVM and Python; Spark's own default is eight times that.
+BATCH_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the tables; the session's Arrow batches are kept small, so that long texts don't pile up in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

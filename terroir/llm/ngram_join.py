@@ -40,7 +40,7 @@ FREQUENT, MOST_FREQUENT = 8, 1 << 20
 #: Bytes of keys, ids or other join sides that may be broadcast; beyond it the joins shuffle.
 BROADCAST_BYTES = 48 << 20
 #: Tokens that one numpy step counts.
-COUNT_TOKENS = 4 << 20
+COUNT_TOKENS = 1 << 20
 #: Unverified pairs per row of the key table that are simply verified; with more, new pivots are taken, so often.
 PAIRS_PER_ROW, ROUNDS = 4, 6
 
