@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settle, slices, small, table, text_bytes
+from .common import settle, slices, table, text_bytes
 
 #: A cut falls where these bits (11 to 15) are zero: every 32 bytes on average. They depend on the last 12 to 16 bytes.
 MASK = np.uint32(0xF800)
@@ -31,7 +31,6 @@ MASK = np.uint32(0xF800)
 LEAST_BYTES = 12
 #: Words of a repeated run of chunks that make a passage of over 50 words likely.
 LEAST_WORDS = 28
-BROADCAST_BYTES = 48 << 20
 
 # 256 random numbers, from a fixed seed
 GEAR = np.random.default_rng(20_240_229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -101,7 +100,7 @@ def repeated(docs: DataFrame) -> DataFrame:
 def _runs(docs: DataFrame, by_owner: bool) -> DataFrame:
     """Runs of neighbouring repeated chunks; with ``by_owner`` a run also ends where the document becomes, or stops being, the keeper."""
     again = settle(repeated(docs))
-    met = chunk_rows(docs).join(small(again, 56, BROADCAST_BYTES), "digest").withColumn("mine", F.col("doc_id") == F.col("keep_id"))
+    met = chunk_rows(docs).join(again, "digest").withColumn("mine", F.col("doc_id") == F.col("keep_id"))
     here = Window.partitionBy("rid").orderBy("idx")
     fresh = F.col("idx") != F.lag("idx").over(here) + 1
     if by_owner:
