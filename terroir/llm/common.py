@@ -46,6 +46,14 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a settled table that nothing will read again."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/settled-" in f}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(name)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` (text) holds about ``most`` bytes in each; a longer single row stays whole."""
     for batch in batches:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settle, slices, small, table, text_bytes
+from .common import discard, settle, slices, small, table, text_bytes
 from .components import components
 
 #: A token of at least so many documents is frequent; at most so many are told to the tasks (the threshold rises).
@@ -85,7 +85,23 @@ def _signature(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-SETS = "rid long, doc_id long, n long, sig binary, tokens binary"
+def sketch(found: np.ndarray) -> bytes:
+    """How many tokens fall in each of 16 to 4096 ranges of hashes (about four tokens each), 255 at most."""
+    bits = min(12, max(4, (len(found) // 4).bit_length()))
+    return np.minimum(np.bincount((found >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """A lower bound on the number of tokens that only one of two sets has: what their sketches differ by."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.minimum(x.reshape(len(y), -1).sum(1), 255)
+    return int(np.abs(x - y).sum())
+
+
+SETS = "rid long, doc_id long, n long, sig binary, sketch binary, tokens binary"
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
@@ -103,9 +119,10 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array([len(x) for x in found], pa.int64()),
                     pa.array([_signature(x) if len(x) else None for x in found], pa.binary()),
+                    pa.array([sketch(x) if len(x) else None for x in found], pa.binary()),
                     pa.array([x.tobytes() for x in found], pa.binary()),
                 ],
-                names=["rid", "doc_id", "n", "sig", "tokens"],
+                names=["rid", "doc_id", "n", "sig", "sketch", "tokens"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
@@ -217,8 +234,24 @@ def key_rows(set_rows: DataFrame, measure: Measure, often: tuple[np.ndarray, np.
     return set_rows.select("rid", "sig", "tokens").mapInArrow(run, "key long, rid long, n long")
 
 
-def verified(pairs: DataFrame, held: DataFrame, measure: Measure) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. ``held`` has rid and tokens."""
+def possible(pairs: DataFrame, sketches: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs (a, b) that their sketches don't rule out. Nothing that is linked is lost."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "sa"):
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb")), strict=True):
+                common = (n + m - apart(x, y)) // 2
+                keep.append(measure.den * common >= measure.num * (n + m - common))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    first = sketches.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    second = sketches.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, sketches: DataFrame, set_rows: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough: first by their sketches, then by the sets themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ta"):
@@ -229,18 +262,25 @@ def verified(pairs: DataFrame, held: DataFrame, measure: Measure) -> DataFrame:
                 keep.append(measure.den * common >= measure.num * (len(u) + len(v) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    left = settle(possible(pairs, sketches, measure))
+    rids = settle(left.select(F.explode(F.array("a", "b")).alias("rid")).distinct())
+    held = settle(set_rows.select("rid", "tokens").join(small(rids, 48, BROADCAST_BYTES), "rid", "left_semi"))
     first = held.select(F.col("rid").alias("a"), F.col("tokens").alias("ta"))
     second = held.select(F.col("rid").alias("b"), F.col("tokens").alias("tb"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return settle(left.join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"))
 
 
-def links(set_rows: DataFrame, measure: Measure) -> DataFrame:
-    """Verified pairs (a, b) of row numbers that join all that is linked into components."""
+def links(set_rows: DataFrame, copies: DataFrame, measure: Measure) -> DataFrame:
+    """Verified pairs (a, b) of row numbers that join all that is linked into components.
+
+    ``copies`` (rid, rep) names the row that stands for each further row of an equal set; only it is compared.
+    """
     rows = key_rows(set_rows, measure, frequent(set_rows))
     shared = settle(rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
-    rows = settle(rows.join(small(shared, 48, BROADCAST_BYTES), "key"))
-    rids = settle(rows.select("rid").distinct())
-    held = settle(set_rows.select("rid", "tokens").join(small(rids, 48, BROADCAST_BYTES), "rid", "left_semi"))
+    one = rows.join(shared, "key").join(small(copies, 64, BROADCAST_BYTES), "rid", "left")
+    rows = settle(one.select("key", F.coalesce("rep", "rid").alias("rid"), "n").distinct())
+    rids = rows.select("rid").distinct()
+    sketches = settle(set_rows.select("rid", "n", "sketch").join(rids, "rid", "left_semi"))
     alike = (F.col("n") * measure.den >= F.col("m") * measure.num) & (F.col("m") * measure.den >= F.col("n") * measure.num)
     found = None
     for attempt in range(ROUNDS + 1):
@@ -255,16 +295,17 @@ def links(set_rows: DataFrame, measure: Measure) -> DataFrame:
                 break
         # a pivot for each key: everything of another component is compared with it, then it leaves the key
         pivots = labelled.groupBy("key").agg(F.min(F.struct("rid", "n", "comp")).alias("p")).select("key", F.col("p.rid").alias("b"), F.col("p.n").alias("m"), F.col("p.comp").alias("other"))
-        pivots = small(settle(pivots), 80, BROADCAST_BYTES)
-        met = labelled.join(pivots, "key")
+        met = labelled.join(settle(pivots), "key")
         pairs = met.where((F.col("comp") != F.col("other")) & alike).select(F.col("rid").alias("a"), "b").distinct()
-        more = settle(verified(pairs, held, measure))
+        more = verified(pairs, sketches, set_rows, measure)
         found = more if found is None else found.unionByName(more)
         rows = settle(met.where("rid <> b").select("key", "rid", "n"))
     one = labelled.select("key", F.col("rid").alias("a"), "n", "comp")
     two = labelled.select("key", F.col("rid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
     rest = one.join(two, "key").where((F.col("comp") < F.col("other")) & alike).select("a", "b").distinct()
-    return found.unionByName(settle(verified(rest, held, measure)))
+    found = found.unionByName(verified(rest, sketches, set_rows, measure))
+    discard(set_rows)
+    return found
 
 
 def grouped(docs: DataFrame, measure: Measure) -> DataFrame:
@@ -272,11 +313,7 @@ def grouped(docs: DataFrame, measure: Measure) -> DataFrame:
     every = settle(sets(docs, measure.words))
     first = settle(every.where("sig is not null").groupBy("sig").agg(F.min("rid").alias("rep")))
     plain = settle(every.select("rid", "doc_id", "n", "sig").join(first, "sig", "left"))
-    reps = plain.select("rid", "rep")
-    linked = links(every, measure)
-    a, b = reps.select(F.col("rid").alias("a"), F.col("rep").alias("ra")), reps.select(F.col("rid").alias("b"), F.col("rep").alias("rb"))
-    linked = linked.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    comps = settle(components(linked)).withColumnRenamed("node", "rep")
+    comps = settle(components(links(every, settle(plain.where("rid <> rep").select("rid", "rep")), measure))).withColumnRenamed("node", "rep")
     placed = settle(plain.join(small(comps, 64, BROADCAST_BYTES), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), "sig", F.coalesce("component", "rep").alias("comp")))
     least = settle(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least")))
     return placed.join(least, "comp", "left").select("doc_id", "n_shingles", "sig", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
