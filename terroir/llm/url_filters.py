@@ -6,7 +6,7 @@ of fewer tokens already covers it. For matching, every rule is filed under its r
 of its own tokens and checks the rest of each. All of it is DataFrame work.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no tokens and the verdict allow; equal
-URLs get equal verdicts, and repeated rows stay repeated; without labelled pages there are no rules; an empty table
+URLs get equal verdicts, and repeated rows stay repeated; with fewer than ``LEAST_PAGES`` labelled pages there are no rules; an empty table
 gives no rows; extra columns are ignored.
 """
 
@@ -22,7 +22,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of rules that may be broadcast; beyond it the look-up shuffles.
 BROADCAST_BYTES = 16 << 20
 #: Share of the labelled pages that a rule's tokens and label must have in common, and how sure the rule must be.
-SUPPORT, CONFIDENCE = 0.001, 0.6
+#: In a small table the support is that of so many pages, else every combination of every URL would be frequent.
+SUPPORT, CONFIDENCE, LEAST_PAGES = 0.001, 0.6, 20
 BAD = "label=bad"
 
 #: (verdict, host, path)
@@ -69,14 +70,15 @@ def document(url: Column) -> Column:
 
 
 def mined(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame | None:
-    """(rule_id, tokens, entry, confidence): the pruned rules, each with its rarest token as its entry; None if there are no labelled pages."""
+    """(rule_id, tokens, entry, confidence): the pruned rules, each with its rarest token as its entry; None if there are too few labelled pages."""
     told = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
     bad = told.groupBy("doc_id").agg(F.max(F.coalesce((F.col("toxic") == 1) | (F.col("quality") == 0), F.lit(False))).alias("bad"))
     seen = pages.select(document(F.col("url")).alias("doc_id"), tokens(F.col("url")).alias("items")).where(F.size("items") > 0)
     sets = settle(seen.join(bad, "doc_id").select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
-    if not sets.limit(1).count():
+    pages_told = sets.count()
+    if pages_told < LEAST_PAGES:
         return None
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(sets)
+    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_PAGES / pages_told), minConfidence=confidence).fit(sets)
     found = settle(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
     with_bad = found.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("both")).where(F.size("tokens") > 0)
     rules = with_bad.join(found, F.col("tokens") == F.col("items")).select("tokens", (F.col("both") / F.col("freq")).alias("confidence")).where(F.col("confidence") >= confidence)
