@@ -2,10 +2,569 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import testview
+from .functions import text as X
+from .functions.names import name_key
+from .operators import charts as C
+from .operators import compare, matching
+from .operators import genres as G
+from .plans import market, refresh
+from .sources import raw, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, views: bool = True):
+    """Register a query under its function's name; ``sql`` gets the test views in front unless ``views`` is off."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = f"WITH {testview.VIEWS}{',' if sql.lstrip().startswith('+') else ''}{sql.lstrip().removeprefix('+')}" if views else sql
+        return f
+
+    return register
+
+
+def _w(spark: SparkSession, sf_dir: str) -> market.Warehouse:
+    return testview.warehouse(spark, sf_dir)
+
+
+# ---- the warehouse analytics
+
+REACH = """+ reach AS (SELECT artist_name, count(*) AS country_count FROM current_streams GROUP BY 1), scope AS (SELECT count(DISTINCT country_code) AS total_countries FROM current_streams)"""
+
+
+@query(
+    REACH
+    + """, gems AS (
+  SELECT c.country_code, c.artist_name, streams, best_position, country_count, total_countries, round(streams * ln(total_countries / country_count), 1) AS gem_score
+  FROM current_streams c JOIN reach r ON c.artist_name = r.artist_name CROSS JOIN scope WHERE country_count < total_countries)
+SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY gem_score DESC, artist_name) AS rank FROM gems QUALIFY rank <= 10"""
+)
+def hidden_gems(spark, sf_dir):
+    return market.hidden_gems(_w(spark, sf_dir))
+
+
+@query("""
+SELECT country_code, artist_name, streams, listeners, fans, rank FROM (
+  SELECT coalesce(s.country_code, l.country_code) AS country_code, coalesce(s.artist_name, l.artist_name) AS artist_name, streams, listeners, fans,
+         row_number() OVER (PARTITION BY coalesce(s.country_code, l.country_code) ORDER BY (streams IS NOT NULL AND listeners IS NOT NULL) DESC, streams DESC NULLS LAST, listeners DESC NULLS LAST, coalesce(s.artist_name, l.artist_name)) AS rank
+  FROM current_streams s FULL OUTER JOIN (
+    SELECT l.* FROM country_artist_listeners l JOIN (SELECT country_code, max(snapshot_date) AS d FROM country_artist_listeners GROUP BY 1) m ON l.country_code = m.country_code AND l.snapshot_date = m.d) l
+    ON s.country_code = l.country_code AND s.artist_name = l.artist_name
+  LEFT JOIN artists a ON a.artist_name = coalesce(s.artist_name, l.artist_name)) WHERE rank <= 12""")
+def artist_popularity(spark, sf_dir):
+    return market.artist_popularity(_w(spark, sf_dir))
+
+
+SHARES = """+ weighted AS (
+  SELECT country_code, snapshot_date, genre, score, distinctiveness, sources, sum({w}) OVER (PARTITION BY country_code) AS total_weight, count(*) OVER (PARTITION BY country_code) AS genre_count,
+         row_number() OVER (PARTITION BY country_code ORDER BY {w} DESC, genre) AS rank
+  FROM latest_genres WHERE {w} > 0),
+top_shares AS (SELECT *, round(100.0::DOUBLE * {w} / nullif(total_weight, 0), 2) AS percentage FROM weighted WHERE rank <= 15)"""
+
+
+@query(SHARES.format(w="score") + "SELECT country_code, genre, score, array_to_string(sources, ',') AS sources, CAST(total_weight AS BIGINT) AS total_weight, genre_count, percentage, rank FROM top_shares")
+def genre_shares(spark, sf_dir):
+    return market.genre_shares(_w(spark, sf_dir)).select("country_code", "genre", "score", F.array_join("sources", ",").alias("sources"), "total_weight", "genre_count", "percentage", "rank")
+
+
+@query(SHARES.format(w="distinctiveness") + "SELECT country_code, genre, distinctiveness, genre_count, rank FROM top_shares")
+def genre_shares_distinctive(spark, sf_dir):
+    return market.genre_shares(_w(spark, sf_dir), "distinctiveness").select("country_code", "genre", "distinctiveness", "genre_count", "rank")
+
+
+@query(
+    SHARES.format(w="score")
+    + "SELECT country_code, greatest(0.0::DOUBLE, round(100 - round(sum(percentage), 6), 2)) AS other_percentage, max(genre_count) - count(*) AS other_genres FROM top_shares GROUP BY 1"
+)
+def share_with_remainder(spark, sf_dir):
+    return market.genre_breakdown(market.genre_shares(_w(spark, sf_dir)))
+
+
+DOMESTIC = """+ domestic AS (
+  SELECT country_code, total_streams, classified_streams, domestic_streams, entry_count, classified_entries, round(100.0::DOUBLE * domestic_streams / nullif(classified_streams, 0), 2) AS domestic_percentage,
+         round(100.0::DOUBLE * classified_streams / nullif(total_streams, 0), 2) AS coverage_percentage
+  FROM (SELECT c.country_code, CAST(coalesce(sum(s), 0) AS BIGINT) AS total_streams, CAST(coalesce(sum(CASE WHEN origin_country IS NOT NULL THEN s END), 0) AS BIGINT) AS classified_streams,
+               CAST(coalesce(sum(CASE WHEN origin_country = c.country_code THEN s END), 0) AS BIGINT) AS domestic_streams, count(*) AS entry_count, count(*) FILTER (origin_country IS NOT NULL) AS classified_entries
+        FROM (SELECT e.country_code, artist_name, coalesce(daily_streams, weekly_streams, total_streams, 0) AS s FROM chart_entries e JOIN latest_chart l ON e.country_code = l.country_code AND e.snapshot_date = l.snapshot_date) c
+        LEFT JOIN artists a ON c.artist_name = a.artist_name GROUP BY 1))"""
+
+
+@query(DOMESTIC + "SELECT * FROM domestic WHERE country_code = 'NATION_1'")
+def domestic_share(spark, sf_dir):
+    return market.domestic_share(_w(spark, sf_dir), "NATION_1")
+
+
+@query(DOMESTIC + "SELECT * FROM domestic")
+def domestic_share_all(spark, sf_dir):
+    return market.domestic_share(_w(spark, sf_dir))
+
+
+@query("""
+SELECT country_code, genre, artist_name, streams, best_position, rank FROM (
+  SELECT g.country_code, g.genre, g.artist_name, streams, best_position, row_number() OVER (PARTITION BY g.country_code, g.genre ORDER BY streams DESC NULLS LAST, g.artist_name) AS rank
+  FROM country_artist_genres g JOIN (SELECT country_code, max(snapshot_date) AS d FROM country_artist_genres GROUP BY 1) m ON g.country_code = m.country_code AND g.snapshot_date = m.d
+  LEFT JOIN current_streams s ON g.country_code = s.country_code AND g.artist_name = s.artist_name) WHERE rank <= 5""")
+def genre_artists(spark, sf_dir):
+    return market.genre_artists(_w(spark, sf_dir))
+
+
+@query("""
+, totals AS (
+  SELECT artist_name, CAST(sum(s) FILTER (recency = 1) AS BIGINT) AS streams, CAST(sum(s) FILTER (recency = 2) AS BIGINT) AS previous_streams, count(DISTINCT country_code) FILTER (recency = 1) AS country_count
+  FROM (SELECT e.country_code, artist_name, recency, coalesce(daily_streams, weekly_streams, total_streams, 0) AS s FROM chart_entries e JOIN recent_days d ON e.country_code = d.country_code AND e.snapshot_date = d.snapshot_date WHERE recency <= 2)
+  GROUP BY 1)
+SELECT t.artist_name, streams, previous_streams, streams - previous_streams AS delta, country_count, origin_country FROM totals t LEFT JOIN artists a ON t.artist_name = a.artist_name
+WHERE streams IS NOT NULL ORDER BY streams DESC, t.artist_name LIMIT 40""")
+def global_artists(spark, sf_dir):
+    return market.global_artists(_w(spark, sf_dir))
+
+
+@query("""
+SELECT a.country_code AS country_a, b.country_code AS country_b, count(*) AS shared_genres, string_agg(a.genre, ',' ORDER BY a.genre) AS genres_in_common
+FROM latest_genres a JOIN latest_genres b ON a.genre = b.genre AND a.country_code < b.country_code GROUP BY ALL ORDER BY shared_genres DESC, country_a, country_b LIMIT 20""")
+def similar_countries(spark, sf_dir):
+    return market.similar_countries(_w(spark, sf_dir)).withColumn("genres_in_common", F.array_join("genres_in_common", ","))
+
+
+CHANGES = """+ genre_days AS (SELECT country_code, snapshot_date, dense_rank() OVER (PARTITION BY country_code ORDER BY snapshot_date DESC) AS recency FROM (SELECT DISTINCT country_code, snapshot_date FROM country_genre_scores)),
+changes AS (SELECT *, score - previous_score AS delta FROM (
+  SELECT g.country_code, genre, score, lag(score) OVER (PARTITION BY g.country_code, genre ORDER BY g.snapshot_date) AS previous_score
+  FROM country_genre_scores g JOIN genre_days d ON g.country_code = d.country_code AND g.snapshot_date = d.snapshot_date WHERE recency <= 2) WHERE previous_score IS NOT NULL)"""
+
+
+@query(CHANGES + "SELECT * FROM changes ORDER BY delta DESC, country_code, genre LIMIT 50")
+def trending_genres(spark, sf_dir):
+    return market.trending_genres(_w(spark, sf_dir))
+
+
+@query(
+    CHANGES
+    + """ SELECT *, 'rising' AS tail FROM (SELECT * FROM changes WHERE delta > 0 ORDER BY delta DESC, country_code, genre LIMIT 25)
+UNION ALL SELECT *, 'falling' AS tail FROM (SELECT * FROM changes WHERE delta < 0 ORDER BY delta, country_code, genre LIMIT 25)"""
+)
+def trending_tails(spark, sf_dir):
+    return market.trending_tails(_w(spark, sf_dir))
+
+
+@query(CHANGES + "SELECT * FROM changes")
+def lag_delta(spark, sf_dir):
+    return market.genre_changes(_w(spark, sf_dir))
+
+
+@query(
+    DOMESTIC
+    + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY score DESC, genre) AS p, row_number() OVER (PARTITION BY country_code ORDER BY distinctiveness DESC, genre) AS d FROM latest_genres),
+tops AS (SELECT country_code, artist_name, row_number() OVER (PARTITION BY country_code ORDER BY best_position) AS r FROM current_streams)
+SELECT n_name AS country_code, (SELECT count(*) FROM tops t WHERE t.country_code = n_name) AS artist_count,
+       coalesce((SELECT string_agg(genre, ',' ORDER BY p) FROM ranked r WHERE r.country_code = n_name AND p <= 3), '') AS top_genres,
+       coalesce((SELECT string_agg(genre, ',' ORDER BY d) FROM ranked r WHERE r.country_code = n_name AND d <= 3 AND distinctiveness > 0), '') AS distinctive_genres,
+       coalesce((SELECT string_agg(artist_name, ',' ORDER BY r) FROM tops t WHERE t.country_code = n_name AND r <= 5), '') AS top_artists,
+       domestic_percentage, coverage_percentage
+FROM nation LEFT JOIN domestic d ON d.country_code = n_name"""
+)
+def country_summaries(spark, sf_dir):
+    joined = [F.array_join(c, ",").alias(c) for c in ("top_genres", "distinctive_genres", "top_artists")]
+    return market.country_summaries(_w(spark, sf_dir)).select("country_code", "artist_count", *joined, "domestic_share.domestic_percentage", "domestic_share.coverage_percentage")
+
+
+@query()
+def country_detail(spark, sf_dir):
+    return market.country_detail(_w(spark, sf_dir)).select("country_code", F.to_json(F.struct("popularity", "genres", "special_genres", "hidden_gems", "chart", "genre_details", "other_percentage")).alias("detail"))
+
+
+PERCENTAGES = """+ percentages AS (SELECT country_code, genre, round(100.0::DOUBLE * score / sum(score) OVER (PARTITION BY country_code), 2) AS percentage FROM latest_genres WHERE score > 0)"""
+
+
+@query(
+    PERCENTAGES
+    + """ SELECT a.country_code AS country_a, b.country_code AS country_b, floor(round(sum(least(a.percentage, b.percentage)), 6) * 10 + 0.5) / 10 AS similarity
+FROM percentages a JOIN percentages b ON a.genre = b.genre AND a.country_code < b.country_code GROUP BY ALL"""
+)
+def compare_all(spark, sf_dir):
+    return market.compare_all(_w(spark, sf_dir))
+
+
+@query(
+    PERCENTAGES
+    + """ SELECT *, floor(round(left_pct - right_pct, 6) * 10 + 0.5) / 10 AS diff FROM (
+  SELECT coalesce(a.genre, b.genre) AS genre, coalesce(a.percentage, 0.0::DOUBLE) AS left_pct, coalesce(b.percentage, 0.0::DOUBLE) AS right_pct
+  FROM (SELECT * FROM percentages WHERE country_code = 'NATION_1') a FULL OUTER JOIN (SELECT * FROM percentages WHERE country_code = 'NATION_2') b ON a.genre = b.genre)
+ORDER BY abs(diff) DESC, genre LIMIT 10"""
+)
+def compare_two(spark, sf_dir):
+    return market.compare_two(_w(spark, sf_dir), "NATION_1", "NATION_2")
+
+
+@query("""
+, leaders AS (SELECT country_code, genre FROM latest_genres QUALIFY row_number() OVER (PARTITION BY country_code ORDER BY score DESC, genre) = 1),
+classes AS (SELECT genre, CAST((row_number() OVER (ORDER BY count(*) DESC, genre) - 1) % 12 AS INTEGER) AS class FROM leaders GROUP BY genre)
+SELECT country_code, class FROM leaders l JOIN classes c ON l.genre = c.genre""")
+def choropleth_genre(spark, sf_dir):
+    return market.choropleth(_w(spark, sf_dir), "genre")
+
+
+@query(DOMESTIC + "SELECT country_code, CASE WHEN coverage_percentage >= 20 THEN CAST(least(floor(greatest(least(domestic_percentage, 100), 0) / 100 * 6), 5) AS INTEGER) END AS class FROM domestic")
+def choropleth_domestic(spark, sf_dir):
+    return market.choropleth(_w(spark, sf_dir), "domestic")
+
+
+@query("""
+SELECT a.artist_name, count(c.artist_name) AS chart_rows FROM artists a LEFT JOIN chart_entries c ON a.artist_name = c.artist_name WHERE resolved_at IS NULL GROUP BY 1 ORDER BY chart_rows DESC, a.artist_name LIMIT 250""")
+def pending_artists(spark, sf_dir):
+    return market.pending_artists(_w(spark, sf_dir))
+
+
+# ---- single operators
+
+
+@query("SELECT country_code, snapshot_date FROM latest_chart")
+def latest_per_country(spark, sf_dir):
+    return C.latest_days(_w(spark, sf_dir).chart_entries)
+
+
+@query("SELECT country_code, snapshot_date, recency FROM recent_days")
+def recency_dense_rank(spark, sf_dir):
+    return C.recency(_w(spark, sf_dir).chart_entries)
+
+
+@query("SELECT country_code, artist_name, streams, best_position, row_number() OVER (PARTITION BY country_code ORDER BY streams DESC, artist_name) AS rank FROM current_streams QUALIFY rank <= 3")
+def topn_per_group(spark, sf_dir):
+    return C.top(C.artist_streams(_w(spark, sf_dir).chart_entries), ["country_code"], [F.desc("streams"), F.asc("artist_name")], 3)
+
+
+@query("""
+SELECT coalesce(s.artist_name, l.artist_name) AS artist_name, s.plays, l.listeners FROM (SELECT artist_name, CAST(sum(streams) AS BIGINT) AS plays FROM current_streams GROUP BY 1) s
+FULL OUTER JOIN (SELECT artist_name, CAST(sum(listeners) AS BIGINT) AS listeners FROM country_artist_listeners GROUP BY 1) l ON s.artist_name = l.artist_name""")
+def full_outer_measures(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    plays = C.artist_streams(w.chart_entries).groupBy("artist_name").agg(F.sum("streams").alias("plays"))
+    return plays.join(w.country_artist_listeners.groupBy("artist_name").agg(F.sum("listeners").alias("listeners")), "artist_name", "full_outer")
+
+
+@query("SELECT a.country_code AS country_a, b.country_code AS country_b, count(*) AS shared_genres FROM latest_genres a JOIN latest_genres b ON a.genre = b.genre AND a.country_code < b.country_code GROUP BY ALL")
+def pair_self_join(spark, sf_dir):
+    return market.similar_countries(_w(spark, sf_dir), limit=None).drop("genres_in_common")
+
+
+@query(DOMESTIC + "SELECT country_code, domestic_streams, classified_streams, coverage_percentage FROM domestic")
+def cond_sum_coverage(spark, sf_dir):
+    return market.domestic_share(_w(spark, sf_dir)).select("country_code", "domestic_streams", "classified_streams", "coverage_percentage")
+
+
+@query("SELECT genre, count(*) AS df FROM (SELECT *, sum(score) OVER (PARTITION BY country_code) AS t FROM latest_genres) WHERE score::DOUBLE / t::DOUBLE >= 0.01::DOUBLE GROUP BY 1")
+def document_frequency(spark, sf_dir):
+    return G.document_frequency(C.latest(_w(spark, sf_dir).country_genre_scores), ["country_code"])
+
+
+LATEST_SCORED = """+ t AS (SELECT country_code, genre, score, sum(score) OVER (PARTITION BY country_code) AS total FROM latest_genres),
+d AS (SELECT genre, count(*) AS df FROM t WHERE score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE GROUP BY 1), n AS (SELECT count(DISTINCT country_code) AS n FROM t)"""
+
+
+@query(LATEST_SCORED + "SELECT country_code, t.genre, score, CASE WHEN score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE AND df > 0 THEN round(score * ln(n / df), 3) ELSE 0.0::DOUBLE END AS distinctiveness FROM t LEFT JOIN d ON t.genre = d.genre CROSS JOIN n")
+def tfidf_distinctiveness(spark, sf_dir):
+    latest = C.latest(_w(spark, sf_dir).country_genre_scores).select("country_code", "genre", "score")
+    return G.distinctiveness(latest, ["country_code"])
+
+
+@query("SELECT country_code, count(*) AS total_tags, count(*) FILTER (bucket = 'other') AS unclassified_tags, round(count(*) FILTER (bucket = 'other') / count(*), 4) AS unclassified_rate FROM known_tags GROUP BY 1")
+def tag_coverage(spark, sf_dir):
+    rows = testview.lines(spark, sf_dir)
+    return G.coverage(testview.genre_scores(spark, sf_dir, rows)[2], ["country_code"])
+
+
+@query("""
+, rates AS (SELECT country_code, round(count(*) FILTER (bucket = 'other') / count(*), 4) AS rate FROM known_tags GROUP BY 1)
+SELECT (SELECT count(*) FROM nation) AS countries, round(avg(rate), 4) AS average_rate, coalesce((SELECT string_agg(n_name, ',' ORDER BY n_name) FROM nation WHERE n_name NOT IN (SELECT country_code FROM rates)), '') AS empty_countries,
+       coalesce(string_agg(country_code, ',' ORDER BY rate DESC, country_code) FILTER (rate > 0.2), '') AS poorly_classified FROM rates""")
+def quality_report(spark, sf_dir):
+    rates = tag_coverage(spark, sf_dir)
+    names = testview.tables(spark, sf_dir)("nation").select(F.col("n_name").alias("country_code"))
+    counts = names.join(rates.select("country_code", F.lit(1).alias("artist_count")), "country_code", "left").withColumn("artist_count", F.coalesce("artist_count", F.lit(0)))
+    report = G.quality_report(rates, counts, G.Params(unclassified_alarm=0.2))
+    return report.select("countries", "average_rate", F.array_join("empty_countries", ",").alias("empty_countries"), F.array_join("poorly_classified", ",").alias("poorly_classified"))
+
+
+@query("SELECT country_code, snapshot_date, genre, score, array_to_string(sources, ',') AS sources, distinctiveness FROM country_genre_scores")
+def weighted_vote(spark, sf_dir):
+    scores = _w(spark, sf_dir).country_genre_scores
+    return scores.withColumn("sources", F.array_join("sources", ","))
+
+
+@query("SELECT tag, coalesce(bucket, 'other') AS bucket FROM (SELECT DISTINCT tag FROM raw_tags) LEFT JOIN tag_bucket USING (tag)")
+def bucket_containment(spark, sf_dir):
+    named = testview.tags(testview.lines(spark, sf_dir)).select(F.col("tag").alias("genre"))
+    none = spark.createDataFrame([], "keyword string, bucket string, priority int")
+    return G.bucketed(named, testview.noun_buckets(spark, sf_dir), none, fuzzy=False).select(F.col("genre").alias("tag"), "bucket")
+
+
+@query(r"SELECT l_orderkey, l_linenumber, TRY_CAST(regexp_extract(replace(cell, ',', ''), '-?\d+') AS BIGINT) AS number FROM (SELECT *, CASE l_linenumber % 4 WHEN 0 THEN '+' || l_orderkey || ',' || l_partkey WHEN 1 THEN '(x' || l_suppkey || ')' WHEN 2 THEN '-' ELSE '-' || l_partkey END AS cell FROM lineitem)", views=False)
+def parse_number(spark, sf_dir):
+    kind, s = F.col("l_linenumber") % 4, lambda c: F.col(c).cast("string")
+    cell = F.when(kind == 0, F.concat(F.lit("+"), s("l_orderkey"), F.lit(","), s("l_partkey"))).when(kind == 1, F.concat(F.lit("(x"), s("l_suppkey"), F.lit(")"))).when(kind == 2, "-").otherwise(F.concat(F.lit("-"), s("l_partkey")))
+    return testview.tables(spark, sf_dir)("lineitem").select("l_orderkey", "l_linenumber", X.number(cell).alias("number"))
+
+
+LABEL = "CASE doc_id % 3 WHEN 0 THEN {line} || ' - ' || doc_id WHEN 1 THEN {line} || '-' || doc_id ELSE {line} END"
+
+
+@query(
+    r"""
+WITH l AS (SELECT doc_id, trim(split_part(text, E'\n', 1), E' \t\r\x0b\x0c') AS line FROM documents),
+b AS (SELECT doc_id, """
+    + LABEL.format(line="line")
+    + r""" AS label FROM l)
+SELECT doc_id, nullif(trim(CASE WHEN contains(label, ' - ') THEN split_part(label, ' - ', 1) WHEN contains(label, '-') THEN split_part(label, '-', 1) ELSE label END, E' \t\r\x0b\x0c'), '') AS artist,
+       nullif(trim(CASE WHEN contains(label, ' - ') THEN substr(label, instr(label, ' - ') + 3) WHEN contains(label, '-') THEN substr(label, instr(label, '-') + 1) END, E' \t\r\x0b\x0c'), '') AS track FROM b""",
+    views=False,
+)
+def artist_label_split(spark, sf_dir):
+    line = X.stripped(F.split("text", "\n")[0])
+    docs = testview.tables(spark, sf_dir)("documents").select("doc_id", line.alias("line"))
+    label = docs.select("doc_id", F.expr(LABEL.format(line="line")).alias("label"))
+    return label.select("doc_id", X.label_artist(F.col("label")).alias("artist"), X.label_track(F.col("label")).alias("track"))
+
+
+TAG = "CASE l_linenumber % 4 WHEN 0 THEN ' ' || substr(CAST(l_orderkey + 1900 AS VARCHAR(20)), 1, 4) || 's ' WHEN 1 THEN 'UK' WHEN 2 THEN CAST(l_partkey AS VARCHAR(20)) ELSE ' Part ' || l_partkey END"
+
+
+@query(rf"SELECT l_orderkey, l_linenumber, CASE WHEN length(t) > 2 AND NOT regexp_full_match(t, '\d{{2,4}}s?') THEN t END AS tag FROM (SELECT *, lower(trim({TAG})) AS t FROM lineitem)", views=False)
+def junk_tag_filter(spark, sf_dir):
+    rows = testview.tables(spark, sf_dir)("lineitem").select("l_orderkey", "l_linenumber", F.expr(TAG.replace("VARCHAR(20)", "STRING")).alias("raw"))
+    return rows.select("l_orderkey", "l_linenumber", X.clean_tag(F.col("raw")).alias("tag"))
+
+
+@query(
+    """SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    views=False,
+)
+def dedupe_last_wins(spark, sf_dir):
+    orders = testview.tables(spark, sf_dir)("orders").select("o_custkey", "o_orderkey", "o_totalprice", F.struct("o_orderdate", "o_orderkey").alias("pos"))
+    return C.dedupe_last(orders, ["o_custkey"], "pos").drop("pos")
+
+
+@query("SELECT DISTINCT artist_name FROM (SELECT artist_name FROM chart_entries UNION ALL SELECT artist_name FROM country_artist_listeners)")
+def union_dimension(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return C.artist_names(w.chart_entries, w.country_artist_listeners)
+
+
+@query("SELECT DISTINCT artist_name FROM chart_entries WHERE artist_name NOT IN (SELECT artist_name FROM artists WHERE resolved_at IS NOT NULL)")
+def pending_anti_join(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return C.pending(w.chart_entries.select("artist_name").distinct(), w.artists.where("resolved_at is not null"), "artist_name")
+
+
+@query("""
+SELECT coalesce(o.artist_name, n.artist_name) AS artist_name, CASE WHEN o.artist_name IS NULL THEN n.fans WHEN n.artist_name IS NOT NULL THEN n.fans ELSE o.fans END AS fans, o.origin_country
+FROM (SELECT * FROM artists WHERE resolved_at IS NOT NULL) o FULL OUTER JOIN (SELECT artist_name, fans + 1 AS fans, 'XX' AS origin_country FROM artists WHERE origin_country IS NULL OR resolved_at IS NULL) n ON o.artist_name = n.artist_name
+WHERE o.artist_name IS NOT NULL
+UNION ALL SELECT artist_name, fans + 1, 'XX' FROM artists WHERE resolved_at IS NULL""")
+def merge_dimension(spark, sf_dir):
+    every = _w(spark, sf_dir).artists
+    old = every.where("resolved_at is not null").select("artist_name", "fans", "origin_country")
+    new = every.where("origin_country is null or resolved_at is null").select("artist_name", (F.col("fans") + 1).alias("fans"), F.lit("XX").alias("origin_country"))
+    return sinks.merged(old, new, "artist_name", ["fans"])
+
+
+@query(PERCENTAGES + "SELECT country_code, genre, percentage, CAST(least(floor(percentage / 100 * 6), 5) AS INTEGER) AS band FROM percentages")
+def percentage_bands(spark, sf_dir):
+    return market.percentages(_w(spark, sf_dir)).withColumn("band", X.share_band(F.col("percentage")))
+
+
+@query(
+    """
+WITH codes AS (SELECT lower(substr(n_name, 1, 2) || n_nationkey) AS code, upper(substr(n_name, 1, 3) || n_nationkey) AS alpha3, n_nationkey AS number FROM nation)
+SELECT c_custkey AS feature_id, CASE WHEN c_custkey % 5 = 4 THEN NULL ELSE code END AS code FROM customer JOIN codes ON c_nationkey = number""",
+    views=False,
+)
+def code_resolution(spark, sf_dir):
+    t = testview.tables(spark, sf_dir)
+    two, three = F.concat(F.substring("n_name", 1, 2), F.col("n_nationkey").cast("string")), F.upper(F.concat(F.substring("n_name", 1, 3), F.col("n_nationkey").cast("string")))
+    codes = t("nation").select("n_nationkey", F.lower(two).alias("alpha2"), three.alias("alpha3"), F.col("n_nationkey").alias("number"))
+    met = t("customer").join(F.broadcast(codes), F.col("c_nationkey") == F.col("n_nationkey"))
+    none, kind = F.lit("-99"), F.col("c_custkey") % 5
+    given = F.when(kind == 0, F.array(F.col("alpha2"), none)).when(kind == 1, F.array(none, F.col("alpha3"))).when(kind == 2, F.array(none, none, F.col("number").cast("string"))).when(kind == 3, F.array(F.lit("?"), F.lower("alpha3"), F.col("alpha2"))).otherwise(F.array(none, F.lit("?")))
+    return matching.resolved_codes(met.select(F.col("c_custkey").alias("feature_id"), given.alias("candidates")), codes.drop("n_nationkey"))
+
+
+@query(PERCENTAGES + "SELECT a.country_code AS country_a, b.country_code AS country_b, floor(round(sum(least(a.percentage, b.percentage)), 6) * 10 + 0.5) / 10 AS similarity FROM percentages a JOIN percentages b ON a.genre = b.genre AND a.country_code < b.country_code WHERE a.country_code = 'NATION_1' GROUP BY ALL")
+def histogram_overlap(spark, sf_dir):
+    return compare.overlap_all(market.percentages(_w(spark, sf_dir))).where("country_a = 'NATION_1'")
+
+
+@query("""
+SELECT c.country_code, track_name, position FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date WHERE position <= 10""")
+def chart_from_html(spark, sf_dir):
+    """The latest charts rendered as pages, then read back from their first table."""
+    entries = C.latest(_w(spark, sf_dir).chart_entries).where("position <= 100")
+    cell = lambda c: F.concat(F.lit("<td> "), c, F.lit(" </td>"))
+    row = F.concat(F.lit("<tr>"), cell(F.col("position").cast("string")), cell(F.lit("=")), cell(F.concat(F.lit("<a href='#'>"), F.replace("artist_name", F.lit("-"), F.lit("_")), F.lit("</a> - "), F.col("track_name"))), F.lit("</tr>"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("position", row.alias("row")))), lambda x: x["row"])
+    head = F.lit("<html><table><tr><th>Pos</th></tr>")
+    pages = entries.groupBy("country_code").agg(F.concat(head, F.array_join(rows, "\n"), F.lit("</table><table><tr><td>9</td></tr></table></html>")).alias("html"))
+    return raw.chart_pages(pages).where("position <= 10").select("country_code", "track_name", "position")
+
+
+@query("SELECT CAST(NULL AS VARCHAR) AS country_code, CAST(NULL AS BIGINT) AS position FROM pages WHERE html LIKE '%<table%'", views=False)
+def charts_in_pages(spark, sf_dir):
+    """Web pages without a chart give no chart rows."""
+    pages = testview.tables(spark, sf_dir)("pages").select(F.col("page_id").cast("string").alias("country_code"), "html")
+    return raw.chart_pages(pages).select("country_code", "position")
+
+
+@query(
+    """
+WITH c AS (SELECT c_nationkey, c_custkey, c_name, c_acctbal FROM customer)
+SELECT n_name AS query, c_custkey AS id, CAST(floor(c_acctbal) AS BIGINT) AS nb_fan FROM nation JOIN c ON n_nationkey = c_nationkey
+WHERE c_custkey % 3 = 0 QUALIFY row_number() OVER (PARTITION BY n_name ORDER BY floor(c_acctbal) DESC, c_custkey) = 1""",
+    views=False,
+)
+def match_candidates(spark, sf_dir):
+    """Customers offered for their nation's name: every third under that name, in capitals and with an accent, others under a longer one."""
+    t = testview.tables(spark, sf_dir)
+    met = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    name = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" "), F.lower("n_name"), F.lit("́ "))).otherwise(F.concat("n_name", F.lit(" (UK)")))
+    none = F.lit(None).cast("string")
+    offered = met.select(F.col("n_name").alias("query"), F.col("c_custkey").alias("pos"), F.col("c_custkey").alias("id"), name.alias("name"), F.floor("c_acctbal").alias("nb_fan"), none.alias("picture_medium"), none.alias("picture_big"))
+    return matching.best_candidates(offered).select("query", "id", "nb_fan")
+
+
+@query()
+def name_keys(spark, sf_dir):
+    line = F.split("text", "\n")[0]
+    return testview.tables(spark, sf_dir)("documents").select(line.alias("name")).distinct().select("name", name_key("name").alias("key"))
+
+
+@query()
+def fuzzy_match(spark, sf_dir):
+    """Part names with one letter lost, against the part names."""
+    names = testview.tables(spark, sf_dir)("part").select("p_name").distinct()
+    terms = names.select(F.col("p_name").alias("term"), F.hash("p_name").alias("priority"))
+    broken = names.select(F.concat(F.substring("p_name", 1, 3), F.expr("substr(p_name, 5)")).alias("text")).distinct()
+    return G.nearest_terms(broken, terms, 85)
+
+
+@query("""
+, one AS (SELECT s_name AS artist_name, 'http://img/' || s_suppkey AS image FROM supplier WHERE s_suppkey % 3 = 0),
+two AS (SELECT s_name AS artist_name, 'https://img/b' || s_suppkey || '?width=250' AS image FROM supplier WHERE s_suppkey % 2 = 0)
+SELECT coalesce(one.artist_name, two.artist_name) AS artist_name, coalesce(one.image, two.image) AS image FROM one FULL OUTER JOIN two ON one.artist_name = two.artist_name""")
+def artist_images(spark, sf_dir):
+    s = testview.tables(spark, sf_dir)("supplier").select(F.col("s_name").alias("artist_name"), "s_suppkey")
+    code = F.col("s_suppkey").cast("string")
+    empty = F.concat(F.lit("http://img/"), F.lit(X.EMPTY_PICTURE))
+    one = s.select("artist_name", X.picture(empty, F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("http://img/"), code)).otherwise(empty)).alias("image"))
+    two = s.where("s_suppkey % 2 = 0").select("artist_name", X.thumbnail(F.concat(F.lit("http://img/b"), code)).alias("image"))
+    return matching.images(one, two)
+
+
+@query("""
+SELECT s_name AS artist_name, 'm' || s_suppkey AS mbid FROM supplier WHERE s_suppkey % 3 <> 0 AND s_suppkey % 7 <> 0 AND s_suppkey % 2 = 0""")
+def images_needed(spark, sf_dir):
+    s = testview.tables(spark, sf_dir)("supplier").select(F.col("s_name").alias("artist_name"), "s_suppkey")
+    mbids = s.select("artist_name", F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("m"), F.col("s_suppkey").cast("string"))).alias("mbid"))
+    return refresh.images_needed(s, mbids, s.where("s_suppkey % 3 = 0"), s.where("s_suppkey % 7 = 0"))
+
+
+@query(
+    r"""
+WITH d AS (SELECT page_id, 'g' || page_id AS genre, html FROM pages), c AS (SELECT genre, regexp_replace(regexp_replace(CASE WHEN regexp_matches(html, '<a\s') THEN regexp_extract(html, '(?s)^(.*?)<a\s', 1) ELSE html END, '<[^>]+>', '', 'g'), '^\s+|[\s.]+$', '', 'g') AS t FROM d)
+SELECT genre, CASE WHEN t <> '' THEN t || '.' END AS summary FROM c""",
+    views=False,
+)
+def describe_genres(spark, sf_dir):
+    pages = testview.tables(spark, sf_dir)("pages").select(F.concat(F.lit("g"), F.col("page_id").cast("string")).alias("genre"), "html", "url")
+    return refresh.described_genres(pages, "2001-01-01").select("genre", "summary")
+
+
+@query("""
+SELECT s_name AS artist_name, CASE WHEN s_suppkey % 4 = 0 THEN lower(n_name) WHEN s_suppkey % 4 = 1 THEN 'n' || s_suppkey END AS origin_country,
+       CASE WHEN s_suppkey % 4 IN (0, 1) THEN 'hit' WHEN s_suppkey % 4 = 2 THEN 'error' ELSE 'miss' END AS status FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def resolve_artists(spark, sf_dir):
+    """A quarter of the suppliers is known by id, one by name, one's search failed, one isn't known at all."""
+    t = testview.tables(spark, sf_dir)
+    s = t("supplier").join(F.broadcast(t("nation")), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("artist_name"), "s_suppkey", "n_name", (F.col("s_suppkey") % 4).alias("kind"))
+    code, pos = F.col("s_suppkey").cast("string"), F.col("s_suppkey").alias("pos")
+    mbids = s.where("kind = 0").select("artist_name", F.concat(F.lit("m"), code).alias("mbid"), pos)
+    rows = s.where("kind = 0").select(F.concat(F.lit("m"), code).alias("mbid"), pos, F.col("n_name").alias("iso"), F.lit("1985-01-01").alias("inception"))
+    named = s.where("kind = 1").select(F.col("artist_name").alias("name"), F.concat(F.lit("Q"), code).alias("item"), pos, F.concat(F.lit("N"), code).alias("iso"), F.lit(None).cast("string").alias("inception"))
+    none = F.lit(None).cast("string")
+    searched = s.where("kind >= 2").select("artist_name", none.alias("mbid"), none.alias("origin_country"), F.lit(None).cast("bigint").alias("formed_year"), (F.col("kind") == 2).alias("failed"))
+    return matching.resolve(s, mbids, matching.entity_meta(rows, "mbid"), matching.entity_meta_by_name(named), searched).select("artist_name", "origin_country", "status")
+
+
+def _cleansed(spark: SparkSession, sf_dir: str) -> tuple[refresh.Cleansed, DataFrame]:
+    """Every country's latest day through the whole cleansing plan, and the lines it comes from."""
+    rows = testview.lines(spark, sf_dir)
+    tags = C.latest(testview.tags(rows))
+    known = C.top(C.artist_streams(testview.chart_entries(rows)), ["country_code"], [F.asc("best_position")], 1 << 30).select("country_code", "artist_name", F.col("rank").cast("bigint").alias("rank"))
+    codes = testview.tables(spark, sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
+    none = spark.createDataFrame([], "keyword string, bucket string, priority int")
+    return refresh.cleanse(known, tags, codes, None, testview.noun_buckets(spark, sf_dir), none, fuzzy=False), rows
+
+
+@query(LATEST_SCORED + "SELECT country_code, t.genre, score, CASE WHEN score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE AND df > 0 THEN round(score * ln(n / df), 3) ELSE 0.0::DOUBLE END AS distinctiveness FROM t LEFT JOIN d ON t.genre = d.genre CROSS JOIN n")
+def cleanse(spark, sf_dir):
+    return _cleansed(spark, sf_dir)[0].scores.select("country_code", "genre", "score", "distinctiveness")
+
+
+@query("SELECT country_code, count(*) AS artist_count, (SELECT count(*) FROM latest_genres g WHERE g.country_code = c.country_code) AS genre_count FROM current_streams c GROUP BY ALL")
+def processed_records(spark, sf_dir):
+    return refresh.records(_cleansed(spark, sf_dir)[0]).select("country_code", F.col("artist_count").cast("bigint"), F.size("genres").cast("bigint").alias("genre_count"))
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse folder with one day loaded twice."""
+    done, rows = _cleansed(spark, sf_dir)
+    root = testview.scratch(spark)
+    charts = C.latest(testview.chart_entries(rows)).where("position <= 100").drop("snapshot_date")
+    heard = C.latest(testview.listeners(rows)).select("country_code", "artist_name", "listeners", F.lit(0).alias("pos"))
+    countries = testview.tables(spark, sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
+    for _ in range(2):
+        refresh.load_snapshot(spark, root, "2001-07-01", done, countries, charts, heard, testview.artists(spark, sf_dir))
+    return root
+
+
+LOADED = """+ heard AS (SELECT l.* FROM country_artist_listeners l JOIN (SELECT country_code, max(snapshot_date) AS d FROM country_artist_listeners GROUP BY 1) m ON l.country_code = m.country_code AND l.snapshot_date = m.d),
+charted AS (SELECT c.* FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date WHERE position <= 100)"""
+
+
+@query(
+    LOADED
+    + """ SELECT 'artists' AS name, (SELECT count(*) FROM (SELECT artist_name FROM heard UNION SELECT artist_name FROM charted)) AS n UNION ALL SELECT 'chart_entries', (SELECT count(*) FROM charted)
+UNION ALL SELECT 'countries', (SELECT count(*) FROM nation) UNION ALL SELECT 'country_artist_listeners', (SELECT count(*) FROM heard) UNION ALL SELECT 'country_genre_scores', (SELECT count(*) FROM latest_genres)
+UNION ALL SELECT 'country_snapshots', (SELECT count(DISTINCT country_code) FROM current_streams) UNION ALL SELECT 'country_top_artists', (SELECT count(*) FROM current_streams) UNION ALL SELECT 'genres', (SELECT count(DISTINCT genre) FROM latest_genres)"""
+)
+def load_snapshot(spark, sf_dir):
+    root = _loaded(spark, sf_dir)
+    names = ["artists", "chart_entries", "countries", "country_artist_listeners", "country_genre_scores", "country_snapshots", "country_top_artists", "genres"]
+    out = None
+    for name in names:
+        counted = sinks.read_table(spark, f"{root}/{name}", name).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
+@query(LOADED + "SELECT lower(n_name) AS code, (SELECT count(*) FROM charted c WHERE c.country_code = n_name AND position <= 10) AS chart_rows FROM nation")
+def publish(spark, sf_dir):
+    """A loaded day published as JSON and read back by its country folders."""
+    root = _loaded(spark, sf_dir)
+    refresh.publish(refresh.warehouse(spark, root), f"{root}/published")
+    back = spark.read.schema("code string, chart array<struct<position: bigint>>").json(f"{root}/published/countries")
+    return back.select("code", F.coalesce(F.size("chart"), F.lit(0)).cast("bigint").alias("chart_rows"))
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
