@@ -95,7 +95,7 @@ def half_up(x: Column, digits: int = 1) -> Column:
 def share_band(percentage: Column, bands: int = 6) -> Column:
     """The index of an equal-width band of a percentage, clamped to 0-100."""
     inside = F.greatest(F.least(percentage, F.lit(100.0)), F.lit(0.0))
-    return F.least(F.floor(inside / 100 * bands), F.lit(bands - 1)).cast("int")
+    return F.when(percentage.isNotNull(), F.least(F.floor(inside / 100 * bands), F.lit(bands - 1)).cast("int"))
 
 
 def remainder(shown: Column) -> Column:
