@@ -270,6 +270,17 @@ def verified(pairs: DataFrame, sketches: DataFrame, set_rows: DataFrame, measure
     return settle(left.join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"))
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """The rows of one key for each set of members: keys that the same documents share bring the same documents together.
+
+    Members are compared by their number and two independent 64-bit hashes; keys of a single member go.
+    """
+    mix = lambda seed: F.bit_xor(F.xxhash64("rid", F.lit(seed)))
+    members = rows.groupBy("key").agg(F.count("*").alias("c"), mix(1).alias("x"), mix(2).alias("y")).where("c > 1")
+    kept = settle(members.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))
+    return settle(rows.join(kept, "key"))
+
+
 def links(set_rows: DataFrame, copies: DataFrame, measure: Measure) -> DataFrame:
     """Verified pairs (a, b) of row numbers that join all that is linked into components.
 
@@ -278,7 +289,7 @@ def links(set_rows: DataFrame, copies: DataFrame, measure: Measure) -> DataFrame
     rows = key_rows(set_rows, measure, frequent(set_rows))
     shared = settle(rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
     one = rows.join(shared, "key").join(small(copies, 64, BROADCAST_BYTES), "rid", "left")
-    rows = settle(one.select("key", F.coalesce("rep", "rid").alias("rid"), "n").distinct())
+    rows = once(settle(one.select("key", F.coalesce("rep", "rid").alias("rid"), "n").distinct()))
     rids = rows.select("rid").distinct()
     sketches = settle(set_rows.select("rid", "n", "sketch").join(rids, "rid", "left_semi"))
     alike = (F.col("n") * measure.den >= F.col("m") * measure.num) & (F.col("m") * measure.den >= F.col("n") * measure.num)
