@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one slice of an Arrow batch holds before Python works on it.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of an Arrow batch between the JVM and Python; Spark's own default is eight times that.
 BATCH_BYTES = "8m"
 
@@ -55,7 +57,10 @@ def discard(df: DataFrame) -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` (text) holds about ``most`` bytes in each; a longer single row stays whole."""
+    """Cut batches so that ``column`` (text) holds about ``most`` bytes in each; a longer single row stays whole.
+
+    When a task's input ends, the worker gives back the memory it no longer uses, since it lives on for other tasks.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -67,6 +72,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
                 start, held = i, 0
             held += n
         yield batch.slice(start)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's pool, and the C library's heap where it can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
