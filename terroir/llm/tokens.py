@@ -14,7 +14,7 @@ from functools import cache
 #: White space beside the space and the line feed; a text that has any goes through the plain encoder.
 OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 #: Words that one worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class _Words(dict):
