@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -107,22 +108,66 @@ def genre_scores(spark: SparkSession, sf_dir: str, rows: DataFrame) -> tuple[Dat
     return scores, links, known
 
 
+class View(Warehouse):
+    """The warehouse tables made from the star schema. As in a warehouse, a table is written once and then read:
+    the first use makes it, later ones read its files."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.__dict__.update(spark=spark, sf_dir=sf_dir)
+
+    def _written(self, df: DataFrame) -> DataFrame:
+        path = scratch(self.spark)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return lines(self.spark, self.sf_dir)
+
+    @cached_property
+    def _scored(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return genre_scores(self.spark, self.sf_dir, self._lines)
+
+    @cached_property
+    def _ranked(self) -> DataFrame:
+        top = self.chart_entries.groupBy("country_code", "snapshot_date", "artist_name").agg(F.min("position").alias("p"))
+        return top.withColumn("rank", F.row_number().over(Window.partitionBy("country_code", "snapshot_date").orderBy("p")).cast("bigint")).drop("p")
+
+    @cached_property
+    def chart_entries(self) -> DataFrame:
+        return self._written(chart_entries(self._lines))
+
+    @cached_property
+    def artists(self) -> DataFrame:
+        return artists(self.spark, self.sf_dir)
+
+    @cached_property
+    def country_artist_listeners(self) -> DataFrame:
+        return self._written(listeners(self._lines))
+
+    @cached_property
+    def country_genre_scores(self) -> DataFrame:
+        return self._written(self._scored[0])
+
+    @cached_property
+    def country_artist_genres(self) -> DataFrame:
+        return self._written(self._scored[1])
+
+    @cached_property
+    def countries(self) -> DataFrame:
+        return tables(self.spark, self.sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
+
+    @cached_property
+    def country_snapshots(self) -> DataFrame:
+        return self._ranked.groupBy("country_code", "snapshot_date").agg(F.count("*").alias("artist_count"))
+
+    @cached_property
+    def country_top_artists(self) -> DataFrame:
+        return self._ranked.where("rank <= 100")
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    rows = lines(spark, sf_dir)
-    scores, links, _ = genre_scores(spark, sf_dir, rows)
-    charts = chart_entries(rows)
-    top = charts.groupBy("country_code", "snapshot_date", "artist_name").agg(F.min("position").alias("p"))
-    ranked = top.withColumn("rank", F.row_number().over(Window.partitionBy("country_code", "snapshot_date").orderBy("p")).cast("bigint")).drop("p")
-    return Warehouse(
-        chart_entries=charts,
-        artists=artists(spark, sf_dir),
-        country_artist_listeners=listeners(rows),
-        country_genre_scores=scores,
-        country_artist_genres=links,
-        countries=tables(spark, sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name")),
-        country_snapshots=ranked.groupBy("country_code", "snapshot_date").agg(F.count("*").alias("artist_count")),
-        country_top_artists=ranked.where("rank <= 100"),
-    )
+    return View(spark, sf_dir)
 
 
 #: The same views as common table expressions.
