@@ -14,16 +14,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import slices, table, text_bytes
+from .common import settle, slices, table, text_bytes
 
-#: Words of items that one automaton holds; a state takes some hundred bytes.
-BLOCK_WORDS = 200_000
+#: Words of items that one automaton holds (a word takes up to a kilobyte there), and blocks that one stage passes through.
+BLOCK_WORDS, BLOCKS_AT_ONCE = 50_000, 4
 
 #: Maps A-Z to a-z, digits, letters and bytes of non-ASCII characters to themselves, all else to a space.
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -135,7 +136,7 @@ class Automaton:
         return spans, items
 
 
-@cache
+@lru_cache(maxsize=1)
 def _automaton(items: tuple, window: int) -> Automaton:
     return Automaton([(item, words(text)) for item, text in items], window)
 
@@ -154,17 +155,18 @@ def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[tuple]:
         yield tuple(held)
 
 
-MATCH = "n_words long, spans array<struct<start:int,end:int>>, items array<string>"
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int = BLOCK_WORDS, columns: list[str] | None = None) -> DataFrame:
+    """The text of every row, the number of its words, the hit word spans and the items found; before them, as a
+    struct ``row``, the named columns (the id).
 
-
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` (doc_id, text) with the number of words, the hit word spans and the items found, block after block.
-
-    Each block of items is one more pass in the same stage: nothing is shuffled.
+    Each block of items is one more pass in the same stage: nothing is shuffled, and a worker holds one automaton.
+    After ``BLOCKS_AT_ONCE`` passes the table is written, so that a stage never runs more workers than that.
     """
     spark = docs.sparkSession
-    out = docs.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
-    for block in blocks(benchmark, most) if benchmark.limit(1).count() else [()]:
+    out = docs.select(F.struct(*(columns or ["doc_id"])).alias("row"), "text", F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
+    schema = T.StructType([out.schema["row"], *(T.StructField(f.name, f.dataType) for f in out.schema.fields[1:])])
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for n, block in enumerate(blocks(benchmark, most) if benchmark.limit(1).count() else [()], 1):
         shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -177,18 +179,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int =
                     counts.append(len(found))
                     spans.append(_merged([(x["start"], x["end"]) for x in had] + hit) if had else hit)
                     items.append(sorted({*names, *(str(x) for x in named if x is not None)}))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        batch.column("text"),
-                        pa.array(counts, pa.int64()),
-                        pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                        pa.array(items, pa.list_(pa.string())),
-                    ],
-                    names=["doc_id", "text", "n_words", "spans", "items"],
-                )
-
-        out = out.mapInArrow(scan, f"doc_id long, text string, {MATCH}")
+                made = [pa.array(counts, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], span), pa.array(items, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), *made], names=["row", "text", "n_words", "spans", "items"])
+
+        out = out.mapInArrow(scan, schema)
+        if n % BLOCKS_AT_ONCE == 0:
+            out = settle(out)
     return out
 
 
@@ -206,7 +202,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame
     """Per document: words, hit words, items with occurring windows, and whether it is contaminated."""
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return matches(docs, benchmark, window).select(
-        "doc_id",
+        "row.doc_id",
         "n_words",
         hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
@@ -238,22 +234,19 @@ def words_at(text: bytes) -> list[tuple[int, int]]:
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = 10, most_share: float = 0.5) -> DataFrame:
     """``docs`` without test items: hit spans are cut out of a text, and a document in which more than ``most_share``
     of the words are hit goes. Documents without a hit keep their text byte for byte. Columns are those of ``docs``."""
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(b) for b in blocks(benchmark)]
+    names = docs.columns
+    rest = [c for c in names if c != "text"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts, keep = [], []
-            for text in text_bytes(batch):
-                found = words(text)
-                spans = _merged([s for b in shared for s in _automaton(b.value, window).scan(found)[0]])
-                n = sum(b - a for a, b in spans)
-                keep.append(n <= most_share * len(found))
-                texts.append(_cut(text, [{"start": a, "end": b} for a, b in spans]) if spans else text)
-            columns = [pa.array(texts, pa.binary()).cast(pa.string()) if c == "text" else batch.column(c) for c in batch.schema.names]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep))
-
-    return docs.mapInArrow(cut, docs.schema)
+            for text, n, spans in zip(text_bytes(batch), batch.column("n_words").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                keep.append(sum(s["end"] - s["start"] for s in spans) <= most_share * n)
+                texts.append(_cut(text, spans) if spans else text)
+            made = dict(zip(rest, batch.column("row").flatten(), strict=True)) | {"text": pa.array(texts, pa.binary()).cast(pa.string())}
+            yield pa.RecordBatch.from_arrays([made[c] for c in names], names=names).filter(pa.array(keep))
+
+    return matches(docs, benchmark, window, columns=rest).select("row", "text", "n_words", "spans").mapInArrow(cut, docs.schema)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

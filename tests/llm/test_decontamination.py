@@ -44,8 +44,8 @@ def test_report_equals_brute_force(spark):
     for window in (4, 6):
         got = {r.doc_id: tuple(r)[1:] for r in D.report(df, bench, window).collect()}
         assert got == brute(docs, items, window)
-        many = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in D.matches(df, bench, window, most=20).collect()}
-        one = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in D.matches(df, bench, window).collect()}
+        many = {r.row.doc_id: [(s.start, s.end) for s in r.spans] for r in D.matches(df, bench, window, most=20).collect()}
+        one = {r.row.doc_id: [(s.start, s.end) for s in r.spans] for r in D.matches(df, bench, window).collect()}
         assert {i: sum(b - a for a, b in s) for i, s in many.items()} == {i: sum(b - a for a, b in s) for i, s in one.items()}
 
 
