@@ -31,7 +31,7 @@ def latest(facts: DataFrame, country: str | None = None) -> DataFrame:
 def recency(facts: DataFrame) -> DataFrame:
     """(country_code, snapshot_date, recency) of the distinct days, 1 for the latest."""
     order = Window.partitionBy("country_code").orderBy(F.desc("snapshot_date"))
-    return facts.select(*KEY).distinct().withColumn("recency", F.dense_rank().over(order))
+    return facts.select(*KEY).distinct().withColumn("recency", F.dense_rank().over(order).cast("bigint"))
 
 
 def recent(facts: DataFrame, days: int = 2) -> DataFrame:
@@ -47,7 +47,7 @@ def artist_streams(charts: DataFrame) -> DataFrame:
 def top(rows: DataFrame, by: list[str], order: list[Column], limit: int) -> DataFrame:
     """The first ``limit`` rows of each group, with their rank. The filter on the rank limits groups before the shuffle."""
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return ranked.where(F.col("rank") <= limit)
+    return ranked.where(F.col("rank") <= limit).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def reach(per_country: DataFrame) -> DataFrame:
