@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from terroir.llm import best_fit_packing, decontamination, language_id, line_dedup, ngram_join
 from terroir.llm.common import settle, table
+from terroir.session import importable
 
 #: Training, clustering and packing can't be written in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -48,12 +49,22 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(docs, best_fit_packing.vocabulary_path())
 
 
+def _ready(stage):
+    """The stage, run in a session whose workers find the package."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language", known_language),
-    ("lines", repeated_lines),
-    ("near_duplicates", near_duplicates),
-    ("benchmark", benchmark_passages),
-    ("packing", packed),
+    ("language", _ready(known_language)),
+    ("lines", _ready(repeated_lines)),
+    ("near_duplicates", _ready(near_duplicates)),
+    ("benchmark", _ready(benchmark_passages)),
+    ("packing", _ready(packed)),
 ]
 
 
