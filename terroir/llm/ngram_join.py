@@ -128,18 +128,14 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
 
-def frequent(set_rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent tokens, sorted, with the logarithm of their number of documents.
-
-    Every task counts the tokens of all its sets (equal sets once) and passes on those it met twice; Spark adds them
-    up. The threshold is the least power of two that leaves at most ``MOST_FREQUENT`` tokens, so what the driver gets
-    is bounded whatever the corpus.
-    """
+def frequent(set_rows: DataFrame) -> DataFrame:
+    """(token, docs) of tokens that some task met twice: every task counts the tokens of all its sets (equal sets
+    once) and passes on those; Spark adds them up."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, seen = [], 0, set()
 
-        def told() -> pa.RecordBatch:
+        def twice_met() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             twice = counts > 1
             return pa.RecordBatch.from_arrays([pa.array(values[twice].view(np.int64)), pa.array(counts[twice])], names=["token", "docs"])
@@ -151,21 +147,29 @@ def frequent(set_rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     held.append(np.frombuffer(blob, np.uint64))
                     n += len(held[-1])
             if n >= COUNT_TOKENS:
-                yield told()
+                yield twice_met()
                 held, n = [], 0
         if held:
-            yield told()
+            yield twice_met()
+
+    return set_rows.select("sig", "tokens").mapInArrow(count, "token long, docs long").groupBy("token").agg(F.sum("docs").alias("docs"))
 
-    counted = set_rows.select("sig", "tokens").mapInArrow(count, "token long, docs long").groupBy("token").agg(F.sum("docs").alias("docs"))
-    counted = settle(counted.where(F.col("docs") >= FREQUENT).select("token", F.log2("docs").cast("int").alias("level")))
+
+def told(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent tokens among (token, docs), sorted, with the logarithm of their number of documents.
+
+    The threshold is the least power of two that leaves at most ``MOST_FREQUENT`` tokens, so what the driver gets is
+    bounded whatever the corpus.
+    """
+    counted = settle(counts.where(F.col("docs") >= FREQUENT).groupBy("token").agg(F.log2(F.max("docs")).cast("int").alias("level")))
     left, least = 0, 0
     for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 63 rows
         if left + row["count"] > MOST_FREQUENT:
             least = row.level + 1
             break
         left += row["count"]
-    told = counted.where(F.col("level") >= least).toPandas()
-    values, levels = told["token"].to_numpy(np.int64).view(np.uint64), told["level"].to_numpy(np.int64)
+    chosen = counted.where(F.col("level") >= least).toPandas()
+    values, levels = chosen["token"].to_numpy(np.int64).view(np.uint64), chosen["level"].to_numpy(np.int64)
     order = np.argsort(values)
     return values[order], levels[order]
 
@@ -275,6 +279,7 @@ def once(rows: DataFrame) -> DataFrame:
 
     Members are compared by their number and two independent 64-bit hashes; keys of a single member go.
     """
+    rows = settle(rows)
     mix = lambda seed: F.bit_xor(F.xxhash64("rid", F.lit(seed)))
     members = rows.groupBy("key").agg(F.count("*").alias("c"), mix(1).alias("x"), mix(2).alias("y")).where("c > 1")
     kept = settle(members.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))
@@ -286,10 +291,13 @@ def links(set_rows: DataFrame, copies: DataFrame, measure: Measure) -> DataFrame
 
     ``copies`` (rid, rep) names the row that stands for each further row of an equal set; only it is compared.
     """
-    rows = key_rows(set_rows, measure, frequent(set_rows))
+    # the keys of a first index count the tokens of all prefixes exactly; what is frequent among them moves back
+    first = settle(frequent(set_rows).where(F.col("docs") >= FREQUENT))
+    used = key_rows(set_rows, measure, told(first)).groupBy(F.col("key").alias("token")).agg(F.count("*").alias("docs"))
+    rows = key_rows(set_rows, measure, told(first.unionByName(settle(used.where(F.col("docs") >= FREQUENT)))))
     shared = settle(rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
     one = rows.join(shared, "key").join(small(copies, 64, BROADCAST_BYTES), "rid", "left")
-    rows = once(settle(one.select("key", F.coalesce("rep", "rid").alias("rid"), "n").distinct()))
+    rows = once(one.select("key", F.coalesce("rep", "rid").alias("rid"), "n").distinct())
     rids = rows.select("rid").distinct()
     sketches = settle(set_rows.select("rid", "n", "sketch").join(rids, "rid", "left_semi"))
     alike = (F.col("n") * measure.den >= F.col("m") * measure.num) & (F.col("m") * measure.den >= F.col("n") * measure.num)
@@ -310,7 +318,7 @@ def links(set_rows: DataFrame, copies: DataFrame, measure: Measure) -> DataFrame
         pairs = met.where((F.col("comp") != F.col("other")) & alike).select(F.col("rid").alias("a"), "b").distinct()
         more = verified(pairs, sketches, set_rows, measure)
         found = more if found is None else found.unionByName(more)
-        rows = settle(met.where("rid <> b").select("key", "rid", "n"))
+        rows = once(met.where("rid <> b").select("key", "rid", "n"))
     one = labelled.select("key", F.col("rid").alias("a"), "n", "comp")
     two = labelled.select("key", F.col("rid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
     rest = one.join(two, "key").where((F.col("comp") < F.col("other")) & alike).select("a", "b").distinct()
