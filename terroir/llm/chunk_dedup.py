@@ -5,8 +5,10 @@ depends on the last bytes alone, so an insertion moves no cut but those beside i
 it stands. Chunks are known by their digests; a digest that several documents hold is a repeated chunk, the least id
 keeps it. Neighbouring repeated chunks of a document make a repeated passage, which counts if it has enough words.
 
-A repeated passage begins and ends inside a chunk, so up to a chunk of it on each side isn't seen; ``LEAST_WORDS`` is
-that much lower than the length of the passages to be caught.
+A repeated passage begins and ends inside a chunk. So the runs are seeds: each is extended byte by byte to both sides
+against the texts that keep its chunks, and the words of what comes out are counted. An extension ends before the next
+chunk that is long enough to compare does, or that chunk would be in the run too; the bytes up to there are all that is
+compared. A passage without a whole chunk in it has no seed and isn't seen.
 
 Defined results: null and empty texts have no chunks; rows that repeat an id count as one document; rows with a null id
 can't be named and have no passages; an empty table gives no rows; extra columns are kept by ``cut``.
@@ -29,8 +31,10 @@ from .common import settle, slices, table, text_bytes
 MASK = np.uint32(0xF800)
 #: Shorter chunks aren't compared; they belong to a passage if the chunks around them do.
 LEAST_BYTES = 12
-#: Words of a repeated run of chunks that make a passage of over 50 words likely.
-LEAST_WORDS = 28
+#: Words of a repeated passage, those it cuts into included.
+LEAST_WORDS = 51
+#: A cut depends on that many bytes.
+REACH = 16
 
 # 256 random numbers, from a fixed seed
 GEAR = np.random.default_rng(20_240_229).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -47,6 +51,12 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _begins(data: np.ndarray) -> np.ndarray:
+    """True for each byte that begins a word."""
+    space = _SPACE[data]
+    return ~space & np.concatenate(([True], space[:-1]))
+
+
 def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every chunk, and with them the number of words that begin in it (as a third row of starts)."""
     data = np.frombuffer(text, np.uint8)
@@ -54,51 +64,67 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     if not len(ends) or ends[-1] != len(data):
         ends = np.append(ends, len(data))
     starts = np.concatenate(([0], ends[:-1]))
-    space = _SPACE[data]
-    begins = ~space & np.concatenate(([True], space[:-1]))
-    return np.stack((starts, ends)), np.add.reduceat(begins, starts)
+    return np.stack((starts, ends)), np.add.reduceat(_begins(data), starts)
+
 
+CHUNK = "rid long, doc_id long, idx int, start int, end int, before int, upto int, low int, high int, digest long, place long"
 
-CHUNK = "rid long, doc_id long, idx int, start int, end int, words int, digest long"
+
+def _place(text: bytes) -> int:
+    """The text's part of a place: it tells rows that repeat an id apart; the low 32 bits are for an offset."""
+    return (xxhash.xxh32_intdigest(text) >> 1) << 32
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
-    """One row per chunk that is long enough to compare; ``idx`` counts those alone, ``rid`` numbers the texts."""
+    """One row per chunk that is long enough to compare; ``idx`` counts those alone, ``rid`` numbers the texts.
+
+    ``before`` and ``upto`` count the words that begin before the chunk's start and end, ``low`` and ``high`` those
+    before the furthest bytes that a passage can reach which begins, or ends, with the chunk.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 36
         for batch in slices(batches, "text"):
-            out: list[list[np.ndarray]] = [[] for _ in range(6)]
+            out: list[list[np.ndarray]] = [[] for _ in range(10)]
             ids: list[int] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), strict=True):
                 rid += 1
                 if not text:
                     continue
-                (starts, ends), words = chunks(text)
+                (starts, ends), _ = chunks(text)
                 keep = np.flatnonzero(ends - starts >= LEAST_BYTES)
-                # words of skipped chunks count with the chunk before them
-                owner = np.maximum(np.searchsorted(keep, np.arange(len(starts)), "right") - 1, 0)
-                total = np.bincount(owner, words, len(keep)) if len(keep) else ()
-                digests = np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)], np.uint64)
-                for values, more in zip(out, (np.full(len(keep), rid), np.arange(len(keep)), starts[keep], ends[keep], total, digests.view(np.int64)), strict=True):
+                if not len(keep):
+                    continue
+                starts, ends = starts[keep], ends[keep]
+                words = np.concatenate(([0], np.cumsum(_begins(np.frombuffer(text, np.uint8)))))
+                digests = np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64)
+                # before the first chunk, and after the last one, all of the text is within reach
+                low = np.maximum(np.concatenate(([0], starts[:-1])) - REACH, 0)
+                high = np.concatenate((ends[1:], [len(text)]))
+                place = _place(text) + starts
+                for values, more in zip(out, (np.full(len(keep), rid), np.arange(len(keep)), starts, ends, words[starts], words[ends], words[low], words[high], digests.view(np.int64), place), strict=True):
                     values.append(np.asarray(more))
                 ids += [doc] * len(keep)
             if ids:
-                columns = [pa.array(np.concatenate(x).astype(t)) for x, t in zip(out, (np.int64, np.int32, np.int32, np.int32, np.int32, np.int64), strict=True)]
+                kinds = (np.int64, *[np.int32] * 7, np.int64, np.int64)
+                columns = [pa.array(np.concatenate(x).astype(t)) for x, t in zip(out, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([columns[0], pa.array(ids, pa.int64()), *columns[1:]], names=[x.split()[0] for x in CHUNK.split(", ")])
 
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, CHUNK)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(digest, keep_id): digests that more than one document holds, with the least of their ids."""
+    """(digest, keep_id, keep_place): digests that more than one document holds, with the least of their ids and a place there."""
     # the least and the largest id differ if there are two documents; both are known before the shuffle
-    found = chunk_rows(docs).groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("high"))
-    return found.where("keep_id < high").select("digest", "keep_id")
+    found = chunk_rows(docs).groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("most"), F.min_by("place", "doc_id").alias("keep_place"))
+    return found.where("keep_id < most").select("digest", "keep_id", "keep_place")
+
 
+def _runs(docs: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
+    """Runs of neighbouring repeated chunks that may be part of a passage; with ``by_owner`` a run also ends where the document becomes, or stops being, the keeper.
 
-def _runs(docs: DataFrame, by_owner: bool) -> DataFrame:
-    """Runs of neighbouring repeated chunks; with ``by_owner`` a run also ends where the document becomes, or stops being, the keeper."""
+    ``mates`` are the keepers of its chunks, as the document and by how much a place there differs from the place here.
+    """
     again = settle(repeated(docs))
     met = chunk_rows(docs).join(again, "digest").withColumn("mine", F.col("doc_id") == F.col("keep_id"))
     here = Window.partitionBy("rid").orderBy("idx")
@@ -106,9 +132,97 @@ def _runs(docs: DataFrame, by_owner: bool) -> DataFrame:
     if by_owner:
         fresh = fresh | (F.col("mine") != F.lag("mine").over(here))
     runs = met.withColumn("fresh", F.coalesce(fresh, F.lit(True)).cast("int")).withColumn("run", F.sum("fresh").over(here))
-    return runs.groupBy("rid", "run").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start_byte"), F.max("end").alias("end_byte"), F.sum("words").alias("n_words"), F.mode("keep_id", True).alias("keep_id")
-    )
+    mate = F.when(~F.col("mine"), F.struct("keep_id", (F.col("keep_place") - F.col("place")).alias("away")))
+    grouped = runs.groupBy("rid", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.min("place").alias("place"), F.min("start").alias("start_byte"), F.max("end").alias("end_byte"), F.min("end").alias("first_end"), F.max("start").alias("last_start"),
+        (F.max("upto") - F.min("before")).alias("n_words"), (F.max("high") - F.min("low")).alias("most_words"), F.mode("keep_id", True).alias("keep_id"), F.collect_set(mate).alias("mates"), F.first("mine").alias("mine"),
+    )
+    # one more than there can be, since a passage may begin within a word
+    return grouped.where(F.col("most_words") + 1 >= least_words)
+
+
+def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(doc_id, place, side, context): the bytes before (side 0) or after (side 1) each place that ``asked`` names, as far as an extension can go."""
+    wanted = asked.groupBy("doc_id").agg(F.collect_set(F.struct("place", "side")).alias("asked"))
+    joined = docs.where("doc_id is not null and text != ''").select("doc_id", "text").join(wanted, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            rows: list[tuple[int, int, int, bytes]] = []
+            for doc, text, places in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), batch.column("asked").to_pylist(), strict=True):
+                base = _place(text)
+                mine = [(x["place"], x["side"]) for x in places if base <= x["place"] <= base + len(text)]
+                if not mine:
+                    continue
+                (starts, ends), _ = chunks(text)
+                keep = ends - starts >= LEAST_BYTES
+                starts, ends = starts[keep], ends[keep]
+                for place, side in mine:
+                    at = place - base
+                    # the chunk at the place, and the one beyond it
+                    if side:
+                        i = int(np.searchsorted(starts, at)) + 1
+                        rows.append((doc, place, side, text[at : int(ends[i]) + REACH if i < len(ends) else len(text)]))
+                    else:
+                        i = int(np.searchsorted(ends, at, "right")) - 2
+                        rows.append((doc, place, side, text[max(int(starts[i]) - REACH - 1, 0) if i >= 0 else 0 : at]))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["doc_id", "place", "side", "context"])
+
+    return joined.mapInArrow(run, "doc_id long, place long, side int, context binary")
+
+
+def shared(one: bytes, other: bytes, side: int) -> int:
+    """Bytes that the ends (side 0) or the beginnings (side 1) have in common."""
+    n = min(len(one), len(other))
+    a, b = (np.frombuffer(x, np.uint8)[:n] if side else np.frombuffer(x, np.uint8)[::-1][:n] for x in (one, other))
+    differ = np.flatnonzero(a != b)
+    return int(differ[0]) if len(differ) else n
+
+
+def _beyond(context: bytes, side: int, inner: int, n: int) -> tuple[int, int]:
+    """Bytes and words by which the last ``n`` bytes go beyond the ``inner`` ones; never within a character."""
+    if side:
+        while n > inner and n < len(context) and context[n] & 0xC0 == 0x80:
+            n -= 1
+    else:
+        while n > inner and context[-n] & 0xC0 == 0x80:
+            n -= 1
+    if n <= inner:
+        return 0, 0
+    begins = _begins(np.frombuffer(context, np.uint8))
+    if side:
+        return n - inner, int(begins[inner:n].sum())
+    at, stop = len(context) - n, len(context) - inner
+    # a word that the passage begins within counts too
+    return n - inner, int(begins[at + 1 : stop].sum()) + (not _SPACE[context[at]])
+
+
+def _extended(docs: DataFrame, runs: DataFrame, by_owner: bool) -> DataFrame:
+    """(doc_id, place, side, inner, mine, ext): how far the passage goes beyond the run's edge there, bytes << 32 | words; the keepers' sides too."""
+    base = F.col("place") - F.col("start_byte")
+    edge = F.explode(F.array(F.struct(F.lit(0).alias("side"), (base + F.col("first_end")).alias("place"), (F.col("first_end") - F.col("start_byte")).alias("inner")), F.struct(F.lit(1).alias("side"), (base + F.col("last_start")).alias("place"), (F.col("end_byte") - F.col("last_start")).alias("inner"))))
+    edges = runs.select("doc_id", edge.alias("e"), "mates").select("doc_id", "e.*", F.explode("mates").alias("m"))
+    pairs = settle(edges.select("doc_id", "place", "side", "inner", F.col("m.keep_id").alias("other_id"), (F.col("place") + F.col("m.away")).alias("other_place")).distinct())
+    asked = pairs.select("doc_id", "place", "side").unionByName(pairs.select(F.col("other_id").alias("doc_id"), F.col("other_place").alias("place"), "side")).distinct()
+    found = settle(_contexts(docs, asked))
+    theirs = found.select(F.col("doc_id").alias("other_id"), F.col("place").alias("other_place"), "side", F.col("context").alias("other"))
+    both = pairs.join(found, ["doc_id", "place", "side"]).join(theirs, ["other_id", "other_place", "side"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "context"):
+            best: dict[tuple[int, int, int, int, bool], int] = {}
+            for doc, place, side, inner, other_id, other_place, context, other in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "place", "side", "inner", "other_id", "other_place", "context", "other")), strict=True):
+                n = shared(context, other, side)
+                for key, text in (((doc, place, side, inner, False), context), ((other_id, other_place, side, inner, by_owner), other)):
+                    more, words = _beyond(text, side, inner, n)
+                    if more:
+                        best[key] = max(best.get(key, 0), more << 32 | words)
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in best], t) for i, t in enumerate(types)), pa.array(list(best.values()), pa.int64())], names=["doc_id", "place", "side", "inner", "mine", "ext"])
+
+    told = both.select("doc_id", "place", "side", "inner", "other_id", "other_place", "context", "other").mapInArrow(run, "doc_id long, place long, side int, inner int, mine boolean, ext long")
+    return told.groupBy("doc_id", "place", "side", "inner", "mine").agg(F.max("ext").alias("ext"))
 
 
 def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = False) -> DataFrame:
@@ -116,8 +230,17 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = F
 
     ``keep_id`` is the document that keeps most of the passage's chunks; ``kept`` is true in that document.
     """
-    found = _runs(docs, by_owner).where(F.col("n_words") >= least_words)
-    return found.select("doc_id", "start_byte", "end_byte", "n_words", "keep_id", (F.col("doc_id") == F.col("keep_id")).alias("kept"))
+    runs = settle(_runs(docs, by_owner, least_words))
+    far = settle(_extended(docs, runs, by_owner))
+    base = F.col("place") - F.col("start_byte")
+    found = runs.withColumns({"at0": base + F.col("first_end"), "at1": base + F.col("last_start"), "inner0": F.col("first_end") - F.col("start_byte"), "inner1": F.col("end_byte") - F.col("last_start"), "flag": F.col("mine") if by_owner else F.lit(False)})
+    for side in (0, 1):
+        beyond = far.where(F.col("side") == side).select("doc_id", F.col("place").alias(f"at{side}"), F.col("inner").alias(f"inner{side}"), F.col("mine").alias("flag"), F.col("ext").alias(f"ext{side}"))
+        found = found.join(beyond, ["doc_id", f"at{side}", f"inner{side}", "flag"], "left")
+    more = {side: F.coalesce(F.shiftright(f"ext{side}", 32), F.lit(0)).cast("int") for side in (0, 1)}
+    words = sum((F.coalesce(F.col(f"ext{side}").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0)) for side in (0, 1)), F.col("n_words").cast("long"))
+    told = found.select("doc_id", (F.col("start_byte") - more[0]).alias("start_byte"), (F.col("end_byte") + more[1]).alias("end_byte"), words.alias("n_words"), "keep_id", (F.col("doc_id") == F.col("keep_id")).alias("kept"))
+    return told.where(F.col("n_words") >= least_words)
 
 
 def cut(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -130,8 +253,10 @@ def cut(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         for batch in slices(batches, "text"):
             texts = []
             for text, spans in zip(text_bytes(batch), batch.column("gone_").to_pylist(), strict=True):
+                done = len(text or b"")
                 for span in sorted(spans or (), key=lambda x: -x["start_byte"]):
-                    a, b = span["start_byte"], span["end_byte"]
+                    a, b = span["start_byte"], min(span["end_byte"], done)  # passages may overlap
+                    done = a
                     while a < len(text) and text[a] & 0xC0 == 0x80:  # never cut a character
                         a += 1
                     while b < len(text) and text[b] & 0xC0 == 0x80:
