@@ -141,19 +141,14 @@ def _followers(docs: DataFrame, patterns: frozenset[int]) -> DataFrame:
                 at = [(i + 2, p) for i, p in enumerate(map(_pair, words, words[1:])) if p in wanted]
                 if not at:
                     continue
-                places = None
+                starts = _starts(text)
+                places = [(m.start(), m.start() + len(m[0]) - len(m[0].lstrip(_EDGE))) for m in _WORD.finditer(text)] if starts else ()
                 for i, p in at:
-                    if i >= len(words):
+                    # a seed is counted already, however it looks; punctuation before it doesn't make it another word
+                    if i >= len(words) or starts and not starts.isdisjoint(places[i]):
                         continue
                     bare = _identifier(words[i])
-                    if bare is None and words[i][:1] != "+":
-                        edge = p, -1
-                    else:
-                        if places is None:
-                            starts, places = _starts(text), [m.start() for m in _WORD.finditer(text)]
-                        if len(places) == len(words) and places[i] in starts:
-                            continue  # a seed, counted already
-                        edge = p, (xxhash.xxh3_64_intdigest(bare.encode()) >> 1 if bare else -1)
+                    edge = p, (xxhash.xxh3_64_intdigest(bare.encode()) >> 1 if bare else -1)
                     found[edge] = found.get(edge, 0) + 1
             yield _table(found)
 
