@@ -1,9 +1,11 @@
 """Chat formatting by quotation linking.
 
-A message is cut into its lines; leading ``>`` marks give a line's quote level. Quoted lines are normalised (marks
-off, white space as one space, A-Z lower-cased) and hashed, and so are the unquoted lines of every message. A message
-replies to the earlier message of its conversation that holds most of the characters it quotes at the first level;
-deeper levels are quotes of quotes and only count where the first level finds nothing. A message without a match
+A message is cut into its lines; leading ``>`` marks give a line's quote level. Neighbouring lines of one level are a
+passage, normalised (marks off, all white space as one space, A-Z lower-cased). Its windows of ``WINDOW`` words are
+hashed, so that neither another wrapping nor a partial quote matters, and so are its lines, its short sentences and
+itself if it is shorter than a window; the same is done to the unquoted passages of every message. A message replies
+to the earlier message of its conversation that holds most of the characters it quotes at the first level; short pieces
+only count where nothing longer is found, and deeper levels, being quotes of quotes, where the first level finds nothing. A message without a match
 starts a thread at its own turn. Replies are ordered by their path from the thread's first message. All of it is
 DataFrame work.
 
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 from .common import settle, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Normalised characters a line needs to be linked by.
+#: Shorter pieces (normalised characters) only count where nothing longer of their level is found.
 LEAST = 12
+#: Words of a window.
+WINDOW = 5
 MARKS = r"^[ \t]*((?:>[ \t]?)*)"
 
 
@@ -40,24 +44,50 @@ def normal(body: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(body, UPPER, LOWER), r"[\x20\x09-\x0D]+", " "))
 
 
-def _hashed(read: DataFrame, quoted: bool) -> DataFrame:
-    """(conv_id, turn, level, chars, hash) of the quoted, or of the unquoted, lines."""
-    kept = F.filter("lines", lambda x: (x["level"] > 0) if quoted else (x["level"] == 0))
-    rows = read.select("conv_id", "turn", F.explode(kept).alias("line")).select("conv_id", "turn", "line.level", normal(F.col("line.body")).alias("words"))
-    return rows.where(F.length("words") >= LEAST).select("conv_id", "turn", "level", F.length("words").alias("chars"), F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"))
+def _pieces(read: DataFrame, quoted: bool) -> DataFrame:
+    """(conv_id, turn, level, passage, at, words, weak): lines, windows and short sentences of the quoted, or of the unquoted, passages.
+
+    ``at`` is the place of a window's first word in its passage, -1 for other pieces.
+    """
+    levels = F.filter(F.array_distinct(F.transform("lines", lambda x: x["level"])), lambda x: (x > 0) if quoted else (x == 0))
+    told = read.select("conv_id", "turn", "lines", F.explode(levels).alias("level"))
+    # lines of other levels part the passages
+    split = F.split(F.array_join(F.transform("lines", lambda x: F.when(x["level"] == F.col("level"), F.translate(x["body"], "\0", " ")).otherwise("\0")), "\n"), "\0")
+    parts = told.select("conv_id", "turn", "level", F.posexplode(split).alias("passage", "text")).withColumn("whole", normal(F.col("text")))
+    parts = parts.where("whole != ''").withColumn("each", F.split("whole", " "))
+    piece = lambda at, words, weak: F.struct(at.cast("int").alias("at"), words.alias("words"), weak.alias("weak"))
+    none, n = F.lit(-1), F.size("each")
+    plain = lambda x, weak: piece(none, x, weak | (F.length(x) < LEAST))
+    lines_ = F.transform(F.split("text", "\n"), lambda x: plain(normal(x), F.lit(False)))
+    sentences = F.transform(F.filter(F.split("whole", r"(?<=[.!?]) "), lambda x: F.size(F.split(x, " ")) < WINDOW), lambda x: plain(x, F.lit(True)))
+    short = F.when(n < WINDOW, F.array(plain(F.col("whole"), F.lit(False)))).otherwise(F.array().cast("array<struct<at:int,words:string,weak:boolean>>"))
+    windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: piece(i, F.array_join(F.slice("each", i + 1, WINDOW), " "), F.lit(False)))).otherwise(F.array().cast("array<struct<at:int,words:string,weak:boolean>>"))
+    rows = parts.select("conv_id", "turn", "level", "passage", F.explode(F.concat(lines_, sentences, short, windows)).alias("p"))
+    # a piece without a letter or digit (a rule, a fence) says nothing
+    return rows.select("conv_id", "turn", "level", "passage", "p.*").where(F.col("words").rlike(r"[\p{L}\p{N}]")).withColumns({"h1": F.xxhash64("words"), "h2": F.hash("words")})
 
 
 def parents(read: DataFrame) -> DataFrame:
     """(conv_id, turn, parent, quoted_chars) for the messages whose quotes are found."""
-    quotes = settle(_hashed(read, True).groupBy("conv_id", "turn", "h1", "h2").agg(F.min("level").alias("level"), F.max("chars").alias("chars")))
-    # only lines that are quoted at all are of use; equal lines of one conversation: the last one before the quote
+    quotes = settle(_pieces(read, True))
+    # only pieces that are quoted at all are of use; equal pieces of one conversation: the last one before the quote
     asked = quotes.select("conv_id", "h1", "h2").distinct()
-    originals = _hashed(read, False).select("conv_id", F.col("turn").alias("parent"), "h1", "h2").join(asked, ["conv_id", "h1", "h2"], "left_semi").distinct()
-    met = quotes.join(settle(originals), ["conv_id", "h1", "h2"]).where("parent < turn")
-    last = met.groupBy("conv_id", "turn", "h1", "h2").agg(F.max("parent").alias("parent"), F.min("level").alias("level"), F.max("chars").alias("chars"))
-    votes = last.groupBy("conv_id", "turn", "parent").agg(F.sum(F.when(F.col("level") == 1, F.col("chars")).otherwise(0)).alias("direct"), F.sum("chars").alias("chars"))
-    best = votes.groupBy("conv_id", "turn").agg(F.max(F.struct("direct", "chars", "parent")).alias("best"))
-    return best.select("conv_id", "turn", F.col("best.parent").alias("parent"), F.col("best.chars").alias("quoted_chars"))
+    originals = _pieces(read, False).select("conv_id", F.col("turn").alias("parent"), "h1", "h2").join(asked, ["conv_id", "h1", "h2"], "left_semi").distinct()
+    met = quotes.select("conv_id", "turn", "h1", "h2").distinct().join(settle(originals), ["conv_id", "h1", "h2"]).where("parent < turn")
+    last = met.groupBy("conv_id", "turn", "h1", "h2").agg(F.max("parent").alias("parent"))
+    found = settle(quotes.join(last, ["conv_id", "turn", "h1", "h2"]))
+    # words that several windows hold count once, and so do lines that are repeated
+    word = F.posexplode(F.split("words", " ")).alias("i", "word")
+    one = found.where("at >= 0").select("conv_id", "turn", "parent", "level", "passage", "at", "weak", word)
+    one = one.select("conv_id", "turn", "parent", "level", "weak", "passage", (F.col("at") + F.col("i")).alias("i"), (F.length("word") + 1).alias("chars")).distinct()
+    lines_ = found.where("at < 0").groupBy("conv_id", "turn", "parent", "h1", "h2").agg(F.min("level").alias("level"), F.min("weak").alias("weak"), F.max(F.length("words")).alias("chars"))
+    both = one.select("conv_id", "turn", "parent", "level", "weak", "chars", F.lit(True).alias("window")).unionByName(lines_.select("conv_id", "turn", "parent", "level", "weak", "chars", F.lit(False).alias("window")))
+    kinds = {"direct": F.col("level") == 1, "chars": F.lit(True)}
+    sums = [F.sum(F.when(is_ & (F.col("window") == w) & ~(F.col("weak") & strong), F.col("chars")).otherwise(0)).alias(f"{k}{int(strong)}{int(w)}") for k, is_ in kinds.items() for strong in (False, True) for w in (False, True)]
+    votes = both.groupBy("conv_id", "turn", "parent").agg(*sums)
+    most = lambda k, strong: F.greatest(f"{k}{strong}0", f"{k}{strong}1").alias(f"{k}{strong}")
+    best = votes.groupBy("conv_id", "turn").agg(F.max(F.struct(most("direct", 1), most("direct", 0), most("chars", 1), most("chars", 0), "parent")).alias("best"))
+    return best.select("conv_id", "turn", F.col("best.parent").alias("parent"), F.col("best.chars0").alias("quoted_chars"))
 
 
 def link(messages: DataFrame) -> DataFrame:
