@@ -6,8 +6,9 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
-        found = spark.sparkContext.getCheckpointDir()
-        named = found or tempfile.mkdtemp(prefix="terroir-checkpoint-")
-        if not found:
-            spark.sparkContext.setCheckpointDir(named)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="terroir-checkpoint-")
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
@@ -87,14 +89,17 @@ def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None
     return pc.cast(batch.column(column), pa.binary()).to_pylist()
 
 
-def per_batch(make: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text"):
-    """A ``mapInArrow`` function that applies ``make`` to every slice."""
+def binaries(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """One binary for each run of rows of ``values`` between two ``edges``."""
+    data = np.ascontiguousarray(values)
+    width = data.nbytes // len(data) if len(data) else 1
+    ends = pa.py_buffer((edges * width).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, ends, pa.py_buffer(data.tobytes())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
-            yield make(batch)
 
-    return run
+def numbers(column: pa.ChunkedArray, dtype: np.dtype) -> np.ndarray:
+    """The numbers that all binaries of a column hold, one after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
 
 
 def small(df: DataFrame, row_bytes: int, limit: int) -> DataFrame:
@@ -103,8 +108,3 @@ def small(df: DataFrame, row_bytes: int, limit: int) -> DataFrame:
     Pass a settled table: its count reads file footers only.
     """
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
-
-
-def without_extra(docs: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that extra columns can't clash with those an operator makes."""
-    return docs.select(*names)

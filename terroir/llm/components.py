@@ -2,13 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, small
+from .common import discard, settle, small
 
 #: Bytes of per-node minima that may be broadcast; beyond it the joins shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Edges that one step of a task contracts.
+STEP_EDGES = 1 << 19
+
+
+def forests(links: DataFrame) -> DataFrame:
+    """(u, v), u > v: the links of each task (in steps of ``STEP_EDGES``) contracted to one star for each component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while (up := parent.get(top, top)) != top:
+                top = up
+            while x != top:
+                parent[x], x = top, parent.get(x, x)
+            return top
+
+        def stars() -> pa.RecordBatch:
+            nodes = [x for x in parent if root(x) != x]
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                one, other = root(a), root(b)
+                parent[max(one, other)] = min(one, other)
+            if len(parent) >= STEP_EDGES:
+                yield stars()
+                parent.clear()
+        if parent:
+            yield stars()
+
+    return links.mapInArrow(run, "u long, v long")
 
 
 def _minima(pairs: DataFrame) -> DataFrame:
@@ -20,13 +56,13 @@ def _minima(pairs: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): component is the least node that can be reached.
 
-    Alternates large-star and small-star steps (Kiveris et al., 2014) until the edges stay the same; every step is
-    written, so that a lost executor costs one step at most. A node with very many neighbours is only ever a join
-    key, never a group held in one task.
+    Each task first contracts the links that it reads. Then large-star and small-star steps alternate (Kiveris et
+    al., 2014) until every node hangs on the least node of its component; every step is written, so that a lost
+    executor costs one step at most. A node with very many neighbours is only ever a join key, never a group held in
+    one task. Links of a node with itself alone don't count.
     """
-    edges = settle(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    while True:
+    edges = settle(forests(links.select("a", "b")).distinct())
+    while edges.select("u").join(edges.select(F.col("v").alias("u")), "u", "left_semi").limit(1).count() or edges.groupBy("u").count().where("count > 1").limit(1).count():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: neighbours above u go to the least neighbour
         grown = both.join(_minima(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -34,8 +70,9 @@ def components(links: DataFrame) -> DataFrame:
         # small star: neighbours below u, and u itself, go to the least neighbour
         least = _minima(grown)
         moved = grown.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = settle(moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
+        after = settle(moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        discard(edges)
+        discard(grown)
+        edges = after
+    # each node hangs on one root, and roots on none: these are the components
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

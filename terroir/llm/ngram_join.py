@@ -1,17 +1,24 @@
 """N-gram Jaccard self-join with token-combination prefixes.
 
 A document is the set of hashes of its word n-grams. Two sets that are similar enough miss few of each other's tokens,
-so under one global order (rare tokens first) their prefixes must share tokens. Rare tokens are indexed one by one.
-Frequent ones are split in classes, a prefix is extended by one token for each class it touches, and all pairs of
-tokens of one class are indexed instead: similar sets still share a key, while a token that very many documents hold
-no longer brings them together. Which tokens are frequent is counted over all documents; it only steers the cost,
-never the result.
-
-Documents that share a key are not paired with each other. Each key has a pivot, every document of the key is verified
-against the pivot, and linked documents merge into components. What a pivot was compared with is settled for it, so it
-leaves the key, and a new pivot is taken while many pairs of different components are left. The few that remain are
-verified pair by pair. So no link between components is lost, and a key shared by a third of all documents costs as
-many comparisons as it has documents.
+so under one global order (by document frequency, rare tokens first) their prefixes must share tokens. A token that
+one document alone holds takes a place in the prefix but needs no index entry, so a document with enough of those is
+done. Rare tokens are indexed one by one. Frequent ones are split in classes, a prefix is extended by ``k - 1`` tokens
+for each class it touches, and all k-token combinations of one class are indexed instead: similar sets still share a
+key, while a token that very many documents hold no longer brings them together.
+
+Document frequencies are exact. Every task deals its tokens out by ranges of hashes, packed by the thousand, and each
+range is sorted and counted by itself; the few tokens that a task meets again and again are counted before, and told to
+all tasks, so that no range gathers the rows of a hot token. What comes back to a document are its tokens that other
+documents hold as well. They make its prefix, and they alone decide how many tokens two sets have in common.
+
+Documents that share a key are not paired with each other. Each key has a pivot, the document with the commonest
+tokens, and every document of the key is verified against it; linked documents merge into components. Two documents
+that a pivot is the same as, but for a few tokens each, are linked if their differences from it overlap enough. So
+those differences are indexed in turn, by prefixes and combinations of tokens again, for the pivot's documents that it
+isn't linked with and for what they can be linked with. The new keys get new pivots, until few pairs of different
+components are left; these are verified one by one. So no link between components is lost, and a group of copies costs
+as many comparisons as it has documents.
 
 Defined results: null and empty texts, and texts without words, have an empty set, n_shingles 0 and are linked with
 nothing; a text of fewer words than an n-gram is one token; rows that repeat an id are documents of their own; a
@@ -23,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +38,24 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import discard, settle, slices, small, table, text_bytes
+from .common import binaries, discard, numbers, settle, slices, small, table, text_bytes
 from .components import components
 
-#: A token of at least so many documents is frequent; at most so many are told to the tasks (the threshold rises).
-FREQUENT, MOST_FREQUENT = 8, 1 << 20
+#: Tokens that one numpy step takes, and documents (they are numbered by 16 bits there).
+CHUNK_TOKENS, CHUNK_DOCS = 1 << 20, 60_000
+#: Tokens met so often in one chunk may be hot; at most so many are told to the tasks, the hottest ones.
+MET, MOST_TOLD = 4, 1 << 20
+#: Tokens that one range of hashes holds on average; least number of ranges, as a power of two.
+RANGE_TOKENS, LEAST_BITS = 1 << 20, 5
+#: Tokens of at least 2^3 documents are frequent.
+FREQUENT = 3
 #: Bytes of keys, ids or other join sides that may be broadcast; beyond it the joins shuffle.
 BROADCAST_BYTES = 48 << 20
-#: Tokens that one numpy step counts.
-COUNT_TOKENS = 1 << 20
-#: Unverified pairs per row of the key table that are simply verified; with more, new pivots are taken, so often.
-PAIRS_PER_ROW, ROUNDS = 4, 6
+#: Unverified pairs per row of the key table that are simply verified; with more, new pivots are taken.
+PAIRS_PER_ROW = 4
+#: Differences from a pivot that one class of them holds at most, about.
+CLASS = 24
 
 _K = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -56,10 +69,13 @@ class Measure:
     num: int = 80
     den: int = 100
 
-    def errors(self, n: int) -> int:
+    def errors(self, n):
         """How many of n tokens a linked set can lack."""
         return n - -(-n * self.num // self.den)
 
+    def holds(self, common, n, m):
+        return self.den * common >= self.num * (n + m - common)
+
 
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
@@ -81,261 +97,473 @@ def tokens(text: bytes | None, words: int) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def _signature(found: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(found.tobytes())
+def set_id(found: np.ndarray, seed: int) -> tuple[int, int]:
+    """Two signed 64-bit halves of a digest of the set."""
+    digest = xxhash.xxh3_128_digest(found.tobytes(), seed=seed)
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def sketch(found: np.ndarray) -> bytes:
-    """How many tokens fall in each of 16 to 4096 ranges of hashes (about four tokens each), 255 at most."""
-    bits = min(12, max(4, (len(found) // 4).bit_length()))
-    return np.minimum(np.bincount((found >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+# ---- the sets, and the tokens that are hot
 
 
-def apart(a: bytes, b: bytes) -> int:
-    """A lower bound on the number of tokens that only one of two sets has: what their sketches differ by."""
-    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
-    if len(x) < len(y):
-        x, y = y, x
-    if len(x) > len(y):
-        x = np.minimum(x.reshape(len(y), -1).sum(1), 255)
-    return int(np.abs(x - y).sum())
-
+SETS = "doc_id long, sid long, proof long, n long, often array<struct<token:long,docs:long>>"
 
-SETS = "rid long, doc_id long, n long, sig binary, sketch binary, tokens binary"
 
+def sets(docs: DataFrame, words: int, seed: int = 0) -> DataFrame:
+    """One row per document: its id, the id of its set (null if empty) with more bits of the digest, and the set's size.
 
-def sets(docs: DataFrame, words: int) -> DataFrame:
-    """One row per document: its number, id, set size, the set's signature (null if empty) and its tokens."""
+    Some rows also carry the tokens that the task has met ``MET`` times or more in the chunk of sets that ends there
+    (equal sets count once).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rid = TaskContext.get().partitionId() << 36
+        held: list[np.ndarray] = []
+        seen: set[int] = set()
+        rows = None
+
+        def told(often: bool) -> pa.RecordBatch:
+            ids, sids, proofs, sizes = rows
+            tok, n = np.unique(np.concatenate(held), return_counts=True) if often and held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            tok, n = tok[n >= MET], n[n >= MET]
+            ends = pa.array([0] * len(sids) + [len(tok)], pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(tok.view(np.int64)), pa.array(n)], names=["token", "docs"]))
+            columns = [ids, *(pa.array(x, pa.int64()) for x in (sids, proofs, sizes)), lists]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "sid", "proof", "n", "often"])
+
         for batch in slices(batches, "text"):
-            found = [tokens(x, words) for x in text_bytes(batch)]
-            rids = range(rid, rid + len(found))
-            rid += len(found)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rids, pa.int64()),
-                    batch.column("doc_id"),
-                    pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([_signature(x) if len(x) else None for x in found], pa.binary()),
-                    pa.array([sketch(x) if len(x) else None for x in found], pa.binary()),
-                    pa.array([x.tobytes() for x in found], pa.binary()),
-                ],
-                names=["rid", "doc_id", "n", "sig", "sketch", "tokens"],
-            )
+            if rows:
+                full = sum(map(len, held)) >= CHUNK_TOKENS
+                yield told(full)
+                held = [] if full else held
+            rows = (batch.column("doc_id"), [], [], [])
+            for text in text_bytes(batch):
+                found = tokens(text, words)
+                sid, proof = set_id(found, seed) if len(found) else (None, None)
+                for values, value in zip(rows[1:], (sid, proof, len(found)), strict=True):
+                    values.append(value)
+                if len(found) and sid not in seen:
+                    seen.add(sid)
+                    held.append(found)
+        if rows:
+            yield told(True)
 
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
 
-def frequent(set_rows: DataFrame) -> DataFrame:
-    """(token, docs) of tokens that some task met twice: every task counts the tokens of all its sets (equal sets
-    once) and passes on those; Spark adds them up."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, seen = [], 0, set()
-
-        def twice_met() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            twice = counts > 1
-            return pa.RecordBatch.from_arrays([pa.array(values[twice].view(np.int64)), pa.array(counts[twice])], names=["token", "docs"])
-
-        for batch in slices(batches, "tokens"):
-            for sig, blob in zip(batch.column("sig").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
-                if sig is not None and sig not in seen:
-                    seen.add(sig)
-                    held.append(np.frombuffer(blob, np.uint64))
-                    n += len(held[-1])
-            if n >= COUNT_TOKENS:
-                yield twice_met()
-                held, n = [], 0
-        if held:
-            yield twice_met()
-
-    return set_rows.select("sig", "tokens").mapInArrow(count, "token long, docs long").groupBy("token").agg(F.sum("docs").alias("docs"))
+def plain_sets(docs: DataFrame, words: int) -> tuple[DataFrame, int]:
+    """The settled sets and the seed of their ids, under which no two different sets have the same id."""
+    seed = 0
+    while True:
+        every = settle(sets(docs, words, seed))
+        clash = every.where("sid is not null").groupBy("sid").agg(F.min("proof").alias("a"), F.max("proof").alias("b")).where("a <> b")
+        if not clash.limit(1).count():
+            return every, seed
+        discard(every)
+        seed += 1
 
 
-def told(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent tokens among (token, docs), sorted, with the logarithm of their number of documents.
+def hot(every: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The hot tokens, sorted, with the logarithm of their number of documents, ``FREQUENT`` at least.
 
-    The threshold is the least power of two that leaves at most ``MOST_FREQUENT`` tokens, so what the driver gets is
-    bounded whatever the corpus.
+    The least logarithm rises until at most ``MOST_TOLD`` are left, so what the driver gets is bounded whatever the corpus.
     """
-    counted = settle(counts.where(F.col("docs") >= FREQUENT).groupBy("token").agg(F.log2(F.max("docs")).cast("int").alias("level")))
+    met = every.where(F.size("often") > 0).select(F.explode("often").alias("o")).groupBy("o.token").agg(F.sum("o.docs").alias("docs"))
+    counted = settle(met.select("token", F.greatest(F.log2("docs").cast("int"), F.lit(FREQUENT)).alias("level")))
     left, least = 0, 0
     for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 63 rows
-        if left + row["count"] > MOST_FREQUENT:
+        if left + row["count"] > MOST_TOLD:
             least = row.level + 1
             break
         left += row["count"]
     chosen = counted.where(F.col("level") >= least).toPandas()
+    discard(counted)
     values, levels = chosen["token"].to_numpy(np.int64).view(np.uint64), chosen["level"].to_numpy(np.int64)
     order = np.argsort(values)
     return values[order], levels[order]
 
 
-def prefix_keys(found: np.ndarray, level: np.ndarray, measure: Measure) -> np.ndarray:
-    """The index keys of one set; ``level`` is 0 for rare tokens.
+# ---- exact document frequencies
+
+
+def _six(values: np.ndarray) -> np.ndarray:
+    """The low 48 bits of each value as six bytes."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _from_six(data: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = data.reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def _edges(group: np.ndarray) -> np.ndarray:
+    """Where sorted ``group`` changes, with both ends."""
+    return np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]) if len(group) else np.zeros(1, np.int64)
+
 
-    Sets of 2^s to 2^(s+1) tokens use the classes of scheme s, and also those of scheme s - 1 if a linked set can be
-    that small. The prefix is long enough when the sum over rare tokens, and over classes less one token each, exceeds
-    the errors. Below 16 tokens frequent tokens are indexed one by one as well.
+ORDINARY, TOLD, DOCS = 0, 1, 2
+DEALT = "bucket int, kind int, base long, what binary, whose binary"
+SHARED = "part int, kind int, rids binary, keys binary, more binary"
+
+
+def dealt(docs: DataFrame, words: int, seed: int, bits: int, often: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """The tokens of all sets by ranges of hashes (``bucket``): 48 further bits of each hash, and the set's number, as
+    16 bits above ``base``. Hot tokens are dealt by the set's number instead, with their level and place among the hot;
+    a row of kind ``DOCS`` tells ids and sizes of a chunk's sets. Of equal sets that a task meets only one counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(often)
+
+    def rows_of(kind: int, base: int, group: np.ndarray, what: np.ndarray, whose: np.ndarray) -> pa.RecordBatch:
+        edges = _edges(group)
+        n = len(edges) - 1
+        columns = [pa.array(group[edges[:-1]], pa.int32()), pa.array(np.full(n, kind), pa.int32()), pa.array(np.full(n, base), pa.int64()), binaries(what, edges), binaries(whose, edges)]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "kind", "base", "what", "whose"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, levels = shared.value
+        base, seen = TaskContext.get().partitionId() << 40, set()
+        held: list[np.ndarray] = []
+        ids: list[int] = []
+
+        def chunk() -> Iterator[pa.RecordBatch]:
+            sizes = np.array([len(x) for x in held])
+            found, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+            about = np.stack((np.array(ids, np.int64), sizes), 1)
+            yield rows_of(DOCS, base, np.full(len(held), base & ((1 << bits) - 1)), about, np.arange(len(held)).astype("<u2"))
+            at = np.minimum(np.searchsorted(values, found), len(values) - 1) if len(values) else np.zeros(len(found), np.int64)
+            is_hot = values[at] == found if len(values) else np.zeros(len(found), bool)
+            group, at = owner[is_hot] & ((1 << bits) - 1), at[is_hot]
+            order = np.argsort(group, kind="stable")
+            yield rows_of(TOLD, base, group[order], _six((levels[at] << 40 | at)[order]), owner[is_hot][order].astype("<u2"))
+            found, owner = found[~is_hot], owner[~is_hot]
+            order = np.argsort(found)
+            found = found[order]
+            yield rows_of(ORDINARY, base, (found >> _U(64 - bits)).astype(np.int64), _six(found << _U(bits) >> _U(16)), owner[order].astype("<u2"))
+
+        n = 0
+        for batch in slices(batches, "text"):
+            for text in text_bytes(batch):
+                found = tokens(text, words)
+                if not len(found) or (sid := set_id(found, seed)[0]) in seen:
+                    continue
+                seen.add(sid)
+                held.append(found)
+                ids.append(sid)
+                n += len(found)
+                if n >= CHUNK_TOKENS or len(held) >= CHUNK_DOCS:
+                    yield from chunk()
+                    base, n = base + len(held), 0
+                    held.clear()
+                    ids.clear()
+        if held:
+            yield from chunk()
+
+    return docs.select("text").mapInArrow(run, DEALT)
+
+
+def shared_tokens(rows: DataFrame, bits: int) -> DataFrame:
+    """For parts of the sets (``part``): the tokens that more than one set holds, with the logarithm of how many do."""
+
+    def part_of(rids: np.ndarray) -> np.ndarray:
+        return ((rids.astype(np.uint64) * _U(_K)) >> _U(64 - bits)).astype(np.int64)
+
+    def rows_of(kind: int, rids: np.ndarray, keys: np.ndarray, more: np.ndarray) -> pa.Table:
+        part = part_of(rids)
+        order = np.argsort(part, kind="stable")
+        edges = _edges(part[order])
+        n = len(edges) - 1
+        columns = [pa.array(part[order][edges[:-1]], pa.int32()), pa.array(np.full(n, kind), pa.int32()), *(binaries(x[order], edges) for x in (rids, keys, more))]
+        return pa.Table.from_arrays(columns, names=["part", "kind", "rids", "keys", "more"])
+
+    def count(group: pa.Table) -> pa.Table:
+        out = []
+        for kind in (ORDINARY, TOLD, DOCS):
+            mine = group.filter(pa.compute.equal(group.column("kind"), kind))
+            if not mine.num_rows:
+                continue
+            whose = [np.frombuffer(x, "<u2").astype(np.int64) + b for x, b in zip(mine.column("whose").to_pylist(), mine.column("base").to_pylist(), strict=True)]
+            rids, what = np.concatenate(whose), numbers(mine.column("what"), np.uint8)
+            if kind == DOCS:
+                about = what.view(np.int64).reshape(-1, 2)
+                out.append(rows_of(DOCS, rids, about[:, 0], about[:, 1]))
+                continue
+            what = _from_six(what)
+            if kind == TOLD:
+                keys, level = what & _U((1 << 40) - 1), (what >> _U(40)).astype(np.int64)
+            else:
+                order = np.argsort(what, kind="stable")
+                what, rids = what[order], rids[order]
+                edges = _edges(what)
+                docs = np.repeat(np.diff(edges), np.diff(edges))
+                again = docs > 1
+                what, rids, level = what[again], rids[again], np.frexp(docs[again])[1] - 1
+                keys = what | _U(group.column("bucket")[0].as_py() << 48 & 0x7FFF << 48) | _U(1 << 63)
+            if len(keys):
+                out.append(rows_of(kind, rids, keys.view(np.int64), level.astype(np.uint8)))
+        return pa.concat_tables(out) if out else rows_of(DOCS, *[np.zeros(0, np.int64)] * 3)
+
+    return rows.groupBy("bucket").applyInArrow(count, SHARED)
+
+
+# ---- prefixes
+
+
+def combined(found: np.ndarray, missing: int, bits: int, k: int, salt: int) -> tuple[np.ndarray, int]:
+    """Keys of the k-combinations within 2^bits classes of the first of ``found``, and how many tokens are still missing.
+
+    It takes tokens until the classes have ``missing`` tokens more than k - 1 each.
     """
-    n = len(found)
-    need = measure.errors(n) + 1
-    rare = found[level == 0][:need]
-    if len(rare) >= need:
+    taken: dict[int, list[int]] = {}
+    for i, c in enumerate((_mix(found) & _U((1 << bits) - 1)).tolist()):
+        if missing <= 0:
+            break
+        mine = taken.setdefault(c, [])
+        mine.append(i)
+        missing -= len(mine) >= k
+    out = [np.zeros(0, np.uint64)]
+    for mine in taken.values():
+        if len(mine) >= k:
+            key = np.full(1, salt, np.uint64)
+            for chosen in np.array(list(combinations(mine, k))).T:
+                key = _mix(key * _U(_K) + found[chosen])
+            out.append(key)
+    return np.concatenate(out), missing
+
+
+def prefix_keys(found: np.ndarray, level: np.ndarray, missing: int, n: int, measure: Measure, k: int = 2) -> np.ndarray:
+    """The index keys of a set of n tokens; ``found`` are those that other sets hold, in order, with their levels.
+
+    ``missing`` tokens are still needed after those that no other set holds. A prefix is long enough when the sum over
+    rare tokens, and over classes less k - 1 tokens each, reaches that: then of two linked sets the one whose prefix
+    ends first has a rare token, or k tokens of one class, that the other one's prefix has too. Sets of 2^s to 2^(s+1)
+    tokens use the classes of scheme s, and also those of scheme s - 1 if a linked set can be that small.
+    """
+    rare = found[level < FREQUENT][:missing]
+    if len(rare) >= missing:
         return rare
-    often = np.flatnonzero(level)
-    often = found[often[np.argsort(level[often], kind="stable")]]
+    often = found[level >= FREQUENT]
     scheme = n.bit_length() - 1
     out = [rare]
     for s in {scheme, scheme - 1} if n - measure.errors(n) < 1 << scheme else {scheme}:
-        missing = need - len(rare)
-        if s < 4:
-            out.append(often[:missing])
-            continue
-        classes = (often % _U(1 << (s - 4))).tolist()
-        taken: dict[int, list[int]] = {}
-        for i, c in enumerate(classes):
-            if not missing:
-                break
-            mine = taken.setdefault(c, [])
-            missing -= bool(mine)
-            mine.append(i)
-        for mine in taken.values():
-            a, b = np.triu_indices(len(mine), 1)
-            at = np.array(mine)
-            out.append(_mix(often[at[a]] * _U(_K) + often[at[b]] + _U(s)))
+        left = missing - len(rare)
+        # the smallest sets are indexed by single tokens
+        out.append(often[:left] if s < 4 else combined(often, left, s - 4, k, s)[0])
     return np.unique(np.concatenate(out))
 
 
-def key_rows(set_rows: DataFrame, measure: Measure, often: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, rid, n) for every index key of every set; of equal sets that one task meets, the first stands for all."""
-    shared = set_rows.sparkSession.sparkContext.broadcast(often)
+def difference_keys(mine: tuple[int, np.ndarray, np.ndarray], pivot: tuple[int, np.ndarray, np.ndarray], salt: int, measure: Measure) -> tuple[bool, np.ndarray]:
+    """Whether a set is linked with a pivot, and the index keys of what it differs by. Sets are (size, tokens that other sets hold, levels).
+
+    Let P be the pivot's tokens that other sets hold, k of them, and u the others; e what a set differs from P by, and
+    o how much the differences of x and y have in common. They are linked if e(x) + e(y) - 2 o <= r (n(x) + n(y)), r
+    being (1 - t) / (1 + t) for a similarity of t. If x isn't linked with the pivot, f = e(x) - r (n(x) + k) is above
+    -u (1 - r), and it follows that o >= f / (1 + r) and o > (e(y) - r max(0, n(y) - k) - u (1 - r)) / 2. So x is indexed by
+    the first, and every set by the second bound: a prefix of the differences that leaves out less than o of them, in
+    pairs of one class. Where these don't suffice, single differences are keys as well, and where o may be 0 one key
+    that all of them share. Rare additions come first, and commonest omissions.
+    """
+    (n, x, x_level), (n_pivot, p, p_level) = mine, pivot
+    added, omitted = np.isin(x, p, assume_unique=True, invert=True), np.isin(p, x, assume_unique=True, invert=True)
+    common = len(x) - int(added.sum())
+    linked = bool(measure.holds(common, n, n_pivot))
+    k, u = len(p), n_pivot - len(p)
+    s = int(added.sum() + omitted.sum())
+    e = s + n - len(x)
+    r, one = measure.den - measure.num, measure.den + measure.num  # both times den + num
+    bounds = [(e * one - r * max(0, n - k) - u * (one - r)) // (2 * one) + 1]
+    if not linked:
+        bounds.append(-(-(e * one - r * (n + k)) // (one + r)))
+    least = min(bounds)
+    if least > s:
+        return linked, np.zeros(0, np.uint64)
+    rank = np.concatenate((x_level[added].astype(np.int64), 128 - p_level[omitted].astype(np.int64)))
+    found = np.concatenate((x[added], ~p[omitted]))
+    found = found[np.lexsort((found, rank))]
+    bits = max(0, (2 * r * k // (one * CLASS)).bit_length())
+    keys, missing = combined(found, s - max(least, 1) + 1, bits, 2, salt)
+    if missing > 0:
+        keys = np.concatenate((keys, _mix(found + _U(salt))))
+    if least <= 0:
+        keys = np.append(keys, _mix(np.array([salt], np.uint64)))
+    return linked, keys
+
+
+HELD = "sid long, rid long, n long, weight double, tokens binary, levels binary, keys array<long>"
+
+
+def candidates(parts: DataFrame, measure: Measure) -> DataFrame:
+    """The sets whose prefixes need index entries: all tokens that other sets hold, in order, with levels, and the keys.
+
+    ``weight`` is higher the commoner the tokens of a set are.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        about = group.filter(pa.compute.equal(group.column("kind"), DOCS))
+        rest = group.filter(pa.compute.less(group.column("kind"), DOCS))
+        rids, sids, sizes = (numbers(about.column(c), np.int64) for c in ("rids", "keys", "more"))
+        owner, keys, level = numbers(rest.column("rids"), np.int64), numbers(rest.column("keys"), np.uint64), numbers(rest.column("more"), np.uint8)
+        order = np.lexsort((keys, level, owner))
+        owner, keys, level = owner[order], keys[order], level[order]
+        by = np.argsort(rids)
+        out = []
+        for i in by:
+            a, b = np.searchsorted(owner, (rids[i], rids[i] + 1))
+            n = int(sizes[i])
+            missing = measure.errors(n) + 1 - (n - (b - a))
+            if missing > 0 and b > a:
+                out.append((int(sids[i]), int(rids[i]), n, float(level[a:b].sum()) / n, keys[a:b].tobytes(), level[a:b].tobytes(), prefix_keys(keys[a:b], level[a:b], missing, n, measure).view(np.int64)))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=[x.split()[0] for x in HELD.split(", ")])
+
+    return parts.groupBy("part").applyInArrow(run, HELD)
+
+
+# ---- verification and components
+
+
+def sketch(found: np.ndarray) -> bytes:
+    """How many tokens fall in each of 16 to 4096 classes of hashes (about four tokens each), 255 at most."""
+    bits = min(12, max(4, (len(found) // 4).bit_length()))
+    return np.minimum(np.bincount((_mix(found) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """A lower bound on the number of tokens that only one of two sets has: what their sketches differ by."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.minimum(x.reshape(len(y), -1).sum(1), 255)
+    return int(np.abs(x - y).sum())
+
+
+def sketches_of(held: DataFrame) -> DataFrame:
+    """(sid, k, sketch): how many tokens of a set other sets hold, and the sketch of those."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, levels = shared.value
-        seen = set()
         for batch in slices(batches, "tokens"):
-            keys, rids, sizes = [], [], []
-            for rid, sig, blob in zip(*(batch.column(c).to_pylist() for c in ("rid", "sig", "tokens")), strict=True):
-                if sig is None or sig in seen:
-                    continue
-                seen.add(sig)
-                found = np.frombuffer(blob, np.uint64)
-                level = np.zeros(len(found), np.int64)
-                if len(values):
-                    at = np.minimum(np.searchsorted(values, found), len(values) - 1)
-                    level = np.where(values[at] == found, levels[at], 0)
-                mine = prefix_keys(found, level, measure)
-                keys.append(mine.view(np.int64))
-                rids.append(np.full(len(mine), rid, np.int64))
-                sizes.append(np.full(len(mine), len(found), np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, rids, sizes)], names=["key", "rid", "n"])
+            found = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array([len(x) for x in found], pa.int64()), pa.array([sketch(x) for x in found], pa.binary())], names=["sid", "k", "sketch"])
+
+    return held.select("sid", "tokens").mapInArrow(run, "sid long, k long, sketch binary")
+
 
-    return set_rows.select("rid", "sig", "tokens").mapInArrow(run, "key long, rid long, n long")
+PAIR = "a long, b long, n long, m long"
 
 
-def possible(pairs: DataFrame, sketches: DataFrame, measure: Measure) -> DataFrame:
-    """The pairs (a, b) that their sketches don't rule out. Nothing that is linked is lost."""
+def _checked(pairs: DataFrame, sides: DataFrame, columns: list[str], holds) -> DataFrame:
+    """The pairs (a, b, n, m) for which ``holds`` is true of both sides' columns."""
+    first = sides.select(F.col("sid").alias("a"), *(F.col(c).alias(f"{c}_a") for c in columns))
+    second = sides.select(F.col("sid").alias("b"), *(F.col(c).alias(f"{c}_b") for c in columns))
+    names = [f"{c}_{side}" for side in "ab" for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "sa"):
-            keep = []
-            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb")), strict=True):
-                common = (n + m - apart(x, y)) // 2
-                keep.append(measure.den * common >= measure.num * (n + m - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for batch in slices(batches, names[-1]):
+            keep = [holds(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("n", "m", *names)), strict=True)]
+            yield batch.select(["a", "b", "n", "m"]).filter(pa.array(keep, pa.bool_()))
 
-    first = sketches.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    second = sketches.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", *names).mapInArrow(run, PAIR)
 
 
-def verified(pairs: DataFrame, sketches: DataFrame, set_rows: DataFrame, measure: Measure) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough: first by their sketches, then by the sets themselves."""
+def verified(pairs: DataFrame, sketches: DataFrame, held: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough: first by their sketches, then by the tokens themselves."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ta"):
-            keep = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(u) + len(v) - len(np.unique(np.concatenate((u, v))))
-                keep.append(measure.den * common >= measure.num * (len(u) + len(v) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def may(n: int, m: int, k: int, x: bytes, j: int, y: bytes) -> bool:
+        return measure.holds((k + j - apart(x, y)) // 2, n, m)
 
-    left = settle(possible(pairs, sketches, measure))
-    rids = settle(left.select(F.explode(F.array("a", "b")).alias("rid")).distinct())
-    held = settle(set_rows.select("rid", "tokens").join(small(rids, 48, BROADCAST_BYTES), "rid", "left_semi"))
-    first = held.select(F.col("rid").alias("a"), F.col("tokens").alias("ta"))
-    second = held.select(F.col("rid").alias("b"), F.col("tokens").alias("tb"))
-    return settle(left.join(first, "a").join(second, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"))
+    def does(n: int, m: int, x: bytes, y: bytes) -> bool:
+        u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        return measure.holds(len(np.intersect1d(u, v)), n, m)
+
+    left = settle(_checked(pairs, sketches, ["k", "sketch"], may))
+    out = settle(_checked(left, held, ["tokens"], does).select("a", "b"))
+    discard(left)
+    return out
 
 
 def once(rows: DataFrame) -> DataFrame:
-    """The rows of one key for each set of members: keys that the same documents share bring the same documents together.
+    """The rows of one key for each set of members: keys that the same sets share bring the same sets together.
 
     Members are compared by their number and two independent 64-bit hashes; keys of a single member go.
     """
-    rows = settle(rows)
-    mix = lambda seed: F.bit_xor(F.xxhash64("rid", F.lit(seed)))
+    mix = lambda seed: F.bit_xor(F.xxhash64("sid", F.lit(seed)))
     members = rows.groupBy("key").agg(F.count("*").alias("c"), mix(1).alias("x"), mix(2).alias("y")).where("c > 1")
     kept = settle(members.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))
-    return settle(rows.join(kept, "key"))
+    return settle(rows.join(small(kept, 32, BROADCAST_BYTES), "key"))
 
 
-def links(set_rows: DataFrame, copies: DataFrame, measure: Measure) -> DataFrame:
-    """Verified pairs (a, b) of row numbers that join all that is linked into components.
+def differences(pairs: DataFrame, held: DataFrame, measure: Measure) -> DataFrame:
+    """(a, b, n, weight, linked, keys): sets a with their pivots b, whether these are linked, and the keys of the differences."""
 
-    ``copies`` (rid, rep) names the row that stands for each further row of an equal set; only it is compared.
-    """
-    # the keys of a first index count the tokens of all prefixes exactly; what is frequent among them moves back
-    first = settle(frequent(set_rows).where(F.col("docs") >= FREQUENT))
-    used = key_rows(set_rows, measure, told(first)).groupBy(F.col("key").alias("token")).agg(F.count("*").alias("docs"))
-    rows = key_rows(set_rows, measure, told(first.unionByName(settle(used.where(F.col("docs") >= FREQUENT)))))
-    shared = settle(rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"))
-    one = rows.join(shared, "key").join(small(copies, 64, BROADCAST_BYTES), "rid", "left")
-    rows = once(one.select("key", F.coalesce("rep", "rid").alias("rid"), "n").distinct())
-    rids = rows.select("rid").distinct()
-    sketches = settle(set_rows.select("rid", "n", "sketch").join(rids, "rid", "left_semi"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "ta"):
+            linked, keys = [], []
+            for b, n, m, *blobs in zip(*(batch.column(c).to_pylist() for c in ("b", "n", "m", "ta", "la", "tb", "lb")), strict=True):
+                x, x_level, p, p_level = (np.frombuffer(v, t) for v, t in zip(blobs, (np.uint64, np.uint8) * 2, strict=True))
+                is_linked, found = difference_keys((n, x, x_level), (m, p, p_level), b % (1 << 64), measure)
+                linked.append(is_linked)
+                keys.append(found.view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "n", "weight")), pa.array(linked, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))], names=["a", "b", "n", "weight", "linked", "keys"])
+
+    first = held.select(F.col("sid").alias("a"), "n", "weight", F.col("tokens").alias("ta"), F.col("levels").alias("la"))
+    second = held.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("tb"), F.col("levels").alias("lb"))
+    joined = pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "weight", "ta", "la", "tb", "lb")
+    return joined.mapInArrow(run, "a long, b long, n long, weight double, linked boolean, keys array<long>")
+
+
+def links(held: DataFrame, measure: Measure) -> DataFrame:
+    """Verified pairs (a, b) of set ids that join all that is linked into components."""
     alike = (F.col("n") * measure.den >= F.col("m") * measure.num) & (F.col("m") * measure.den >= F.col("n") * measure.num)
-    found = None
-    for attempt in range(ROUNDS + 1):
-        if found is None:
-            labelled = rows.withColumn("comp", F.col("rid"))
-        else:
-            comps = small(settle(components(found)).withColumnRenamed("node", "rid"), 64, BROADCAST_BYTES)
-            labelled = settle(rows.join(comps, "rid", "left").withColumn("comp", F.coalesce("component", "rid")).drop("component"))
-            sizes = labelled.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
-            left = sizes.agg(F.sum((F.col("c") * F.col("c") - F.col("own")) / 2)).first()[0] or 0
-            if left <= PAIRS_PER_ROW * rows.count() or attempt == ROUNDS:
+    keyed = held.select(F.explode("keys").alias("key"), "sid", "n", "weight")
+    found = labels = None
+    while True:
+        rows = once(settle(keyed))
+        if labels is not None:
+            # keys whose members are of one component are done
+            rows = settle(rows.join(small(labels, 48, BROADCAST_BYTES), "sid", "left").withColumn("comp", F.coalesce("component", "sid")).drop("component"))
+            sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
+            sizes = settle(sizes.select("key", "c", ((F.col("c") * F.col("c") - F.col("own")) / 2).alias("pairs")).where("pairs > 0"))
+            told = sizes.agg(F.sum("pairs"), F.sum("c")).first()
+            rows = settle(rows.join(small(sizes.select("key"), 32, BROADCAST_BYTES), "key", "left_semi"))
+            if (told[0] or 0) <= PAIRS_PER_ROW * (told[1] or 0):
                 break
-        # a pivot for each key: everything of another component is compared with it, then it leaves the key
-        pivots = labelled.groupBy("key").agg(F.min(F.struct("rid", "n", "comp")).alias("p")).select("key", F.col("p.rid").alias("b"), F.col("p.n").alias("m"), F.col("p.comp").alias("other"))
-        met = labelled.join(settle(pivots), "key")
-        pairs = met.where((F.col("comp") != F.col("other")) & alike).select(F.col("rid").alias("a"), "b").distinct()
-        more = verified(pairs, sketches, set_rows, measure)
+        pivots = rows.groupBy("key").agg(F.max_by("sid", F.struct("weight", "sid")).alias("b"))
+        pairs = settle(rows.join(small(settle(pivots), 48, BROADCAST_BYTES), "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct())
+        met = settle(differences(pairs, held, measure))
+        more = met.where("linked").select("a", "b")
         found = more if found is None else found.unionByName(more)
-        rows = once(met.where("rid <> b").select("key", "rid", "n"))
-    one = labelled.select("key", F.col("rid").alias("a"), "n", "comp")
-    two = labelled.select("key", F.col("rid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
-    rest = one.join(two, "key").where((F.col("comp") < F.col("other")) & alike).select("a", "b").distinct()
-    found = found.unionByName(verified(rest, sketches, set_rows, measure))
-    discard(set_rows)
-    return found
-
-
-def grouped(docs: DataFrame, measure: Measure) -> DataFrame:
-    """(doc_id, n_shingles, sig, component_id) for every row of ``docs``."""
-    every = settle(sets(docs, measure.words))
-    first = settle(every.where("sig is not null").groupBy("sig").agg(F.min("rid").alias("rep")))
-    plain = settle(every.select("rid", "doc_id", "n", "sig").join(first, "sig", "left"))
-    comps = settle(components(links(every, settle(plain.where("rid <> rep").select("rid", "rep")), measure))).withColumnRenamed("node", "rep")
-    placed = settle(plain.join(small(comps, 64, BROADCAST_BYTES), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), "sig", F.coalesce("component", "rep").alias("comp")))
-    least = settle(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least")))
-    return placed.join(least, "comp", "left").select("doc_id", "n_shingles", "sig", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+        labels = settle(components(found)).withColumnRenamed("node", "sid")
+        keyed = met.select(F.explode("keys").alias("key"), F.col("a").alias("sid"), "n", "weight").distinct()
+    one = rows.select("key", F.col("sid").alias("a"), "n", "comp")
+    two = rows.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
+    rest = one.join(two, "key").where((F.col("comp") < F.col("other")) & alike).select("a", "b", "n", "m").distinct()
+    return found.unionByName(verified(rest, settle(sketches_of(held)), held, measure))
+
+
+def linked(docs: DataFrame, every: DataFrame, seed: int, measure: Measure) -> DataFrame:
+    """(sid, component) of the sets that are linked with another one."""
+    total = every.agg(F.sum("n")).first()[0] or 0
+    bits = max(LEAST_BITS, (total // RANGE_TOKENS).bit_length())
+    parts = shared_tokens(dealt(docs, measure.words, seed, bits, hot(every)), bits)
+    found = settle(candidates(parts, measure))
+    # equal sets that several tasks have met
+    first = settle(found.groupBy("sid").agg(F.min("rid").alias("rid")))
+    held = settle(found.join(small(first, 48, BROADCAST_BYTES), ["sid", "rid"], "left_semi"))
+    discard(found)
+    comps = settle(components(links(held, measure)))
+    discard(held)
+    return comps.withColumnRenamed("node", "sid")
+
+
+def grouped(docs: DataFrame, measure: Measure) -> tuple[DataFrame, int]:
+    """(doc_id, n_shingles, sid, component_id) for every row of ``docs``, and the seed of the set ids."""
+    every, seed = plain_sets(docs, measure.words)
+    comps = linked(docs, every, seed, measure)
+    placed = settle(every.join(small(comps, 48, BROADCAST_BYTES), "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("comp")))
+    # only sets that several rows have, and linked ones, take their id from another row
+    least = settle(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
+    told = placed.join(small(least, 48, BROADCAST_BYTES), "comp", "left")
+    alone = F.col("comp").isNull() | F.col("least").isNull()
+    return told.select("doc_id", "n_shingles", "sid", F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id")), seed
 
 
 def one_of_each(docs: DataFrame, measure: Measure) -> DataFrame:
@@ -343,23 +571,23 @@ def one_of_each(docs: DataFrame, measure: Measure) -> DataFrame:
 
     Rows that repeat both the id and the set of a document that goes, go too; those that repeat one that stays, stay.
     """
-    told = grouped(docs, measure)
-    gone = settle(told.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "sig").distinct())
+    told, seed = grouped(docs, measure)
+    gone = settle(told.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.collect_set("sid").alias("gone")))
     words = measure.words
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [tokens(x, words) for x in text_bytes(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array([_signature(x) if len(x) else None for x in found], pa.binary())], names=["row", "doc_id", "sig"])
+            stays = [sids is None or set_id(tokens(text, words), seed)[0] not in sids for text, sids in zip(text_bytes(batch), batch.column("gone").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_struct_array(batch.column("row").filter(pa.array(stays, pa.bool_())))
 
-    read = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    signed = read.mapInArrow(sign, T.StructType([read.schema["row"], read.schema["doc_id"], T.StructField("sig", T.BinaryType())]))
-    out = small(gone.select(F.col("doc_id").alias("gone_id"), F.col("sig").alias("gone_sig")), 80, BROADCAST_BYTES)
-    return signed.join(out, F.col("doc_id").eqNullSafe(F.col("gone_id")) & F.col("sig").eqNullSafe(F.col("gone_sig")), "left_anti").select("row.*")
+    out = small(gone.select(F.col("doc_id").alias("gone_id"), "gone"), 80, BROADCAST_BYTES)
+    row = F.struct(*docs.columns).alias("row")
+    joined = docs.select(row, "doc_id", "text").join(out, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "text", "gone")
+    return joined.mapInArrow(keep, docs.schema)
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped(table(spark, sf_dir, "documents"), Measure(3, 90)).select("doc_id", "n_shingles", "component_id")
+    return grouped(table(spark, sf_dir, "documents"), Measure(3, 90))[0].select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES = {"op9_ngram_join": op9_ngram_join}

@@ -54,10 +54,10 @@ def corpus(seed, n=160):
 
 @pytest.mark.parametrize(("seed", "measure"), [(1, N.Measure(3, 90)), (2, N.Measure(5, 80))])
 def test_components_equal_brute_force(spark, monkeypatch, seed, measure):
-    monkeypatch.setattr(N, "FREQUENT", 3)
+    monkeypatch.setattr(N, "MET", 2)
     docs = corpus(seed)
     df = spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, n int, sig string").repartition(3)
-    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.grouped(df, measure).collect())
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.grouped(df, measure)[0].collect())
     assert got == brute(docs, measure)
 
 
@@ -70,8 +70,8 @@ def test_hot_group_and_empty_table(spark):
         ws[rng.randrange(200)] = f"u{i}"
         docs.append((i, " ".join(ws)))
     m = N.Measure(3, 90)
-    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.grouped(spark.createDataFrame(docs, "doc_id long, text string"), m).collect()) == brute(docs, m)
-    assert N.grouped(spark.createDataFrame([], "doc_id long, text string"), m).count() == 0
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.grouped(spark.createDataFrame(docs, "doc_id long, text string"), m)[0].collect()) == brute(docs, m)
+    assert N.grouped(spark.createDataFrame([], "doc_id long, text string"), m)[0].count() == 0
 
 
 def test_one_of_each(spark):
@@ -92,19 +92,81 @@ def test_sketches_never_rule_out_too_much():
             assert N.apart(N.sketch(a), N.sketch(b)) <= differ
 
 
-def test_prefixes_of_linked_sets_meet():
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_prefixes_of_linked_sets_meet(k):
     rng = np.random.default_rng(5)
     m = N.Measure(3, 80)
     universe = np.unique(rng.integers(0, 1 << 64, 3000, dtype=np.uint64))
-    often = dict(zip(universe[::2].tolist(), rng.integers(1, 6, len(universe[::2])).tolist(), strict=True))
-    level = lambda s: np.array([often.get(x, 0) for x in s.tolist()], np.int64)
-    for _ in range(300):
+    levels = dict(zip(universe.tolist(), rng.integers(0, 8, len(universe)).tolist(), strict=True))
+
+    def keys(found):
+        """Level 0 is for tokens that no other set holds."""
+        level = np.array([levels[x] for x in found.tolist()], np.int64)
+        order = np.lexsort((found, level))
+        found, level = found[order], level[order]
+        alone = int((level == 0).sum())
+        missing = m.errors(len(found)) + 1 - alone
+        return N.prefix_keys(found[alone:], level[alone:], missing, len(found), m, k) if missing > 0 else np.zeros(0, np.uint64)
+
+    met = 0
+    for _ in range(400):
         a = rng.choice(universe, rng.integers(1, 140), replace=False)
         b = np.concatenate((a[rng.integers(0, max(1, len(a) // 9)) :], rng.choice(universe, rng.integers(0, max(1, len(a) // 10)))))
+        for x in np.setxor1d(a, b):
+            levels[x] = 0
+        for x in np.intersect1d(a, b):
+            levels[x] = max(1, levels[x])
         a, b = np.unique(a), np.unique(b)
         common = len(np.intersect1d(a, b))
         if 100 * common >= 80 * (len(a) + len(b) - common):
-            assert len(np.intersect1d(N.prefix_keys(a, level(a), m), N.prefix_keys(b, level(b), m)))
+            met += 1
+            assert len(np.intersect1d(keys(a), keys(b)))
+    assert met > 100
+
+
+@pytest.mark.parametrize("measure", [N.Measure(3, 90), N.Measure(3, 80)])
+def test_differences_of_linked_sets_meet(measure):
+    """Edited copies of a base: two that are linked, but not both with the pivot, share a key of their differences."""
+    rng, met = np.random.default_rng(3), 0
+    for _ in range(60):
+        base = np.unique(rng.integers(0, 1 << 64, int(rng.integers(5, 400)), dtype=np.uint64))
+        pool = np.unique(rng.integers(0, 1 << 64, 60, dtype=np.uint64))
+        copies = []
+        for _ in range(12):
+            kept = base[rng.random(len(base)) > rng.choice([0.0, 0.03, 0.06, 0.1])]
+            more = rng.choice(pool, rng.integers(0, max(2, len(base) // 12)))
+            copies.append(np.unique(np.concatenate((kept, more, rng.integers(0, 1 << 64, rng.integers(0, max(2, len(base) // 20)), dtype=np.uint64)))))
+        tokens, counts = np.unique(np.concatenate(copies), return_counts=True)
+        level = dict(zip(tokens.tolist(), (np.frexp(counts)[1] - 1).tolist(), strict=True))
+        alone = set(tokens[counts == 1].tolist())
+
+        def told(x, alone=alone, level=level):
+            again = np.array([t not in alone for t in x.tolist()], bool)
+            return len(x), x[again], np.array([level[t] for t in x[again].tolist()], np.uint8)
+
+        sets = [told(x) for x in copies]
+        found = [N.difference_keys(x, sets[0], 77, measure) for x in sets]
+        for i in range(1, 12):
+            for j in range(1, i):
+                common = len(np.intersect1d(copies[i], copies[j]))
+                if measure.holds(common, len(copies[i]), len(copies[j])) and not (found[i][0] and found[j][0]):
+                    met += 1
+                    assert len(np.intersect1d(found[i][1], found[j][1]))
+    assert met > 50
+
+
+def test_crowded_keys_and_hot_tokens(spark, monkeypatch):
+    """Sets that share most tokens but aren't linked, with pivots until nothing is left; tokens of every document."""
+    monkeypatch.setattr(N, "PAIRS_PER_ROW", 0.5)
+    rng = random.Random(8)
+    pool = [f"p{i} q{i} r{i}" for i in range(40)]
+    docs = []
+    for i in range(24):
+        parts = rng.sample(pool, 30) if i % 7 else docs[-1][1].split(" | ")[1:] + ["p0 q0 r0"] if docs else pool[:30]
+        docs.append((i, " | ".join(parts)))
+    m = N.Measure(3, 80)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.grouped(df, m)[0].collect()) == brute(docs, m)
 
 
 def test_components(spark):
