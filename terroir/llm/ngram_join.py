@@ -54,8 +54,8 @@ FREQUENT = 3
 BROADCAST_BYTES = 48 << 20
 #: Unverified pairs per row of the key table that are simply verified; with more, new pivots are taken.
 PAIRS_PER_ROW = 4
-#: Differences from a pivot that one class of them holds at most, about.
-CLASS = 24
+#: Differences from a pivot that one class of them holds, about, when sets are as far from it as linked ones can be.
+CLASS = 6
 
 _K = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -384,7 +384,7 @@ def difference_keys(mine: tuple[int, np.ndarray, np.ndarray], pivot: tuple[int,
         keys = np.concatenate((keys, _mix(found + _U(salt))))
     if least <= 0:
         keys = np.append(keys, _mix(np.array([salt], np.uint64)))
-    return linked, keys
+    return linked, np.unique(keys)
 
 
 HELD = "sid long, rid long, n long, weight double, tokens binary, levels binary, keys array<long>"
@@ -532,7 +532,9 @@ def links(held: DataFrame, measure: Measure) -> DataFrame:
         more = met.where("linked").select("a", "b")
         found = more if found is None else found.unionByName(more)
         labels = settle(components(found)).withColumnRenamed("node", "sid")
-        keyed = met.select(F.explode("keys").alias("key"), F.col("a").alias("sid"), "n", "weight").distinct()
+        # where all of a pivot's sets are linked with it, nothing is left to find
+        open_ = settle(met.where("not linked").select("b").distinct())
+        keyed = met.join(small(open_, 32, BROADCAST_BYTES), "b", "left_semi").select(F.explode("keys").alias("key"), F.col("a").alias("sid"), "n", "weight")
     one = rows.select("key", F.col("sid").alias("a"), "n", "comp")
     two = rows.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
     rest = one.join(two, "key").where((F.col("comp") < F.col("other")) & alike).select("a", "b", "n", "m").distinct()
