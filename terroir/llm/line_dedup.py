@@ -6,8 +6,12 @@ filters, one small filter for each shard of the key space, made and updated by t
 filter forgets a key on request, so documents can be inserted and deleted and the table and filters stay equal to a
 rebuild. Filters only save work: they let the exact join read the few postings that may be repeated.
 
-Defined results: a null or empty text is one empty line; rows that repeat an id count as one document; rows with a null
-id count as one document that ranks below all others; an empty table gives no rows; extra columns are kept by ``apply``.
+Tasks join postings and filters by shard, so a task holds one filter and about ``SHARD_POSTINGS`` postings. A line of
+very many documents doesn't pass there: it is known by its exact count and goes straight to the join.
+
+Defined results: a null or empty text is one empty line; rows that repeat an id count as one document, and each of them
+loses the lines that this document loses; rows with a null id can't be told apart, count as no document and keep all
+their lines; an empty table gives no rows; extra columns, whatever their names, are kept by ``apply``.
 """
 
 from __future__ import annotations
@@ -20,12 +24,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import settle, slices, table, text_bytes
+from .common import settle, slices, small, table, text_bytes
 
 SPACE = b" \t\n\x0b\x0c\r"
-#: Keys that one shard's filter holds on average; total bytes of filters that may be broadcast.
-SHARD_KEYS, BROADCAST_BYTES = 1 << 16, 64 << 20
+#: Postings of one shard on average. Keys of more documents than ``HOT`` aren't filtered.
+SHARD_POSTINGS, HOT = 1 << 17, 1 << 15
+#: Bytes of hot keys that may be broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 32 << 20
 #: Fingerprints in one bucket, moves before an insertion counts as failed, share of slots to use.
 BUCKET, MOVES, LOAD = 4, 500, 0.85
 
@@ -151,7 +158,7 @@ def postings(docs: DataFrame, least_length: int) -> DataFrame:
                 ids += [doc] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], names=["key", "doc_id", "n_lines"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "key binary, doc_id long, n_lines long")
+    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "key binary, doc_id long, n_lines long")
     return found.groupBy("key", "doc_id").agg(F.sum("n_lines").alias("n_lines"))
 
 
@@ -178,8 +185,8 @@ def filters(refs: DataFrame, shards: int) -> DataFrame:
     return _with_shard(refs.select("key"), shards).groupBy("shard").applyInPandas(build, "shard long, blob binary")
 
 
-def shards_for(keys: int) -> int:
-    return max(16, -(-keys // SHARD_KEYS))
+def shards_for(postings: int) -> int:
+    return max(16, -(-postings // SHARD_POSTINGS))
 
 
 def updated(held: DataFrame, added: DataFrame, gone: DataFrame, shards: int) -> DataFrame:
@@ -206,28 +213,18 @@ def updated(held: DataFrame, added: DataFrame, gone: DataFrame, shards: int) ->
 
 
 def suspects(posted: DataFrame, filter_rows: DataFrame, shards: int) -> DataFrame:
-    """The postings whose key a filter may hold. Filters larger than ``BROADCAST_BYTES`` aren't broadcast: all postings pass."""
-    size = filter_rows.agg(F.sum(F.length("blob"))).first()[0] or 0
-    if size > BROADCAST_BYTES:
-        return posted
-    shared = posted.sparkSession.sparkContext.broadcast({r.shard: r.blob for r in filter_rows.collect()})
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded = {s: Cuckoo.load(b) for s, b in shared.value.items()}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            digests = _rows(batch.column("key").to_pylist())
-            owner = shard_of(digests, shards)
-            order = np.argsort(owner, kind="stable")
-            edges = np.flatnonzero(np.r_[True, np.diff(owner[order]) != 0, True])
-            keep = np.zeros(len(owner), bool)
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if (held := loaded.get(int(owner[order[a]]))) is not None:
-                    keep[order[a:b]] = held.may_hold(digests[order[a:b]])
-            yield batch.filter(pa.array(keep))
+    """The postings whose key its shard's filter may hold."""
+    names = posted.columns
+    schema = ", ".join(f"{n} {t}" for n, t in posted.dtypes)
+
+    def probe(part: pa.Table, held: pa.Table) -> pa.Table:
+        part = part.select(names)
+        if not part.num_rows or not held.num_rows:
+            return part.slice(0, 0)
+        found = Cuckoo.load(held.column("blob")[0].as_py()).may_hold(_rows(part.column("key").to_pylist()))
+        return part.filter(pa.array(found))
 
-    return posted.mapInArrow(probe, ", ".join(f"{n} {t}" for n, t in posted.dtypes))
+    return _with_shard(posted, shards).groupBy("shard").cogroup(filter_rows.groupBy("shard")).applyInArrow(probe, schema)
 
 
 class LineIndex:
@@ -241,7 +238,7 @@ class LineIndex:
     def build(cls, docs: DataFrame, least_length: int = 40, least_docs: int = 5) -> LineIndex:
         posted = settle(postings(docs, least_length))
         refs = settle(references(posted, least_docs))
-        shards = shards_for(refs.count())
+        shards = shards_for(posted.count())
         return cls(posted, refs, settle(filters(refs, shards)), shards, least_length, least_docs)
 
     def insert(self, docs: DataFrame) -> LineIndex:
@@ -266,40 +263,49 @@ class LineIndex:
 
     def drops(self) -> DataFrame:
         """(doc_id, keys): the line keys that each document loses."""
-        found = suspects(self.posted, self.filter_rows, self.shards).join(self.refs, "key")
-        return found.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-
-    def apply(self, docs: DataFrame, counts: bool = False) -> DataFrame:
-        """``docs`` without repeated lines; with ``counts`` also n_lines and n_dropped. Texts that lose nothing stay byte for byte."""
+        hot = settle(self.refs.where(F.col("n_docs") >= HOT).select("key", "keep_id"))
+        hottest = small(hot, 64, BROADCAST_BYTES)
+        rest = suspects(self.posted.join(hottest, "key", "left_anti"), self.filter_rows, self.shards)
+        found = rest.join(self.refs.where(F.col("n_docs") < HOT).select("key", "keep_id"), "key").unionByName(self.posted.join(hottest, "key"))
+        return found.where("doc_id <> keep_id").groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+
+    def _kept(self, docs: DataFrame, columns: list[str], text_too: bool) -> DataFrame:
+        """``row`` (the named columns), the text that is left, n_lines and n_dropped of every row."""
         least = self.least_length
-        lost = self.drops().select(F.col("doc_id").alias("drop_id_"), F.col("keys").alias("drop_keys_"))
-        joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("drop_id_")), "left").drop("drop_id_")
-        names = [*docs.columns, *(["n_lines", "n_dropped"] if counts else [])]
+        lost = self.drops().select(F.col("doc_id").alias("id"), "keys")
+        read = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").alias("own"), "text").join(lost, F.col("own") == F.col("id"), "left").select("row", "text", "keys")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text"):
                 texts, total, dropped = [], [], []
-                for text, keys in zip(text_bytes(batch), batch.column("drop_keys_").to_pylist(), strict=True):
+                for text, keys in zip(text_bytes(batch), batch.column("keys").to_pylist(), strict=True):
                     n, k = (text or b"").count(b"\n") + 1, 0
-                    if keys:
+                    if keys and text:
                         gone, lines = set(keys), text.split(b"\n")
                         kept = [line for line, d in zip(lines, _keys(text, least), strict=True) if d is None or d not in gone]
                         text, k = b"\n".join(kept), n - len(kept)
-                    texts.append(text)
+                    texts.append(text if text_too else hashlib.sha256(text or b"").hexdigest().encode())
                     total.append(n)
                     dropped.append(k)
-                made = {"text": pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": pa.array(total, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
-                yield pa.RecordBatch.from_arrays([made[c] if c == "text" or counts and c in made else batch.column(c) for c in names], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(dropped, pa.int64())], names=["row", "text", "n_lines", "n_dropped"])
+
+        schema = T.StructType([read.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+        return read.mapInArrow(run, schema)
+
+    def apply(self, docs: DataFrame) -> DataFrame:
+        """``docs`` without repeated lines. Texts that lose nothing stay byte for byte."""
+        names = docs.columns
+        made = self._kept(docs, [c for c in names if c != "text"], True)
+        return made.select(*("text" if c == "text" else F.col("row").getField(c).alias(c) for c in names))
 
-        schema = docs.schema
-        if counts:
-            schema = docs.select(*docs.columns, F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).schema
-        return joined.mapInArrow(run, schema)
+    def report(self, docs: DataFrame) -> DataFrame:
+        """Per row: doc_id, n_lines, n_dropped and the SHA-256 of the text that is left."""
+        return self._kept(docs, ["doc_id"], False).select("row.doc_id", "n_lines", "n_dropped", F.col("text").alias("kept_sha256"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return LineIndex.build(docs).apply(docs, counts=True).select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    docs = table(spark, sf_dir, "documents")
+    return LineIndex.build(docs).report(docs)
 
 
 QUERIES = {"op7_line_dedup": op7_line_dedup}

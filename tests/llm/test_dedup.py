@@ -54,14 +54,14 @@ def lines_brute(docs, least=40, most=5):
     key = lambda x: "".join(c.lower() if "A" <= c <= "Z" else c for c in x.strip(" \t\n\x0b\x0c\r"))
     holders = defaultdict(set)
     for i, t in docs:
-        for x in (t or "").split("\n"):
+        for x in (t or "").split("\n") if i is not None else ():
             if len(key(x)) >= least:
                 holders[key(x)].add(i)
     out = Counter()
     for i, t in docs:
         lines = (t or "").split("\n")
-        gone = [len(h := holders.get(key(x), ())) >= most and i != max(y if y is not None else -1 for y in h) for x in lines]
-        out[i, len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone, strict=True) if not g)] += 1
+        gone = [i is not None and len(h := holders.get(key(x), ())) >= most and i != max(h) for x in lines]
+        out[i, len(lines), sum(gone), hashlib.sha256("\n".join(x for x, g in zip(lines, gone, strict=True) if not g).encode()).hexdigest()] += 1
     return out
 
 
@@ -72,11 +72,11 @@ def sample_docs():
     for i in range(60):
         own = [f"own line {i} {j} " + "words and words " * 3 for j in range(rng.randint(0, 3))]
         docs.append((i, "\n".join(rng.sample([*own, *(x if rng.random() < 0.5 else f"  {x.upper() if x.isascii() else x}\t" for x in rng.sample(long, rng.randint(0, 4))), "short"], k=min(3, len(own) + 1)))))
-    return [*docs, (60, None), (61, ""), (62, "\n\n"), (63, long[0] + "\n" + long[0]), (None, long[0])]
+    return [*docs, (60, None), (61, ""), (62, "\n\n"), (63, long[0] + "\n" + long[0]), (None, long[0]), (5, None), (5, long[0] + "\nx"), (6, "\n" + long[1]), (60, long[0] * 3000)]
 
 
 def told(df):
-    return Counter((r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in df.collect())
+    return Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in df.collect())
 
 
 def frame(spark, docs):
@@ -86,11 +86,21 @@ def frame(spark, docs):
 def test_lines(spark):
     docs = sample_docs()
     df = frame(spark, docs)
-    assert told(L.LineIndex.build(df).apply(df, counts=True)) == lines_brute(docs)
-    extra = spark.createDataFrame([(1, "t", b"k", 2)], "doc_id long, text string, key binary, n_lines int")
-    assert L.LineIndex.build(extra).apply(extra).columns == extra.columns
+    assert told(L.LineIndex.build(df).report(df)) == lines_brute(docs)
+    kept = L.LineIndex.build(df).apply(df)
+    assert Counter((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in kept.collect()) == Counter((i, h) for i, _, _, h in lines_brute(docs).elements())
+    extra = spark.createDataFrame([(1, "t", b"k", 2, 3, 4, "r")], "doc_id long, text string, key binary, n_lines int, n_dropped int, keys int, row string")
+    assert L.LineIndex.build(extra).apply(extra).schema == extra.schema
+    assert L.LineIndex.build(extra).apply(extra).collect() == extra.collect()
     empty = frame(spark, [])
-    assert L.LineIndex.build(empty).apply(empty, counts=True).count() == 0
+    assert L.LineIndex.build(empty).report(empty).count() == 0
+
+
+def test_lines_of_very_many_documents(spark, monkeypatch):
+    monkeypatch.setattr(L, "HOT", 8)
+    docs = sample_docs()
+    df = frame(spark, docs)
+    assert told(L.LineIndex.build(df).report(df)) == lines_brute(docs)
 
 
 def test_insert_and_delete_equal_a_rebuild(spark):
@@ -98,12 +108,12 @@ def test_insert_and_delete_equal_a_rebuild(spark):
     first, second = frame(spark, docs[:30]), frame(spark, docs[30:])
     whole = frame(spark, docs)
     index = L.LineIndex.build(first).insert(second)
-    assert told(index.apply(whole, counts=True)) == lines_brute(docs)
+    assert told(index.report(whole)) == lines_brute(docs)
     gone = [i for i, _ in docs if i is not None and i % 3 == 0]
     left = [d for d in docs if d[0] is None or d[0] % 3]
     after = index.delete(spark.createDataFrame([(i,) for i in gone], "doc_id long"))
     rest = frame(spark, left)
-    assert told(after.apply(rest, counts=True)) == lines_brute(left)
+    assert told(after.report(rest)) == lines_brute(left)
     keys = [r.key for r in after.refs.collect()]
     loaded = {r.shard: L.Cuckoo.load(r.blob) for r in after.filter_rows.collect()}
     for k in keys:
