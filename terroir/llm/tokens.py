@@ -1,13 +1,16 @@
 """Byte-level BPE ids of whole texts.
 
 The ids are those of the ``tokenizers`` library for ``byte_bpe_50k.json``; they are made by ``tiktoken`` from the
-same vocabulary, which is several times faster, and a test holds the two against each other. The vocabulary's
-special strings are ordinary text here, so a document can't inject a control token.
+same vocabulary, which is several times faster, and a test holds the two against each other. As there, a text that
+contains one of the vocabulary's added tokens has that token's id; ``added=False`` makes such strings ordinary text, so
+that a document can't inject a control token.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 from array import array
 from functools import cache
 
@@ -46,8 +49,25 @@ def _words(path: str) -> _Words:
     return _Words(tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}))
 
 
-def encode(text: str, path: str) -> bytes:
-    """Ids of the whole text as little-endian uint32 bytes.
+@cache
+def _added(path: str) -> tuple[re.Pattern | None, dict[str, bytes]]:
+    """A pattern of the added tokens that the tokenizer's own file lists, and their ids."""
+    with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as file:
+        listed = {t["content"]: array("I", [t["id"]]).tobytes() for t in json.load(file)["added_tokens"]}
+    return re.compile("(" + "|".join(map(re.escape, sorted(listed, key=len, reverse=True))) + ")") if listed else None, listed
+
+
+def encode(text: str, path: str, added: bool = True) -> bytes:
+    """Ids of the whole text as little-endian uint32 bytes."""
+    if added:
+        pattern, listed = _added(path)
+        if pattern and pattern.search(text):
+            return b"".join(listed[part] if part in listed else plain(part, path) for part in pattern.split(text) if part)
+    return plain(text, path)
+
+
+def plain(text: str, path: str) -> bytes:
+    """Ids of a text without added tokens.
 
     A single space or line feed between two other characters always ends a pre-token, so such texts are cut there
     and each word is looked up; every other text (runs of white space, other white space) is encoded whole.

@@ -16,12 +16,14 @@ PATH = B.vocabulary_path()
 
 def test_ids_are_those_of_the_tokenizer():
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     rng = random.Random(5)
-    texts = ["", " ", "a", "Hello, world.\nIt's  two   spaces \n\n x", "\tTab nbsp 　wide em", "don't we'll, I'D", "é è ñ ß 日本語 😀 mixed123abc", "<|endoftext|>", "a\x00b", "x" * 3000, "end ", " start", "a\n b", "...,, .5 x.y"]
+    texts = ["", " ", "a", "Hello, world.\nIt's  two   spaces \n\n x", "\tTab nbsp 　wide em", "don't we'll, I'D", "é è ñ ß 日本語 😀 mixed123abc", "<|endoftext|>", "hello <|endoftext|> world", "<|endoftext|><|endoftext|>  x", "<|endoftext |>", "a\x00b", "x" * 3000, "end ", " start", "a\n b", "...,, .5 x.y"]
     texts += ["".join(rng.choice("ab,. \n\t'1é") for _ in range(60)) for _ in range(300)]
     for text in texts:
         assert np.frombuffer(tokens.encode(text, PATH), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    plain.encode_special_tokens = True
+    for text in texts:
+        assert np.frombuffer(tokens.encode(text, PATH, added=False), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
 def check_packing(rows, capacity):
