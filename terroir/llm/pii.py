@@ -1,10 +1,14 @@
 """Personal data: four base patterns, and contextual extraction bootstrapped from them.
 
-The base spans are the seeds. The two words before a seed are a lexical pattern. Patterns with enough different seeds
-are looked up in all texts, which gives a graph of patterns and the identifiers that follow them. Spark scores it
-iteratively: a pattern is worth the mean score of what follows it, an unseen identifier the mean score of the patterns
-before it, a seed 1 and any other word 0. Patterns that end up above a high bar mark the identifiers that follow them
-as further spans of kind ``id``. Base spans are never touched.
+Seeds are the base spans and words of a secret's shape (long, of letters and digits mixed). The two words before an
+identifier, digits as ``#``, are a lexical pattern. All identifiers of all texts and their patterns make a graph, and
+Spark scores it iteratively: a pattern is worth the mean score of what follows it, a seed 1, any word that doesn't
+look like an identifier 0, and an identifier that is no seed the mean score of the patterns before it. So identifiers
+that are found lend weight to further patterns. Patterns that end up above a high bar, with enough different
+identifiers that are sure themselves, mark what follows them as spans of kind ``id``. Base spans are never touched.
+
+Tasks know the patterns by a table of bits of fixed size; what it lets through by mistake goes in exact joins, so
+there may be any number of patterns.
 
 Defined results: a null text is empty and has no spans; overlapping spans of different kinds all stay; repeated ids
 are judged row by row; an empty table gives no rows; extra columns are ignored.
@@ -16,18 +20,20 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import settle, slices, small, table
 
 KINDS = ("email", "ip", "card", "phone")
-#: Different seeds a pattern needs, the score it needs in the end, rounds of scoring.
-LEAST_SEEDS, LEAST_SCORE, ROUNDS = 5, 0.8, 3
-#: Patterns (their hashes) that are told to the tasks at once; more are handled in further passes.
-PATTERNS_AT_ONCE = 200_000
+#: Different sure identifiers that a pattern needs, the score that it and they need in the end, rounds of scoring.
+LEAST_SEEDS, LEAST_SCORE, ROUNDS = 3, 0.8, 4
+#: Bits of the table that tells tasks which patterns to look at.
+BITS = 1 << 24
 BROADCAST_BYTES = 32 << 20
 
 _DIGIT = re.compile("[0-9]")
@@ -38,6 +44,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"\S+")
+_DIGIT_WORD = re.compile(r"\S*[0-9]\S*")
+#: What a secret looks like: a long word, with at least ``SHAPE_LEAST`` letters and as many digits.
+_SHAPE, SHAPE_LEAST = re.compile(r"[A-Za-z0-9+/=_-]{20,}"), 4
 _EDGE = ".,;:!?\"'()[]{}<>"
 
 
@@ -86,138 +95,170 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _pair(a: str, b: str) -> int:
+    return xxhash.xxh3_64_intdigest(_DIGIT.sub("#", f"{a} {b}".lower()).encode()) >> 1
+
+
 def _pattern(text: str, start: int) -> int | None:
-    """The hash of the two words before a place; None unless a space stands before it and two words before that."""
+    """The hash of the two words before the word that begins at a place, but for punctuation; None if there aren't two."""
+    while start and text[start - 1] in _EDGE:
+        start -= 1
     if not start or not text[start - 1].isspace():
         return None
-    before = text[max(0, start - 128) : start].lower().split()
+    before = text[max(0, start - 128) : start].split()
     return _pair(before[-2], before[-1]) if len(before) > 2 or len(before) == 2 and start <= 128 else None
 
 
-def _pair(a: str, b: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{a} {b}".encode()) >> 1
+def _instance(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.lower().encode()) >> 1
 
 
-def _identifier(word: str) -> str | None:
-    """The word without the punctuation around it, if it looks like an identifier."""
-    bare = word.strip(_EDGE)
-    return bare if len(bare) >= 6 and _DIGIT.search(bare) else None
+def _secret(word: str) -> bool:
+    return bool(_SHAPE.fullmatch(word)) and sum(map(str.isdigit, word)) >= SHAPE_LEAST and sum(map(str.isalpha, word)) >= SHAPE_LEAST
+
+
+def identifiers(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the words that look like identifiers, without the punctuation around them: at least 6 characters
+    and a digit. Those that base spans overlap aren't among them."""
+    held = sorted((a, b) for _, a, b in base)
+    at = 0
+    for m in _DIGIT_WORD.finditer(text):
+        bare = m[0].strip(_EDGE)
+        if len(bare) < 6:
+            continue
+        start = m.start() + m[0].index(bare)
+        end = start + len(bare)
+        while at < len(held) and held[at][1] <= start:
+            at += 1
+        if not any(a < end and start < b for a, b in held[at : at + 8]):
+            yield start, end
 
 
 def _edges(docs: DataFrame) -> DataFrame:
-    """(pattern, instance) of every seed."""
+    """(pattern, instance, seed, n): how often an identifier follows a pattern, and whether it is a seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found: dict[tuple[int, int], int] = {}
+            found: dict[tuple[int, int, bool], int] = {}
             for text in batch.column("text").to_pylist():
-                for _, start, end in base_spans(text or ""):
+                if not text or not ("@" in text or _DIGIT.search(text)):
+                    continue
+                base = base_spans(text)
+                places = [(a, b, True) for _, a, b in base] + [(a, b, _secret(text[a:b])) for a, b in identifiers(text, base)]
+                for start, end, seed in places:
                     if (p := _pattern(text, start)) is not None:
-                        edge = p, xxhash.xxh3_64_intdigest(text[start:end].lower().encode()) >> 1
+                        edge = p, _instance(text[start:end]), seed
                         found[edge] = found.get(edge, 0) + 1
-            yield _table(found)
-
-    return docs.select("text").mapInArrow(run, "pattern long, instance long, n long").groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
-
+            columns = [pa.array([e[i] for e in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.int64())], names=["pattern", "instance", "seed", "n"])
 
-def _table(found: dict[tuple[int, int], int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([e[0] for e in found], pa.int64()), pa.array([e[1] for e in found], pa.int64()), pa.array(list(found.values()), pa.int64())], names=["pattern", "instance", "n"])
+    found = docs.select("text").mapInArrow(run, "pattern long, instance long, seed boolean, n long")
+    return found.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.sum("n").alias("n"))
 
 
-def _starts(text: str) -> set[int]:
-    return {start for _, start, _ in base_spans(text)}
+def marks(patterns: DataFrame) -> np.ndarray:
+    """A table of ``BITS`` bits with those of the patterns set; at most ``BITS`` / 64 numbers reach the driver."""
+    at = F.pmod("pattern", F.lit(BITS))
+    rows = patterns.select((at / 64).cast("int").alias("place"), F.expr(f"shiftleft(1L, cast(pmod(pattern, {BITS}) % 64 as int))").alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(BITS // 64, np.int64)
+    out[rows["place"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
 
 
-def _followers(docs: DataFrame, patterns: frozenset[int]) -> DataFrame:
-    """(pattern, instance, n) for what follows the patterns and isn't a seed: instance -1 is any word that doesn't look like an identifier."""
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
+def _others(docs: DataFrame, known: np.ndarray) -> DataFrame:
+    """(pattern, others): how often a word that doesn't look like an identifier follows a pattern that ``known`` has, or may have."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
+        wanted = np.unpackbits(shared.value)[:BITS].tobytes()
         for batch in slices(batches, "text"):
-            found: dict[tuple[int, int], int] = {}
+            found: dict[int, int] = {}
             for text in batch.column("text").to_pylist():
-                words = (text or "").lower().split()
-                at = [(i + 2, p) for i, p in enumerate(map(_pair, words, words[1:])) if p in wanted]
+                words = (text or "").split()
+                at = [(i + 2, p) for i, p in enumerate(map(_pair, words, words[1:])) if wanted[p % BITS]]
                 if not at:
                     continue
-                starts = _starts(text)
-                places = [(m.start(), m.start() + len(m[0]) - len(m[0].lstrip(_EDGE))) for m in _WORD.finditer(text)] if starts else ()
+                base = base_spans(text)
+                taken = {a for _, a, _ in base} | {a for a, _ in identifiers(text, base)}
+                places = [(m.start(), m.start() + len(m[0]) - len(m[0].lstrip(_EDGE))) for m in _WORD.finditer(text)] if taken else ()
                 for i, p in at:
-                    # a seed is counted already, however it looks; punctuation before it doesn't make it another word
-                    if i >= len(words) or starts and not starts.isdisjoint(places[i]):
-                        continue
-                    bare = _identifier(words[i])
-                    edge = p, (xxhash.xxh3_64_intdigest(bare.encode()) >> 1 if bare else -1)
-                    found[edge] = found.get(edge, 0) + 1
-            yield _table(found)
+                    # identifiers and seeds are counted already, however they look
+                    if i < len(words) and not (taken and not taken.isdisjoint(places[i])):
+                        found[p] = found.get(p, 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["pattern", "others"])
 
-    return docs.select("text").mapInArrow(run, "pattern long, instance long, n long").groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "pattern long, others long").groupBy("pattern").agg(F.sum("others").alias("others"))
 
 
 def patterns(docs: DataFrame, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE) -> DataFrame:
     """(pattern, score) of the patterns that are trusted in the end."""
-    seeds = settle(_edges(docs))
-    enough = settle(seeds.groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= least_seeds).select("pattern"))
-    parts = -(-enough.count() // PATTERNS_AT_ONCE)
-    if not parts:
-        return enough.withColumn("score", F.lit(0.0))
-    met = None
-    for part in range(parts):
-        chosen = frozenset(r.pattern for r in enough.where(F.pmod("pattern", F.lit(parts)) == part).collect())
-        more = settle(_followers(docs, chosen))
-        met = more if met is None else met.unionByName(more)
-    edges = settle(seeds.join(small(enough, 32, BROADCAST_BYTES), "pattern", "left_semi").withColumn("seed", F.lit(True)).unionByName(met.withColumn("seed", F.lit(False))))
-    scored = edges.withColumn("s", F.col("seed").cast("double"))
+    graph = settle(_edges(docs))
+    enough = settle(graph.groupBy("pattern").agg(F.count("*").alias("instances")).where(F.col("instances") >= least_seeds).select("pattern"))
+    edges = settle(graph.join(small(enough, 32, BROADCAST_BYTES), "pattern", "left_semi"))
+    others = settle(_others(docs, marks(enough)).join(small(enough, 32, BROADCAST_BYTES), "pattern", "left_semi"))
+    sure = F.when(F.col("seed"), 1.0)
+    scored = edges.withColumn("s", sure.otherwise(0.0))
+    worth = None
     for _ in range(ROUNDS):
-        worth = settle(scored.groupBy("pattern").agg((F.sum(F.col("n") * F.col("s")) / F.sum("n")).alias("score")))
-        known = edges.where("not seed and instance >= 0").join(worth, "pattern").groupBy("instance").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("found"))
-        known = settle(known)
-        scored = edges.join(known, "instance", "left").withColumn("s", F.when(F.col("seed"), 1.0).when(F.col("instance") < 0, 0.0).otherwise(F.coalesce("found", F.lit(0.0))))
-    return worth.where(F.col("score") >= least_score)
+        sums = scored.groupBy("pattern").agg(F.sum(F.col("n") * F.col("s")).alias("good"), F.sum("n").alias("n"), F.count_if(F.col("s") >= least_score).alias("seeds"))
+        share = F.col("good") / (F.col("n") + F.coalesce("others", F.lit(0)))
+        worth = settle(sums.join(others, "pattern", "left").select("pattern", "seeds", share.alias("score")))
+        # a pattern with too few sure identifiers says nothing about others
+        told = edges.where("not seed").join(worth, "pattern").withColumn("score", F.when(F.col("seeds") >= least_seeds, F.col("score")).otherwise(0.0))
+        found = settle(told.groupBy("instance").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("found")))
+        scored = edges.join(found, "instance", "left").withColumn("s", sure.otherwise(F.coalesce("found", F.lit(0.0))))
+    return worth.where((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds)).select("pattern", "score")
 
 
-def all_spans(text: str, trusted: frozenset[int]) -> list[tuple[str, int, int]]:
-    """Base spans and, by trusted patterns, further identifiers that no base span overlaps."""
-    base = base_spans(text)
-    out = [(KINDS[k], a, b) for k, a, b in base]
-    if trusted and _DIGIT.search(text):
-        words = list(_WORD.finditer(text))
-        for x, y, z in zip(words, words[1:], words[2:], strict=False):
-            bare = _identifier(z[0])
-            if bare and _pair(x[0].lower(), y[0].lower()) in trusted:
-                start = z.start() + z[0].index(bare)
-                if not any(a < start + len(bare) and start < b for _, a, b in base):
-                    out.append(("id", start, start + len(bare)))
-    return out
+def marked(text: str, base: list[tuple[int, int, int]], looks) -> list[tuple[int, int, int]]:
+    """(pattern, start, end) of the identifiers after patterns that ``looks`` is true of."""
+    if not _DIGIT.search(text):
+        return []
+    return [(p, a, b) for a, b in identifiers(text, base) if (p := _pattern(text, a)) is not None and looks(p)]
 
 
 def _told(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-OUT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+READ = "rid long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, marked array<struct<pattern:long,start:int,end:int>>"
 
 
 def find(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """Every document with its counts and spans (kind:start:end in code points, end exclusive)."""
-    chosen = frozenset(r.pattern for r in trusted.select("pattern").collect()) if trusted.count() <= PATTERNS_AT_ONCE * 10 else None
-    if chosen is None:
-        raise ValueError("too many trusted patterns for one pass; raise the least score or the least number of seeds")
-    shared = docs.sparkSession.sparkContext.broadcast(chosen)
+    trusted = settle(trusted.select("pattern"))
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marks(trusted)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(shared.value)[:BITS].tobytes()
+        looks = (lambda p: known[p % BITS]) if b"\1" in known else None
+        rid = TaskContext.get().partitionId() << 36
         for batch in slices(batches, "text"):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = all_spans(text or "", shared.value)
-                base = [x for x in found if x[0] != "id"]
-                counts = [sum(x[0] == k for x in base) for k in KINDS]
-                rows.append((doc, *counts, hashlib.sha256(_told(base).encode()).hexdigest(), _told(found)))
-            types = [pa.int64()] * 5 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=[x.split()[0] for x in OUT.split(", ")])
-
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+                base = base_spans(text or "")
+                told = _told([(KINDS[k], a, b) for k, a, b in base])
+                more = marked(text or "", base, looks) if looks else []
+                rows.append((rid, doc, *(sum(x[0] == k for x in base) for k in range(4)), hashlib.sha256(told.encode()).hexdigest(), told, [{"pattern": p, "start": a, "end": b} for p, a, b in more]))
+                rid += 1
+            types = [pa.int64()] * 6 + [pa.string()] * 2 + [pa.list_(pa.struct([("pattern", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))]
+            names = ["rid", "doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "marked"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+
+    read = settle(docs.select("doc_id", "text").mapInArrow(run, READ))
+    each = read.where(F.size("marked") > 0).select("rid", F.explode("marked").alias("m")).select("rid", "m.*")
+    known = each.join(small(trusted, 32, BROADCAST_BYTES), "pattern", "left_semi")
+    added = settle(known.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ids")))
+    met = read.join(small(added, 256, BROADCAST_BYTES), "rid", "left").withColumn("ids", F.coalesce("ids", F.expr("cast(array() as array<struct<start:int,end:int>>)")))
+    told = F.transform("ids", lambda x: F.concat_ws(":", F.lit("id"), x["start"].cast("string"), x["end"].cast("string")))
+    every = F.array_join(F.filter(F.concat(F.array("base"), told), lambda x: x != ""), ",")
+    return met.select("doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", every.alias("spans"), F.size("ids").cast("long").alias("n_id"))
+
+
+def all_spans(text: str, trusted: frozenset[int]) -> list[tuple[str, int, int]]:
+    """Base spans and, by trusted patterns, further identifiers that no base span overlaps."""
+    base = base_spans(text)
+    return [(KINDS[k], a, b) for k, a, b in base] + [("id", a, b) for _, a, b in marked(text, base, trusted.__contains__)]
 
 
 def redact(text: str, trusted: frozenset[int] = frozenset()) -> str:
