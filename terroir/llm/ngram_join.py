@@ -356,9 +356,9 @@ def difference_keys(mine: tuple[int, np.ndarray, np.ndarray], pivot: tuple[int,
     Let P be the pivot's tokens that other sets hold, k of them, and u the others; e what a set differs from P by, and
     o how much the differences of x and y have in common. They are linked if e(x) + e(y) - 2 o <= r (n(x) + n(y)), r
     being (1 - t) / (1 + t) for a similarity of t. If x isn't linked with the pivot, f = e(x) - r (n(x) + k) is above
-    -u (1 - r), and it follows that o >= f / (1 + r) and o > (e(y) - r max(0, n(y) - k) - u (1 - r)) / 2. So x is indexed by
-    the first, and every set by the second bound: a prefix of the differences that leaves out less than o of them, in
-    pairs of one class. Where these don't suffice, single differences are keys as well, and where o may be 0 one key
+    -u (1 - r), and it follows that o >= f / (1 + r) and o > (e(y) - r max(0, n(y) - k) - u (1 - r)) / 2. So sets that aren't
+    linked with the pivot are indexed by the first bound, and those that are by the second: a prefix of the differences
+    that leaves out less than o of them, in pairs of one class. Where these don't suffice, single differences are keys as well, and where o may be 0 one key
     that all of them share. Rare additions come first, and commonest omissions.
     """
     (n, x, x_level), (n_pivot, p, p_level) = mine, pivot
@@ -369,10 +369,10 @@ def difference_keys(mine: tuple[int, np.ndarray, np.ndarray], pivot: tuple[int,
     s = int(added.sum() + omitted.sum())
     e = s + n - len(x)
     r, one = measure.den - measure.num, measure.den + measure.num  # both times den + num
-    bounds = [(e * one - r * max(0, n - k) - u * (one - r)) // (2 * one) + 1]
-    if not linked:
-        bounds.append(-(-(e * one - r * (n + k)) // (one + r)))
-    least = min(bounds)
+    if linked:
+        least = (e * one - r * max(0, n - k) - u * (one - r)) // (2 * one) + 1
+    else:
+        least = -(-(e * one - r * (n + k)) // (one + r))
     if least > s:
         return linked, np.zeros(0, np.uint64)
     rank = np.concatenate((x_level[added].astype(np.int64), 128 - p_level[omitted].astype(np.int64)))
