@@ -6,8 +6,8 @@ hashed, so that neither another wrapping nor a partial quote matters, and so are
 itself if it is shorter than a window; the same is done to the unquoted passages of every message. A message replies
 to the earlier message of its conversation that holds most of the characters it quotes at the first level; short pieces
 only count where nothing longer is found, and deeper levels, being quotes of quotes, where the first level finds nothing. A message without a match
-starts a thread at its own turn. Replies are ordered by their path from the thread's first message. All of it is
-DataFrame work.
+starts a thread at its own turn. Every message comes after what it replies to in the order of thread and turn; its
+depth is the number of replies above it. All of it is DataFrame work.
 
 Defined results: a null text is empty; a null conversation or turn is kept, has no parent and is never one; of rows
 that repeat a conversation and turn one is used as the original, all are kept; a message of quotes alone has an empty
@@ -16,16 +16,16 @@ body; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settle, table
+from .common import discard, settle, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Shorter pieces (normalised characters) only count where nothing longer of their level is found.
 LEAST = 12
-#: Words of a window.
-WINDOW = 5
+#: Words of a window, turns of a block.
+WINDOW, BLOCK = 5, 1024
 MARKS = r"^[ \t]*((?:>[ \t]?)*)"
 
 
@@ -67,14 +67,32 @@ def _pieces(read: DataFrame, quoted: bool) -> DataFrame:
     return rows.select("conv_id", "turn", "level", "passage", "p.*").where(F.col("words").rlike(r"[\p{L}\p{N}]")).withColumns({"h1": F.xxhash64("words"), "h2": F.hash("words")})
 
 
+def _latest(quotes: DataFrame, originals: DataFrame) -> DataFrame:
+    """(conv_id, turn, h1, h2, parent): for each quoted piece the last original before it in its conversation.
+
+    An as-of join in two steps, so that a piece that a conversation repeats very often is neither paired with all its
+    quotes nor sorted at once: within blocks of ``BLOCK`` turns, and from the last originals of the blocks before.
+    """
+    block = F.floor(F.col("turn") / BLOCK).alias("block")
+    piece = ["conv_id", "h1", "h2"]
+    asked = quotes.select(*piece, "turn", block, F.lit(None).cast("long").alias("parent"))
+    given = originals.select(*piece, F.col("parent").alias("turn"), "parent").select(*piece, "turn", block, F.col("parent").cast("long").alias("parent"))
+    within = Window.partitionBy(*piece, "block").orderBy(F.col("turn").cast("long")).rangeBetween(Window.unboundedPreceding, -1)
+    near = asked.withColumn("quote", F.lit(True)).unionByName(given.withColumn("quote", F.lit(False))).withColumn("near", F.max("parent").over(within)).where("quote").drop("quote", "parent")
+    ends = given.groupBy(*piece, "block").agg(F.max("parent").alias("last")).unionByName(asked.select(*piece, "block", F.lit(None).cast("long").alias("last")).distinct())
+    before = Window.partitionBy(*piece).orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
+    far = ends.groupBy(*piece, "block").agg(F.max("last").alias("last")).withColumn("far", F.max("last").over(before)).where("far is not null").drop("last")
+    found = near.join(far, [*piece, "block"], "left").withColumn("parent", F.coalesce("near", "far"))
+    return found.where("parent is not null").select("conv_id", "turn", "h1", "h2", "parent")
+
+
 def parents(read: DataFrame) -> DataFrame:
     """(conv_id, turn, parent, quoted_chars) for the messages whose quotes are found."""
     quotes = settle(_pieces(read, True))
     # only pieces that are quoted at all are of use; equal pieces of one conversation: the last one before the quote
     asked = quotes.select("conv_id", "h1", "h2").distinct()
     originals = _pieces(read, False).select("conv_id", F.col("turn").alias("parent"), "h1", "h2").join(asked, ["conv_id", "h1", "h2"], "left_semi").distinct()
-    met = quotes.select("conv_id", "turn", "h1", "h2").distinct().join(settle(originals), ["conv_id", "h1", "h2"]).where("parent < turn")
-    last = met.groupBy("conv_id", "turn", "h1", "h2").agg(F.max("parent").alias("parent"))
+    last = _latest(quotes.select("conv_id", "turn", "h1", "h2").distinct(), settle(originals))
     found = settle(quotes.join(last, ["conv_id", "turn", "h1", "h2"]))
     # words that several windows hold count once, and so do lines that are repeated
     word = F.posexplode(F.split("words", " ")).alias("i", "word")
@@ -91,41 +109,33 @@ def parents(read: DataFrame) -> DataFrame:
 
 
 def link(messages: DataFrame) -> DataFrame:
-    """Every message without its quotes, with its parent and its place in reply order.
+    """Every message without its quotes, with its parent, the first message of its thread and its depth there.
 
-    ``reply_path`` sorts a conversation: turns from its first message down to this one, as fixed-width text. Paths
-    grow by doubling, so a chain of n replies takes log2(n) joins.
+    Threads and depths grow by doubling: a chain of n replies takes log2(n) joins, and a row never holds more than two
+    numbers of its path.
     """
     read = messages.select("conv_id", "turn", "role", lines(F.col("text")).alias("lines"))
     found = settle(parents(read))
-    linked = found.select("conv_id", "turn", "parent")
-    paths = settle(linked.select("conv_id", "turn", F.col("parent").alias("top"), F.array("parent", "turn").alias("path")))
+    paths = settle(found.select("conv_id", "turn", F.col("parent").alias("top"), F.lit(1).cast("long").alias("depth")))
     while True:
-        up = paths.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("higher"), F.col("path").alias("above"))
-        grown = settle(
-            paths.join(up, ["conv_id", "top"], "left").select(
-                "conv_id", "turn", F.coalesce("higher", "top").alias("top"), F.when(F.col("above").isNull(), F.col("path")).otherwise(F.concat("above", F.slice("path", 2, F.size("path")))).alias("path"), F.col("above").isNotNull().alias("moved")
-            )
-        )
+        up = paths.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("higher"), F.col("depth").alias("above"))
+        grown = settle(paths.join(up, ["conv_id", "top"], "left").select("conv_id", "turn", F.coalesce("higher", "top").alias("top"), (F.col("depth") + F.coalesce("above", F.lit(0))).alias("depth"), F.col("above").isNotNull().alias("moved")))
+        discard(paths)
         paths = grown.drop("moved")
         if not grown.where("moved").limit(1).count():
             break
     body = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n")
-    depth = F.array_max(F.transform("lines", lambda x: x["level"]))
-    shown = read.select("conv_id", "turn", "role", F.trim(F.regexp_replace(body, r"\n{3,}", "\n\n")).alias("body"), depth.alias("quote_depth"))
-    told = settle(found.join(paths.select("conv_id", "turn", "top", "path"), ["conv_id", "turn"]))
-    code = lambda x: F.lpad(x.cast("string"), 12, "0")
+    deepest = F.array_max(F.transform("lines", lambda x: x["level"]))
+    shown = read.select("conv_id", "turn", "role", F.trim(F.regexp_replace(body, r"\n{3,}", "\n\n")).alias("body"), deepest.alias("quote_depth"))
+    told = settle(found.join(paths, ["conv_id", "turn"]))
+    none = F.lit(0).cast("long")
     return shown.join(told, ["conv_id", "turn"], "left").select(
-        "conv_id",
-        "turn",
-        "role",
-        "body",
-        "quote_depth",
+        "conv_id", "turn", "role", "body", "quote_depth",
         F.col("parent").alias("parent_turn"),
-        F.coalesce("quoted_chars", F.lit(0)).cast("long").alias("quoted_chars"),
+        F.coalesce("quoted_chars", none).cast("long").alias("quoted_chars"),
         F.coalesce("top", "turn").alias("thread_turn"),
-        F.coalesce(F.array_join(F.transform("path", code), "/"), code(F.col("turn"))).alias("reply_path"),
-    )
+        F.coalesce("depth", none).alias("depth"),
+    )
 
 
 def op5_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
