@@ -1,7 +1,8 @@
 """URL filters: listed rules first, else association rules mined from labelled pages.
 
 A page's URL becomes a set of tokens (host labels, path segments, query keys). Labelled pages are the transactions of
-Spark's FP-growth; a rule "these tokens, so bad" stays if its support and its confidence are high enough and no rule
+Spark's FP-growth. Of tokens that the same labelled pages hold one stands for all, or else a family of URLs with thirty
+query keys would have 2^30 frequent sets; each set is mined once this way, by its fewest tokens. A rule "these tokens, so bad" stays if its support and its confidence are high enough and no rule
 of fewer tokens already covers it. For matching, every rule is filed under its rarest token: a URL looks up the rules
 of its own tokens and checks the rest of each. All of it is DataFrame work.
 
@@ -74,10 +75,16 @@ def mined(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confide
     told = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
     bad = told.groupBy("doc_id").agg(F.max(F.coalesce((F.col("toxic") == 1) | (F.col("quality") == 0), F.lit(False))).alias("bad"))
     seen = pages.select(document(F.col("url")).alias("doc_id"), tokens(F.col("url")).alias("items")).where(F.size("items") > 0)
-    sets = settle(seen.join(bad, "doc_id").select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
-    pages_told = sets.count()
+    labelled = settle(seen.join(bad, "doc_id").withColumn("row", F.monotonically_increasing_id()))
+    pages_told = labelled.count()
     if pages_told < LEAST_PAGES:
         return None
+    each = labelled.select("row", F.explode("items").alias("token"))
+    mix = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
+    held = settle(each.groupBy("token").agg(F.count("*").alias("n"), mix(1).alias("x"), mix(2).alias("y")))
+    chosen = settle(held.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"))
+    items = each.join(small(chosen, 128, BROADCAST_BYTES), "token", "left_semi").groupBy("row").agg(F.collect_list("token").alias("items"))
+    sets = settle(items.join(labelled.select("row", "bad"), "row").select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_PAGES / pages_told), minConfidence=confidence).fit(sets)
     found = settle(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
     with_bad = found.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("both")).where(F.size("tokens") > 0)
