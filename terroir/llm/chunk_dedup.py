@@ -10,8 +10,9 @@ against the texts that keep its chunks, and the words of what comes out are coun
 chunk that is long enough to compare does, or that chunk would be in the run too; the bytes up to there are all that is
 compared. A passage without a whole chunk in it has no seed and isn't seen.
 
-Defined results: null and empty texts have no chunks; rows that repeat an id count as one document; rows with a null id
-can't be named and have no passages; an empty table gives no rows; extra columns are kept by ``cut``.
+Defined results: null and empty texts have no chunks; rows that repeat an id count as one document, each has the passages
+of its own text, and ``mark`` tells them apart; rows with a null id can't be named and have no passages; an empty table
+gives no rows; extra columns, whatever their names, are kept by ``cut``.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import settle, slices, table, text_bytes
 
@@ -67,7 +69,7 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.stack((starts, ends)), np.add.reduceat(_begins(data), starts)
 
 
-CHUNK = "rid long, doc_id long, idx int, start int, end int, before int, upto int, low int, high int, digest long, place long"
+CHUNK = "rid long, doc_id long, idx int, start int, end int, before int, upto int, low int, high int, digest long, more long, place long"
 
 
 def _place(text: bytes) -> int:
@@ -85,7 +87,7 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 36
         for batch in slices(batches, "text"):
-            out: list[list[np.ndarray]] = [[] for _ in range(10)]
+            out: list[list[np.ndarray]] = [[] for _ in range(11)]
             ids: list[int] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), strict=True):
                 rid += 1
@@ -97,16 +99,16 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                     continue
                 starts, ends = starts[keep], ends[keep]
                 words = np.concatenate(([0], np.cumsum(_begins(np.frombuffer(text, np.uint8)))))
-                digests = np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64)
+                digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64).reshape(-1, 2)
                 # before the first chunk, and after the last one, all of the text is within reach
                 low = np.maximum(np.concatenate(([0], starts[:-1])) - REACH, 0)
                 high = np.concatenate((ends[1:], [len(text)]))
                 place = _place(text) + starts
-                for values, more in zip(out, (np.full(len(keep), rid), np.arange(len(keep)), starts, ends, words[starts], words[ends], words[low], words[high], digests.view(np.int64), place), strict=True):
+                for values, more in zip(out, (np.full(len(keep), rid), np.arange(len(keep)), starts, ends, words[starts], words[ends], words[low], words[high], digests[:, 0], digests[:, 1], place), strict=True):
                     values.append(np.asarray(more))
                 ids += [doc] * len(keep)
             if ids:
-                kinds = (np.int64, *[np.int32] * 7, np.int64, np.int64)
+                kinds = (np.int64, *[np.int32] * 7, *[np.int64] * 3)
                 columns = [pa.array(np.concatenate(x).astype(t)) for x, t in zip(out, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([columns[0], pa.array(ids, pa.int64()), *columns[1:]], names=[x.split()[0] for x in CHUNK.split(", ")])
 
@@ -114,10 +116,10 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(digest, keep_id, keep_place): digests that more than one document holds, with the least of their ids and a place there."""
+    """(digest, more, keep_id, keep_place): digests (128 bits) that more than one document holds, with the least of their ids and a place there."""
     # the least and the largest id differ if there are two documents; both are known before the shuffle
-    found = chunk_rows(docs).groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("most"), F.min_by("place", "doc_id").alias("keep_place"))
-    return found.where("keep_id < most").select("digest", "keep_id", "keep_place")
+    found = chunk_rows(docs).groupBy("digest", "more").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("most"), F.min_by("place", "doc_id").alias("keep_place"))
+    return found.where("keep_id < most").select("digest", "more", "keep_id", "keep_place")
 
 
 def _runs(docs: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
@@ -126,7 +128,7 @@ def _runs(docs: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
     ``mates`` are the keepers of its chunks, as the document and by how much a place there differs from the place here.
     """
     again = settle(repeated(docs))
-    met = chunk_rows(docs).join(again, "digest").withColumn("mine", F.col("doc_id") == F.col("keep_id"))
+    met = chunk_rows(docs).join(again, ["digest", "more"]).withColumn("mine", F.col("doc_id") == F.col("keep_id"))
     here = Window.partitionBy("rid").orderBy("idx")
     fresh = F.col("idx") != F.lag("idx").over(here) + 1
     if by_owner:
@@ -226,9 +228,9 @@ def _extended(docs: DataFrame, runs: DataFrame, by_owner: bool) -> DataFrame:
 
 
 def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = False) -> DataFrame:
-    """(doc_id, start_byte, end_byte, n_words, keep_id, kept): the repeated passages of every document, the keeper's too.
+    """(doc_id, mark, start_byte, end_byte, n_words, keep_id, kept): the repeated passages of every document, the keeper's too.
 
-    ``keep_id`` is the document that keeps most of the passage's chunks; ``kept`` is true in that document.
+    ``mark`` is a hash of the text that the bytes are counted in. ``keep_id`` is the document that keeps most of the passage's chunks; ``kept`` is true in that document.
     """
     runs = settle(_runs(docs, by_owner, least_words))
     far = settle(_extended(docs, runs, by_owner))
@@ -239,33 +241,43 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = F
         found = found.join(beyond, ["doc_id", f"at{side}", f"inner{side}", "flag"], "left")
     more = {side: F.coalesce(F.shiftright(f"ext{side}", 32), F.lit(0)).cast("int") for side in (0, 1)}
     words = sum((F.coalesce(F.col(f"ext{side}").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0)) for side in (0, 1)), F.col("n_words").cast("long"))
-    told = found.select("doc_id", (F.col("start_byte") - more[0]).alias("start_byte"), (F.col("end_byte") + more[1]).alias("end_byte"), words.alias("n_words"), "keep_id", (F.col("doc_id") == F.col("keep_id")).alias("kept"))
+    told = found.select("doc_id", F.shiftright(base, 32).alias("mark"), (F.col("start_byte") - more[0]).alias("start_byte"), (F.col("end_byte") + more[1]).alias("end_byte"), words.alias("n_words"), "keep_id", (F.col("doc_id") == F.col("keep_id")).alias("kept"))
     return told.where(F.col("n_words") >= least_words)
 
 
 def cut(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` without repeated passages, but for the document that keeps each. Untouched texts stay byte for byte."""
-    gone = passages(docs, least_words, by_owner=True).where("not kept").groupBy("doc_id").agg(F.collect_list(F.struct("start_byte", "end_byte")).alias("gone_"))
-    joined = docs.join(gone.withColumnRenamed("doc_id", "gone_id_"), F.col("doc_id").eqNullSafe(F.col("gone_id_")), "left").drop("gone_id_")
+    gone = passages(docs, least_words, by_owner=True).where("not kept").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("mark", "start_byte", "end_byte")).alias("gone"))
     names = docs.columns
+    rest = [c for c in names if c != "text"]
+    read = docs.select(F.struct(*rest).alias("row"), F.col("doc_id").alias("own"), "text")
+    joined = read.join(gone, F.col("own") == F.col("id"), "left").select("row", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = []
-            for text, spans in zip(text_bytes(batch), batch.column("gone_").to_pylist(), strict=True):
-                done = len(text or b"")
-                for span in sorted(spans or (), key=lambda x: -x["start_byte"]):
-                    a, b = span["start_byte"], min(span["end_byte"], done)  # passages may overlap
-                    done = a
-                    while a < len(text) and text[a] & 0xC0 == 0x80:  # never cut a character
-                        a += 1
-                    while b < len(text) and text[b] & 0xC0 == 0x80:
-                        b += 1
-                    text = text[:a] + text[b:]
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string()) if c == "text" else batch.column(c) for c in names], names=names)
-
-    return joined.mapInArrow(run, docs.schema)
+            for text, spans in zip(text_bytes(batch), batch.column("gone").to_pylist(), strict=True):
+                mark = _place(text) >> 32 if text and spans else None
+                texts.append(_without(text, [(x["start_byte"], x["end_byte"]) for x in spans if x["mark"] == mark]) if mark is not None else text)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.binary()).cast(pa.string())], names=["row", "text"])
+
+    made = joined.mapInArrow(run, T.StructType([read.schema["row"], T.StructField("text", T.StringType())]))
+    return made.select(*("text" if c == "text" else F.col("row").getField(c).alias(c) for c in names))
+
+
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the spans, which may overlap; characters stay whole."""
+    done = len(text)
+    for start, end in sorted(spans, reverse=True):
+        a, b = start, min(end, done)
+        done = min(a, done)
+        while a < len(text) and text[a] & 0xC0 == 0x80:
+            a += 1
+        while b < len(text) and text[b] & 0xC0 == 0x80:
+            b += 1
+        if a < b:
+            text = text[:a] + text[b:]
+    return text
 
 
 def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -155,7 +155,83 @@ def test_quotes(spark):
     assert [got[1, t].parent_turn for t in range(5)] == [None, None, 1, 1, 0]
     assert [got[1, t].quote_depth for t in range(5)] == [0, 0, 1, 2, 1]
     assert got[1, 2].body == "Which grit?"
-    assert got[1, 4].reply_path == "000000000000/000000000004"
+    assert [(got[1, t].thread_turn, got[1, t].depth) for t in range(5)] == [(0, 0), (1, 0), (1, 1), (1, 1), (0, 1)]
     assert got[2, 0].parent_turn is None
     assert got[2, 1].body == got[2, 2].body == got[3, 1].body == ""
     assert Q.link(df.limit(0)).count() == 0
+
+
+def test_long_chains_and_repeated_turns(spark, monkeypatch):
+    """Each message quotes the one before it; one turn is there twice, and all share a line that is often repeated."""
+    monkeypatch.setattr(Q, "BLOCK", 16)
+    n = 300
+    rows = [(1, i, f"> number {i - 1} says something of its own here\n> same old signature line\nnumber {i} says something of its own here\nsame old signature line") for i in range(n)]
+    rows += [(1, 7, rows[7][2]), (2, 0, "hello over there"), (2, 5, "> hello over there\nyes"), (2, 40, "> hello over there\nno")]
+    got = Q.link(spark.createDataFrame([(*r, "u", 1) for r in rows], "conv_id long, turn int, text string, role string, depth int")).collect()
+    assert len(got) == len(rows)
+    one = {r.turn: r for r in got if r.conv_id == 1}
+    assert [(one[i].parent_turn, one[i].thread_turn, one[i].depth) for i in range(1, n)] == [(i - 1, 0, i) for i in range(1, n)]
+    assert {r.turn: r.parent_turn for r in got if r.conv_id == 2} == {0: None, 5: 0, 40: 0}
+
+
+def test_latest_original_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(Q, "BLOCK", 8)
+    rng = random.Random(12)
+    quotes = {(rng.randrange(3), rng.randrange(60), rng.randrange(4)) for _ in range(150)}
+    originals = {(rng.randrange(3), rng.randrange(60), rng.randrange(4)) for _ in range(100)}
+    asked = spark.createDataFrame([(c, t, h, h) for c, t, h in quotes], "conv_id long, turn long, h1 long, h2 int")
+    given = spark.createDataFrame([(c, t, h, h) for c, t, h in originals], "conv_id long, parent long, h1 long, h2 int")
+    want = {(c, t, h, max(u for d, u, g in originals if (d, g) == (c, h) and u < t)) for c, t, h in quotes if any((d, g) == (c, h) and u < t for d, u, g in originals)}
+    assert {(r.conv_id, r.turn, r.h1, r.parent) for r in Q._latest(asked, given).collect()} == want
+
+
+def test_urls_equal_brute_force(spark):
+    """Rules by counting all sets of tokens of a small table, against those that are mined."""
+    from itertools import combinations
+
+    rng = random.Random(31)
+    urls = [f"http://{rng.choice(['a', 'b'])}.{rng.choice(['site', 'home'])}.net/{rng.choice(['x', 'y', 'z'])}/{i}?{rng.choice(['q=1', 'q=1&r=2&s=3', ''])}" for i in range(200)]
+    bad = {i for i, u in enumerate(urls) if ("//a.site" in u and "/x/" in u) or "r=2" in u and rng.random() < 0.9}
+    pages = spark.createDataFrame([*enumerate(urls), (500, None), (501, "http://c.net/" + "long/" * 5000), (501, urls[0])], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i not in bad), 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    own = {r.page_id: frozenset(r.t) for r in pages.select("page_id", U.tokens(F.col("url")).alias("t")).where("page_id < 200").collect()}
+    least, sure = 20, U.CONFIDENCE
+    rules = set()
+    for size in range(1, 8):
+        for items in {frozenset(c) for i in range(150) for c in combinations(sorted(own[i]), size)}:
+            held = [i for i in range(150) if items <= own[i]]
+            if sum(i in bad for i in held) >= least and sum(i in bad for i in held) >= sure * len(held):
+                rules.add(items)
+    assert rules
+    want = {i for i in own if any(r <= own[i] for r in rules)}
+    got = {r.page_id: r.verdict for r in U.judge(pages, labels, ()).collect()}
+    assert {i for i in own if got[i] == "block"} == want
+    assert got[500] == "allow"
+
+
+def test_chunks_of_rows_that_repeat_an_id(spark):
+    rng = random.Random(17)
+    passage = prose(rng, 120)
+    other = prose(rng, 300)
+    rows = [(0, passage), (1, passage), (1, other), (1, None), (2, f"{prose(rng, 40)} {passage} {passage}"), (3, prose(rng, 30_000))]
+    df = spark.createDataFrame([(*r, 1, "a", None) for r in rows], "doc_id long, text string, mark int, own string, gone string")
+    got = C.cut(df)
+    assert got.schema == df.schema
+    texts = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert (0, passage) in texts and (1, other) in texts and (1, None) in texts and (3, rows[5][1]) in texts
+    assert {r.doc_id for r in C.passages(df).collect()} == {0, 1, 2}
+    left = next(t for i, t in texts if i == 1 and t not in (None, other))
+    assert len(left) < 60
+
+
+def test_repeated_chunks_equal_brute_force(spark):
+    rng = random.Random(23)
+    shared = [prose(rng, 60) for _ in range(4)]
+    docs = [(i, " ".join(rng.sample([*shared, prose(rng, 20), prose(rng, 50)], 3))) for i in range(25)]
+    holders: dict[bytes, set[int]] = {}
+    for i, t in docs:
+        for a, b in C.chunks(t.encode())[0].T.tolist():
+            if b - a >= C.LEAST_BYTES:
+                holders.setdefault(t.encode()[a:b], set()).add(i)
+    want = sorted(min(h) for h in holders.values() if len(h) > 1)
+    assert sorted(r.keep_id for r in C.repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()) == want
