@@ -32,7 +32,12 @@ def query(sql: str | None = None, views: bool = True):
     return register
 
 
-def _w(spark: SparkSession, sf_dir: str) -> market.Warehouse:
+def _w(spark: SparkSession, sf_dir: str) -> testview.View:
+    """The warehouse for figures of the latest days; it needn't hold older ones."""
+    return testview.warehouse(spark, sf_dir, recent=True)
+
+
+def _history(spark: SparkSession, sf_dir: str) -> testview.View:
     return testview.warehouse(spark, sf_dir)
 
 
@@ -220,7 +225,7 @@ def choropleth_domestic(spark, sf_dir):
 @query("""
 SELECT a.artist_name, count(c.artist_name) AS chart_rows FROM artists a LEFT JOIN chart_entries c ON a.artist_name = c.artist_name WHERE resolved_at IS NULL GROUP BY 1 ORDER BY chart_rows DESC, a.artist_name LIMIT 250""")
 def pending_artists(spark, sf_dir):
-    return market.pending_artists(_w(spark, sf_dir))
+    return market.pending_artists(_history(spark, sf_dir))
 
 
 # ---- single operators
@@ -233,7 +238,7 @@ def latest_per_country(spark, sf_dir):
 
 @query("SELECT country_code, snapshot_date, recency FROM recent_days")
 def recency_dense_rank(spark, sf_dir):
-    return C.recency(_w(spark, sf_dir).chart_entries)
+    return C.recency(_history(spark, sf_dir).chart_entries)
 
 
 @query("SELECT country_code, artist_name, streams, best_position, row_number() OVER (PARTITION BY country_code ORDER BY streams DESC, artist_name) AS rank FROM current_streams QUALIFY rank <= 3")
@@ -295,7 +300,7 @@ def quality_report(spark, sf_dir):
 
 @query("SELECT country_code, snapshot_date, genre, score, array_to_string(sources, ',') AS sources, distinctiveness FROM country_genre_scores")
 def weighted_vote(spark, sf_dir):
-    scores = _w(spark, sf_dir).country_genre_scores
+    scores = _history(spark, sf_dir).country_genre_scores
     return scores.withColumn("sources", F.array_join("sources", ","))
 
 
@@ -353,13 +358,13 @@ def dedupe_last_wins(spark, sf_dir):
 
 @query("SELECT DISTINCT artist_name FROM (SELECT artist_name FROM chart_entries UNION ALL SELECT artist_name FROM country_artist_listeners)")
 def union_dimension(spark, sf_dir):
-    w = _w(spark, sf_dir)
+    w = _history(spark, sf_dir)
     return C.artist_names(w.chart_entries, w.country_artist_listeners)
 
 
 @query("SELECT DISTINCT artist_name FROM chart_entries WHERE artist_name NOT IN (SELECT artist_name FROM artists WHERE resolved_at IS NOT NULL)")
 def pending_anti_join(spark, sf_dir):
-    w = _w(spark, sf_dir)
+    w = _history(spark, sf_dir)
     return C.pending(w.chart_entries.select("artist_name").distinct(), w.artists.where("resolved_at is not null"), "artist_name")
 
 
@@ -396,29 +401,45 @@ def code_resolution(spark, sf_dir):
     return matching.resolved_codes(met.select(F.col("c_custkey").alias("feature_id"), given.alias("candidates")), codes.drop("n_nationkey"))
 
 
-@query(PERCENTAGES + "SELECT a.country_code AS country_a, b.country_code AS country_b, floor(round(sum(least(a.percentage, b.percentage)), 6) * 10 + 0.5) / 10 AS similarity FROM percentages a JOIN percentages b ON a.genre = b.genre AND a.country_code < b.country_code WHERE a.country_code = 'NATION_1' GROUP BY ALL")
+@query(PERCENTAGES + "SELECT a.country_code AS country_a, b.country_code AS country_b, floor(round(sum(least(a.percentage, b.percentage)), 6) * 10 + 0.5) / 10 AS similarity FROM percentages a JOIN percentages b ON a.genre = b.genre AND a.country_code < b.country_code GROUP BY ALL")
 def histogram_overlap(spark, sf_dir):
-    return compare.overlap_all(market.percentages(_w(spark, sf_dir))).where("country_a = 'NATION_1'")
+    return compare.overlap_all(market.percentages(_w(spark, sf_dir)))
 
 
 @query("""
-SELECT c.country_code, track_name, position FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date WHERE position <= 10""")
+SELECT c.country_code, track_name, position FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date WHERE position <= 100""")
 def chart_from_html(spark, sf_dir):
-    """The latest charts rendered as pages, then read back from their first table."""
-    entries = C.latest(_w(spark, sf_dir).chart_entries).where("position <= 100")
+    """The latest charts rendered as pages, then read back from their first table, which gives its first 100 lines."""
+    entries = C.latest(_w(spark, sf_dir).chart_entries)
     cell = lambda c: F.concat(F.lit("<td> "), c, F.lit(" </td>"))
     row = F.concat(F.lit("<tr>"), cell(F.col("position").cast("string")), cell(F.lit("=")), cell(F.concat(F.lit("<a href='#'>"), F.replace("artist_name", F.lit("-"), F.lit("_")), F.lit("</a> - "), F.col("track_name"))), F.lit("</tr>"))
     rows = F.transform(F.array_sort(F.collect_list(F.struct("position", row.alias("row")))), lambda x: x["row"])
     head = F.lit("<html><table><tr><th>Pos</th></tr>")
     pages = entries.groupBy("country_code").agg(F.concat(head, F.array_join(rows, "\n"), F.lit("</table><table><tr><td>9</td></tr></table></html>")).alias("html"))
-    return raw.chart_pages(pages).where("position <= 10").select("country_code", "track_name", "position")
+    return raw.chart_pages(pages).select("country_code", "track_name", "position")
 
 
-@query("SELECT CAST(NULL AS VARCHAR) AS country_code, CAST(NULL AS BIGINT) AS position FROM pages WHERE html LIKE '%<table%'", views=False)
+@query("SELECT CAST(page_id AS VARCHAR) AS country_code, page_id % 100 + 1 AS position, 'P' || page_id AS artist_name, 'T' || page_id AS track_name FROM pages", views=False)
 def charts_in_pages(spark, sf_dir):
-    """Web pages without a chart give no chart rows."""
-    pages = testview.tables(spark, sf_dir)("pages").select(F.col("page_id").cast("string").alias("country_code"), "html")
-    return raw.chart_pages(pages).select("country_code", "position")
+    """Web pages with a chart of one line put before their own markup."""
+    code = F.col("page_id").cast("string")
+    cells = F.concat(F.lit("<td>"), (F.col("page_id") % 100 + 1).cast("string"), F.lit("</td><td>=</td><td><b>P"), code, F.lit("</b> - T"), code, F.lit("</td>"))
+    html = F.concat(F.lit("<body><table><tr><th>Pos</th></tr><tr>"), cells, F.lit("</tr></table>"), F.coalesce("html", F.lit("")), F.lit("</body>"))
+    pages = testview.tables(spark, sf_dir)("pages").select(code.alias("country_code"), html.alias("html"))
+    return raw.chart_pages(pages).select("country_code", "position", "artist_name", "track_name")
+
+
+@query("SELECT DISTINCT genre FROM latest_genres WHERE genre <> 'other' AND length(genre) % 3 <> 0")
+def genre_worklist(spark, sf_dir):
+    """Genres without a description; those whose names have 3, 6, ... letters have one."""
+    scores = C.latest(_w(spark, sf_dir).country_genre_scores)
+    return refresh.genre_worklist(scores.select("genre").unionByName(scores.select(F.lit("other").alias("genre"))), scores.where(F.length("genre") % 3 == 0))
+
+
+@query("SELECT count(DISTINCT c.artist_name) AS wanted, count(DISTINCT l.artist_name) AS matched FROM current_streams c LEFT JOIN (SELECT DISTINCT artist_name FROM country_artist_listeners) l ON c.artist_name = l.artist_name")
+def matched_artists(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return refresh.matched(C.latest(w.chart_entries), w.country_artist_listeners, "artist_name")
 
 
 @query(
@@ -503,7 +524,7 @@ def resolve_artists(spark, sf_dir):
 
 def _cleansed(spark: SparkSession, sf_dir: str) -> tuple[refresh.Cleansed, DataFrame]:
     """Every country's latest day through the whole cleansing plan, and the lines it comes from."""
-    rows = testview.lines(spark, sf_dir)
+    rows = _w(spark, sf_dir)._written(testview.lines(spark, sf_dir, recent=True))
     tags = C.latest(testview.tags(rows))
     known = C.top(C.artist_streams(testview.chart_entries(rows)), ["country_code"], [F.asc("best_position")], 1 << 30).select("country_code", "artist_name", F.col("rank").cast("bigint").alias("rank"))
     codes = testview.tables(spark, sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
@@ -516,16 +537,38 @@ def cleanse(spark, sf_dir):
     return _cleansed(spark, sf_dir)[0].scores.select("country_code", "genre", "score", "distinctiveness")
 
 
-@query("SELECT country_code, count(*) AS artist_count, (SELECT count(*) FROM latest_genres g WHERE g.country_code = c.country_code) AS genre_count FROM current_streams c GROUP BY ALL")
+RECORDS = """
+, g AS (SELECT country_code, string_agg(genre || ':' || score, ',' ORDER BY score DESC, genre) AS genres FROM latest_genres GROUP BY 1),
+a AS (SELECT country_code, count(*) AS artist_count, string_agg(artist_name, ',' ORDER BY best_position) AS artists FROM current_streams GROUP BY 1)
+SELECT a.country_code, artist_count, artists, genres FROM a LEFT JOIN g ON a.country_code = g.country_code"""
+
+
+def _record_text(rows: DataFrame) -> DataFrame:
+    genres = F.array_join(F.transform("genres", lambda x: F.concat_ws(":", x["genre"], x["score"].cast("string"))), ",")
+    return rows.select("country_code", F.col("artist_count").cast("bigint"), F.array_join("artists", ",").alias("artists"), genres.alias("genres"))
+
+
+@query(RECORDS)
 def processed_records(spark, sf_dir):
-    return refresh.records(_cleansed(spark, sf_dir)[0]).select("country_code", F.col("artist_count").cast("bigint"), F.size("genres").cast("bigint").alias("genre_count"))
+    return _record_text(refresh.records(_cleansed(spark, sf_dir)[0]))
+
+
+@query(RECORDS)
+def stored_records(spark, sf_dir):
+    """Records stored for two days, the first of them twice, and each country's latest one read back from the history."""
+    root = f"{testview.scratch(spark)}/records"
+    rows = refresh.records(_cleansed(spark, sf_dir)[0])
+    old = rows.withColumn("artist_count", F.lit(0))
+    for day, found in (("2001-06-30", old), ("2001-06-30", old), ("2001-07-01", rows)):
+        sinks.store_records(found, root, day)
+    return _record_text(refresh.latest_records(sinks.record_history(spark, root, rows.schema)))
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> str:
     """A warehouse folder with one day loaded twice."""
     done, rows = _cleansed(spark, sf_dir)
     root = testview.scratch(spark)
-    charts = C.latest(testview.chart_entries(rows)).where("position <= 100").drop("snapshot_date")
+    charts = C.latest(testview.chart_entries(rows)).drop("snapshot_date")
     heard = C.latest(testview.listeners(rows)).select("country_code", "artist_name", "listeners", F.lit(0).alias("pos"))
     countries = testview.tables(spark, sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
     for _ in range(2):
@@ -534,7 +577,7 @@ def _loaded(spark: SparkSession, sf_dir: str) -> str:
 
 
 LOADED = """+ heard AS (SELECT l.* FROM country_artist_listeners l JOIN (SELECT country_code, max(snapshot_date) AS d FROM country_artist_listeners GROUP BY 1) m ON l.country_code = m.country_code AND l.snapshot_date = m.d),
-charted AS (SELECT c.* FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date WHERE position <= 100)"""
+charted AS (SELECT c.* FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date)"""
 
 
 @query(

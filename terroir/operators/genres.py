@@ -31,7 +31,7 @@ def nearest_terms(texts: DataFrame, terms: DataFrame, threshold: int) -> DataFra
 
     ``texts`` are distinct. A pair with a normalised Indel similarity of T has a Levenshtein distance of at most
     (100 - T) percent of both lengths and a common character bigram if T is high; both tests are built in and lose
-    nothing, so Python sees the few pairs that are left. Short texts are compared by length alone.
+    nothing, so Python sees the few pairs that are left. Short texts meet the terms of each length that is near enough.
     """
     a, b = F.length("text"), F.length("term")
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2))))
@@ -40,8 +40,9 @@ def nearest_terms(texts: DataFrame, terms: DataFrame, threshold: int) -> DataFra
     long = lambda c: F.length(c) - 1 > 2 * F.floor((100 - threshold) * 2 * F.length(c) / threshold)
     blocked = texts.where(long(F.col("text"))).select("text", F.explode(grams(F.col("text"))).alias("gram"))
     held = terms.select("term", "priority", F.explode(grams(F.col("term"))).alias("gram"))
-    pairs = blocked.join(F.broadcast(held), "gram").select("text", "term", "priority").distinct()
-    rest = texts.where(~long(F.col("text"))).join(F.broadcast(terms.select("term", "priority")), F.abs(a - b) <= room)
+    pairs = blocked.join(held, "gram").select("text", "term", "priority").distinct()
+    sizes = F.sequence(F.ceil(a * threshold / (200 - threshold)).cast("int"), F.floor(a * (200 - threshold) / threshold).cast("int"))
+    rest = texts.where(~long(F.col("text"))).select("text", F.explode(sizes).alias("size")).join(terms.select("term", "priority", b.alias("size")), "size")
     near = pairs.unionByName(rest.select("text", "term", "priority")).where((F.abs(a - b) <= room) & (F.call_function("levenshtein", F.col("text"), F.col("term"), room) >= 0))
     scored = near.withColumn("score", ratio("text", "term")).where(F.col("score") >= threshold)
     best = scored.groupBy("text").agg(F.max(F.struct("score", (-F.col("priority")).alias("o"), "term")).alias("b"))
@@ -56,11 +57,11 @@ def normalised_tags(tags: DataFrame, canonical: DataFrame | None = None, aliases
     spark = tags.sparkSession
     aliases = alias_table(spark) if aliases is None else aliases
     distinct = tags.select("tag").distinct().withColumn("text", clean_tag(F.col("tag")))
-    named = distinct.join(F.broadcast(aliases.select(F.col("tag").alias("text"), "alias")), "text", "left")
+    named = distinct.join(aliases.select(F.col("tag").alias("text"), "alias"), "text", "left")
     if canonical is None:
         return named.select("tag", F.coalesce("alias", "text").alias("genre"))
     open_texts = named.where("alias is null and text is not null").select("text").distinct()
-    exact = open_texts.join(F.broadcast(canonical.select(F.col("term").alias("text"))), "text", "left_semi").withColumn("term", F.col("text"))
+    exact = open_texts.join(canonical.select(F.col("term").alias("text")), "text", "left_semi").withColumn("term", F.col("text"))
     near = nearest_terms(open_texts.join(exact, "text", "left_anti"), canonical, params.fuzzy_canonical).select("text", "term")
     return named.join(exact.unionByName(near), "text", "left").select("tag", F.coalesce("alias", "term", "text").alias("genre"))
 
@@ -106,12 +107,18 @@ def classified(tags: DataFrame, canonical: DataFrame | None = None, buckets: Dat
     return first.join(lookup, "tag", "left").withColumn("weight", tag_weight(F.col("count"), params.tag_weight_divisor))
 
 
+def _voting(classified_tags: DataFrame) -> DataFrame:
+    return classified_tags.where(F.col("bucket").isNotNull() & (F.col("bucket") != vocabulary.OTHER)).withColumnRenamed("bucket", "genre")
+
+
 def vote(classified_tags: DataFrame, keys: list[str]) -> DataFrame:
-    """Weighted vote per group and genre: score, sorted sources and sorted artists behind it."""
-    kept = classified_tags.where(F.col("bucket").isNotNull() & (F.col("bucket") != vocabulary.OTHER))
-    return kept.groupBy(*keys, F.col("bucket").alias("genre")).agg(
-        F.sum("weight").alias("score"), F.array_sort(F.collect_set("source")).alias("sources"), F.array_sort(F.collect_set("artist_name")).alias("artists")
-    )
+    """Weighted vote per group and genre: score and sorted sources."""
+    return _voting(classified_tags).groupBy(*keys, "genre").agg(F.sum("weight").alias("score"), F.array_sort(F.collect_set("source")).alias("sources"))
+
+
+def behind(classified_tags: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, genre, artist_name): the artists behind each genre, one row each, so that no group gathers them all."""
+    return _voting(classified_tags).select(*keys, "genre", "artist_name").distinct()
 
 
 def coverage(classified_tags: DataFrame, keys: list[str]) -> DataFrame:

@@ -201,6 +201,12 @@ def country_detail(w: Warehouse, images: DataFrame | None = None) -> DataFrame:
     return out
 
 
+def genre_panel(details: DataFrame, code: str, genre: str) -> DataFrame:
+    """One country's panel of a genre out of ``country_detail``: null if it has none; the code's case doesn't matter."""
+    mine = details.where(F.lower("country_code") == code.lower())
+    return mine.select("country_code", F.try_element_at("genre_details", F.lit(genre)).alias("panel"))
+
+
 def percentages(w: Warehouse) -> DataFrame:
     """(country_code, genre, percentage) over all genres of the latest day."""
     return genre_shares(w, "popularity", limit=1 << 30).select("country_code", "genre", "percentage")

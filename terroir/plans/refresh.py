@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import headline_artist, summary
+from ..functions.vocabulary import OTHER
 from ..operators import charts as C
 from ..operators import genres as G
 from ..params import DEFAULTS, Params
 from ..schemas import TABLES
-from ..sources import sinks
+from ..sources import raw, sinks
 from . import market
 
 
@@ -44,14 +45,37 @@ def cleanse(artists: DataFrame, tags: DataFrame, countries: DataFrame, canonical
     ``artists`` is ``top_artists``; ``tags`` has (country_code, artist_name, pos, tag, count, source), of both sources.
     """
     known = G.classified(tags.join(artists.select("country_code", "artist_name"), ["country_code", "artist_name"], "left_semi"), canonical, buckets, keywords, fuzzy, params)
-    votes = G.vote(known, ["country_code"])
-    scores = G.distinctiveness(votes.select("country_code", "genre", "score", "sources"), ["country_code"], params)
-    links = votes.select("country_code", "genre", F.explode("artists").alias("artist_name"))
+    scores = G.distinctiveness(G.vote(known, ["country_code"]), ["country_code"], params)
+    links = G.behind(known, ["country_code"])
     rates = G.coverage(known, ["country_code"])
     counts = countries.select(F.col("code").alias("country_code")).join(artists.groupBy("country_code").agg(F.count("*").alias("artist_count")), "country_code", "left").withColumn("artist_count", F.coalesce("artist_count", F.lit(0)))
     return Cleansed(scores, artists, links, rates, G.quality_report(rates, counts, params))
 
 
+def cleanse_folders(spark: SparkSession, charts: str, listeners: str, genres: str, countries: DataFrame, canonical: DataFrame | None = None, buckets: DataFrame | None = None, keywords: DataFrame | None = None, fuzzy: bool = True, params: Params = DEFAULTS) -> Cleansed:
+    """Cleanse folders of raw documents, one JSON file for each country: chart lines, listeners with tags, and the genre lists of the second source."""
+    heard = raw.listener_documents(spark, listeners)
+    artists = top_artists(raw.listener_rows(heard, params.rows_per_country), raw.typed_chart(raw.chart_documents(spark, charts), params.rows_per_country), params.rows_per_country)
+    tags = raw.tag_rows(heard, "a").unionByName(raw.genre_rows(raw.genre_documents(spark, genres), "b"))
+    return cleanse(artists, tags, countries, canonical, buckets, keywords, fuzzy, params)
+
+
+def genre_worklist(scores: DataFrame, described: DataFrame) -> DataFrame:
+    """Genres that still need a description; other isn't described."""
+    return C.pending(scores.select("genre").distinct().where(F.col("genre") != OTHER), described, "genre")
+
+
+def matched(wanted: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """One row: how many distinct keys are wanted, and how many of them are known."""
+    marked = wanted.select(key).distinct().join(known.select(key).distinct().withColumn("known", F.lit(True)), key, "left")
+    return marked.agg(F.count("*").alias("wanted"), F.count("known").alias("matched"))
+
+
+def latest_records(history: DataFrame) -> DataFrame:
+    """Of a record history (country_code, snapshot_date, ...) each country's latest record."""
+    return C.dedupe_last(history, ["country_code"], "snapshot_date")
+
+
 def records(c: Cleansed) -> DataFrame:
     """One nested record per country: artist count, artists, genres with both scores, artists per genre."""
     artists = market._names(c.artists, "rank", "artist_name", "artists").withColumn("artist_count", F.size("artists"))
@@ -122,4 +146,4 @@ def with_day(c: Cleansed, day: str) -> Cleansed:
     return replace(c, scores=stamp(c.scores), artists=stamp(c.artists), artist_genres=stamp(c.artist_genres))
 
 
-__all__ = ["TABLES", "Cleansed", "cleanse", "described_genres", "images_needed", "load_snapshot", "publish", "records", "store_resolved", "top_artists", "warehouse", "with_day"]
+__all__ = ["TABLES", "Cleansed", "cleanse", "cleanse_folders", "described_genres", "genre_worklist", "images_needed", "latest_records", "load_snapshot", "matched", "publish", "records", "store_resolved", "top_artists", "warehouse", "with_day"]

@@ -43,11 +43,20 @@ def replace_day(df: DataFrame, path: str, table: str, day: str) -> None:
 
 
 def _swap(spark: SparkSession, fresh: str, at: str) -> None:
+    """Put ``fresh`` in the place of ``at``. The old files are only moved aside until then, so a crash loses nothing."""
     Path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
     files = Path(at).getFileSystem(conf)
-    files.delete(Path(at), True)
+    folder, name = at.rstrip("/").rsplit("/", 1)
+    aside = f"{folder}/.old-{name}-{uuid.uuid4().hex}"
+    had = files.exists(Path(at))
+    if had and not files.rename(Path(at), Path(aside)):
+        raise OSError(f"can't move {at} aside")
     if not files.rename(Path(fresh), Path(at)):
+        if had:
+            files.rename(Path(aside), Path(at))
         raise OSError(f"can't move {fresh} to {at}")
+    if had:
+        files.delete(Path(aside), True)
 
 
 def append(df: DataFrame, path: str, table: str) -> None:
@@ -92,6 +101,20 @@ def merge_dimension(new: DataFrame, path: str, table: str, update: list[str] | N
     _swap(spark, fresh, path)
 
 
+def store_records(rows: DataFrame, path: str, day: str) -> None:
+    """Records of one day as JSON beside those of other days; storing a day again replaces it."""
+    fresh = f"{path}/.day-{uuid.uuid4().hex}"
+    rows.write.json(fresh)
+    _swap(rows.sparkSession, fresh, f"{path}/snapshot_date={day}")
+
+
+def record_history(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All stored records with their ``snapshot_date``; no rows where nothing was stored yet."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema).withColumn("snapshot_date", F.lit(None).cast("date"))
+    return spark.read.schema(schema).json(path).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+
+
 def publish_json(df: DataFrame, path: str, by: str | None = None) -> None:
     """Nested rows as JSON, one folder for each value of ``by``. One job for all countries."""
     writer = df.write.mode("overwrite")

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import genres as G
-from .plans.market import Warehouse
 
 
 def tables(spark: SparkSession, sf_dir: str):
@@ -23,12 +22,17 @@ def tables(spark: SparkSession, sf_dir: str):
 
 def scratch(spark: SparkSession) -> str:
     """A new folder that all executors share: under ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="terroir-")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not named and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    named = named or tempfile.mkdtemp(prefix="terroir-")
     return f"{named.rstrip('/')}/warehouse-{uuid.uuid4().hex}"
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with its country, day, artist and part."""
+def lines(spark: SparkSession, sf_dir: str, recent: bool = False) -> DataFrame:
+    """One row per line item with its country, day, artist and part; with ``recent`` only from the day on that is the
+    last but one of the country whose days end first, which is all that the latest two days of any country need."""
     t = tables(spark, sf_dir)
     nation = t("nation").select("n_nationkey", "n_name")
     customers = t("customer").select("c_custkey", "c_nationkey").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -36,6 +40,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = orders.agg(F.max("snapshot_date").alias("last_day"))
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).crossJoin(F.broadcast(last))
     placed = placed.where((F.col("n_nationkey") % 3 != 0) | (F.col("snapshot_date") < F.col("last_day")))
+    if recent:
+        days = placed.select("n_nationkey", "snapshot_date").distinct().withColumn("r", F.dense_rank().over(Window.partitionBy("n_nationkey").orderBy(F.desc("snapshot_date"))))
+        placed = placed.where(F.col("snapshot_date") >= days.where("r <= 2").agg(F.min("snapshot_date").alias("d")).scalar())
     items = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
     suppliers = t("supplier").select("s_suppkey", F.col("s_name").alias("artist_name"))
     parts = t("part").select("p_partkey", F.col("p_name").alias("track_name"), "p_size")
@@ -95,8 +102,7 @@ def genre_scores(spark: SparkSession, sf_dir: str, rows: DataFrame) -> tuple[Dat
     none = spark.createDataFrame([], "keyword string, bucket string, priority int")
     known = G.classified(tags(rows), None, noun_buckets(spark, sf_dir), none, fuzzy=False)
     keys = ["country_code", "snapshot_date"]
-    votes = G.vote(known, keys)
-    per_day = votes.select(*keys, "genre", "score", "sources")
+    per_day = G.vote(known, keys)
     total = F.sum("score").over(Window.partitionBy(*keys))
     shared = per_day.withColumn("total", total)
     df = shared.where(F.col("score") / F.col("total") >= 0.01).groupBy("snapshot_date", "genre").agg(F.count("*").alias("df"))
@@ -104,16 +110,17 @@ def genre_scores(spark: SparkSession, sf_dir: str, rows: DataFrame) -> tuple[Dat
     met = shared.join(df, ["snapshot_date", "genre"], "left").join(n, "snapshot_date")
     good = (F.col("score") / F.col("total") >= 0.01) & (F.col("df") > 0)
     scores = met.select(*keys, "genre", "score", "sources", F.when(good, F.round(F.col("score") * F.ln(F.col("n") / F.col("df")), 3)).otherwise(F.lit(0.0)).alias("distinctiveness"))
-    links = votes.select(*keys, "genre", F.explode("artists").alias("artist_name"))
-    return scores, links, known
+    return scores, G.behind(known, keys), known
 
 
-class View(Warehouse):
+class View:
     """The warehouse tables made from the star schema. As in a warehouse, a table is written once and then read:
-    the first use makes it, later ones read its files."""
+    the first use makes it, later ones read its files. ``recent`` leaves out days that no latest figure needs."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.__dict__.update(spark=spark, sf_dir=sf_dir)
+    genres = None
+
+    def __init__(self, spark: SparkSession, sf_dir: str, recent: bool):
+        self.spark, self.sf_dir, self.recent = spark, sf_dir, recent
 
     def _written(self, df: DataFrame) -> DataFrame:
         path = scratch(self.spark)
@@ -122,7 +129,7 @@ class View(Warehouse):
 
     @cached_property
     def _lines(self) -> DataFrame:
-        return lines(self.spark, self.sf_dir)
+        return lines(self.spark, self.sf_dir, self.recent)
 
     @cached_property
     def _scored(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -166,8 +173,8 @@ class View(Warehouse):
         return self._ranked.where("rank <= 100")
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return View(spark, sf_dir)
+def warehouse(spark: SparkSession, sf_dir: str, recent: bool = False) -> View:
+    return View(spark, sf_dir, recent)
 
 
 #: The same views as common table expressions.

@@ -51,8 +51,9 @@ def test_nearest_terms_equal_brute_force(spark):
 def test_vote_and_coverage(spark):
     tags = spark.createDataFrame([("jp", "A", 0, "hip hop", "80", "a"), ("jp", "A", 0, "hip-hop", None, "b"), ("us", "B", 0, "pop", "100", "a"), ("us", "B", 1, "80s", "100", "a"), ("us", "B", 5, "jazz", "100", "a")], TAGS)
     known = G.classified(tags)
-    votes = {(r.country_code, r.genre): (r.score, r.sources, r.artists) for r in G.vote(known, ["country_code"]).collect()}
-    assert votes == {("jp", "hip-hop"): (5, ["a", "b"], ["A"]), ("us", "pop"): (5, ["a"], ["B"])}
+    votes = {(r.country_code, r.genre): (r.score, r.sources) for r in G.vote(known, ["country_code"]).collect()}
+    assert votes == {("jp", "hip-hop"): (5, ["a", "b"]), ("us", "pop"): (5, ["a"])}
+    assert {tuple(r) for r in G.behind(known, ["country_code"]).collect()} == {("jp", "hip-hop", "A"), ("us", "pop", "B")}
     rates = {r.country_code: (r.total_tags, r.unclassified_tags, r.unclassified_rate) for r in G.coverage(known, ["country_code"]).collect()}
     assert rates == {"jp": (2, 0, 0.0), "us": (2, 1, 0.5)}
 
