@@ -53,7 +53,7 @@ FREQUENT = 3
 #: Bytes of keys, ids or other join sides that may be broadcast; beyond it the joins shuffle.
 BROADCAST_BYTES = 48 << 20
 #: Unverified pairs per row of the key table that are simply verified; with more, new pivots are taken.
-PAIRS_PER_ROW = 4
+PAIRS_PER_ROW = 64
 #: Differences from a pivot that one class of them holds, about, when sets are as far from it as linked ones can be.
 CLASS = 6
 
