@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -170,12 +171,13 @@ def _others(docs: DataFrame, known: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value)[:BITS].tobytes()
+        wanted, hashed = np.unpackbits(shared.value)[:BITS].tobytes(), xxhash.xxh3_64_intdigest
         for batch in slices(batches, "text"):
             found: dict[int, int] = {}
             for text in batch.column("text").to_pylist():
-                words = (text or "").split()
-                at = [(i + 2, p) for i, p in enumerate(map(_pair, words, words[1:])) if wanted[p % BITS]]
+                # as in _pair, but once for the whole text
+                words = _DIGIT.sub("#", (text or "").lower()).split()
+                at = [(i + 2, p) for i, (a, b) in enumerate(pairwise(words)) if wanted[(p := hashed(f"{a} {b}".encode()) >> 1) % BITS]]
                 if not at:
                     continue
                 base = base_spans(text)
