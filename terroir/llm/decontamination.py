@@ -1,7 +1,8 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
-The test items become a suffix automaton over words, one for each block of items of bounded size, so what is broadcast
-is bounded however many items there are. Every document streams through it word by word and the automaton tracks the
+The words of the test items are cut into overlapping parts in tasks and dealt to blocks by a hash. The items of a block
+become a suffix automaton over words in flat arrays, so one block holds about a million words; only one block at a time
+reaches the driver and is broadcast, so that is bounded however many items there are and however long one is. Every document streams through it word by word and the automaton tracks the
 longest match that ends at each word. Where that length reaches the window (or a whole shorter item ends), the words
 it covers are hit.
 
@@ -13,18 +14,21 @@ by ``remove``.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settle, slices, table, text_bytes
+from .common import discard, settle, slices, table, text_bytes
 
-#: Words of items that one automaton holds (a word takes up to a kilobyte there), and blocks that one stage passes through.
-BLOCK_WORDS, BLOCKS_AT_ONCE = 50_000, 4
+#: Words of items that one automaton holds on average (a word takes some 150 bytes there), and most words of one part
+#: of a longer item.
+BLOCK_WORDS, PART_WORDS = 1_000_000, 10_000
 
 #: Maps A-Z to a-z, digits, letters and bytes of non-ASCII characters to themselves, all else to a space.
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -37,59 +41,82 @@ def words(text: bytes | None) -> list[bytes]:
 class Automaton:
     """Generalised suffix automaton over the words of the items of one block.
 
-    ``next`` and ``link`` are the usual transitions and suffix links, ``length`` the longest string of a state.
-    ``shorter[s]`` is the nearest state on the link path of s (itself included) at which a short item ends, and
-    ``windows[s]``/``ends[s]`` are the items with the full window, or the whole short item, that state s stands for.
+    Everything is in flat arrays by state. ``link`` is the suffix link and ``length`` the longest string. Most states
+    have one transition: on ``word`` to ``goes``; further ones are in the dict ``more``. ``owner`` is the item whose
+    full window a state stands for, ``several`` has the rest where there are more, ``ends`` the items that end short of
+    a window. ``shorter`` is the nearest state on the link path (itself included) at which such an item ends.
     """
 
     def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int):
         self.window, self.vocabulary = window, {}
-        self.next, self.link, self.length = [{}], [-1], [0]
-        paths = [(item, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in found]) for item, found in items if found]
+        self.word, self.goes, self.link, self.length = array("i", [-1]), array("i", [-1]), array("i", [-1]), array("i", [0])
+        self.more: dict[int, dict[int, int]] = {}
+        self.items = list(dict.fromkeys(item for item, _ in items))
+        place = {item: n for n, item in enumerate(self.items)}
+        paths = [(place[item], array("i", [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in found])) for item, found in items if found]
         for _, ids in paths:
             last = 0
             for word in ids:
                 last = self._extend(last, word)
         # a state stands for its longest string and the suffixes down to its link's length
-        self.windows: dict[int, set] = {}
-        self.ends: dict[int, set] = {}
+        self.owner = array("i", [-1]) * len(self.link)
+        self.several: dict[int, set[int]] = {}
+        self.ends: dict[int, set[int]] = {}
         for item, ids in paths:
             state = 0
             for n, word in enumerate(ids, 1):
-                state = self.next[state][word]
+                state = self.step(state, word)
                 if n >= window:
-                    self.windows.setdefault(self.at(state, window), set()).add(item)
+                    at = self.at(state, window)
+                    if self.owner[at] < 0:
+                        self.owner[at] = item
+                    elif self.owner[at] != item:
+                        self.several.setdefault(at, set()).add(item)
             if len(ids) < window:
                 self.ends.setdefault(state, set()).add(item)
-        self.shorter = [-1] * len(self.link)
-        for state in sorted(range(len(self.link)), key=self.length.__getitem__):
-            self.shorter[state] = state if state in self.ends else self.shorter[self.link[state]] if state else -1
+        self.shorter = array("i", [-1]) * len(self.link)
+        if self.ends:
+            for state in np.argsort(np.frombuffer(self.length, np.int32), kind="stable").tolist():
+                self.shorter[state] = state if state in self.ends else self.shorter[self.link[state]] if state else -1
+
+    def step(self, state: int, word: int) -> int:
+        """The state that a word leads to, or -1."""
+        if self.word[state] == word:
+            return self.goes[state]
+        more = self.more.get(state)
+        return more.get(word, -1) if more else -1
+
+    def _lead(self, state: int, word: int, to: int) -> None:
+        if self.word[state] in (-1, word):
+            self.word[state], self.goes[state] = word, to
+        else:
+            self.more.setdefault(state, {})[word] = to
+
+    def _state(self, word: int, goes: int, link: int, length: int) -> int:
+        for column, value in ((self.word, word), (self.goes, goes), (self.link, link), (self.length, length)):
+            column.append(value)
+        return len(self.link) - 1
 
     def _clone(self, state: int, parent: int, word: int) -> int:
         """A copy of ``state`` for its strings of up to the parent's length plus one; transitions on the path go there."""
-        new = len(self.next)
-        self.next.append(dict(self.next[state]))
-        self.length.append(self.length[parent] + 1)
-        self.link.append(self.link[state])
+        new = self._state(self.word[state], self.goes[state], self.link[state], self.length[parent] + 1)
+        if state in self.more:
+            self.more[new] = dict(self.more[state])
         self.link[state] = new
-        while parent >= 0 and self.next[parent].get(word) == state:
-            self.next[parent][word] = new
+        while parent >= 0 and self.step(parent, word) == state:
+            self._lead(parent, word, new)
             parent = self.link[parent]
         return new
 
     def _extend(self, last: int, word: int) -> int:
-        known = self.next[last].get(word)
-        if known is not None:
+        known = self.step(last, word)
+        if known >= 0:
             return known if self.length[known] == self.length[last] + 1 else self._clone(known, last, word)
-        new = len(self.next)
-        self.next.append({})
-        self.length.append(self.length[last] + 1)
-        self.link.append(0)
-        while last >= 0 and word not in self.next[last]:
-            self.next[last][word] = new
+        new = self._state(-1, -1, 0, self.length[last] + 1)
+        while last >= 0 and (known := self.step(last, word)) < 0:
+            self._lead(last, word, new)
             last = self.link[last]
         if last >= 0:
-            known = self.next[last][word]
             self.link[new] = known if self.length[known] == self.length[last] + 1 else self._clone(known, last, word)
         return new
 
@@ -102,25 +129,25 @@ class Automaton:
     def scan(self, found: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Merged word spans [start, end) that occurrences of windows cover, and the items they come from."""
         spans: list[tuple[int, int]] = []
-        items: set = set()
+        items: set[int] = set()
         state = matched = 0
-        known, steps, link, length, window = self.vocabulary.get, self.next, self.link, self.length, self.window
+        known, more, none = self.vocabulary.get, self.more.get, {}
+        first, goes, link, length, window = self.word, self.goes, self.link, self.length, self.window
         for i, text in enumerate(found):
             word = known(text)
             if word is None:
                 state = matched = 0
                 continue
-            step = steps[state].get(word)
-            while step is None and state:
+            while (step := goes[state] if first[state] == word else more(state, none).get(word)) is None:
+                # every known word leads somewhere from the first state
                 state = link[state]
                 matched = length[state]
-                step = steps[state].get(word)
-            if step is None:
-                continue
             state, matched = step, matched + 1
             reach = 0
             if matched >= window:
-                items |= self.windows[self.at(state, window)]
+                at = self.at(state, window)
+                items.add(self.owner[at])
+                items |= self.several.get(at, none.keys())
                 reach = window
             # short items: the state itself counts only if its longest string is the match
             end = self.shorter[state] if matched == length[state] else self.shorter[link[state]]
@@ -133,7 +160,7 @@ class Automaton:
                 while spans and spans[-1][1] >= start:
                     start = min(start, spans.pop()[0])
                 spans.append((start, i + 1))
-        return spans, items
+        return spans, {self.items[n] for n in items}
 
 
 @lru_cache(maxsize=1)
@@ -141,32 +168,58 @@ def _automaton(items: tuple, window: int) -> Automaton:
     return Automaton([(item, words(text)) for item, text in items], window)
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[tuple]:
-    """The items in blocks of about ``most`` words, read one partition at a time."""
-    held, n = [], 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        text = (row.text or "").encode()
-        held.append((row.item_id, text))
-        n += len(words(text))
-        if n >= most:
-            yield tuple(held)
-            held, n = [], 0
-    if held:
-        yield tuple(held)
+def parts(benchmark: DataFrame, window: int, part_words: int = PART_WORDS) -> DataFrame:
+    """(item_id, part, n): the words of every item, joined by spaces, and their number; a long item in parts that
+    overlap by a window less one word, so that each window is in one part. Items without words have none, equal rows
+    count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            rows, cut, counts = [], [], []
+            for i, text in enumerate(text_bytes(batch)):
+                found = words(text)
+                for at in range(0, max(1, len(found) - window + 1), part_words) if found else ():
+                    part = found[at : at + part_words + window - 1]
+                    rows.append(i)
+                    cut.append(b" ".join(part))
+                    counts.append(len(part))
+            made = [batch.column("item_id").take(pa.array(rows, pa.int64())), pa.array(cut, pa.binary()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, names=["item_id", "part", "n"])
+
+    read = benchmark.select("item_id", "text")
+    return read.mapInArrow(run, T.StructType([read.schema["item_id"], T.StructField("part", T.BinaryType()), T.StructField("n", T.LongType())])).distinct()
+
+
+def blocks(benchmark: DataFrame, window: int, most: int = BLOCK_WORDS) -> Iterator[tuple]:
+    """The parts in blocks of about ``most`` words, dealt by a hash; one block at a time comes to the driver. Without
+    any words there is one empty block."""
+    found = settle(parts(benchmark, window))
+    n = -(-(found.agg(F.sum("n")).first()[0] or 1) // most)
+    for block in range(n):
+        held = found.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(n)) == block).select("item_id", "part").collect()
+        yield tuple((r.item_id, bytes(r.part)) for r in held)
+    discard(found)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int = BLOCK_WORDS, columns: list[str] | None = None) -> DataFrame:
     """The text of every row, the number of its words, the hit word spans and the items found; before them, as a
     struct ``row``, the named columns (the id).
 
-    Each block of items is one more pass in the same stage: nothing is shuffled, and a worker holds one automaton.
-    After ``BLOCKS_AT_ONCE`` passes the table is written, so that a stage never runs more workers than that.
+    Nothing is shuffled. Each block of items is one more pass over the table, which is written between passes, so that
+    a worker builds each automaton once and holds one at a time.
     """
     spark = docs.sparkSession
     out = docs.select(F.struct(*(columns or ["doc_id"])).alias("row"), "text", F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     schema = T.StructType([out.schema["row"], *(T.StructField(f.name, f.dataType) for f in out.schema.fields[1:])])
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    for n, block in enumerate(blocks(benchmark, most) if benchmark.limit(1).count() else [()], 1):
+    shared = written = None
+    for block in blocks(benchmark, window, most):
+        if shared is not None:
+            done, before = shared, written
+            out = written = settle(out)
+            done.destroy()
+            if before is not None:
+                discard(before)
         shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -183,8 +236,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int =
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), *made], names=["row", "text", "n_words", "spans", "items"])
 
         out = out.mapInArrow(scan, schema)
-        if n % BLOCKS_AT_ONCE == 0:
-            out = settle(out)
     return out
 
 

@@ -59,3 +59,40 @@ def test_remove(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.remove(df, none).count() == 5
     assert not any(r.contaminated for r in D.report(df, none).collect())
+
+
+def test_parts_hold_each_window_once(spark):
+    rng = random.Random(3)
+    items = [(i, " ".join(str(rng.randint(0, 10**6)) for _ in range(n))) for i, n in enumerate((1, 4, 5, 29, 30, 31, 34, 35, 100))]
+    bench = spark.createDataFrame([*items, items[-1], (50, None), (51, "--")], "item_id long, text string")
+    held: dict[int, list[tuple]] = {}
+    for r in D.parts(bench, 5, part_words=30).collect():
+        got = bytes(r.part).decode().split()
+        assert r.n == len(got) <= 34
+        held.setdefault(r.item_id, []).extend(tuple(got[k : k + 5]) for k in range(max(1, len(got) - 4)))
+    for item, text in items:
+        ws = text.split()
+        assert sorted(held.pop(item)) == sorted(tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4)))
+    assert not held
+
+
+def test_blocks_hold_all_items(spark):
+    items = [(i, " ".join(f"w{i * 7 + k}" for k in range(i % 13))) for i in range(200)]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    found = list(D.blocks(bench, 10, most=100))
+    assert len(found) > 5
+    assert sorted(x for block in found for x in block) == sorted((i, t.encode()) for i, t in items if t)
+    assert list(D.blocks(bench.where("false"), 10)) == [()]
+
+
+def test_automaton_shared_windows():
+    """Windows that several items share name all of them; items repeat words and windows within themselves."""
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choice("ab") for _ in range(rng.randint(1, 12)))) for i in range(40)]
+    made = D.Automaton([(i, D.words(t.encode())) for i, t in items], 6)
+    for i in range(200):
+        doc = " ".join(rng.choice("abc") for _ in range(30))
+        spans, named = made.scan(D.words(doc.encode()))
+        _, hit, n_items, digest, _ = brute([(i, doc)], items, 6)[i]
+        assert sum(b - a for a, b in spans) == hit and len(named) == n_items
+        assert hashlib.sha256(",".join(sorted(map(str, named))).encode()).hexdigest() == digest
