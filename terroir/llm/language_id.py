@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,8 @@ from .common import slices, table, text_bytes
 WINDOW, EMBEDDING, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 #: The sample that the network is trained on: about so many documents of each language, so many windows of each.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 600, 2
+#: Languages that are learned at most, those of most documents first.
+MOST_LANGUAGES = 1000
 EPOCHS, BATCH, RATE = 6, 64, 0.004
 #: Windows that one numpy step holds.
 STEP = 512
@@ -165,18 +167,22 @@ def remainder() -> Column:
 def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[tuple[str, list[bytes]]]:
     """About ``per_language`` labelled documents of each language, chosen by a hash of the id, some windows of each.
 
-    All labelled documents are counted; what reaches the driver is bounded by the parameters and the number of
-    languages. Only documents whose id's CRC-32 leaves a remainder other than 1 are read.
+    All labelled documents are counted. The driver gets at most twice ``per_language`` documents of each language, which
+    matters only where an id is repeated very often, and at most ``MOST_LANGUAGES`` languages. Only documents whose
+    id's CRC-32 leaves a remainder other than 1 are read.
     """
     known = docs.where((remainder() != 1) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r.n for r in docs.where((remainder() != 1) & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    langs = docs.where((remainder() != 1) & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n"))
+    counts = {r.lang: r.n for r in langs.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
     if not counts:
         return []
     share = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, per_language / n))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) / F.lit(1 << 20)
     place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))) + 1
     cut = F.array(*[F.substring("text", place(k), F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)])
-    rows = known.where(draw < share[F.col("lang")]).select("lang", "doc_id", cut.alias("cut")).collect()
+    drawn = known.where(draw < share[F.col("lang")]).select("lang", "doc_id", cut.alias("cut"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "cut"))
+    rows = drawn.withColumn("nth", nth).where(F.col("nth") <= 2 * per_language).collect()
     return [(r.lang, [x.encode()[:WINDOW] for x in r.cut]) for r in sorted(rows, key=lambda r: (r.lang, r.doc_id, r.cut))]
 
 

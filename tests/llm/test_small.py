@@ -235,3 +235,13 @@ def test_repeated_chunks_equal_brute_force(spark):
                 holders.setdefault(t.encode()[a:b], set()).add(i)
     want = sorted(min(h) for h in holders.values() if len(h) > 1)
     assert sorted(r.keep_id for r in C.repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()) == want
+
+
+def test_language_sample_is_bounded_and_empty_table(spark):
+    rows = [(7 if k % 2 else k, f"ein kurzer Satz {k}", "de") for k in range(400)] + [(k, "a short one", "en") for k in range(30)] + [(None, "x y z", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = L.sample(docs, per_language=20)
+    n = {lang: sum(x == lang for x, _ in got) for lang in ("de", "en", "fr")}
+    assert 0 < n["en"] <= 30 and n["de"] <= 40 and not n["fr"]
+    none = docs.where("false")
+    assert L.learn(none) is None and L.keep_known(none).columns == docs.columns and L.keep_known(none).count() == 0
