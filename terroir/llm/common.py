@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 #: Bytes of an Arrow batch between the JVM and Python; Spark's own default is eight times that.
 BATCH_BYTES = "8m"
+#: Rows of a settled table, where their number is bounded beforehand, that one task writes to one file.
+FILE_ROWS = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,13 +40,16 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, most: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a read of that table, never the work that made it. Types must be
-    known, so a ``void`` column is refused by the writer.
+    known, so a ``void`` column is refused by the writer. Where ``df`` is known to have ``most`` rows at most, it is
+    written by a task for each ``FILE_ROWS`` of them, not by one for each shuffle partition, which may be all but empty.
     """
     spark = df.sparkSession
+    if most is not None:
+        df = df.coalesce(most // FILE_ROWS + 1)
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binaries, discard, numbers, settle, slices, small, table, text_bytes
-from .components import components
+from .components import stars
 
 #: Tokens that one numpy step takes, and documents (they are numbered by 16 bits there).
 CHUNK_TOKENS, CHUNK_DOCS = 1 << 20, 60_000
@@ -168,7 +168,8 @@ def hot(every: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     The least logarithm rises until at most ``MOST_TOLD`` are left, so what the driver gets is bounded whatever the corpus.
     """
     met = every.where(F.size("often") > 0).select(F.explode("often").alias("o")).groupBy("o.token").agg(F.sum("o.docs").alias("docs"))
-    counted = settle(met.select("token", F.greatest(F.log2("docs").cast("int"), F.lit(FREQUENT)).alias("level")))
+    most = every.where(F.size("often") > 0).agg(F.sum(F.size("often"))).first()[0] or 0
+    counted = settle(met.select("token", F.greatest(F.log2("docs").cast("int"), F.lit(FREQUENT)).alias("level")), most)
     left, least = 0, 0
     for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 63 rows
         if left + row["count"] > MOST_TOLD:
@@ -475,7 +476,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, held: DataFrame, measure: Me
         return measure.holds(len(np.intersect1d(u, v)), n, m)
 
     left = settle(_checked(pairs, sketches, ["k", "sketch"], may))
-    out = settle(_checked(left, held, ["tokens"], does).select("a", "b"))
+    out = settle(_checked(small(left, 64, BROADCAST_BYTES), held, ["tokens"], does).select("a", "b"))
     discard(left)
     return out
 
@@ -487,7 +488,7 @@ def once(rows: DataFrame) -> DataFrame:
     """
     mix = lambda seed: F.bit_xor(F.xxhash64("sid", F.lit(seed)))
     members = rows.groupBy("key").agg(F.count("*").alias("c"), mix(1).alias("x"), mix(2).alias("y")).where("c > 1")
-    kept = settle(members.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))
+    kept = settle(members.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"), rows.count())
     return settle(rows.join(small(kept, 32, BROADCAST_BYTES), "key"))
 
 
@@ -517,23 +518,24 @@ def links(held: DataFrame, measure: Measure) -> DataFrame:
     found = labels = None
     while True:
         rows = once(settle(keyed))
+        most = rows.count()
         if labels is not None:
             # keys whose members are of one component are done
             rows = settle(rows.join(small(labels, 48, BROADCAST_BYTES), "sid", "left").withColumn("comp", F.coalesce("component", "sid")).drop("component"))
             sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
-            sizes = settle(sizes.select("key", "c", ((F.col("c") * F.col("c") - F.col("own")) / 2).alias("pairs")).where("pairs > 0"))
+            sizes = settle(sizes.select("key", "c", ((F.col("c") * F.col("c") - F.col("own")) / 2).alias("pairs")).where("pairs > 0"), most)
             told = sizes.agg(F.sum("pairs"), F.sum("c")).first()
             rows = settle(rows.join(small(sizes.select("key"), 32, BROADCAST_BYTES), "key", "left_semi"))
             if (told[0] or 0) <= PAIRS_PER_ROW * (told[1] or 0):
                 break
         pivots = rows.groupBy("key").agg(F.max_by("sid", F.struct("weight", "sid")).alias("b"))
-        pairs = settle(rows.join(small(settle(pivots), 48, BROADCAST_BYTES), "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct())
+        pairs = settle(rows.join(small(settle(pivots, most), 48, BROADCAST_BYTES), "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct(), most)
         met = settle(differences(pairs, held, measure))
         more = met.where("linked").select("a", "b")
         found = more if found is None else found.unionByName(more)
-        labels = settle(components(found)).withColumnRenamed("node", "sid")
+        labels = stars(found).withColumnRenamed("node", "sid")
         # where all of a pivot's sets are linked with it, nothing is left to find
-        open_ = settle(met.where("not linked").select("b").distinct())
+        open_ = settle(met.where("not linked").select("b").distinct(), pairs.count())
         keyed = met.join(small(open_, 32, BROADCAST_BYTES), "b", "left_semi").select(F.explode("keys").alias("key"), F.col("a").alias("sid"), "n", "weight")
     one = rows.select("key", F.col("sid").alias("a"), "n", "comp")
     two = rows.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
@@ -542,7 +544,7 @@ def links(held: DataFrame, measure: Measure) -> DataFrame:
 
 
 def linked(docs: DataFrame, every: DataFrame, seed: int, measure: Measure) -> DataFrame:
-    """(sid, component) of the sets that are linked with another one."""
+    """(sid, component) of the sets that are linked with one of a lesser id, directly or not."""
     total = every.agg(F.sum("n")).first()[0] or 0
     bits = max(LEAST_BITS, (total // RANGE_TOKENS).bit_length())
     parts = shared_tokens(dealt(docs, measure.words, seed, bits, hot(every)), bits)
@@ -551,7 +553,7 @@ def linked(docs: DataFrame, every: DataFrame, seed: int, measure: Measure) -> Da
     first = settle(found.groupBy("sid").agg(F.min("rid").alias("rid")))
     held = settle(found.join(small(first, 48, BROADCAST_BYTES), ["sid", "rid"], "left_semi"))
     discard(found)
-    comps = settle(components(links(held, measure)))
+    comps = stars(links(held, measure))
     discard(held)
     return comps.withColumnRenamed("node", "sid")
 
@@ -562,7 +564,7 @@ def grouped(docs: DataFrame, measure: Measure) -> tuple[DataFrame, int]:
     comps = linked(docs, every, seed, measure)
     placed = settle(every.join(small(comps, 48, BROADCAST_BYTES), "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("comp")))
     # only sets that several rows have, and linked ones, take their id from another row
-    least = settle(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
+    least = settle(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), placed.count())
     told = placed.join(small(least, 48, BROADCAST_BYTES), "comp", "left")
     alone = F.col("comp").isNull() | F.col("least").isNull()
     return told.select("doc_id", "n_shingles", "sid", F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id")), seed

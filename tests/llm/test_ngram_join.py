@@ -173,3 +173,17 @@ def test_components(spark):
     links = [(1, 2), (3, 2), (9, 8), (8, 7), (7, 6), (6, 5), (20, 20), *((100 + i, 100) for i in range(1, 60)), (159, 200)]
     got = {r.node: r.component for r in K.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, **dict.fromkeys(range(5, 10), 5), **dict.fromkeys([*range(100, 160), 200], 100)}
+
+
+def test_components_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(K, "STEP_EDGES", 4)  # the links stay in the tasks that they are in
+    links = [*((i, i + 1) for i in range(0, 400, 2)), *((i + 1, i + 2) for i in range(0, 200, 2)), (700, 600), (500, 600), (500, 500)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(16)
+    got = {r.node: r.component for r in K.components(df).collect()}
+    assert got == {**dict.fromkeys(range(201), 0), **{i: i // 2 * 2 if i > 201 else 0 for i in range(201, 400)}, 201: 0, **dict.fromkeys((500, 600, 700), 500)}
+    assert {r.node for r in K.stars(df).collect()} == {n for n, c in got.items() if n != c}
+
+
+def test_components_without_links(spark):
+    empty = spark.createDataFrame([], "a long, b long")
+    assert K.components(empty).count() == K.stars(empty).count() == 0
