@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from . import (
     best_fit_packing,
+    caps,
+    centroids,
     chunk_dedup,
     decontamination,
     exact_dedup,
+    importance,
     language_id,
     line_dedup,
     ngram_join,
@@ -15,7 +18,7 @@ from . import (
     url_filters,
 )
 
-MODULES = (best_fit_packing, url_filters, pii, chunk_dedup, quote_links, decontamination, line_dedup, exact_dedup, ngram_join, language_id)
+MODULES = (best_fit_packing, url_filters, pii, chunk_dedup, quote_links, decontamination, line_dedup, exact_dedup, ngram_join, language_id, importance, centroids, caps)
 
 
 def queries() -> dict:
