@@ -39,7 +39,9 @@ from .common import discard, give_back, settle, table
 from .components import components
 
 #: Rotations, blocks of a direction, and filters that a vector passes in each rotation on average.
-TABLES, PARTS, PASSES = 3, 3, 16
+TABLES, PARTS, PASSES = 3, 3, 12
+#: Filters of a rotation that every vector is put under, even if it doesn't exceed the threshold of so many.
+FEWEST = 10
 #: Codes of a block, and how many unrelated vectors of its label a vector meets on average.
 LEAST_CODES, MOST_CODES, RANDOM = 16, 1024, 1
 #: Vectors with fewer components than this get zeros, so that random directions are spread alike.
@@ -61,20 +63,22 @@ class Filters:
         self.cuts = [len(x) for x in np.array_split(np.arange(wide), PARTS)]
         self.rotations = [np.linalg.qr(rng.standard_normal((wide, wide)))[0][:dims] for _ in range(TABLES)]
         self.blocks = [[self._units(rng, codes, n) / math.sqrt(PARTS) for n in self.cuts] for _ in range(TABLES)]
+        self.threshold = 0.0
         sample = self._units(rng, 256, wide)
         low, high = 0.0, 1.0
-        for _ in range(24):  # the share of directions in a cap falls with the threshold
-            self.threshold = (low + high) / 2
-            passed = self._decoded(sample, self.blocks[0], limit=4 * PASSES * len(sample))
-            low, high = (self.threshold, high) if passed is None or len(passed[0]) > PASSES * len(sample) else (low, self.threshold)
+        for _ in range(20):  # the share of directions in a cap falls with the threshold
+            middle = (low + high) / 2
+            many = self._decoded(sample, self.blocks[0], np.full(len(sample), middle), most=PASSES * len(sample)) is None
+            low, high = (middle, high) if many else (low, middle)
+        self.threshold = high
 
     @staticmethod
     def _units(rng: np.random.Generator, n: int, dims: int) -> np.ndarray:
         x = rng.standard_normal((n, dims))
         return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-    def _decoded(self, x: np.ndarray, blocks: list[np.ndarray], limit: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
-        """(row, direction) of every direction exceeded by the rows of ``x``; None once more than ``limit`` are sure."""
+    def _decoded(self, x: np.ndarray, blocks: list[np.ndarray], threshold: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(row, direction, cosine) of every direction that a row of ``x`` exceeds by its own ``threshold``; None if they are more than ``most``."""
         n, start, products, orders = len(x), 0, [], []
         for codes, width in zip(blocks, self.cuts, strict=True):
             p = x[:, start : start + width] @ codes.T
@@ -86,18 +90,37 @@ class Filters:
         rows, number, total = np.arange(n), np.zeros(n, np.int64), np.zeros(n)
         for p, order, more in zip(products, orders, rest, strict=True):
             # the sorted products of all rows as one rising sequence: one search finds how many codes of a row are enough
-            need = np.clip(self.threshold - more[rows] - total, -2, 2)
+            need = np.clip(threshold[rows] - more[rows] - total, -2, 2)
             count = np.searchsorted((8.0 * np.arange(n)[:, None] - p).ravel(), 8.0 * rows - need, side="right") - rows * self.codes
-            if limit is not None and count.sum() > 2000 * n:
+            # each combination so far leads to one direction at least
+            if most is not None and count.sum() > most:
                 return None
             place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             number, total, rows = np.repeat(number, count), np.repeat(total, count), np.repeat(rows, count)
             number, total = number * self.codes + order[rows, place], total + p[rows, place]
-        return rows, number
+        return rows, number, total
+
+    def _passed(self, x: np.ndarray, blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(row, direction): all directions exceeded; for a row that exceeds fewer than ``FEWEST``, that many nearest ones."""
+        rows, number, _ = self._decoded(x, blocks, np.full(len(x), self.threshold))
+        short, bound = np.flatnonzero(np.bincount(rows, minlength=len(x)) < FEWEST), self.threshold
+        kept = ~np.isin(rows, short)
+        out = [(rows[kept], number[kept])]
+        while len(short):
+            bound -= 0.02
+            rows, number, total = self._decoded(x[short], blocks, np.full(len(short), bound))
+            order = np.lexsort((number, -total, rows))
+            rows, number = rows[order], number[order]
+            counts = np.bincount(rows, minlength=len(short))
+            near = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts) < FEWEST
+            near &= np.repeat(counts >= min(FEWEST, self.codes**PARTS), counts)
+            out.append((short[rows[near]], number[near]))
+            short = short[counts < min(FEWEST, self.codes**PARTS)]
+        return np.concatenate([r for r, _ in out]), np.concatenate([c for _, c in out])
 
     def decoded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of every filter that the unit vectors ``x`` pass, in all tables."""
-        found = [self._decoded(x @ r, b) for r, b in zip(self.rotations, self.blocks, strict=True)]
+        found = [self._passed(x @ r, b) for r, b in zip(self.rotations, self.blocks, strict=True)]
         return np.concatenate([rows for rows, _ in found]), np.concatenate([t * self.codes**PARTS + number for t, (_, number) in enumerate(found)])
 
 
