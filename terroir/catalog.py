@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import testview
 from .functions import text as X
+from .functions import vocabulary
 from .functions.names import name_key
 from .operators import charts as C
-from .operators import compare, matching
+from .operators import compare, lookups, matching
 from .operators import genres as G
 from .plans import market, refresh
 from .sources import raw, sinks
@@ -43,16 +44,11 @@ def _history(spark: SparkSession, sf_dir: str) -> testview.View:
 
 # ---- the warehouse analytics
 
-REACH = """+ reach AS (SELECT artist_name, count(*) AS country_count FROM current_streams GROUP BY 1), scope AS (SELECT count(DISTINCT country_code) AS total_countries FROM current_streams)"""
-
-
-@query(
-    REACH
-    + """, gems AS (
-  SELECT c.country_code, c.artist_name, streams, best_position, country_count, total_countries, round(streams * ln(total_countries / country_count), 1) AS gem_score
-  FROM current_streams c JOIN reach r ON c.artist_name = r.artist_name CROSS JOIN scope WHERE country_count < total_countries)
-SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY gem_score DESC, artist_name) AS rank FROM gems QUALIFY rank <= 10"""
-)
+@query("""
+, spread AS (SELECT *, count(*) OVER (PARTITION BY artist_name) AS country_count, (SELECT count(DISTINCT n) FROM (SELECT country_code AS n FROM latest_chart)) AS total_countries FROM current_streams)
+SELECT country_code, artist_name, streams, best_position, country_count, total_countries, round(streams * ln(total_countries / country_count), 1) AS gem_score,
+       row_number() OVER (PARTITION BY country_code ORDER BY round(streams * ln(total_countries / country_count), 1) DESC, artist_name) AS rank
+FROM spread WHERE country_count < total_countries QUALIFY rank <= 10""")
 def hidden_gems(spark, sf_dir):
     return market.hidden_gems(_w(spark, sf_dir))
 
@@ -165,25 +161,31 @@ def lag_delta(spark, sf_dir):
     return market.genre_changes(_w(spark, sf_dir))
 
 
-@query(
+IMAGES = """one AS (SELECT s_name AS artist_name, 'http://img/' || s_suppkey AS image FROM supplier WHERE s_suppkey % 3 = 0),
+two AS (SELECT s_name AS artist_name, 'https://img/b' || s_suppkey || '?width=250' AS image FROM supplier WHERE s_suppkey % 2 = 0),
+pictures AS (SELECT coalesce(one.artist_name, two.artist_name) AS artist_name, coalesce(one.image, two.image) AS image FROM one FULL OUTER JOIN two ON one.artist_name = two.artist_name)"""
+
+SUMMARIES = (
     DOMESTIC
-    + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY score DESC, genre) AS p, row_number() OVER (PARTITION BY country_code ORDER BY distinctiveness DESC, genre) AS d FROM latest_genres),
+    + f""", {IMAGES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY score DESC, genre) AS p, row_number() OVER (PARTITION BY country_code ORDER BY distinctiveness DESC, genre) AS d FROM latest_genres),
 tops AS (SELECT country_code, artist_name, row_number() OVER (PARTITION BY country_code ORDER BY best_position) AS r FROM current_streams)
 SELECT n_name AS country_code, (SELECT count(*) FROM tops t WHERE t.country_code = n_name) AS artist_count,
        coalesce((SELECT string_agg(genre, ',' ORDER BY p) FROM ranked r WHERE r.country_code = n_name AND p <= 3), '') AS top_genres,
        coalesce((SELECT string_agg(genre, ',' ORDER BY d) FROM ranked r WHERE r.country_code = n_name AND d <= 3 AND distinctiveness > 0), '') AS distinctive_genres,
        coalesce((SELECT string_agg(artist_name, ',' ORDER BY r) FROM tops t WHERE t.country_code = n_name AND r <= 5), '') AS top_artists,
-       domestic_percentage, coverage_percentage
+       domestic_percentage, coverage_percentage, (SELECT arg_min(image, r) FROM tops t JOIN pictures p ON t.artist_name = p.artist_name WHERE t.country_code = n_name AND r <= 5) AS cover_image
 FROM nation LEFT JOIN domestic d ON d.country_code = n_name"""
 )
+
+
+@query(SUMMARIES)
 def country_summaries(spark, sf_dir):
-    joined = [F.array_join(c, ",").alias(c) for c in ("top_genres", "distinctive_genres", "top_artists")]
-    return market.country_summaries(_w(spark, sf_dir)).select("country_code", "artist_count", *joined, "domestic_share.domestic_percentage", "domestic_share.coverage_percentage")
+    return _flat_summaries(market.country_summaries(_w(spark, sf_dir), artist_images(spark, sf_dir)))
 
 
-@query()
-def country_detail(spark, sf_dir):
-    return market.country_detail(_w(spark, sf_dir)).select("country_code", F.to_json(F.struct("popularity", "genres", "special_genres", "hidden_gems", "chart", "genre_details", "other_percentage")).alias("detail"))
+def _flat_summaries(summaries: DataFrame) -> DataFrame:
+    joined = [F.array_join(c, ",").alias(c) for c in ("top_genres", "distinctive_genres", "top_artists")]
+    return summaries.select("country_code", "artist_count", *joined, "domestic_share.domestic_percentage", "domestic_share.coverage_percentage", "cover_image")
 
 
 PERCENTAGES = """+ percentages AS (SELECT country_code, genre, round(100.0::DOUBLE * score / sum(score) OVER (PARTITION BY country_code), 2) AS percentage FROM latest_genres WHERE score > 0)"""
@@ -282,8 +284,7 @@ def tfidf_distinctiveness(spark, sf_dir):
 
 @query("SELECT country_code, count(*) AS total_tags, count(*) FILTER (bucket = 'other') AS unclassified_tags, round(count(*) FILTER (bucket = 'other') / count(*), 4) AS unclassified_rate FROM known_tags GROUP BY 1")
 def tag_coverage(spark, sf_dir):
-    rows = testview.lines(spark, sf_dir)
-    return G.coverage(testview.genre_scores(spark, sf_dir, rows)[2], ["country_code"])
+    return G.coverage(_history(spark, sf_dir).scored[2], ["country_code"])
 
 
 @query("""
@@ -306,7 +307,7 @@ def weighted_vote(spark, sf_dir):
 
 @query("SELECT tag, coalesce(bucket, 'other') AS bucket FROM (SELECT DISTINCT tag FROM raw_tags) LEFT JOIN tag_bucket USING (tag)")
 def bucket_containment(spark, sf_dir):
-    named = testview.tags(testview.lines(spark, sf_dir)).select(F.col("tag").alias("genre"))
+    named = testview.tags(_history(spark, sf_dir).lines).select(F.col("tag").alias("genre"))
     none = spark.createDataFrame([], "keyword string, bucket string, priority int")
     return G.bucketed(named, testview.noun_buckets(spark, sf_dir), none, fuzzy=False).select(F.col("genre").alias("tag"), "bucket")
 
@@ -323,17 +324,17 @@ LABEL = "CASE doc_id % 3 WHEN 0 THEN {line} || ' - ' || doc_id WHEN 1 THEN {line
 
 @query(
     r"""
-WITH l AS (SELECT doc_id, trim(split_part(text, E'\n', 1), E' \t\r\x0b\x0c') AS line FROM documents),
+WITH l AS (SELECT doc_id, text AS line FROM documents),
 b AS (SELECT doc_id, """
     + LABEL.format(line="line")
     + r""" AS label FROM l)
-SELECT doc_id, nullif(trim(CASE WHEN contains(label, ' - ') THEN split_part(label, ' - ', 1) WHEN contains(label, '-') THEN split_part(label, '-', 1) ELSE label END, E' \t\r\x0b\x0c'), '') AS artist,
-       nullif(trim(CASE WHEN contains(label, ' - ') THEN substr(label, instr(label, ' - ') + 3) WHEN contains(label, '-') THEN substr(label, instr(label, '-') + 1) END, E' \t\r\x0b\x0c'), '') AS track FROM b""",
+SELECT doc_id, nullif(trim(CASE WHEN contains(label, ' - ') THEN split_part(label, ' - ', 1) WHEN contains(label, '-') THEN split_part(label, '-', 1) ELSE label END, E' \t\n\r\x0b\x0c'), '') AS artist,
+       nullif(trim(CASE WHEN contains(label, ' - ') THEN substr(label, instr(label, ' - ') + 3) WHEN contains(label, '-') THEN substr(label, instr(label, '-') + 1) END, E' \t\n\r\x0b\x0c'), '') AS track FROM b""",
     views=False,
 )
 def artist_label_split(spark, sf_dir):
-    line = X.stripped(F.split("text", "\n")[0])
-    docs = testview.tables(spark, sf_dir)("documents").select("doc_id", line.alias("line"))
+    """Whole texts as labels, with a dash of each kind put behind two thirds of them."""
+    docs = testview.tables(spark, sf_dir)("documents").select("doc_id", F.col("text").alias("line"))
     label = docs.select("doc_id", F.expr(LABEL.format(line="line")).alias("label"))
     return label.select("doc_id", X.label_artist(F.col("label")).alias("artist"), X.label_track(F.col("label")).alias("track"))
 
@@ -461,23 +462,103 @@ def match_candidates(spark, sf_dir):
 
 @query()
 def name_keys(spark, sf_dir):
-    line = F.split("text", "\n")[0]
-    return testview.tables(spark, sf_dir)("documents").select(line.alias("name")).distinct().select("name", name_key("name").alias("key"))
+    """The keys of whole texts; a test holds keys against the standard library."""
+    return testview.tables(spark, sf_dir)("documents").select(F.col("text").alias("name")).distinct().select("name", name_key("name").alias("key"))
 
 
-@query()
+def _lcs(a: str, b: str) -> str:
+    """DuckDB text of the length of the longest common subsequence: one row of the table after the other."""
+    step = f"CASE WHEN substr({a}, x[1], 1) = substr({b}, y[1], 1) THEN line[y[1]] + 1 ELSE greatest(line[y[1] + 1], cells[y[1]]) END"
+    line = f"list_reduce(list_prepend([0::BIGINT], list_transform(range(1, length({b}) + 1), lambda j: [j])), lambda cells, y: list_append(cells, {step}))"
+    return f"list_reduce(list_prepend(list_transform(range(length({b}) + 1), lambda z: 0::BIGINT), list_transform(range(1, length({a}) + 1), lambda i: [i])), lambda line, x: {line})[length({b}) + 1]"
+
+
+@query(
+    f"""
+WITH terms AS (SELECT p_name AS term, min(p_partkey) AS priority FROM part GROUP BY 1), texts AS (SELECT DISTINCT substr(p_name, 1, 3) || substr(p_name, 5) AS text FROM part),
+scored AS (SELECT text, term, priority, 200.0::DOUBLE * {_lcs("text", "term")} / (length(text) + length(term)) AS score FROM texts, terms)
+SELECT text, term, score FROM scored WHERE score >= 85 QUALIFY row_number() OVER (PARTITION BY text ORDER BY score DESC, priority) = 1""",
+    views=False,
+)
 def fuzzy_match(spark, sf_dir):
     """Part names with one letter lost, against the part names."""
-    names = testview.tables(spark, sf_dir)("part").select("p_name").distinct()
-    terms = names.select(F.col("p_name").alias("term"), F.hash("p_name").alias("priority"))
-    broken = names.select(F.concat(F.substring("p_name", 1, 3), F.expr("substr(p_name, 5)")).alias("text")).distinct()
+    part = testview.tables(spark, sf_dir)("part")
+    terms = part.groupBy(F.col("p_name").alias("term")).agg(F.min("p_partkey").alias("priority"))
+    broken = part.select(F.concat(F.substring("p_name", 1, 3), F.expr("substr(p_name, 5)")).alias("text")).distinct()
     return G.nearest_terms(broken, terms, 85)
 
 
-@query("""
-, one AS (SELECT s_name AS artist_name, 'http://img/' || s_suppkey AS image FROM supplier WHERE s_suppkey % 3 = 0),
-two AS (SELECT s_name AS artist_name, 'https://img/b' || s_suppkey || '?width=250' AS image FROM supplier WHERE s_suppkey % 2 = 0)
-SELECT coalesce(one.artist_name, two.artist_name) AS artist_name, coalesce(one.image, two.image) AS image FROM one FULL OUTER JOIN two ON one.artist_name = two.artist_name""")
+def _listed(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+WORD = """CASE l_orderkey % 7 WHEN 0 THEN ' ' || upper(b) || ' ' WHEN 1 THEN CASE WHEN length(b) > 6 THEN substr(b, 1, 3) || substr(b, 5) ELSE b END WHEN 2 THEN 'zz ' || k || 'y' WHEN 3 THEN a WHEN 4 THEN '80s'
+WHEN 5 THEN substr(b, 1, 2) || substr(b, 2) ELSE 'xqj' || (l_linenumber + l_suppkey % 10) END"""
+
+#: Tags that are spelling variants of the real lists, and what each tier makes of them; half of the buckets are the canonical terms.
+WORDS = rf"""+ numbered_lines AS (SELECT *, (l_orderkey * 7 + l_linenumber) AS n FROM lines JOIN latest_chart USING (country_code, snapshot_date)),
+spelt AS (SELECT country_code, artist_name, l_orderkey, l_linenumber, p_size, {WORD} AS tag FROM (SELECT *, {_listed(vocabulary.BUCKETS)}[n % {len(vocabulary.BUCKETS)} + 1] AS b,
+          {_listed([k for k, _ in vocabulary.KEYWORDS])}[n % {len(vocabulary.KEYWORDS)} + 1] AS k, {_listed(sorted(vocabulary.ALIASES))}[n % {len(vocabulary.ALIASES)} + 1] AS a FROM numbered_lines)),
+bucket_list AS (SELECT unnest({_listed(vocabulary.BUCKETS)}) AS bucket, unnest(range({len(vocabulary.BUCKETS)})) AS priority),
+keyword_list AS (SELECT unnest({_listed([k for k, _ in vocabulary.KEYWORDS])}) AS keyword, unnest({_listed([v for _, v in vocabulary.KEYWORDS])}) AS bucket, unnest(range({len(vocabulary.KEYWORDS)})) AS priority),
+alias_list AS (SELECT unnest({_listed(list(vocabulary.ALIASES))}) AS tag, unnest({_listed(list(vocabulary.ALIASES.values()))}) AS alias),
+plain AS (SELECT tag, CASE WHEN length(t) > 2 AND NOT regexp_full_match(t, '\d{{2,4}}s?') THEN t END AS t FROM (SELECT DISTINCT tag, lower(trim(tag)) AS t FROM spelt)),
+open_words AS (SELECT DISTINCT t FROM plain WHERE t IS NOT NULL AND t NOT IN (SELECT tag FROM alias_list)),
+near_term AS (SELECT t, bucket AS term FROM (SELECT t, bucket, priority, CASE WHEN t = bucket THEN 200 ELSE 200.0::DOUBLE * {_lcs("t", "bucket")} / (length(t) + length(bucket)) END AS score
+              FROM open_words, bucket_list WHERE priority % 2 = 0 AND length(t) < 2 * length(bucket) AND length(bucket) < 2 * length(t)) WHERE score >= 85 QUALIFY row_number() OVER (PARTITION BY t ORDER BY score DESC, priority) = 1),
+named_words AS (SELECT p.tag, p.t, coalesce(alias, term, p.t) AS genre FROM plain p LEFT JOIN alias_list a ON p.t = a.tag LEFT JOIN near_term n ON p.t = n.t),
+by_rule AS (SELECT genre, arg_min(bucket, (tier, size, priority)) AS bucket FROM (
+  SELECT genre, bucket, CASE WHEN genre = bucket THEN 0 ELSE 1 END AS tier, -length(bucket) AS size, priority FROM (SELECT DISTINCT genre FROM named_words) JOIN bucket_list ON contains(genre, bucket)
+  UNION ALL SELECT genre, bucket, 2, 0, priority FROM (SELECT DISTINCT genre FROM named_words) JOIN keyword_list ON contains(genre, keyword)) GROUP BY 1),
+by_likeness AS (SELECT genre, bucket FROM (SELECT genre, bucket, priority, 200.0::DOUBLE * {_lcs("genre", "bucket")} / (length(genre) + length(bucket)) AS score
+                FROM (SELECT DISTINCT genre FROM named_words WHERE genre IS NOT NULL AND genre NOT IN (SELECT genre FROM by_rule)), bucket_list WHERE length(genre) < 2 * length(bucket) AND length(bucket) < 2 * length(genre))
+                WHERE score >= 88 QUALIFY row_number() OVER (PARTITION BY genre ORDER BY score DESC, priority) = 1),
+word_bucket AS (SELECT tag, n.genre, CASE WHEN n.genre IS NOT NULL THEN coalesce(r.bucket, l.bucket, 'other') END AS bucket FROM named_words n LEFT JOIN by_rule r ON n.genre = r.genre LEFT JOIN by_likeness l ON n.genre = l.genre)"""
+
+
+def _spelt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest lines as tags of both sources that are spelling variants, keywords and one-letter errors of the real lists."""
+    return _w(spark, sf_dir).once("spelt", lambda: sinks.kept(_misspelt(spark, sf_dir), testview.scratch(spark)))
+
+
+def _misspelt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.latest(_w(spark, sf_dir).lines).withColumn("n", F.col("l_orderkey") * 7 + F.col("l_linenumber"))
+    pick = lambda values: F.array(*map(F.lit, values))[(F.col("n") % len(values)).cast("int")]
+    words = {"b": vocabulary.BUCKETS, "k": [k for k, _ in vocabulary.KEYWORDS], "a": sorted(vocabulary.ALIASES)}
+    spelt = rows.select("*", *[pick(v).alias(c) for c, v in words.items()]).withColumn("tag", F.expr(WORD))
+    odd = F.col("l_linenumber") % 2 == 1
+    source = F.when(odd, "a").otherwise("b")
+    order = Window.partitionBy("country_code", "artist_name", "source").orderBy("l_orderkey", "l_linenumber")
+    return spelt.withColumn("source", source).select("country_code", "artist_name", (F.row_number().over(order) - 1).alias("pos"), "tag", F.when(odd, (F.col("p_size") * 2).cast("string")).alias("count"), "source")
+
+
+def _half_terms(spark: SparkSession) -> DataFrame:
+    return G.bucket_table(spark).where("priority % 2 = 0").withColumnRenamed("bucket", "term")
+
+
+@query(WORDS + " SELECT tag, genre, bucket FROM word_bucket")
+def tag_tiers(spark, sf_dir):
+    """Every tier of naming and bucketing: junk, alias, nearest term; exact, contained, keyword, nearest bucket, other."""
+    named = G.normalised_tags(_spelt(spark, sf_dir), _half_terms(spark))
+    return named.join(G.bucketed(named.where("genre is not null").select("genre")), "genre", "left").select("tag", "genre", "bucket")
+
+
+@query(
+    WORDS
+    + """, numbered AS (SELECT *, row_number() OVER (PARTITION BY country_code, artist_name, l_linenumber % 2 ORDER BY l_orderkey, l_linenumber) - 1 AS pos FROM spelt),
+t AS (SELECT *, sum(score) OVER (PARTITION BY country_code) AS total FROM (
+  SELECT country_code, bucket AS genre, CAST(sum(greatest(floor(CASE WHEN l_linenumber % 2 = 1 THEN p_size * 2 ELSE 20 END / 20), 1)) AS BIGINT) AS score FROM numbered JOIN word_bucket USING (tag) WHERE pos < 5 AND bucket <> 'other' GROUP BY ALL)),
+d AS (SELECT genre, count(*) AS df FROM t WHERE score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE GROUP BY 1), n AS (SELECT count(DISTINCT country_code) AS n FROM t)
+SELECT country_code, t.genre, score, CASE WHEN score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE AND df > 0 THEN round(score * ln(n / df), 3) ELSE 0.0::DOUBLE END AS distinctiveness FROM t LEFT JOIN d ON t.genre = d.genre CROSS JOIN n"""
+)
+def cleanse_words(spark, sf_dir):
+    """The cleansing plan with the real buckets, keywords and aliases, a canonical list, and fuzzy matching."""
+    known = C.artist_streams(_w(spark, sf_dir).chart_entries).select("country_code", "artist_name", F.col("best_position").alias("rank"))
+    done = refresh.cleanse(known, _spelt(spark, sf_dir), _w(spark, sf_dir).countries, _half_terms(spark), within=testview.scratch(spark))
+    return done.scores.select("country_code", "genre", "score", "distinctiveness")
+
+
+@query(f", {IMAGES} SELECT * FROM pictures")
 def artist_images(spark, sf_dir):
     s = testview.tables(spark, sf_dir)("supplier").select(F.col("s_name").alias("artist_name"), "s_suppkey")
     code = F.col("s_suppkey").cast("string")
@@ -522,19 +603,28 @@ def resolve_artists(spark, sf_dir):
     return matching.resolve(s, mbids, matching.entity_meta(rows, "mbid"), matching.entity_meta_by_name(named), searched).select("artist_name", "origin_country", "status")
 
 
-def _cleansed(spark: SparkSession, sf_dir: str) -> tuple[refresh.Cleansed, DataFrame]:
-    """Every country's latest day through the whole cleansing plan, and the lines it comes from."""
-    rows = _w(spark, sf_dir)._written(testview.lines(spark, sf_dir, recent=True))
-    tags = C.latest(testview.tags(rows))
-    known = C.top(C.artist_streams(testview.chart_entries(rows)), ["country_code"], [F.asc("best_position")], 1 << 30).select("country_code", "artist_name", F.col("rank").cast("bigint").alias("rank"))
-    codes = testview.tables(spark, sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
+def _on(facts: DataFrame, recency: int) -> DataFrame:
+    """The rows of each country's latest day (1) or of the one before (2)."""
+    return C.recent(facts).where(F.col("recency") == recency).drop("recency")
+
+
+def _cleansed(spark: SparkSession, sf_dir: str, recency: int = 1) -> refresh.Cleansed:
+    """Every country's latest day, or the one before, through the whole cleansing plan; once for a session's view."""
+    return _w(spark, sf_dir).once(f"cleansed {recency}", lambda: _cleanse(spark, sf_dir, recency))
+
+
+def _cleanse(spark: SparkSession, sf_dir: str, recency: int) -> refresh.Cleansed:
+    w = _w(spark, sf_dir)
+    tags = testview.tags(_on(w.lines, recency))
+    best = _on(w.chart_entries, recency).groupBy("country_code", "artist_name").agg(F.min("position").alias("p"))
+    known = best.select("country_code", "artist_name", F.row_number().over(Window.partitionBy("country_code").orderBy("p")).cast("bigint").alias("rank"))
     none = spark.createDataFrame([], "keyword string, bucket string, priority int")
-    return refresh.cleanse(known, tags, codes, None, testview.noun_buckets(spark, sf_dir), none, fuzzy=False), rows
+    return refresh.cleanse(known, tags, w.countries, None, testview.noun_buckets(spark, sf_dir), none, fuzzy=False, within=testview.scratch(spark))
 
 
 @query(LATEST_SCORED + "SELECT country_code, t.genre, score, CASE WHEN score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE AND df > 0 THEN round(score * ln(n / df), 3) ELSE 0.0::DOUBLE END AS distinctiveness FROM t LEFT JOIN d ON t.genre = d.genre CROSS JOIN n")
 def cleanse(spark, sf_dir):
-    return _cleansed(spark, sf_dir)[0].scores.select("country_code", "genre", "score", "distinctiveness")
+    return _cleansed(spark, sf_dir).scores.select("country_code", "genre", "score", "distinctiveness")
 
 
 RECORDS = """
@@ -550,29 +640,50 @@ def _record_text(rows: DataFrame) -> DataFrame:
 
 @query(RECORDS)
 def processed_records(spark, sf_dir):
-    return _record_text(refresh.records(_cleansed(spark, sf_dir)[0]))
+    return _record_text(refresh.records(_cleansed(spark, sf_dir)))
 
 
 @query(RECORDS)
 def stored_records(spark, sf_dir):
     """Records stored for two days, the first of them twice, and each country's latest one read back from the history."""
     root = f"{testview.scratch(spark)}/records"
-    rows = refresh.records(_cleansed(spark, sf_dir)[0])
+    rows = refresh.records(_cleansed(spark, sf_dir))
     old = rows.withColumn("artist_count", F.lit(0))
     for day, found in (("2001-06-30", old), ("2001-06-30", old), ("2001-07-01", rows)):
-        sinks.store_records(found, root, day)
-    return _record_text(refresh.latest_records(sinks.record_history(spark, root, rows.schema)))
+        sinks.store_day({"records": found}, root, day)
+    return _record_text(refresh.latest_records(sinks.stored(spark, root, "records", rows.schema)))
+
+
+@query("""
+, latest_known AS (SELECT k.* FROM known_tags k JOIN latest_chart l ON k.country_code = l.country_code AND k.snapshot_date = l.snapshot_date),
+rates AS (SELECT country_code, count(*) AS total_tags, count(*) FILTER (bucket = 'other') AS unclassified_tags, round(count(*) FILTER (bucket = 'other') / count(*), 4) AS unclassified_rate FROM latest_known GROUP BY 1),
+report AS (SELECT (SELECT count(*) FROM nation) AS countries, round(avg(unclassified_rate), 4) AS average_rate, coalesce((SELECT string_agg(n_name, ',' ORDER BY n_name) FROM nation WHERE n_name NOT IN (SELECT country_code FROM current_streams)), '') AS empty_countries,
+                  coalesce(string_agg(country_code, ',' ORDER BY unclassified_rate DESC, country_code) FILTER (unclassified_rate > 0.5), '') AS poorly_classified FROM rates)
+SELECT day AS snapshot_date, country_code, total_tags, unclassified_tags, unclassified_rate, countries, average_rate, empty_countries, poorly_classified, day + INTERVAL 6 HOUR AS generated_at
+FROM rates, report, (SELECT unnest([DATE '2001-06-30', DATE '2001-07-01']) AS day)""")
+def stored_quality(spark, sf_dir):
+    """The quality report as stored with each of two days, the second stored twice, beside what it was made of."""
+    root, done = f"{testview.scratch(spark)}/days", _cleansed(spark, sf_dir)
+    for day in ("2001-06-30", "2001-07-01", "2001-07-01"):
+        refresh.store(done, root, day, f"{day} 06:00:00")
+    report = sinks.stored(spark, root, "quality", refresh.REPORT)
+    joined = [F.array_join(c, ",").alias(c) for c in ("empty_countries", "poorly_classified")]
+    report = report.select("snapshot_date", "countries", "average_rate", *joined, "generated_at")
+    return sinks.stored(spark, root, "coverage", refresh.COVERAGE).join(report, "snapshot_date")
+
+
+def _load(spark: SparkSession, sf_dir: str, root: str, day: str, recency: int) -> sinks.Counters:
+    w = _w(spark, sf_dir)
+    charts = _on(w.chart_entries, recency).drop("snapshot_date")
+    heard = _on(w.country_artist_listeners, recency).select("country_code", "artist_name", "listeners", F.lit(0).alias("pos"))
+    return refresh.load_snapshot(spark, root, day, _cleansed(spark, sf_dir, recency), w.countries, charts, heard, w.artists)
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> str:
     """A warehouse folder with one day loaded twice."""
-    done, rows = _cleansed(spark, sf_dir)
     root = testview.scratch(spark)
-    charts = C.latest(testview.chart_entries(rows)).drop("snapshot_date")
-    heard = C.latest(testview.listeners(rows)).select("country_code", "artist_name", "listeners", F.lit(0).alias("pos"))
-    countries = testview.tables(spark, sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
     for _ in range(2):
-        refresh.load_snapshot(spark, root, "2001-07-01", done, countries, charts, heard, testview.artists(spark, sf_dir))
+        _load(spark, sf_dir, root, "2001-07-01", 1)
     return root
 
 
@@ -596,15 +707,222 @@ def load_snapshot(spark, sf_dir):
     return out
 
 
+@query(
+    LOADED
+    + """, figures AS (
+  SELECT (SELECT count(DISTINCT country_code) FROM current_streams) AS loaded, (SELECT count(*) FROM nation) AS countries, (SELECT count(*) FROM (SELECT artist_name FROM heard UNION SELECT artist_name FROM charted)) AS artists,
+         (SELECT count(*) FROM artists WHERE fans IS NOT NULL AND artist_name IN (SELECT artist_name FROM heard UNION SELECT artist_name FROM charted)) AS with_fans)
+SELECT unnest(['country_snapshots', 'country_genre_scores', 'country_top_artists', 'country_artist_genres', 'country_artist_listeners', 'chart_entries', 'countries', 'artists', 'genres', 'countries_loaded', 'countries_skipped', 'artists_with_fans', 'share_with_fans']) AS name,
+       unnest([loaded, (SELECT count(*) FROM latest_genres), (SELECT count(*) FROM current_streams), (SELECT count(*) FROM country_artist_genres g JOIN latest_chart l ON g.country_code = l.country_code AND g.snapshot_date = l.snapshot_date),
+               (SELECT count(*) FROM heard), (SELECT count(*) FROM charted), countries, artists, (SELECT count(DISTINCT genre) FROM latest_genres), loaded, countries - loaded, with_fans, round(with_fans / artists, 4)]::DOUBLE[]) AS value FROM figures"""
+)
+def run_counters(spark, sf_dir):
+    """What a load counts while it writes."""
+    found = refresh.run_summary(_load(spark, sf_dir, testview.scratch(spark), "2001-07-01", 1))
+    return spark.createDataFrame([(name, float(n)) for name, n in found.items()], "name string, value double")
+
+
 @query(LOADED + "SELECT lower(n_name) AS code, (SELECT count(*) FROM charted c WHERE c.country_code = n_name AND position <= 10) AS chart_rows FROM nation")
 def publish(spark, sf_dir):
     """A loaded day published as JSON and read back by its country folders."""
-    root = _loaded(spark, sf_dir)
-    refresh.publish(refresh.warehouse(spark, root), f"{root}/published")
-    back = spark.read.schema("code string, chart array<struct<position: bigint>>").json(f"{root}/published/countries")
+    back = refresh.published(spark, _published(spark, sf_dir), "countries")
     return back.select("code", F.coalesce(F.size("chart"), F.lit(0)).cast("bigint").alias("chart_rows"))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """The two latest days loaded, genres described, artists resolved, and all payloads published."""
+
+    def make() -> str:
+        root = testview.scratch(spark)
+        for day, recency in (("2001-06-30", 2), ("2001-07-01", 1)):
+            _load(spark, sf_dir, root, day, recency)
+        seen = sinks.read_table(spark, f"{root}/genres", "genres").where(F.length("genre") % 3 == 0)
+        captured = seen.select("genre", F.concat(F.lit("<p>About "), "genre", F.lit("</p> <a href='#'>more</a>")).alias("html"), F.concat(F.lit("http://g/"), "genre").alias("url"))
+        sinks.merge_dimension(refresh.described_genres(captured, "2001-01-01"), f"{root}/genres", "genres", ["summary", "url", "resolved_at"])
+        origins = _w(spark, sf_dir).artists.where("origin_country is not null").select("artist_name", F.lit(None).cast("string").alias("mbid"), "origin_country", F.lit(None).cast("bigint").alias("formed_year"), F.lit("hit").alias("status"))
+        refresh.store_resolved(origins, root, "2001-01-01")
+        refresh.publish(refresh.warehouse(spark, root), f"{root}/published", artist_images(spark, sf_dir))
+        return f"{root}/published"
+
+    return _w(spark, sf_dir).once("published", make)
+
+
+#: A loaded day's genres are scored against all countries' loaded days, as the cleansing does, not by quarter as the view does.
+RESCORED = """+ with_total AS (SELECT *, sum(score) OVER (PARTITION BY country_code) AS total FROM latest_genres),
+in_countries AS (SELECT genre, count(*) AS df FROM with_total WHERE score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE GROUP BY 1),
+rescored AS (SELECT country_code, t.genre, score, sources, CASE WHEN score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE AND df > 0 THEN round(score * ln((SELECT count(DISTINCT country_code) FROM with_total) / df), 3) ELSE 0.0::DOUBLE END AS distinctiveness
+  FROM with_total t LEFT JOIN in_countries d ON t.genre = d.genre)"""
+
+
+def _rescored(sql: str) -> str:
+    return f"{RESCORED}, {sql.lstrip().removeprefix('+').replace('latest_genres', 'rescored')}"
+
+
+@query(_rescored(SUMMARIES))
+def published_summaries(spark, sf_dir):
+    return _flat_summaries(refresh.published(spark, _published(spark, sf_dir), "summaries"))
+
+
+@query(ORACLE_SQL["global_artists"], views=False)
+def published_ranking(spark, sf_dir):
+    return refresh.published(spark, _published(spark, sf_dir), "global_artists")
+
+
+@query(ORACLE_SQL["trending_genres"], views=False)
+def published_trends(spark, sf_dir):
+    return refresh.published(spark, _published(spark, sf_dir), "trending_genres")
+
+
+DETAIL = """+ popular AS (
+  SELECT coalesce(s.country_code, l.country_code) AS country_code, coalesce(s.artist_name, l.artist_name) AS artist, streams, listeners, fans,
+         row_number() OVER (PARTITION BY coalesce(s.country_code, l.country_code) ORDER BY (streams IS NOT NULL AND listeners IS NOT NULL) DESC, streams DESC NULLS LAST, listeners DESC NULLS LAST, coalesce(s.artist_name, l.artist_name)) AS place
+  FROM current_streams s FULL OUTER JOIN (
+    SELECT l.* FROM country_artist_listeners l JOIN (SELECT country_code, max(snapshot_date) AS d FROM country_artist_listeners GROUP BY 1) m ON l.country_code = m.country_code AND l.snapshot_date = m.d) l
+    ON s.country_code = l.country_code AND s.artist_name = l.artist_name
+  LEFT JOIN artists a ON a.artist_name = coalesce(s.artist_name, l.artist_name)),
+two_ways AS (SELECT *, CASE way WHEN 'genres' THEN score::DOUBLE ELSE distinctiveness END AS w FROM latest_genres, (SELECT unnest(['genres', 'special_genres']) AS way)),
+placed AS (SELECT *, sum(w) OVER (PARTITION BY country_code, way) AS total, count(*) OVER (PARTITION BY country_code, way) AS genre_count, row_number() OVER (PARTITION BY country_code, way ORDER BY w DESC, genre) AS place FROM two_ways WHERE w > 0),
+shown AS (SELECT *, round(100.0::DOUBLE * w / nullif(total, 0), 2) AS percentage FROM placed WHERE place <= 15),
+left_over AS (SELECT country_code, greatest(0.0::DOUBLE, round(100 - round(sum(percentage), 6), 2)) AS p, max(genre_count) - count(*) AS n FROM shown WHERE way = 'genres' GROUP BY 1),
+spread AS (SELECT *, count(*) OVER (PARTITION BY artist_name) AS reach, (SELECT count(DISTINCT country_code) FROM latest_chart) AS everywhere FROM current_streams),
+rare AS (SELECT *, round(streams * ln(everywhere / reach), 1) AS gem_score FROM spread WHERE reach < everywhere),
+panels AS (
+  SELECT g.country_code, g.genre, g.artist_name, streams, best_position, row_number() OVER (PARTITION BY g.country_code, g.genre ORDER BY streams DESC NULLS LAST, g.artist_name) AS place
+  FROM country_artist_genres g JOIN latest_genre_day l ON g.country_code = l.country_code AND g.snapshot_date = l.snapshot_date
+  JOIN (SELECT DISTINCT country_code, genre FROM shown) w ON g.country_code = w.country_code AND g.genre = w.genre
+  LEFT JOIN current_streams s ON g.country_code = s.country_code AND g.artist_name = s.artist_name),
+detail AS (
+  SELECT n_name AS country_code, 'rest' AS part, 0 AS place, NULL AS name, NULL AS detail, p::DOUBLE AS v1, n::DOUBLE AS v2, NULL::DOUBLE AS v3, NULL::DOUBLE AS v4 FROM nation LEFT JOIN left_over ON country_code = n_name
+  UNION ALL SELECT country_code, 'popularity', place, artist, NULL, streams, listeners, fans, NULL FROM popular WHERE place <= 12
+  UNION ALL SELECT country_code, way, place, genre, array_to_string(sources, ','), percentage, score, distinctiveness, NULL FROM shown
+  UNION ALL SELECT country_code, 'hidden_gems', row_number() OVER (PARTITION BY country_code ORDER BY gem_score DESC, artist_name) AS r, artist_name, NULL, streams, best_position, reach, gem_score FROM rare QUALIFY r <= 10
+  UNION ALL SELECT c.country_code, 'chart', position, artist_name, track_name, position, coalesce(daily_streams, weekly_streams, total_streams, 0), NULL, NULL
+            FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date WHERE position <= 10
+  UNION ALL SELECT DISTINCT country_code, 'panel:' || genre, 0, CASE WHEN length(genre) % 3 = 0 THEN 'About ' || genre || '.' END, CASE WHEN length(genre) % 3 = 0 THEN 'http://g/' || genre END, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE FROM panels
+  UNION ALL SELECT country_code, 'panel:' || genre, place, artist_name, NULL, streams, best_position, NULL, NULL FROM panels WHERE place <= 5)"""
+
+
+@query(DETAIL + " SELECT country_code, part, CAST(place AS BIGINT) AS place, name, detail, v1, v2, v3, v4 FROM detail")
+def country_detail(spark, sf_dir):
+    return market.flattened(market.country_detail(_w(spark, sf_dir)))
+
+
+@query(_rescored(DETAIL) + " SELECT country_code, part, CAST(place AS BIGINT) AS place, name, detail, v1, v2, v3, v4 FROM detail")
+def published_details(spark, sf_dir):
+    return market.flattened(refresh.published(spark, _published(spark, sf_dir), "countries"))
+
+
+ASKED = [("NATION_1", "anvil"), ("nation_2", "bolt"), ("Nation_4", "no such genre"), ("NATION_5", "ANVIL"), ("nowhere", "anvil")]
+
+
+@query(
+    DETAIL
+    + f""" SELECT asked, c.country_code, CASE WHEN count(name) > 0 THEN string_agg(name, ',' ORDER BY place) END AS artists
+FROM (SELECT unnest({[f"{c}/{g}" for c, g in ASKED]}) AS asked) a JOIN nation ON lower(n_name) = lower(split_part(asked, '/', 1)) LEFT JOIN detail d ON d.country_code = n_name AND part = 'panel:' || split_part(asked, '/', 2) AND place > 0
+CROSS JOIN (SELECT n_name AS country_code FROM nation) c WHERE c.country_code = n_name GROUP BY ALL"""
+)
+def genre_panels(spark, sf_dir):
+    """Panels asked for by codes in any case: those a country has, one it hasn't, one in capitals (genres are matched as they are), and no country."""
+    details, out = market.country_detail(_w(spark, sf_dir)), None
+    for code, genre in ASKED:
+        names = F.array_join(F.transform("panel.artists", lambda x: x["artist"]), ",")
+        row = market.genre_panel(details, code, genre).select(F.lit(f"{code}/{genre}").alias("asked"), "country_code", names.alias("artists"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+# ---- raw documents
+
+
+def _documents(rows: DataFrame, path: str) -> None:
+    """Rows (country_code, ...) as one JSON document for each country, the other columns as its fields."""
+    fields = [c for c in rows.columns if c != "country_code"]
+    sinks.write_documents(rows.select(F.col("country_code").alias("name"), F.to_json(F.struct(F.col("country_code").alias("country"), *fields)).alias("document")), path)
+
+
+def _in_order(rows: DataFrame, by: list[str], order: str, value, name: str) -> DataFrame:
+    made = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v")))), lambda x: x["v"])
+    return rows.groupBy(*by).agg(made.alias(name))
+
+
+@query("""
+, rows_of AS (SELECT l.country_code, l.artist_name, row_number() OVER (PARTITION BY l.country_code ORDER BY l.artist_name) - 1 AS pos, CASE WHEN (l.listeners + length(l.country_code)) % 3 <> 0 THEN 'm' || l.country_code || l.artist_name END AS mbid
+  FROM country_artist_listeners l JOIN (SELECT country_code, max(snapshot_date) AS d FROM country_artist_listeners GROUP BY 1) m ON l.country_code = m.country_code AND l.snapshot_date = m.d)
+SELECT artist_name, arg_min(mbid, (country_code || '.json', pos)) FILTER (mbid IS NOT NULL) AS mbid, arg_min(country_code, (country_code || '.json', pos)) FILTER (mbid IS NOT NULL) AS first_file FROM rows_of GROUP BY 1""")
+def known_ids(spark, sf_dir):
+    """Ids out of one listener document for each country: the first file that has one wins, and a later one fills in where earlier ones have none."""
+    root = f"{testview.scratch(spark)}/listeners"
+    heard = C.latest(_w(spark, sf_dir).country_artist_listeners)
+    some = F.when((F.col("listeners") + F.length("country_code")) % 3 != 0, F.concat(F.lit("m"), "country_code", "artist_name")).otherwise("")
+    entry = F.struct(F.col("artist_name").alias("name"), F.col("listeners").cast("string").alias("listeners"), some.alias("mbid"))
+    _documents(_in_order(heard, ["country_code"], "artist_name", entry, "artists"), root)
+    rows = raw.ids_in_file_order(spark, root)
+    first = C.dedupe_first(rows.where("mbid is not null"), ["artist_name"], "place")
+    file = F.regexp_replace(F.col("place.file"), r"\.json$", "")
+    return matching.first_mbid(rows, "place").join(first.select("artist_name", file.alias("first_file")), "artist_name", "left")
+
+
+@query("""
+, listed AS (
+  SELECT country_code, artist_name, n_nationkey % 3 <> 1 AS heard FROM current_streams JOIN nation ON n_name = country_code WHERE n_nationkey % 3 <> 1 QUALIFY row_number() OVER (PARTITION BY country_code ORDER BY best_position) <= 100
+  UNION ALL SELECT country_code, artist_name, false FROM current_streams JOIN nation ON n_name = country_code WHERE n_nationkey % 3 = 1 AND best_position <= 100),
+t AS (SELECT *, sum(score) OVER (PARTITION BY country_code) AS total FROM (
+  SELECT k.country_code, bucket AS genre, CAST(sum(weight) AS BIGINT) AS score FROM known_tags k JOIN latest_chart l ON k.country_code = l.country_code AND k.snapshot_date = l.snapshot_date
+  JOIN listed a ON k.country_code = a.country_code AND k.artist_name = a.artist_name WHERE bucket <> 'other' AND (source = 'b' OR heard) GROUP BY ALL)),
+d AS (SELECT genre, count(*) AS df FROM t WHERE score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE GROUP BY 1), n AS (SELECT count(DISTINCT country_code) AS n FROM t)
+SELECT country_code, t.genre, score, CASE WHEN score::DOUBLE / total::DOUBLE >= 0.01::DOUBLE AND df > 0 THEN round(score * ln(n / df), 3) ELSE 0.0::DOUBLE END AS distinctiveness FROM t LEFT JOIN d ON t.genre = d.genre CROSS JOIN n""")
+def cleanse_raw(spark, sf_dir):
+    """The latest day written as raw documents of three kinds, one file for each country, and cleansed from there. Every
+    third country has no listener document, so its chart stands in for it. As in the sources, a document lists 100 rows or artists."""
+    root, w = testview.scratch(spark), _w(spark, sf_dir)
+    rows = C.latest(w.chart_entries).where("position <= 100")
+    text = lambda c: F.col(c).cast("string")
+    cells = F.array(text("position"), F.lit("="), F.concat("artist_name", F.lit(" - "), "track_name"), F.lit("-"), F.lit("*"), F.lit(""), text("daily_streams"), F.lit("+1"), text("weekly_streams"), F.lit("-1"), text("total_streams"))
+    _documents(_in_order(rows, ["country_code"], "position", cells, "rows"), f"{root}/charts")
+
+    tags = C.latest(testview.tags(w.lines))
+    ranked = C.top(C.artist_streams(w.chart_entries), ["country_code"], [F.asc("best_position")], 100)
+    entry = F.struct(F.col("artist_name").alias("name"), text("streams").alias("listeners"), F.lit("").alias("mbid"))
+    artists = _in_order(ranked, ["country_code"], "rank", entry, "artists")
+    by_artist = _in_order(tags.where("source = 'a'"), ["country_code", "artist_name"], "pos", F.struct(F.col("tag").alias("name"), "count"), "tags")
+    mapped = by_artist.groupBy("country_code").agg(F.map_from_entries(F.collect_list(F.struct("artist_name", "tags"))).alias("tags_by_artist"))
+    heard = testview.tables(spark, sf_dir)("nation").where("n_nationkey % 3 <> 1").select(F.col("n_name").alias("country_code"))
+    _documents(artists.join(mapped, "country_code", "left").join(heard, "country_code"), f"{root}/listeners")
+
+    lists = _in_order(tags.where("source = 'b'"), ["country_code", "artist_name"], "pos", F.col("tag"), "genres")
+    _documents(lists.groupBy("country_code").agg(F.map_from_entries(F.collect_list(F.struct("artist_name", "genres"))).alias("genres_by_artist")), f"{root}/genres")
+
+    none = spark.createDataFrame([], "keyword string, bucket string, priority int")
+    done = refresh.cleanse_folders(spark, f"{root}/charts", f"{root}/listeners", f"{root}/genres", w.countries, None, testview.noun_buckets(spark, sf_dir), none, fuzzy=False, within=f"{root}/kept")
+    return done.scores.select("country_code", "genre", "score", "distinctiveness")
+
+
+@query(
+    """
+WITH s AS (SELECT s_suppkey AS k, s_name AS name, CAST(floor(s_acctbal) AS BIGINT) AS f FROM supplier),
+one AS (SELECT 1 AS round, k, name, true AS asked, CASE WHEN k % 5 = 0 THEN 'error' WHEN k % 3 = 0 THEN 'miss' ELSE 'hit' END AS status, f + 1 AS fans FROM s WHERE k % 2 = 0),
+two AS (SELECT 2, k, name, k % 2 = 1 OR k % 5 = 0, CASE WHEN k % 3 = 0 THEN 'miss' ELSE 'hit' END, f + CASE WHEN k % 2 = 1 OR k % 5 = 0 THEN 2 ELSE 1 END FROM s),
+three AS (SELECT 3, k, name, true, CASE WHEN k % 7 = 0 THEN 'error' WHEN k % 3 = 0 THEN 'miss' ELSE 'hit' END, f + 3 FROM s WHERE k % 4 <> 1),
+four AS (SELECT 4, k, name, k % 4 = 1 OR k % 7 = 0, CASE WHEN k % 3 = 0 THEN 'miss' ELSE 'hit' END, f + CASE WHEN k % 4 = 1 OR k % 7 = 0 THEN 4 ELSE 3 END FROM s)
+SELECT round, name, asked, status, CASE WHEN status = 'hit' THEN fans END AS fans FROM (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three UNION ALL SELECT * FROM four)""",
+    views=False,
+)
+def lookup_rounds(spark, sf_dir):
+    """Four rounds of look-ups against one table of results: half of the names, all of them, most under a newer rule, all under it.
+    What a round answers tells its number, so an answer shows when it was found."""
+    s = testview.tables(spark, sf_dir)("supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("k"), F.floor("s_acctbal").alias("f"))
+    root, out = testview.scratch(spark), None
+    for n, version, wanted, fails in ((1, 1, "k % 2 = 0", "k % 5 = 0"), (2, 1, "true", "false"), (3, 2, "k % 4 <> 1", "k % 7 = 0"), (4, 2, "true", "false")):
+
+        def ask(names: DataFrame, n=n, fails=fails) -> DataFrame:
+            return names.join(s, "name").select("name", F.when(F.col("k") % 3 != 0, F.col("f") + n).alias("fans"), F.expr(fails).alias("failed"))
+
+        found = lookups.round_of(s.where(wanted).select("name"), f"{root}/results", version, "fans bigint", ask, root)
+        row = found.select(F.lit(n).alias("round"), "name", "asked", "status", "fans")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import half_up, share_band
@@ -32,12 +32,13 @@ def differences(percentages: DataFrame, left: str, right: str, limit: int = 10)
 def leader_classes(top_genres: DataFrame, palette: int = 12) -> DataFrame:
     """(country_code, class): the class of the genre that leads a country, the most common leaders first.
 
-    ``top_genres`` has (country_code, genre), one row per country. Distinct genres are few, so ranking them is one task's work.
+    ``top_genres`` has (country_code, genre), one row per country. Leading genres are at most as many as countries, so one
+    task ranks them.
     """
     counts = top_genres.where("genre is not null").groupBy("genre").count()
-    order = counts.orderBy(F.desc("count"), "genre").agg(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("c"), "genre"))).alias("all"))
-    classes = order.select(F.posexplode("all").alias("place", "g")).select(F.col("g.genre").alias("genre"), (F.col("place") % palette).cast("int").alias("class"))
-    return top_genres.join(F.broadcast(classes), "genre", "left").select("country_code", "class")
+    place = F.row_number().over(Window.orderBy(F.desc("count"), "genre")) - 1
+    classes = counts.select("genre", (place % palette).cast("int").alias("class"))
+    return top_genres.join(classes, "genre", "left").select("country_code", "class")
 
 
 def domestic_classes(domestic: DataFrame, min_coverage: float = DEFAULTS.min_coverage) -> DataFrame:

@@ -26,25 +26,45 @@ def alias_table(spark) -> DataFrame:
     return spark.createDataFrame(sorted(vocabulary.ALIASES.items()), "tag string, alias string")
 
 
+def near_pairs(texts: DataFrame, terms: DataFrame, threshold: int) -> DataFrame:
+    """(text, term, priority): pairs that may have a normalised Indel similarity of ``threshold``; none that has is left out.
+
+    A similarity bounds the number of insertions and deletions between two lengths. A term is cut in one segment more
+    than its greatest such number, so one segment stands whole in every text that is near enough, and it is shifted by no
+    more than what is inserted or deleted before it. Segments by length, number and wording are the key, texts bring the
+    pieces at the places where each segment can be: the join meets nothing that doesn't share a piece at its place.
+    Terms too short for that meet the texts of every length that is near enough.
+    """
+    a, b, left = F.length("text"), F.length("term"), 100 - threshold
+    longest = lambda n: F.floor(n * (200 - threshold) / threshold).cast("int")
+    segments = lambda n: (F.floor(left * (n + longest(n)) / 100) + 1).cast("int")
+    start = lambda i, n, k: F.floor(i * n / k).cast("int")
+    n, k, i = F.col("size"), F.col("k"), F.col("i")
+    cut = terms.select("term", "priority", b.alias("size")).where("size > 0").withColumn("k", segments(n))
+    first, end = start(i, n, k), start(i + 1, n, k)
+    held = cut.where("k <= size").select("*", F.explode(F.sequence(F.lit(0), k - 1)).alias("i")).select("term", "priority", "size", "i", F.substring("term", first + 1, end - first).alias("piece"))
+
+    sizes = F.sequence(F.ceil(a * threshold / (200 - threshold)).cast("int"), longest(a))
+    asked = texts.where(a > 0).select("text", F.explode(sizes).alias("size")).withColumn("k", segments(n))
+    room = F.floor(left * (a + n) / 100)
+    inserted, deleted = F.floor((room + a - n) / 2).cast("int"), F.floor((room - a + n) / 2).cast("int")
+    placed = asked.where("k <= size").select("*", F.explode(F.sequence(F.lit(0), k - 1)).alias("i"))
+    shifted = placed.select("text", "size", "i", first.alias("first"), (end - first).alias("wide"), F.explode(F.sequence(-deleted, inserted)).alias("shift"))
+    pieces = shifted.where((F.col("first") + F.col("shift") >= 0) & (F.col("first") + F.col("shift") + F.col("wide") <= a))
+    pieces = pieces.select("text", "size", "i", F.substring("text", F.col("first") + F.col("shift") + 1, F.col("wide")).alias("piece")).distinct()
+    near = pieces.join(held, ["size", "i", "piece"]).select("text", "term", "priority").distinct()
+    short = asked.where("k > size").join(cut.where("k > size").select("term", "priority", "size"), "size").select("text", "term", "priority")
+    within = F.floor(left * (a + b) / 100).cast("int")
+    return near.unionByName(short).where(F.call_function("levenshtein", F.col("text"), F.col("term"), within) >= 0)
+
+
 def nearest_terms(texts: DataFrame, terms: DataFrame, threshold: int) -> DataFrame:
     """(text, term, score): the most similar term of at least ``threshold``, the first in order among equals.
 
-    ``texts`` are distinct. A pair with a normalised Indel similarity of T has a Levenshtein distance of at most
-    (100 - T) percent of both lengths and a common character bigram if T is high; both tests are built in and lose
-    nothing, so Python sees the few pairs that are left. Short texts meet the terms of each length that is near enough.
+    ``texts`` are distinct. Of the candidates only those within the Levenshtein distance that the similarity allows, which
+    is built in, are scored exactly, in Arrow batches.
     """
-    a, b = F.length("text"), F.length("term")
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2))))
-    room = F.floor((100 - threshold) * (a + b) / 100).cast("int")
-    # with d edits (insertions and deletions) a text of n characters keeps one of its n - 1 bigrams if d < (n - 1) / 2
-    long = lambda c: F.length(c) - 1 > 2 * F.floor((100 - threshold) * 2 * F.length(c) / threshold)
-    blocked = texts.where(long(F.col("text"))).select("text", F.explode(grams(F.col("text"))).alias("gram"))
-    held = terms.select("term", "priority", F.explode(grams(F.col("term"))).alias("gram"))
-    pairs = blocked.join(held, "gram").select("text", "term", "priority").distinct()
-    sizes = F.sequence(F.ceil(a * threshold / (200 - threshold)).cast("int"), F.floor(a * (200 - threshold) / threshold).cast("int"))
-    rest = texts.where(~long(F.col("text"))).select("text", F.explode(sizes).alias("size")).join(terms.select("term", "priority", b.alias("size")), "size")
-    near = pairs.unionByName(rest.select("text", "term", "priority")).where((F.abs(a - b) <= room) & (F.call_function("levenshtein", F.col("text"), F.col("term"), room) >= 0))
-    scored = near.withColumn("score", ratio("text", "term")).where(F.col("score") >= threshold)
+    scored = near_pairs(texts, terms, threshold).withColumn("score", ratio("text", "term")).where(F.col("score") >= threshold)
     best = scored.groupBy("text").agg(F.max(F.struct("score", (-F.col("priority")).alias("o"), "term")).alias("b"))
     return best.select("text", F.col("b.term").alias("term"), F.col("b.score").alias("score"))
 
@@ -69,7 +89,7 @@ def normalised_tags(tags: DataFrame, canonical: DataFrame | None = None, aliases
 def bucketed(genres: DataFrame, buckets: DataFrame | None = None, keywords: DataFrame | None = None, fuzzy: bool = True, params: Params = DEFAULTS) -> DataFrame:
     """(genre, bucket) for the distinct values of ``genres.genre``: exact, longest contained bucket, first keyword, nearest bucket, else other.
 
-    The bucket and keyword lists are short and fixed, so they are broadcast and matched by containment.
+    A text that contains a name contains its first three letters: names and texts join on those, then containment is tested.
     """
     spark = genres.sparkSession
     buckets = bucket_table(spark) if buckets is None else buckets
@@ -78,7 +98,10 @@ def bucketed(genres: DataFrame, buckets: DataFrame | None = None, keywords: Data
     rules = buckets.select(F.col("bucket").alias("part"), "bucket", F.lit(1).alias("tier"), (-F.length("bucket")).alias("size"), "priority").unionByName(
         keywords.select(F.col("keyword").alias("part"), "bucket", F.lit(2).alias("tier"), F.lit(0).alias("size"), "priority")
     )
-    met = distinct.where("text <> ''").join(F.broadcast(rules), F.col("text").contains(F.col("part")))
+    head = rules.where("part <> ''").withColumn("head", F.substring("part", 1, 3))
+    ends = F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: F.array(*[F.substring("text", i, F.lit(n)) for n in (1, 2, 3)]))
+    heads = distinct.where("text <> ''").select("genre", "text", F.explode(F.array_distinct(F.flatten(ends))).alias("head"))
+    met = heads.join(head, "head").where(F.col("text").contains(F.col("part")))
     tier = F.when(F.col("text") == F.col("bucket"), F.when(F.col("tier") == 1, 0).otherwise(2)).otherwise(F.col("tier"))
     best = met.groupBy("genre").agg(F.min_by("bucket", F.struct(tier.alias("tier"), "size", "priority")).alias("found"))
     out = distinct.join(best, "genre", "left")

@@ -47,10 +47,10 @@ def entity_images(rows: DataFrame) -> DataFrame:
     return whole.groupBy("mbid").agg(thumbnail(F.min_by("image", "pos")).alias("image"))
 
 
-def first_mbid(rows: DataFrame) -> DataFrame:
-    """(artist_name, mbid): every name, with the first non-empty id it came with. ``rows`` has (artist_name, mbid, pos)."""
+def first_mbid(rows: DataFrame, order: str = "pos") -> DataFrame:
+    """(artist_name, mbid): every name, with the first non-empty id it came with; a null is upgraded by a later row. ``rows`` has (artist_name, mbid, order)."""
     named = F.nullif("mbid", F.lit(""))
-    return rows.groupBy("artist_name").agg(F.min_by(named, F.when(named.isNotNull(), F.col("pos"))).alias("mbid"))
+    return rows.groupBy("artist_name").agg(F.min_by(named, F.when(named.isNotNull(), F.col(order))).alias("mbid"))
 
 
 def resolve(pending: DataFrame, mbids: DataFrame, by_id: DataFrame, by_name: DataFrame, searched: DataFrame) -> DataFrame:
@@ -90,5 +90,5 @@ def resolved_codes(features: DataFrame, codes: DataFrame) -> DataFrame:
     known = codes.select(F.lower("alpha2").alias("code"), F.explode(F.array(F.lower("alpha2"), F.lower("alpha3"), F.lpad(F.col("number").cast("string"), 3, "0"))).alias("key"))
     tried = features.select("feature_id", F.posexplode("candidates").alias("pos", "raw")).where("raw is not null and raw <> '-99'")
     keyed = tried.withColumn("key", F.when(F.col("raw").rlike(r"^\d{1,3}$"), F.lpad("raw", 3, "0")).otherwise(F.lower("raw")))
-    found = keyed.join(F.broadcast(known), "key").groupBy("feature_id").agg(F.min_by("code", "pos").alias("code"))
+    found = keyed.join(known, "key").groupBy("feature_id").agg(F.min_by("code", "pos").alias("code"))
     return features.select("feature_id").join(found, "feature_id", "left")

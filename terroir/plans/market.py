@@ -33,9 +33,10 @@ class Warehouse:
 
 def hidden_gems(w: Warehouse, limit: int = 10) -> DataFrame:
     """Per country the artists whose streams weigh most against the number of countries they chart in."""
-    current = C.artist_streams(w.chart_entries)
-    scope = current.agg(F.count_distinct("country_code").alias("total_countries"))
-    met = current.join(C.reach(current), "artist_name").crossJoin(F.broadcast(scope)).where("country_count < total_countries")
+    current = C.artist_streams(w.chart_entries).withColumn("country_count", F.count("*").over(Window.partitionBy("artist_name")))
+    # every country of the chart has a latest day, so its names are all that has to be read for their number
+    scope = w.chart_entries.agg(F.count_distinct("country_code").alias("total_countries"))
+    met = current.crossJoin(F.broadcast(scope)).where("country_count < total_countries")
     scored = met.withColumn("gem_score", F.round(F.col("streams") * F.ln(F.col("total_countries") / F.col("country_count")), 1))
     return C.top(scored, ["country_code"], [F.desc("gem_score"), F.asc("artist_name")], limit)
 
@@ -49,16 +50,20 @@ def artist_popularity(w: Warehouse, limit: int = 12) -> DataFrame:
     return C.top(met, ["country_code"], [both.desc(), F.desc_nulls_last("streams"), F.desc_nulls_last("listeners"), F.asc("artist_name")], limit)
 
 
-def genre_shares(w: Warehouse, mode: str = "popularity", limit: int = 15) -> DataFrame:
-    """Per country the leading genres with their share of all qualifying ones, not only of those shown."""
+def weighted_genres(w: Warehouse, mode: str = "popularity") -> DataFrame:
+    """Per country all qualifying genres with their share, unranked."""
     if mode not in WEIGHTS:
         raise ValueError(f"unknown mode {mode}; known: {', '.join(WEIGHTS)}")
     weight = F.col(WEIGHTS[mode])
     mine = Window.partitionBy("country_code")
     latest = C.latest(w.country_genre_scores).where(weight > 0)
     whole = latest.withColumns({"total_weight": F.sum(weight).over(mine), "genre_count": F.count("*").over(mine)})
-    shared = whole.withColumn("percentage", F.round(100.0 * weight / F.nullif("total_weight", F.lit(0)), 2))
-    return C.top(shared, ["country_code"], [weight.desc(), F.asc("genre")], limit)
+    return whole.withColumn("percentage", F.round(100.0 * weight / F.nullif("total_weight", F.lit(0)), 2))
+
+
+def genre_shares(w: Warehouse, mode: str = "popularity", limit: int = 15) -> DataFrame:
+    """Per country the leading genres with their share of all qualifying ones, not only of those shown."""
+    return C.top(weighted_genres(w, mode), ["country_code"], [F.desc(WEIGHTS[mode]), F.asc("genre")], limit)
 
 
 def genre_breakdown(shown: DataFrame) -> DataFrame:
@@ -182,7 +187,7 @@ def country_detail(w: Warehouse, images: DataFrame | None = None) -> DataFrame:
     wanted = popular.select("country_code", "genre").union(special.select("country_code", "genre")).distinct()
     panels = _nested(genre_artists(w, wanted), ["country_code", "genre"], "rank", [F.col("artist_name").alias("artist"), "streams", "best_position"], "artists")
     if w.genres is not None:
-        panels = panels.join(F.broadcast(w.genres.select("genre", "summary", "url")), "genre", "left")
+        panels = panels.join(w.genres.select("genre", "summary", "url"), "genre", "left")
     else:
         panels = panels.withColumns({"summary": F.lit(None).cast("string"), "url": F.lit(None).cast("string")})
     details = panels.groupBy("country_code").agg(F.map_from_entries(F.collect_list(F.struct("genre", F.struct("summary", "url", "artists")))).alias("genre_details"))
@@ -201,6 +206,41 @@ def country_detail(w: Warehouse, images: DataFrame | None = None) -> DataFrame:
     return out
 
 
+#: What ``flattened`` makes of each list of a country: its column, and the field that goes to ``name``, to ``detail``, and to the numbers.
+_LISTS = {
+    "popularity": ("artist", None, ["streams", "listeners", "fans"]),
+    "genres": ("genre", "sources", ["percentage", "score", "distinctiveness"]),
+    "special_genres": ("genre", "sources", ["percentage", "score", "distinctiveness"]),
+    "hidden_gems": ("artist", None, ["streams", "best_position", "country_count", "gem_score"]),
+    "chart": ("artist", "track", ["position", "streams"]),
+}
+
+
+def flattened(details: DataFrame) -> DataFrame:
+    """``country_detail`` as plain rows (country_code, part, place, name, detail, v1 to v4), so that it can be compared or loaded elsewhere.
+
+    Lists keep their order in ``place``, from 1; a genre's panel is a part of its own with its artists, and one row of
+    place 0 for its description; what the shown genres leave is the part ``rest``.
+    """
+    number = lambda c: F.col(c).cast("double")
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def rows(df: DataFrame, part, place, name, detail, values: list) -> DataFrame:
+        padded = [*values, *[none] * (4 - len(values))]
+        return df.select("country_code", part.alias("part"), place.cast("long").alias("place"), name.alias("name"), detail.alias("detail"), *[v.alias(f"v{i}") for i, v in enumerate(padded, 1)])
+
+    out = rows(details, F.lit("rest"), F.lit(0), text, text, [number("other_percentage"), number("other_genres")])
+    for column, (name, detail, values) in _LISTS.items():
+        each = details.select("country_code", F.posexplode(column).alias("pos", "v"))
+        told = F.array_join("v.sources", ",") if detail == "sources" else F.col(f"v.{detail}") if detail else text
+        out = out.unionByName(rows(each, F.lit(column), F.col("pos") + 1, F.col(f"v.{name}"), told, [number(f"v.{c}") for c in values]))
+    panels = details.select("country_code", F.explode("genre_details").alias("genre", "panel"))
+    part = F.concat(F.lit("panel:"), F.col("genre"))
+    out = out.unionByName(rows(panels, part, F.lit(0), F.col("panel.summary"), F.col("panel.url"), []))
+    artists = panels.select("country_code", "genre", F.posexplode("panel.artists").alias("pos", "v"))
+    return out.unionByName(rows(artists, part, F.col("pos") + 1, F.col("v.artist"), text, [number("v.streams"), number("v.best_position")]))
+
+
 def genre_panel(details: DataFrame, code: str, genre: str) -> DataFrame:
     """One country's panel of a genre out of ``country_detail``: null if it has none; the code's case doesn't matter."""
     mine = details.where(F.lower("country_code") == code.lower())
@@ -209,7 +249,7 @@ def genre_panel(details: DataFrame, code: str, genre: str) -> DataFrame:
 
 def percentages(w: Warehouse) -> DataFrame:
     """(country_code, genre, percentage) over all genres of the latest day."""
-    return genre_shares(w, "popularity", limit=1 << 30).select("country_code", "genre", "percentage")
+    return weighted_genres(w).select("country_code", "genre", "percentage")
 
 
 def compare_all(w: Warehouse) -> DataFrame:

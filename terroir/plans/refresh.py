@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,25 +39,29 @@ def top_artists(listeners: DataFrame, charts: DataFrame, most: int = DEFAULTS.ro
     return C.top(first.unionByName(fallback), ["country_code"], [F.asc("pos"), F.asc("artist_name")], most).select("country_code", "artist_name", F.col("rank").cast("bigint").alias("rank"))
 
 
-def cleanse(artists: DataFrame, tags: DataFrame, countries: DataFrame, canonical: DataFrame | None = None, buckets: DataFrame | None = None, keywords: DataFrame | None = None, fuzzy: bool = True, params: Params = DEFAULTS) -> Cleansed:
+def cleanse(artists: DataFrame, tags: DataFrame, countries: DataFrame, canonical: DataFrame | None = None, buckets: DataFrame | None = None, keywords: DataFrame | None = None, fuzzy: bool = True, params: Params = DEFAULTS, within: str | None = None) -> Cleansed:
     """Two passes over all countries: each country's own distribution, then scores against all of them.
 
     ``artists`` is ``top_artists``; ``tags`` has (country_code, artist_name, pos, tag, count, source), of both sources.
+    What all results are made of is worked out once if a folder ``within`` is given to write it to.
     """
+    once = (lambda df: sinks.kept(df, within)) if within else (lambda df: df)
+    artists = once(artists)
     known = G.classified(tags.join(artists.select("country_code", "artist_name"), ["country_code", "artist_name"], "left_semi"), canonical, buckets, keywords, fuzzy, params)
-    scores = G.distinctiveness(G.vote(known, ["country_code"]), ["country_code"], params)
+    known = once(known)
+    scores = once(G.distinctiveness(once(G.vote(known, ["country_code"])), ["country_code"], params))
     links = G.behind(known, ["country_code"])
     rates = G.coverage(known, ["country_code"])
     counts = countries.select(F.col("code").alias("country_code")).join(artists.groupBy("country_code").agg(F.count("*").alias("artist_count")), "country_code", "left").withColumn("artist_count", F.coalesce("artist_count", F.lit(0)))
     return Cleansed(scores, artists, links, rates, G.quality_report(rates, counts, params))
 
 
-def cleanse_folders(spark: SparkSession, charts: str, listeners: str, genres: str, countries: DataFrame, canonical: DataFrame | None = None, buckets: DataFrame | None = None, keywords: DataFrame | None = None, fuzzy: bool = True, params: Params = DEFAULTS) -> Cleansed:
+def cleanse_folders(spark: SparkSession, charts: str, listeners: str, genres: str, countries: DataFrame, canonical: DataFrame | None = None, buckets: DataFrame | None = None, keywords: DataFrame | None = None, fuzzy: bool = True, params: Params = DEFAULTS, within: str | None = None) -> Cleansed:
     """Cleanse folders of raw documents, one JSON file for each country: chart lines, listeners with tags, and the genre lists of the second source."""
     heard = raw.listener_documents(spark, listeners)
     artists = top_artists(raw.listener_rows(heard, params.rows_per_country), raw.typed_chart(raw.chart_documents(spark, charts), params.rows_per_country), params.rows_per_country)
     tags = raw.tag_rows(heard, "a").unionByName(raw.genre_rows(raw.genre_documents(spark, genres), "b"))
-    return cleanse(artists, tags, countries, canonical, buckets, keywords, fuzzy, params)
+    return cleanse(artists, tags, countries, canonical, buckets, keywords, fuzzy, params, within)
 
 
 def genre_worklist(scores: DataFrame, described: DataFrame) -> DataFrame:
@@ -85,11 +89,24 @@ def records(c: Cleansed) -> DataFrame:
     return artists.join(genres, "country_code", "left").join(mapped, "country_code", "left")
 
 
-def load_snapshot(spark: SparkSession, root: str, day: str, c: Cleansed, countries: DataFrame, charts: DataFrame, listeners: DataFrame, fans: DataFrame) -> dict[str, int]:
+def store(c: Cleansed, path: str, day: str, stamp) -> None:
+    """One day's records with the quality report about them, swapped in together. ``stamp`` is when the report was made."""
+    report = c.quality.withColumn("generated_at", F.lit(stamp).cast("timestamp"))
+    sinks.store_day({"records": records(c), "coverage": c.coverage, "quality": report}, path, day)
+
+
+#: Fields of the stored quality report and of the coverage of each country.
+REPORT = "countries bigint, average_rate double, empty_countries array<string>, poorly_classified array<string>, generated_at timestamp"
+COVERAGE = "country_code string, total_tags bigint, unclassified_tags bigint, unclassified_rate double"
+
+
+def load_snapshot(spark: SparkSession, root: str, day: str, c: Cleansed, countries: DataFrame, charts: DataFrame, listeners: DataFrame, fans: DataFrame) -> sinks.Counters:
     """Load one day under ``root``: facts are replaced for that day, dimensions are merged by the columns they own.
 
-    Running it again changes nothing. Gives the rows of each fact for the day. ``fans`` has (artist_name, fans).
+    Running it again changes nothing. Gives the counters of what was written, by table; see ``run_summary``.
+    ``fans`` has (artist_name, fans).
     """
+    counters = sinks.Counters()
     facts = {
         "country_snapshots": c.artists.groupBy("country_code").agg(F.count("*").alias("artist_count")),
         "country_genre_scores": c.scores,
@@ -99,14 +116,26 @@ def load_snapshot(spark: SparkSession, root: str, day: str, c: Cleansed, countri
         "chart_entries": C.dedupe_last(charts.withColumn("line", F.struct(*[c for c in charts.columns])), ["country_code", "position"], "line").drop("line"),
     }
     for table, rows in facts.items():
-        sinks.replace_day(rows, f"{root}/{table}", table, day)
-    sinks.merge_dimension(countries.select("code", "name"), f"{root}/countries", "countries", ["name"])
+        sinks.replace_day(rows, f"{root}/{table}", table, day, counters)
+    sinks.merge_dimension(countries.select("code", "name"), f"{root}/countries", "countries", ["name"], counters)
     loaded = {t: sinks.read_table(spark, f"{root}/{t}", t).where(F.col("snapshot_date") == F.lit(day).cast("date")) for t in facts}
     names = C.artist_names(loaded["chart_entries"], loaded["country_artist_listeners"])
     sinks.merge_dimension(names, f"{root}/artists", "artists")
-    sinks.merge_dimension(C.dedupe_last(fans.where("artist_name is not null"), ["artist_name"], "fans").join(names, "artist_name", "left_semi"), f"{root}/artists", "artists", ["fans"])
-    sinks.merge_dimension(loaded["country_genre_scores"].select("genre").distinct(), f"{root}/genres", "genres")
-    return {t: f.count() for t, f in loaded.items()}
+    sinks.merge_dimension(C.dedupe_last(fans.where("artist_name is not null"), ["artist_name"], "fans").join(names, "artist_name", "left_semi"), f"{root}/artists", "artists", ["fans"], counters)
+    sinks.merge_dimension(loaded["country_genre_scores"].select("genre").distinct(), f"{root}/genres", "genres", counters=counters)
+    return counters
+
+
+def run_summary(counters: sinks.Counters) -> dict[str, float]:
+    """The figures of a load: countries loaded and skipped, rows of each table, artists with fans and their share."""
+    found = counters.found
+    loaded, artists, known = found["country_snapshots"]["rows"], found["artists"]["rows"], found["artists"]["fans"]
+    return {name: count["rows"] for name, count in found.items()} | {
+        "countries_loaded": loaded,
+        "countries_skipped": found["countries"]["rows"] - loaded,
+        "artists_with_fans": known,
+        "share_with_fans": round(known / artists, 4) if artists else 0.0,
+    }
 
 
 def warehouse(spark: SparkSession, root: str) -> market.Warehouse:
@@ -140,10 +169,26 @@ def publish(w: market.Warehouse, out: str, images: DataFrame | None = None) -> N
     sinks.publish_json(market.trending_genres(w), f"{out}/trending_genres")
 
 
-def with_day(c: Cleansed, day: str) -> Cleansed:
-    """The same results stamped with their day."""
-    stamp = lambda df: df.withColumn("snapshot_date", F.lit(day).cast("date"))
-    return replace(c, scores=stamp(c.scores), artists=stamp(c.artists), artist_genres=stamp(c.artist_genres))
+_SHARE = "array<struct<genre: string, percentage: double, score: bigint, distinctiveness: double, sources: array<string>>>"
+_SUMMARY = "country_code string, name string, artist_count bigint, top_genres array<string>, distinctive_genres array<string>, top_artists array<string>, domestic_share struct<domestic_percentage: double, coverage_percentage: double>, cover_image string"
+
+#: Fields of the four payload families.
+PAYLOADS = {
+    "summaries": _SUMMARY,
+    "countries": f"""{_SUMMARY}, code string,
+        chart array<struct<position: bigint, artist: string, track: string, streams: bigint>>,
+        popularity array<struct<artist: string, streams: bigint, listeners: bigint, fans: bigint>>,
+        genres {_SHARE}, other_percentage double, other_genres bigint, special_genres {_SHARE},
+        hidden_gems array<struct<artist: string, streams: bigint, best_position: bigint, country_count: bigint, gem_score: double>>,
+        genre_details map<string, struct<summary: string, url: string, artists: array<struct<artist: string, streams: bigint, best_position: bigint>>>>""",
+    "global_artists": "artist_name string, streams bigint, previous_streams bigint, country_count bigint, delta bigint, origin_country string",
+    "trending_genres": "country_code string, genre string, score bigint, previous_score bigint, delta bigint",
+}
+
+
+def published(spark: SparkSession, out: str, family: str) -> DataFrame:
+    """One family of payloads read back; no rows where nothing was published yet."""
+    return raw.read_or_empty(spark, f"{out}/{family}", PAYLOADS[family])
 
 
-__all__ = ["TABLES", "Cleansed", "cleanse", "cleanse_folders", "described_genres", "genre_worklist", "images_needed", "latest_records", "load_snapshot", "matched", "publish", "records", "store_resolved", "top_artists", "warehouse", "with_day"]
+__all__ = ["TABLES", "Cleansed", "cleanse", "cleanse_folders", "described_genres", "genre_worklist", "images_needed", "latest_records", "load_snapshot", "matched", "publish", "published", "records", "run_summary", "store", "store_resolved", "top_artists", "warehouse"]

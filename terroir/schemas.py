@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-_TYPES = {"STRING": T.StringType(), "BIGINT": T.LongType(), "DATE": T.DateType(), "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(), "ARRAY<STRING>": T.ArrayType(T.StringType(), False)}
+_TYPES = {"STRING": T.StringType(), "BIGINT": T.LongType(), "DATE": T.DateType(), "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(), "ARRAY<STRING>": T.ArrayType(T.StringType())}
 
 
 def _table(columns: str) -> T.StructType:

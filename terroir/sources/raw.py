@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.text import blank_to_null, label_artist, label_track, number, stripped
 
+
 def seed_countries(spark: SparkSession, path: str, schema: str = "listener_name STRING, chart_code STRING, country_name STRING") -> DataFrame:
     """The seed CSV with a header line."""
     return spark.read.csv(path, header=True, schema=schema)
@@ -70,6 +71,13 @@ def listener_rows(documents: DataFrame, most: int = 100) -> DataFrame:
     return each.select("country_code", F.col("a.name").alias("artist_name"), F.col("a.listeners").try_cast("bigint").alias("listeners"), blank_to_null(F.col("a.mbid")).alias("mbid"), "pos").where("artist_name is not null")
 
 
+def ids_in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """(artist_name, mbid, place) of all listener documents under ``path``; ``place`` orders files by name, then rows by their place in the file."""
+    documents = spark.read.schema(schemas.RAW_LISTENERS).json(path, multiLine=True).select(F.col("_metadata.file_name").alias("file"), "artists")
+    each = documents.select("file", F.posexplode("artists").alias("pos", "a"))
+    return each.select(F.col("a.name").alias("artist_name"), blank_to_null(F.col("a.mbid")).alias("mbid"), F.struct("file", "pos").alias("place")).where("artist_name <> ''")
+
+
 def tag_rows(documents: DataFrame, source: str) -> DataFrame:
     """(country_code, artist_name, pos, tag, count, source) from a map of tag lists."""
     each = documents.select("country_code", F.explode("tags_by_artist").alias("artist_name", "tags")).select("country_code", "artist_name", F.posexplode("tags").alias("pos", "t"))

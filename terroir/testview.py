@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import genres as G
+from .sources.raw import exists
 
 
 def tables(spark: SparkSession, sf_dir: str):
@@ -30,24 +31,20 @@ def scratch(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/warehouse-{uuid.uuid4().hex}"
 
 
-def lines(spark: SparkSession, sf_dir: str, recent: bool = False) -> DataFrame:
-    """One row per line item with its country, day, artist and part; with ``recent`` only from the day on that is the
-    last but one of the country whose days end first, which is all that the latest two days of any country need."""
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item with its country, day, artist and part."""
     t = tables(spark, sf_dir)
     nation = t("nation").select("n_nationkey", "n_name")
     customers = t("customer").select("c_custkey", "c_nationkey").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = t("orders").select("o_orderkey", "o_custkey", F.date_trunc("quarter", "o_orderdate").cast("date").alias("snapshot_date"))
     last = orders.agg(F.max("snapshot_date").alias("last_day"))
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).crossJoin(F.broadcast(last))
-    placed = placed.where((F.col("n_nationkey") % 3 != 0) | (F.col("snapshot_date") < F.col("last_day")))
-    if recent:
-        days = placed.select("n_nationkey", "snapshot_date").distinct().withColumn("r", F.dense_rank().over(Window.partitionBy("n_nationkey").orderBy(F.desc("snapshot_date"))))
-        placed = placed.where(F.col("snapshot_date") >= days.where("r <= 2").agg(F.min("snapshot_date").alias("d")).scalar())
+    placed = placed.where((F.col("n_nationkey") % 3 != 0) | (F.col("snapshot_date") < F.col("last_day"))).select("o_orderkey", "o_custkey", "n_name", "snapshot_date")
     items = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
     suppliers = t("supplier").select("s_suppkey", F.col("s_name").alias("artist_name"))
     parts = t("part").select("p_partkey", F.col("p_name").alias("track_name"), "p_size")
     met = items.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return met.withColumnRenamed("n_name", "country_code")
+    return met.withColumnRenamed("n_name", "country_code").drop("o_orderkey", "s_suppkey", "p_partkey")
 
 
 def chart_entries(rows: DataFrame) -> DataFrame:
@@ -114,26 +111,42 @@ def genre_scores(spark: SparkSession, sf_dir: str, rows: DataFrame) -> tuple[Dat
 
 
 class View:
-    """The warehouse tables made from the star schema. As in a warehouse, a table is written once and then read:
-    the first use makes it, later ones read its files. ``recent`` leaves out days that no latest figure needs."""
+    """The warehouse tables made from the star schema. As in a warehouse, a table is written once and then read: the
+    first query that uses it makes it, later ones of the session read its files.
 
-    genres = None
+    The lines are written by day, in files of balanced size. With ``recent`` all other tables leave out days before the
+    last but one of the country whose days end first, which no latest figure needs; only those days' lines are read.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, recent: bool):
         self.spark, self.sf_dir, self.recent = spark, sf_dir, recent
+        self.paths: list[str] = []
+        self.made: dict[str, object] = {}
 
-    def _written(self, df: DataFrame) -> DataFrame:
+    def once(self, name: str, make):
+        """What ``make`` gave when it was first asked for under this name."""
+        if name not in self.made:
+            self.made[name] = make()
+        return self.made[name]
+
+    def _written(self, df: DataFrame, by: str | None = None) -> DataFrame:
         path = scratch(self.spark)
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+        self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
-    def _lines(self) -> DataFrame:
-        return lines(self.spark, self.sf_dir, self.recent)
+    def lines(self) -> DataFrame:
+        if not self.recent:
+            return self._written(lines(self.spark, self.sf_dir).hint("rebalance", "snapshot_date"), "snapshot_date")
+        every = warehouse(self.spark, self.sf_dir).lines
+        newest = Window.partitionBy("country_code").orderBy(F.desc("snapshot_date"))
+        days = every.select("country_code", "snapshot_date").distinct().withColumn("r", F.dense_rank().over(newest)).where("r <= 2")
+        return every.where(F.col("snapshot_date") >= days.agg(F.min("snapshot_date").alias("d")).scalar())
 
     @cached_property
-    def _scored(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return genre_scores(self.spark, self.sf_dir, self._lines)
+    def scored(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return genre_scores(self.spark, self.sf_dir, self.lines)
 
     @cached_property
     def _ranked(self) -> DataFrame:
@@ -142,7 +155,7 @@ class View:
 
     @cached_property
     def chart_entries(self) -> DataFrame:
-        return self._written(chart_entries(self._lines))
+        return self._written(chart_entries(self.lines))
 
     @cached_property
     def artists(self) -> DataFrame:
@@ -150,20 +163,26 @@ class View:
 
     @cached_property
     def country_artist_listeners(self) -> DataFrame:
-        return self._written(listeners(self._lines))
+        return self._written(listeners(self.lines))
 
     @cached_property
     def country_genre_scores(self) -> DataFrame:
-        return self._written(self._scored[0])
+        return self._written(self.scored[0])
 
     @cached_property
     def country_artist_genres(self) -> DataFrame:
-        return self._written(self._scored[1])
+        return self._written(self.scored[1])
 
     @cached_property
     def countries(self) -> DataFrame:
         return tables(self.spark, self.sf_dir)("nation").select(F.col("n_name").alias("code"), F.initcap("n_name").alias("name"))
 
+    @cached_property
+    def genres(self) -> DataFrame:
+        """Descriptions of the genres whose names have 3, 6, ... letters."""
+        told = noun_buckets(self.spark, self.sf_dir).where(F.length("bucket") % 3 == 0)
+        return told.select(F.col("bucket").alias("genre"), F.concat(F.lit("About "), "bucket", F.lit(".")).alias("summary"), F.concat(F.lit("http://g/"), "bucket").alias("url"))
+
     @cached_property
     def country_snapshots(self) -> DataFrame:
         return self._ranked.groupBy("country_code", "snapshot_date").agg(F.count("*").alias("artist_count"))
@@ -173,8 +192,15 @@ class View:
         return self._ranked.where("rank <= 100")
 
 
+_VIEWS: dict[tuple[str, str, bool], View] = {}
+
+
 def warehouse(spark: SparkSession, sf_dir: str, recent: bool = False) -> View:
-    return View(spark, sf_dir, recent)
+    """The session's view of a folder; made anew if its files are gone. The folder's tables are taken not to change."""
+    key = (spark.sparkContext.applicationId, sf_dir, recent)
+    if key not in _VIEWS or not all(exists(spark, path) for path in _VIEWS[key].paths):
+        _VIEWS[key] = View(spark, sf_dir, recent)
+    return _VIEWS[key]
 
 
 #: The same views as common table expressions.
