@@ -23,7 +23,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", ["hidden_gems", "artist_popularity", "genre_shares", "domestic_share_all", "global_artists", "trending_tails", "compare_two", "merge_dimension", "quality_report", "code_resolution", "chart_from_html", "load_snapshot"])
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_query(spark, duck, name):
     got = catalog.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
