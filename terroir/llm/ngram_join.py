@@ -16,9 +16,11 @@ Documents that share a key are not paired with each other. Each key has a pivot,
 tokens, and every document of the key is verified against it; linked documents merge into components. Two documents
 that a pivot is the same as, but for a few tokens each, are linked if their differences from it overlap enough. So
 those differences are indexed in turn, by prefixes and combinations of tokens again, for the pivot's documents that it
-isn't linked with and for what they can be linked with. The new keys get new pivots, until few pairs of different
-components are left; these are verified one by one. So no link between components is lost, and a group of copies costs
-as many comparisons as it has documents.
+isn't linked with and for what they can be linked with. The new keys get new pivots, as long as that at least halves
+the pairs of different components that share a key. What is left is joined on the key, a key of many documents in
+blocks. Each set brings 512 bits there, the parities of its tokens by classes of hashes: where more bits differ than
+linked sets may differ in tokens, the join makes no row. The others are verified, by finer sketches and then by the
+tokens. So no link between components is lost, and a group of copies costs as many comparisons as it has documents.
 
 Defined results: null and empty texts, and texts without words, have an empty set, n_shingles 0 and are linked with
 nothing; a text of fewer words than an n-gram is one token; rows that repeat an id are documents of their own; a
@@ -52,8 +54,10 @@ RANGE_TOKENS, LEAST_BITS = 1 << 20, 5
 FREQUENT = 3
 #: Bytes of keys, ids or other join sides that may be broadcast; beyond it the joins shuffle.
 BROADCAST_BYTES = 48 << 20
-#: Unverified pairs per row of the key table that are simply verified; with more, new pivots are taken.
-PAIRS_PER_ROW = 64
+#: Pairs per row of the key table whose bits are simply compared; with more, new pivots are taken.
+PAIRS_PER_ROW = 512
+#: Longs of parities of a set; rows of a key that one block of the last join holds.
+LONGS, BLOCK = 8, 512
 #: Differences from a pivot that one class of them holds, about, when sets are as far from it as linked ones can be.
 CLASS = 6
 
@@ -511,11 +515,52 @@ def differences(pairs: DataFrame, held: DataFrame, measure: Measure) -> DataFram
     return joined.mapInArrow(run, "a long, b long, n long, weight double, linked boolean, keys array<long>")
 
 
+def parities_of(held: DataFrame) -> DataFrame:
+    """(sid, k, bits): how many tokens of a set other sets hold, and for each of 64 ``LONGS`` classes of hashes whether an odd number of them is in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = 64 * LONGS
+        for batch in slices(batches, "tokens"):
+            found = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
+            bits = [np.packbits(np.bincount((_mix(x) % _U(classes)).astype(np.int64), minlength=classes) & 1).view("<i8") for x in found]
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array([len(x) for x in found], pa.int64()), pa.array(bits, pa.list_(pa.int64()))], names=["sid", "k", "bits"])
+
+    return held.select("sid", "tokens").mapInArrow(run, "sid long, k long, bits array<long>")
+
+
+def near_pairs(rows: DataFrame, held: DataFrame, measure: Measure) -> DataFrame:
+    """(a, b, n, m): sets of different components (``comp``) that share a key, have alike sizes, and may be linked by their parities.
+
+    ``rows`` has (key, sid, n, comp, c), c being the members of the key. Each token that only one of two sets has changes
+    one parity, so as many bits as differ, and the tokens that no other set holds, are a lower bound on what they differ by.
+    """
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    bits = settle(parities_of(held))
+    told = rows.join(small(bits, 100 + 8 * LONGS, BROADCAST_BYTES), "sid").withColumn("own", F.col("n") - F.col("k")).withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
+    dealt_ = told.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    side = lambda x, at: dealt_.where(F.col("block") == F.col(at)).select("key", "low", "high", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "n", "comp", "own")], *[F.col("bits")[i].alias(f"bits_{x}{i}") for i in range(LONGS)])
+    x, y = side("x", "low").alias("x"), side("y", "high").alias("y")
+    n, m = F.col("n_x"), F.col("n_y")
+    alike = (n * measure.den >= m * measure.num) & (m * measure.den >= n * measure.num)
+    differ = F.col("own_x") + F.col("own_y")
+    for i in range(LONGS):
+        differ = differ + F.bit_count(F.col(f"bits_x{i}").bitwiseXOR(F.col(f"bits_y{i}")))
+    near = differ * (measure.den + measure.num) <= (n + m) * (measure.den - measure.num)
+    once_ = F.when(F.col("x.low") < F.col("x.high"), F.col("comp_x") != F.col("comp_y")).otherwise(F.col("comp_x") < F.col("comp_y"))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    met = x.join(y, same & once_ & alike & near)
+    one, two = (F.struct(F.col(f"sid_{s}").alias("a"), F.col(f"n_{s}").alias("n")) for s in "xy")
+    pair = met.select(F.least(one, two).alias("one"), F.greatest(one, two).alias("two")).distinct()
+    return pair.select("one.a", F.col("two.a").alias("b"), "one.n", F.col("two.n").alias("m"))
+
+
 def links(held: DataFrame, measure: Measure) -> DataFrame:
-    """Verified pairs (a, b) of set ids that join all that is linked into components."""
-    alike = (F.col("n") * measure.den >= F.col("m") * measure.num) & (F.col("m") * measure.den >= F.col("n") * measure.num)
+    """Verified pairs (a, b) of set ids that join all that is linked into components.
+
+    Pivots are taken anew while pairs are many and at least halved by them, so the rounds are a logarithm of the pairs at most.
+    """
     keyed = held.select(F.explode("keys").alias("key"), "sid", "n", "weight")
-    found = labels = None
+    found = labels = left = None
     while True:
         rows = once(settle(keyed))
         most = rows.count()
@@ -524,10 +569,11 @@ def links(held: DataFrame, measure: Measure) -> DataFrame:
             rows = settle(rows.join(small(labels, 48, BROADCAST_BYTES), "sid", "left").withColumn("comp", F.coalesce("component", "sid")).drop("component"))
             sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
             sizes = settle(sizes.select("key", "c", ((F.col("c") * F.col("c") - F.col("own")) / 2).alias("pairs")).where("pairs > 0"), most)
-            told = sizes.agg(F.sum("pairs"), F.sum("c")).first()
-            rows = settle(rows.join(small(sizes.select("key"), 32, BROADCAST_BYTES), "key", "left_semi"))
-            if (told[0] or 0) <= PAIRS_PER_ROW * (told[1] or 0):
+            pairs_left, rows_left = (x or 0 for x in sizes.agg(F.sum("pairs"), F.sum("c")).first())
+            if pairs_left <= PAIRS_PER_ROW * rows_left or (left is not None and pairs_left > left / 2):
                 break
+            left = pairs_left
+            rows = settle(rows.join(small(sizes.select("key"), 32, BROADCAST_BYTES), "key", "left_semi"))
         pivots = rows.groupBy("key").agg(F.max_by("sid", F.struct("weight", "sid")).alias("b"))
         pairs = settle(rows.join(small(settle(pivots, most), 48, BROADCAST_BYTES), "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct(), most)
         met = settle(differences(pairs, held, measure))
@@ -537,9 +583,7 @@ def links(held: DataFrame, measure: Measure) -> DataFrame:
         # where all of a pivot's sets are linked with it, nothing is left to find
         open_ = settle(met.where("not linked").select("b").distinct(), pairs.count())
         keyed = met.join(small(open_, 32, BROADCAST_BYTES), "b", "left_semi").select(F.explode("keys").alias("key"), F.col("a").alias("sid"), "n", "weight")
-    one = rows.select("key", F.col("sid").alias("a"), "n", "comp")
-    two = rows.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
-    rest = one.join(two, "key").where((F.col("comp") < F.col("other")) & alike).select("a", "b", "n", "m").distinct()
+    rest = near_pairs(rows.join(small(sizes.select("key", "c"), 48, BROADCAST_BYTES), "key"), held, measure)
     return found.unionByName(verified(rest, settle(sketches_of(held)), held, measure))
 
 
