@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, give_back, settle, table
+from .common import alone, discard, give_back, settle, table
 from .components import components
 
 #: Rotations, blocks of a direction, and filters that a vector passes in each rotation on average.
@@ -272,7 +272,7 @@ def links(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
 def near_duplicates(vectors: DataFrame, least: float = 0.93, id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """Per row (vec_id, n_links, component_id, kept): rows of one label are linked from a cosine of ``least`` on."""
     rows = packed(vectors, id, vector, label)
-    counts, edges = links(rows, least)
+    counts, edges = (settle(x) for x in links(rows, least))
     placed = settle(components(edges).join(rows.select(F.col("rid").alias("node"), "vec_id"), "node"))
     least_id = placed.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     named = placed.join(least_id, "component").select(F.col("node").alias("rid"), "component_id")
@@ -282,7 +282,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id: str = "vec_id",
 
 
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "embeddings"))
+    return alone(lambda: near_duplicates(table(spark, sf_dir, "embeddings")))
 
 
 QUERIES = {"op13_embedding_near_dedup": op13_embedding_near_dedup}

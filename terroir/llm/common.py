@@ -6,7 +6,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Folders of the tables that this process has settled, oldest first.
+_SETTLED: list[tuple[SparkSession, str]] = []
+
+
 def settle(df: DataFrame, most: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -52,15 +56,30 @@ def settle(df: DataFrame, most: int | None = None) -> DataFrame:
         df = df.coalesce(most // FILE_ROWS + 1)
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SETTLED.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, settled; every other table that it has settled on the way is deleted."""
+    before = len(_SETTLED)
+    out = settle(make())
+    for spark, path in _SETTLED[before:-1]:
+        _delete(spark, path)
+    del _SETTLED[before:-1]
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a settled table that nothing will read again."""
     spark = df.sparkSession
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/settled-" in f}:
-        at = spark._jvm.org.apache.hadoop.fs.Path(name)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _delete(spark, name)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -4,10 +4,14 @@ The exact table holds one row for each line key and document (``postings``) and
 number of documents and the largest id (``references``). Keys that enough documents hold are entered in cuckoo
 filters, one small filter for each shard of the key space, made and updated by the task that owns the shard. A cuckoo
 filter forgets a key on request, so documents can be inserted and deleted and the table and filters stay equal to a
-rebuild. Filters only save work: they let the exact join read the few postings that may be repeated.
+rebuild. Filters save shuffling: tasks that read the postings hold the filters, of about 2.4 bytes for each repeated key,
+and hand on to the exact join only the few postings that may be repeated. Filters of more than ``FILTER_BYTES`` aren't
+sent to all tasks; then postings and filters are joined by shard, so a task holds one filter and about ``SHARD_POSTINGS``
+postings. A line of very many documents doesn't pass there: it is known by its exact count and goes straight to the join.
 
-Tasks join postings and filters by shard, so a task holds one filter and about ``SHARD_POSTINGS`` postings. A line of
-very many documents doesn't pass there: it is known by its exact count and goes straight to the join.
+An insertion or deletion counts again only the keys of the documents concerned, and writes no posting that was there
+before: new postings are a further part of the table, deleted ids are left out when it is read. After ``PARTS`` changes
+the table is written as one again, and the filters are dealt to more shards if it has outgrown them.
 
 Defined results: a null or empty text is one empty line; rows that repeat an id count as one document, and each of them
 loses the lines that this document loses; rows with a null id can't be told apart, count as no document and keep all
@@ -31,6 +35,8 @@ from .common import settle, slices, small, table, text_bytes
 SPACE = b" \t\n\x0b\x0c\r"
 #: Postings of one shard on average. Keys of more documents than ``HOT`` aren't filtered.
 SHARD_POSTINGS, HOT = 1 << 17, 1 << 15
+#: Bytes of filters that every task may hold, and changes after which the postings are written as one table.
+FILTER_BYTES, PARTS = 64 << 20, 16
 #: Bytes of hot keys that may be broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
 #: Fingerprints in one bucket, moves before an insertion counts as failed, share of slots to use.
@@ -214,6 +220,35 @@ def updated(held: DataFrame, added: DataFrame, gone: DataFrame, shards: int) ->
 
 def suspects(posted: DataFrame, filter_rows: DataFrame, shards: int) -> DataFrame:
     """The postings whose key its shard's filter may hold."""
+    size = filter_rows.agg(F.sum(F.octet_length("blob"))).first()[0] or 0
+    return _by_all(posted, filter_rows, shards) if size <= FILTER_BYTES else _by_shard(posted, filter_rows, shards)
+
+
+def _by_all(posted: DataFrame, filter_rows: DataFrame, shards: int) -> DataFrame:
+    """``suspects`` where the postings lie: nothing is shuffled."""
+    shared = posted.sparkSession.sparkContext.broadcast({r.shard: bytes(r.blob) for r in filter_rows.collect()})
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded: dict[int, Cuckoo] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            digests = _rows(batch.column("key").to_pylist())
+            owner, found = shard_of(digests, shards), np.zeros(batch.num_rows, bool)
+            order = np.argsort(owner, kind="stable")
+            for mine in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+                shard = int(owner[mine[0]])
+                if shard in shared.value:
+                    if shard not in loaded:
+                        loaded[shard] = Cuckoo.load(shared.value[shard])
+                    found[mine] = loaded[shard].may_hold(digests[mine])
+            yield batch.filter(pa.array(found))
+
+    return posted.mapInArrow(probe, ", ".join(f"{n} {t}" for n, t in posted.dtypes))
+
+
+def _by_shard(posted: DataFrame, filter_rows: DataFrame, shards: int) -> DataFrame:
+    """``suspects`` in the tasks that own the shards."""
     names = posted.columns
     schema = ", ".join(f"{n} {t}" for n, t in posted.dtypes)
 
@@ -230,36 +265,49 @@ def suspects(posted: DataFrame, filter_rows: DataFrame, shards: int) -> DataFram
 class LineIndex:
     """The exact tables and filters of a corpus. Insertions and deletions give a new index; the old one stays valid."""
 
-    def __init__(self, posted: DataFrame, refs: DataFrame, filter_rows: DataFrame, shards: int, least_length: int, least_docs: int):
+    def __init__(self, posted: DataFrame, refs: DataFrame, filter_rows: DataFrame, shards: int, least_length: int, least_docs: int, changes: int = 0):
         self.posted, self.refs, self.filter_rows, self.shards = posted, refs, filter_rows, shards
-        self.least_length, self.least_docs = least_length, least_docs
+        self.least_length, self.least_docs, self.changes = least_length, least_docs, changes
 
     @classmethod
     def build(cls, docs: DataFrame, least_length: int = 40, least_docs: int = 5) -> LineIndex:
-        posted = settle(postings(docs, least_length))
-        refs = settle(references(posted, least_docs))
+        return cls._of(settle(postings(docs, least_length)), None, least_length, least_docs)
+
+    @classmethod
+    def _of(cls, posted: DataFrame, refs: DataFrame | None, least_length: int, least_docs: int) -> LineIndex:
+        refs = settle(references(posted, least_docs)) if refs is None else refs
         shards = shards_for(posted.count())
         return cls(posted, refs, settle(filters(refs, shards)), shards, least_length, least_docs)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """With more documents. A document whose id is already known adds its lines to it."""
-        new = postings(docs, self.least_length)
-        return self._after(self.posted.unionByName(new).groupBy("key", "doc_id").agg(F.sum("n_lines").alias("n_lines")))
+        new = settle(postings(docs, self.least_length))
+        return self._after(self.posted.unionByName(new), new.select("key").distinct())
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """Without the documents of these ids (column doc_id)."""
-        gone = doc_ids.select(F.col("doc_id").alias("gone_id")).distinct()
-        return self._after(self.posted.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti"))
-
-    def _after(self, posted: DataFrame) -> LineIndex:
-        posted = settle(posted)
-        refs = settle(references(posted, self.least_docs))
-        held = settle(updated(self.filter_rows, refs.join(self.refs, "key", "left_anti"), self.refs.join(refs, "key", "left_anti"), self.shards))
+        gone = settle(doc_ids.select(F.col("doc_id").cast("long").alias("gone_id")).distinct())
+        told = small(gone, 32, BROADCAST_BYTES)
+        lost = self.posted.join(told, F.col("doc_id") == F.col("gone_id"), "left_semi")
+        return self._after(self.posted.join(told, F.col("doc_id") == F.col("gone_id"), "left_anti"), lost.select("key").distinct())
+
+    def _after(self, posted: DataFrame, keys: DataFrame) -> LineIndex:
+        """The index of ``posted``, which differs from the one before in postings of ``keys`` only."""
+        touched = small(settle(keys), 64, BROADCAST_BYTES)
+        mine = posted.join(touched, "key", "left_semi").groupBy("key", "doc_id").agg(F.sum("n_lines").alias("n_lines"))
+        now, before = settle(references(mine, self.least_docs)), self.refs.join(touched, "key", "left_semi")
+        refs = settle(self.refs.join(touched, "key", "left_anti").unionByName(now))
+        if self.changes + 1 >= PARTS:
+            whole = settle(posted.groupBy("key", "doc_id").agg(F.sum("n_lines").alias("n_lines")))
+            if shards_for(whole.count()) > 2 * self.shards:
+                return LineIndex._of(whole, refs, self.least_length, self.least_docs)
+            posted = whole
+        held = settle(updated(self.filter_rows, now.join(before, "key", "left_anti"), before.join(now, "key", "left_anti"), self.shards))
         full = held.where("blob is null").select("shard")
         if full.limit(1).count():
             again = filters(_with_shard(refs.select("key"), self.shards).join(full, "shard", "left_semi").select("key"), self.shards)
             held = settle(held.where("blob is not null").unionByName(again))
-        return LineIndex(posted, refs, held, self.shards, self.least_length, self.least_docs)
+        return LineIndex(posted, refs, held, self.shards, self.least_length, self.least_docs, (self.changes + 1) % PARTS)
 
     def drops(self) -> DataFrame:
         """(doc_id, keys): the line keys that each document loses."""
@@ -267,7 +315,7 @@ class LineIndex:
         hottest = small(hot, 64, BROADCAST_BYTES)
         rest = suspects(self.posted.join(hottest, "key", "left_anti"), self.filter_rows, self.shards)
         found = rest.join(self.refs.where(F.col("n_docs") < HOT).select("key", "keep_id"), "key").unionByName(self.posted.join(hottest, "key"))
-        return found.where("doc_id <> keep_id").groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+        return found.where("doc_id <> keep_id").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
     def _kept(self, docs: DataFrame, columns: list[str], text_too: bool) -> DataFrame:
         """``row`` (the named columns), the text that is left, n_lines and n_dropped of every row."""

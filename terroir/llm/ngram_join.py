@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, discard, numbers, settle, slices, small, table, text_bytes
+from .common import alone, binaries, discard, numbers, settle, slices, small, table, text_bytes
 from .components import stars
 
 #: Tokens that one numpy step takes, and documents (they are numbered by 16 bits there).
@@ -635,7 +635,7 @@ def one_of_each(docs: DataFrame, measure: Measure) -> DataFrame:
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped(table(spark, sf_dir, "documents"), Measure(3, 90))[0].select("doc_id", "n_shingles", "component_id")
+    return alone(lambda: grouped(table(spark, sf_dir, "documents"), Measure(3, 90))[0].select("doc_id", "n_shingles", "component_id"))
 
 
 QUERIES = {"op9_ngram_join": op9_ngram_join}

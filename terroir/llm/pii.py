@@ -106,8 +106,10 @@ def _pattern(text: str, start: int) -> int | None:
         start -= 1
     if not start or not text[start - 1].isspace():
         return None
-    before = text[max(0, start - 128) : start].split()
-    return _pair(before[-2], before[-1]) if len(before) > 2 or len(before) == 2 and start <= 128 else None
+    width = 128
+    while len(before := text[max(0, start - width) : start].split()) < 3 and width < start:
+        width *= 4  # the first word of a part of the text may be cut
+    return _pair(before[-2], before[-1]) if len(before) > 1 else None
 
 
 def _instance(word: str) -> int:

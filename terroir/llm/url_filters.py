@@ -1,10 +1,12 @@
 """URL filters: listed rules first, else association rules mined from labelled pages.
 
 A page's URL becomes a set of tokens (host labels, path segments, query keys). Labelled pages are the transactions of
-Spark's FP-growth. Of tokens that the same labelled pages hold one stands for all, or else a family of URLs with thirty
-query keys would have 2^30 frequent sets; each set is mined once this way, by its fewest tokens. A rule "these tokens, so bad" stays if its support and its confidence are high enough and no rule
-of fewer tokens already covers it. For matching, every rule is filed under its rarest token: a URL looks up the rules
-of its own tokens and checks the rest of each. All of it is DataFrame work.
+Spark's FP-growth. A rule "these tokens, so bad" stays if its support and its confidence are high enough and no rule
+of fewer tokens already covers it. So a token that is a rule by itself leaves the transactions before they are mined, and
+of tokens that the same labelled pages hold one stands for all, or else a family of URLs with thirty optional query keys
+would have 2^30 frequent sets. Mined rules are taken from the shortest on, and only rules that stay are compared with
+longer ones. For matching, every rule is filed under its rarest token: a URL looks up the rules of its own tokens and
+checks the rest of each. All of it is DataFrame work.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no tokens and the verdict allow; equal
 URLs get equal verdicts, and repeated rows stay repeated; with fewer than ``LEAST_PAGES`` labelled pages there are no rules; an empty table
@@ -13,6 +15,8 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,25 +83,38 @@ def mined(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confide
     pages_told = labelled.count()
     if pages_told < LEAST_PAGES:
         return None
-    each = labelled.select("row", F.explode("items").alias("token"))
+    least = math.ceil(max(support, LEAST_PAGES / pages_told) * pages_told)
+    each = labelled.select("row", "bad", F.explode("items").alias("token"))
     mix = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
-    held = settle(each.groupBy("token").agg(F.count("*").alias("n"), mix(1).alias("x"), mix(2).alias("y")))
-    chosen = settle(held.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token"))
-    items = each.join(small(chosen, 128, BROADCAST_BYTES), "token", "left_semi").groupBy("row").agg(F.collect_list("token").alias("items"))
-    sets = settle(items.join(labelled.select("row", "bad"), "row").select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_PAGES / pages_told), minConfidence=confidence).fit(sets)
+    held = settle(each.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("both"), mix(1).alias("x"), mix(2).alias("y")))
+    same = held.where(F.col("n") >= least).groupBy("n", "x", "y").agg(F.min("token").alias("token"), F.first("both").alias("both"))
+    chosen = settle(same.withColumn("confidence", F.col("both") / F.col("n")).withColumn("alone", (F.col("both") >= least) & (F.col("confidence") >= confidence)))
+    rules = settle(chosen.where("alone").select(F.array("token").alias("tokens"), F.col("token").alias("entry"), "confidence"))
+    rest = chosen.where("not alone").select("token")
+    if rest.limit(2).count() > 1:
+        rules = _longer(each, labelled, settle(rest), held, rules, least / pages_told, confidence)
+    return rules.withColumn("rule_id", F.xxhash64("tokens"))
+
+
+def _longer(each: DataFrame, labelled: DataFrame, tokens_left: DataFrame, held: DataFrame, rules: DataFrame, support: float, confidence: float) -> DataFrame:
+    """``rules`` with those of two tokens and more out of ``tokens_left``."""
+    items = each.join(small(tokens_left, 128, BROADCAST_BYTES), "token", "left_semi").groupBy("row").agg(F.collect_list("token").alias("items"))
+    # pages without such tokens count as transactions too, so that the support is a share of all
+    sets = labelled.select("row", "bad").join(items, "row", "left").select(F.concat(F.coalesce("items", F.array().cast("array<string>")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(settle(sets))
     found = settle(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
-    with_bad = found.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("both")).where(F.size("tokens") > 0)
-    rules = with_bad.join(found, F.col("tokens") == F.col("items")).select("tokens", (F.col("both") / F.col("freq")).alias("confidence")).where(F.col("confidence") >= confidence)
-    rules = settle(rules.withColumn("rule_id", F.xxhash64("tokens")))
-    one = found.where(F.size("items") == 1).select(F.col("items")[0].alias("entry"), "freq")
-    entries = rules.select("rule_id", F.explode("tokens").alias("entry")).join(one, "entry").groupBy("rule_id").agg(F.min(F.struct("freq", "entry")).alias("e"))
-    filed = settle(rules.join(entries, "rule_id").select("rule_id", "tokens", F.col("e.entry").alias("entry"), "confidence"))
-    # a rule is spared if the tokens of another one are part of its own
-    shorter = filed.select(F.col("rule_id").alias("other"), F.col("tokens").alias("fewer"), "entry")
-    held = filed.select("rule_id", "tokens", F.explode("tokens").alias("entry")).join(shorter, "entry")
-    spared = held.where((F.size("fewer") < F.size("tokens")) & (F.size(F.array_except("fewer", "tokens")) == 0)).select("rule_id").distinct()
-    return filed.join(spared, "rule_id", "left_anti")
+    with_bad = found.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("both")).where(F.size("tokens") > 1)
+    sure = with_bad.join(found, F.col("tokens") == F.col("items")).select("tokens", (F.col("both") / F.col("freq")).alias("confidence")).where(F.col("confidence") >= confidence)
+    sure = settle(sure.withColumn("rule", F.monotonically_increasing_id()))
+    rarest = sure.select("rule", F.explode("tokens").alias("token")).join(held.select("token", "n"), "token").groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("entry"))
+    filed = settle(sure.join(rarest, "rule").select("rule", "tokens", "entry", "confidence"))
+    for row in filed.select(F.size("tokens").alias("n")).distinct().orderBy("n").collect():  # as many as tokens of a URL
+        mine = filed.where(F.size("tokens") == row.n)
+        # a rule is spared if the tokens of one that stays are part of its own
+        shorter = rules.select(F.col("tokens").alias("fewer"), "entry")
+        spared = mine.select("rule", "tokens", F.explode("tokens").alias("entry")).join(shorter, "entry").where(F.size(F.array_except("fewer", "tokens")) == 0).select("rule").distinct()
+        rules = settle(rules.unionByName(mine.join(spared, "rule", "left_anti").select("tokens", "entry", "confidence")))
+    return rules
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -142,3 +142,39 @@ def test_normalised(text):
 
 def test_arrow_types():
     assert X._blocks(iter([])).schema.field("remainders").type == pa.binary()
+
+
+def test_line_index_through_many_changes(spark, monkeypatch):
+    """Fifty times the documents, one batch after the other: equal to a rebuild, in more shards; a change rewrites no posting."""
+    monkeypatch.setattr(L, "SHARD_POSTINGS", 4)
+    monkeypatch.setattr(L, "PARTS", 4)
+    rng = random.Random(77)
+    notices = [f"Notice number {n} that many of these pages have at their end." for n in range(40)]
+    docs = [(i, "\n".join([rng.choice(notices), f"own line {i} " + "and more words " * 3, rng.choice(notices)])) for i in range(300)]
+    df = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    index = L.LineIndex.build(df(docs[:6]))
+    one = index.insert(df(docs[6:7]))
+    assert set(index.posted.inputFiles()) < set(one.posted.inputFiles())
+    index, at = one, 7
+    for step in (13, 40, 90, 150):
+        index, at = index.insert(df(docs[at : at + step])), at + step
+    index = index.delete(df(docs[5:260:9])).insert(df([(0, docs[1][1]), (None, docs[2][1])]))
+    left = [d for d in docs if d not in docs[5:260:9]]
+    assert index.shards > 16
+    assert told(index.report(df(left))) == lines_brute_of(left, [(0, docs[1][1])])
+    assert [c.count() for c in (L._by_all(index.posted, index.filter_rows, index.shards), L._by_shard(index.posted, index.filter_rows, index.shards))] == [L._by_all(index.posted, index.filter_rows, index.shards).count()] * 2
+
+
+def lines_brute_of(docs, more):
+    """What is left of ``docs`` when ``more`` are known as well."""
+    holders = {}
+    for i, t in [*docs, *more]:
+        for x in t.split("\n"):
+            if len(x.strip()) >= 40:
+                holders.setdefault(L.key(x.encode()), set()).add(i)
+    out = Counter()
+    for i, t in docs:
+        lines = t.split("\n")
+        gone = [len(h := holders.get(L.key(x.encode()), ())) >= 5 and i != max(h) for x in lines]
+        out[i, len(lines), sum(gone), hashlib.sha256("\n".join(x for x, g in zip(lines, gone, strict=True) if not g).encode()).hexdigest()] += 1
+    return out

@@ -245,3 +245,35 @@ def test_language_sample_is_bounded_and_empty_table(spark):
     assert 0 < n["en"] <= 30 and n["de"] <= 40 and not n["fr"]
     none = docs.where("false")
     assert L.learn(none) is None and L.keep_known(none).columns == docs.columns and L.keep_known(none).count() == 0
+
+
+def test_urls_with_many_optional_keys(spark):
+    """Thirty query keys, of which each page lacks one: no more rules than tokens, though nearly all sets of tokens are frequent."""
+    keys, rng = [f"k{i}" for i in range(30)], random.Random(3)
+    urls = [(n, f"http://shop.net/{n}?" + "&".join(f"{k}={rng.random()}" for k in keys if k != keys[n % 30])) for n in range(1000)]
+    pages = spark.createDataFrame([*urls, (5000, "http://shop.net/5000?k3=1"), (5001, "http://other.org/about?zz=1")], "page_id long, url string")
+    labels = spark.createDataFrame([(n, 0, 1) for n in range(1000)], "doc_id long, quality int, toxic int")
+    rules = U.mined(pages, labels)
+    assert {tuple(r.tokens) for r in rules.collect()} == {(t,) for t in ["host=net", *(f"query={k}" for k in keys)]}  # of tokens that all pages hold one stands for the others
+    got = {r.page_id: r.verdict for r in U.judge(pages, labels, ()).collect()}
+    assert all(got[n] == "block" for n in range(1000)) and got[5000] == "block" and got[5001] == "allow"
+
+
+def test_urls_keep_the_shortest_rules(spark):
+    """Two tokens that are bad only together; longer sets that hold both are spared, whatever else they hold."""
+    rows = [(n, f"http://s{n % 3}.net/{'p' if n % 2 else 'q'}/{n}?{'a=1' if n % 5 < 3 else 'b=1'}&c{n % 7}=1") for n in range(600)]
+    bad = [n for n, u in rows if "/p/" in u and "a=1" in u]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(n, int(n not in set(bad)), 0) for n, _ in rows], "doc_id long, quality int, toxic int")
+    assert {tuple(r.tokens) for r in U.mined(pages, labels, confidence=0.9).collect()} == {("path=p", "query=a")}
+
+
+def test_identifiers_behind_long_words_and_in_long_texts(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(300))
+    one, two = word(), word()
+    docs = [(i, f"Start. {one} {two} user{i}@mail.example now") for i in range(20)] + [(50, f"{one} {two} id-993847 end"), (50, f"{one} {two} id-993847 end"), (51, "x " * 100_000 + f"{one}\n{two}  id-993848"), (52, None)]
+    df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, n_id int")
+    got = [(r.doc_id, r.spans) for r in P.find(df, P.patterns(df)).collect() if r.doc_id >= 50]
+    at = lambda t: f"id:{t.index('id-')}:{t.index('id-') + 9}"
+    assert sorted(got) == [(50, at(docs[20][1])), (50, at(docs[20][1])), (51, at(docs[22][1])), (52, "")]
