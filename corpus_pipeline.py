@@ -4,7 +4,9 @@
 and read again as the next one's docs. All but the last return the columns of ``documents``, with ``n_chars`` kept in
 step with the text. ``run`` applies them to the whole table.
 
-Nulls, empty tables and repeated rows are handled as the operators' docstrings say.
+Defined results: a null or empty text, or one without letters, goes in the first stage; an empty table gives no rows at
+any stage; rows that repeat an id are judged row by row, except that a line counts once for an id, and that of near
+duplicates with one id those go that have the text of one that goes; extra columns are kept up to the packing.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terroir.llm import best_fit_packing, decontamination, language_id, line_dedup, ngram_join
-from terroir.llm.common import settle, table
+from terroir.llm.common import alone, discard, table
 from terroir.session import importable
 
-#: Training, clustering and packing can't be written in SQL; tests hold the stages against brute force.
+#: Training, clustering and packing can't be written in SQL; tests hold every stage against plain Python.
 ORACLE_SQL = None
 
 
@@ -71,5 +73,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir))
+        before, docs = docs, alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        discard(before)  # tables of the folder itself aren't touched
     return docs
