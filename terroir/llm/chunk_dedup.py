@@ -3,7 +3,8 @@
 A gear rolling hash runs over the bytes of a text and cuts it wherever some bits of the hash are zero. The hash
 depends on the last bytes alone, so an insertion moves no cut but those beside it and a passage is cut alike wherever
 it stands. Chunks are known by their digests; a digest that several documents hold is a repeated chunk, the least id
-keeps it. Neighbouring repeated chunks of a document make a repeated passage, which counts if it has enough words.
+keeps it. Neighbouring repeated chunks of a document make a repeated passage, which counts if it has enough words; two
+chunks that stand side by side in no other document belong to two passages.
 
 A repeated passage begins and ends inside a chunk. So the runs are seeds: each is extended byte by byte to both sides
 against the texts that keep its chunks, and the words of what comes out are counted. An extension ends before the next
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settle, slices, table, text_bytes
+from .common import discard, settle, slices, small, table, text_bytes
 
 #: A cut falls where these bits (11 to 15) are zero: every 32 bytes on average. They depend on the last 12 to 16 bytes.
 MASK = np.uint32(0xF800)
@@ -35,6 +36,8 @@ MASK = np.uint32(0xF800)
 LEAST_BYTES = 12
 #: Words of a repeated passage, those it cuts into included.
 LEAST_WORDS = 51
+#: Bytes of pairs of chunks that may be broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 32 << 20
 #: A cut depends on that many bytes.
 REACH = 16
 
@@ -128,12 +131,18 @@ def _runs(docs: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
     ``mates`` are the keepers of its chunks, as the document and by how much a place there differs from the place here.
     """
     again = settle(repeated(docs))
-    met = chunk_rows(docs).join(again, ["digest", "more"]).withColumn("mine", F.col("doc_id") == F.col("keep_id"))
     here = Window.partitionBy("rid").orderBy("idx")
-    fresh = F.col("idx") != F.lag("idx").over(here) + 1
+    last = lambda c: F.lag(c).over(here)
+    met = chunk_rows(docs).join(again, ["digest", "more"]).withColumn("mine", F.col("doc_id") == F.col("keep_id"))
+    met = settle(met.withColumn("pair", F.when(F.col("idx") == last("idx") + 1, F.xxhash64(last("digest"), last("more"), "digest", "more"))).drop("digest", "more"))
+    discard(again)
+    # pairs of neighbours that one document alone holds: few beside those of real passages
+    single = met.where("pair is not null").groupBy("pair").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least = most")
+    met = met.join(small(settle(single.select("pair", F.lit(True).alias("single"))), 32, BROADCAST_BYTES), "pair", "left")
+    fresh = F.col("pair").isNull() | F.col("single").isNotNull()
     if by_owner:
-        fresh = fresh | (F.col("mine") != F.lag("mine").over(here))
-    runs = met.withColumn("fresh", F.coalesce(fresh, F.lit(True)).cast("int")).withColumn("run", F.sum("fresh").over(here))
+        fresh = fresh | F.coalesce(F.col("mine") != last("mine"), F.lit(True))
+    runs = met.withColumn("fresh", fresh.cast("int")).withColumn("run", F.sum("fresh").over(here))
     mate = F.when(~F.col("mine"), F.struct("keep_id", (F.col("keep_place") - F.col("place")).alias("away")))
     grouped = runs.groupBy("rid", "run").agg(
         F.first("doc_id").alias("doc_id"), F.min("place").alias("place"), F.min("start").alias("start_byte"), F.max("end").alias("end_byte"), F.min("end").alias("first_end"), F.max("start").alias("last_start"),
