@@ -199,12 +199,13 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> Network | None:
     return train(windows_of(texts)[0], labels, languages)
 
 
-def predict(docs: DataFrame, net: Network | None, columns: list[str]) -> DataFrame:
-    """The named columns of every row as a struct ``row``, with lang_pred and score."""
+def predict(docs: DataFrame, net: Network | None, columns: list[str], text_too: bool = False) -> DataFrame:
+    """The named columns of every row as a struct ``row``, the text if ``text_too``, lang_pred and score."""
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     read = docs.select(F.struct(*columns).alias("row"), "text", lettered.alias("lettered"))
+    shown = ["row", *["text"] * text_too]
     if net is None:
-        return read.select("row", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return read.select(*shown, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,15 +219,16 @@ def predict(docs: DataFrame, net: Network | None, columns: list[str]) -> DataFra
             best, score = np.full(len(texts), len(net.languages)), np.zeros(len(texts))
             if len(told):
                 best[lettered], score[lettered] = told.argmax(1), told.max(1)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names[best], pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in shown), pa.array(names[best], pa.string()), pa.array(score)], names=[*shown, "lang_pred", "score"])
 
-    return read.mapInArrow(run, T.StructType([read.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return read.mapInArrow(run, T.StructType([*(read.schema[c] for c in shown), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def keep_known(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """``docs`` without the texts that have no language (``und``) or that no language scores ``least_score`` for."""
-    told = predict(docs, learn(docs), docs.columns)
-    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("row.*")
+    told = predict(docs, learn(docs), [c for c in docs.columns if c != "text"], text_too=True)
+    known = told.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
+    return known.select(*(F.col(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alone, binaries, discard, numbers, settle, slices, small, table, text_bytes
+from .common import alone, binaries, discard, give_back, numbers, settle, slices, small, table, text_bytes
 from .components import stars
 
 #: Tokens that one numpy step takes, and documents (they are numbered by 16 bits there).
@@ -304,6 +304,7 @@ def shared_tokens(rows: DataFrame, bits: int) -> DataFrame:
                 keys = what | _U(group.column("bucket")[0].as_py() << 48 & 0x7FFF << 48) | _U(1 << 63)
             if len(keys):
                 out.append(rows_of(kind, rids, keys.view(np.int64), level.astype(np.uint8)))
+        give_back()
         return pa.concat_tables(out) if out else rows_of(DOCS, *[np.zeros(0, np.int64)] * 3)
 
     return rows.groupBy("bucket").applyInArrow(count, SHARED)
@@ -417,6 +418,7 @@ def candidates(parts: DataFrame, measure: Measure) -> DataFrame:
             if missing > 0 and b > a:
                 out.append((int(sids[i]), int(rids[i]), n, float(level[a:b].sum()) / n, keys[a:b].tobytes(), level[a:b].tobytes(), prefix_keys(keys[a:b], level[a:b], missing, n, measure).view(np.int64)))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        give_back()
         return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=[x.split()[0] for x in HELD.split(", ")])
 
     return parts.groupBy("part").applyInArrow(run, HELD)
