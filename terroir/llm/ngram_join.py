@@ -45,7 +45,7 @@ from .common import alone, binaries, discard, give_back, numbers, settle, slices
 from .components import stars
 
 #: Tokens that one numpy step takes, and documents (they are numbered by 16 bits there).
-CHUNK_TOKENS, CHUNK_DOCS = 1 << 20, 60_000
+CHUNK_TOKENS, CHUNK_DOCS = 1 << 19, 60_000
 #: Tokens met so often in one chunk may be hot; at most so many are told to the tasks, the hottest ones.
 MET, MOST_TOLD = 4, 1 << 20
 #: Tokens that one range of hashes holds on average; least number of ranges, as a power of two.
