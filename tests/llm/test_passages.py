@@ -44,17 +44,3 @@ def test_passages_of_50_words_are_left(spark):
         passage = prose(rng, 48)
         docs += [(doc, f"{prose(rng, 20)} {passage} {prose(rng, 20)}") for doc in (i, 1000 + i)]
     assert C.passages(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
-
-
-def test_chunks_side_by_side_in_one_document_alone_are_two_passages(spark):
-    """Two halves of 40 words from two documents make no passage of 80 words; the whole of one of them, in two documents, does."""
-    rng = random.Random(5)
-    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(n))
-    docs = []
-    for n in range(30):
-        one, two = words(40), words(40)
-        docs += [(10 * n, f"{words(30)} {one} {words(30)}"), (10 * n + 1, f"{words(30)} {two} {words(30)}"), (10 * n + 2, f"{words(20)} {one} {two} {words(20)}")]
-    assert C.passages(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
-    whole = [(d + 5, f"{words(20)} {t}") for d, t in docs if d % 10 == 2]
-    got = C.passages(spark.createDataFrame(docs + whole, "doc_id long, text string")).collect()
-    assert {r.doc_id for r in got} == {d for d, _ in docs + whole if d % 10 in (2, 7)}
