@@ -82,7 +82,7 @@ def listeners(rows: DataFrame) -> DataFrame:
 def tags(rows: DataFrame) -> DataFrame:
     """(country_code, snapshot_date, artist_name, pos, tag, count, source): odd lines are source a, even ones source b."""
     source = F.when(F.col("l_linenumber") % 2 == 1, "a").otherwise("b")
-    order = Window.partitionBy("country_code", "snapshot_date", "artist_name", "source").orderBy("l_orderkey", "l_linenumber")
+    order = Window.partitionBy("country_code", "snapshot_date", "artist_name", "source").orderBy("l_orderkey", "l_linenumber", "track_name", "p_size")
     named = rows.withColumn("source", source).withColumn("pos", F.row_number().over(order) - 1)
     return named.select("country_code", "snapshot_date", "artist_name", "pos", F.col("track_name").alias("tag"), F.when(F.col("source") == "a", (F.col("p_size") * 2).cast("string")).alias("count"), "source")
 
@@ -231,7 +231,7 @@ current_streams AS (
   FROM chart_entries c JOIN latest_chart l ON c.country_code = l.country_code AND c.snapshot_date = l.snapshot_date GROUP BY ALL),
 raw_tags AS (
   SELECT country_code, snapshot_date, artist_name, CASE WHEN l_linenumber % 2 = 1 THEN 'a' ELSE 'b' END AS source, track_name AS tag, CASE WHEN l_linenumber % 2 = 1 THEN p_size * 2 END AS n,
-         row_number() OVER (PARTITION BY country_code, snapshot_date, artist_name, l_linenumber % 2 ORDER BY l_orderkey, l_linenumber) - 1 AS pos
+         row_number() OVER (PARTITION BY country_code, snapshot_date, artist_name, l_linenumber % 2 ORDER BY l_orderkey, l_linenumber, track_name, p_size) - 1 AS pos
   FROM lines),
 buckets AS (SELECT bucket, priority FROM (SELECT bucket, row_number() OVER (ORDER BY bucket) - 1 AS priority FROM (SELECT DISTINCT string_split(p_name, ' ')[2] AS bucket FROM part) WHERE bucket IS NOT NULL) WHERE priority % 5 <> 4),
 tag_bucket AS (
