@@ -23,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settle, slices, table, text_bytes
+from .common import discard, settle, slices, table, text_bytes
 
 #: A cut falls where these bits (11 to 15) are zero: every 32 bytes on average. They depend on the last 12 to 16 bytes.
 MASK = np.uint32(0xF800)
@@ -69,12 +69,21 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.stack((starts, ends)), np.add.reduceat(_begins(data), starts)
 
 
-CHUNK = "rid long, doc_id long, idx int, start int, end int, before int, upto int, low int, high int, digest long, more long, place long"
+CHUNK = "rid long, doc_id long, idx int, start int, end int, before int, upto int, low int, high int, digest long, more long, mark long"
 
 
-def _place(text: bytes) -> int:
-    """The text's part of a place: it tells rows that repeat an id apart; the low 32 bits are for an offset."""
-    return (xxhash.xxh32_intdigest(text) >> 1) << 32
+def _texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, text) of the texts that can have chunks; ``mark`` tells rows that repeat an id apart."""
+    return docs.where("doc_id is not null and text != ''").select("doc_id", _mark("text").alias("mark"), "text")
+
+
+def _mark(text: str) -> Column:
+    return F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF))
+
+
+def _place(mark: str, start: str) -> Column:
+    """A text and an offset in it in one number: the mark above, the offset in the low 32 bits."""
+    return F.shiftleft(mark, 32) + F.col(start)
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
@@ -89,10 +98,8 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "text"):
             out: list[list[np.ndarray]] = [[] for _ in range(11)]
             ids: list[int] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), strict=True):
+            for doc, mark, text in zip(batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(), text_bytes(batch), strict=True):
                 rid += 1
-                if not text:
-                    continue
                 (starts, ends), _ = chunks(text)
                 keep = np.flatnonzero(ends - starts >= LEAST_BYTES)
                 if not len(keep):
@@ -103,8 +110,7 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                 # before the first chunk, and after the last one, all of the text is within reach
                 low = np.maximum(np.concatenate(([0], starts[:-1])) - REACH, 0)
                 high = np.concatenate((ends[1:], [len(text)]))
-                place = _place(text) + starts
-                for values, more in zip(out, (np.full(len(keep), rid), np.arange(len(keep)), starts, ends, words[starts], words[ends], words[low], words[high], digests[:, 0], digests[:, 1], place), strict=True):
+                for values, more in zip(out, (np.full(len(keep), rid), np.arange(len(keep)), starts, ends, words[starts], words[ends], words[low], words[high], digests[:, 0], digests[:, 1], np.full(len(keep), mark)), strict=True):
                     values.append(np.asarray(more))
                 ids += [doc] * len(keep)
             if ids:
@@ -112,23 +118,27 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(np.concatenate(x).astype(t)) for x, t in zip(out, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([columns[0], pa.array(ids, pa.int64()), *columns[1:]], names=[x.split()[0] for x in CHUNK.split(", ")])
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, CHUNK)
+    return _texts(docs).mapInArrow(run, CHUNK)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """(digest, more, keep_id, keep_place): digests (128 bits) that more than one document holds, with the least of their ids and a place there."""
+    return _repeated(chunk_rows(docs))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
     # the least and the largest id differ if there are two documents; both are known before the shuffle
-    found = chunk_rows(docs).groupBy("digest", "more").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("most"), F.min_by("place", "doc_id").alias("keep_place"))
+    found = rows.groupBy("digest", "more").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("most"), F.min_by(_place("mark", "start"), "doc_id").alias("keep_place"))
     return found.where("keep_id < most").select("digest", "more", "keep_id", "keep_place")
 
 
-def _runs(docs: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
+def _runs(rows: DataFrame, again: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
     """Runs of neighbouring repeated chunks that may be part of a passage; with ``by_owner`` a run also ends where the document becomes, or stops being, the keeper.
 
-    ``mates`` are the keepers of its chunks, as the document and by how much a place there differs from the place here.
+    ``rows`` and ``again`` are the settled chunks and repeated digests. ``mates`` are the keepers of a run's chunks, as the
+    document and by how much a place there differs from the place here.
     """
-    again = settle(repeated(docs))
-    met = chunk_rows(docs).join(again, ["digest", "more"]).withColumn("mine", F.col("doc_id") == F.col("keep_id"))
+    met = rows.join(again, ["digest", "more"]).withColumns({"mine": F.col("doc_id") == F.col("keep_id"), "place": _place("mark", "start")})
     here = Window.partitionBy("rid").orderBy("idx")
     fresh = F.col("idx") != F.lag("idx").over(here) + 1
     if by_owner:
@@ -144,18 +154,20 @@ def _runs(docs: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """(doc_id, place, side, context): the bytes before (side 0) or after (side 1) each place that ``asked`` names, as far as an extension can go."""
-    wanted = asked.groupBy("doc_id").agg(F.collect_set(F.struct("place", "side")).alias("asked"))
-    joined = docs.where("doc_id is not null and text != ''").select("doc_id", "text").join(wanted, "doc_id")
+    """(doc_id, place, side, context): the bytes before (side 0) or after (side 1) each place that ``asked`` names, as far as an extension can go.
+
+    The places that are asked of one text come together; there are two for each of its bytes at most, however many documents ask.
+    """
+    wanted = asked.groupBy("doc_id", F.shiftright("place", 32).alias("mark")).agg(F.collect_set(F.struct("place", "side")).alias("asked"))
+    joined = _texts(docs).join(wanted, ["doc_id", "mark"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows: list[tuple[int, int, int, bytes]] = []
-            for doc, text, places in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), batch.column("asked").to_pylist(), strict=True):
-                base = _place(text)
-                mine = [(x["place"], x["side"]) for x in places if base <= x["place"] <= base + len(text)]
-                if not mine:
-                    continue
+            for doc, mark, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark")), text_bytes(batch), batch.column("asked").to_pylist(), strict=True):
+                base = mark << 32
+                # a place beyond the text's end is one of an offset that the two texts don't share there
+                mine = [(x["place"], x["side"]) for x in places if x["place"] <= base + len(text)]
                 (starts, ends), _ = chunks(text)
                 keep = ends - starts >= LEAST_BYTES
                 starts, ends = starts[keep], ends[keep]
@@ -201,7 +213,7 @@ def _beyond(context: bytes, side: int, inner: int, n: int) -> tuple[int, int]:
 
 
 def _extended(docs: DataFrame, runs: DataFrame, by_owner: bool) -> DataFrame:
-    """(doc_id, place, side, inner, mine, ext): how far the passage goes beyond the run's edge there, bytes << 32 | words; the keepers' sides too."""
+    """(doc_id, place, side, inner, mine, ext), settled: how far the passage goes beyond the run's edge there, bytes << 32 | words; the keepers' sides too."""
     base = F.col("place") - F.col("start_byte")
     edge = F.explode(F.array(F.struct(F.lit(0).alias("side"), (base + F.col("first_end")).alias("place"), (F.col("first_end") - F.col("start_byte")).alias("inner")), F.struct(F.lit(1).alias("side"), (base + F.col("last_start")).alias("place"), (F.col("end_byte") - F.col("last_start")).alias("inner"))))
     edges = runs.select("doc_id", edge.alias("e"), "mates").select("doc_id", "e.*", F.explode("mates").alias("m"))
@@ -224,7 +236,10 @@ def _extended(docs: DataFrame, runs: DataFrame, by_owner: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in best], t) for i, t in enumerate(types)), pa.array(list(best.values()), pa.int64())], names=["doc_id", "place", "side", "inner", "mine", "ext"])
 
     told = both.select("doc_id", "place", "side", "inner", "other_id", "other_place", "context", "other").mapInArrow(run, "doc_id long, place long, side int, inner int, mine boolean, ext long")
-    return told.groupBy("doc_id", "place", "side", "inner", "mine").agg(F.max("ext").alias("ext"))
+    far = settle(told.groupBy("doc_id", "place", "side", "inner", "mine").agg(F.max("ext").alias("ext")))
+    discard(pairs)
+    discard(found)
+    return far
 
 
 def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = False) -> DataFrame:
@@ -232,8 +247,12 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = F
 
     ``mark`` is a hash of the text that the bytes are counted in. ``keep_id`` is the document that keeps most of the passage's chunks; ``kept`` is true in that document.
     """
-    runs = settle(_runs(docs, by_owner, least_words))
-    far = settle(_extended(docs, runs, by_owner))
+    rows = settle(chunk_rows(docs))
+    again = settle(_repeated(rows))
+    runs = settle(_runs(rows, again, by_owner, least_words))
+    discard(rows)
+    discard(again)
+    far = _extended(docs, runs, by_owner)
     base = F.col("place") - F.col("start_byte")
     found = runs.withColumns({"at0": base + F.col("first_end"), "at1": base + F.col("last_start"), "inner0": F.col("first_end") - F.col("start_byte"), "inner1": F.col("end_byte") - F.col("last_start"), "flag": F.col("mine") if by_owner else F.lit(False)})
     for side in (0, 1):
@@ -247,18 +266,15 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = F
 
 def cut(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` without repeated passages, but for the document that keeps each. Untouched texts stay byte for byte."""
-    gone = passages(docs, least_words, by_owner=True).where("not kept").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("mark", "start_byte", "end_byte")).alias("gone"))
+    gone = passages(docs, least_words, by_owner=True).where("not kept").groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("its")).agg(F.collect_set(F.struct("start_byte", "end_byte")).alias("spans"))
     names = docs.columns
     rest = [c for c in names if c != "text"]
-    read = docs.select(F.struct(*rest).alias("row"), F.col("doc_id").alias("own"), "text")
-    joined = read.join(gone, F.col("own") == F.col("id"), "left").select("row", "text", "gone")
+    read = docs.select(F.struct(*rest).alias("row"), F.col("doc_id").alias("own"), _mark("text").alias("whose"), "text")
+    joined = read.join(gone, (F.col("own") == F.col("id")) & (F.col("whose") == F.col("its")), "left").select("row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = []
-            for text, spans in zip(text_bytes(batch), batch.column("gone").to_pylist(), strict=True):
-                mark = _place(text) >> 32 if text and spans else None
-                texts.append(_without(text, [(x["start_byte"], x["end_byte"]) for x in spans if x["mark"] == mark]) if mark is not None else text)
+            texts = [_without(text, [(x["start_byte"], x["end_byte"]) for x in spans]) if spans else text for text, spans in zip(text_bytes(batch), batch.column("spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.binary()).cast(pa.string())], names=["row", "text"])
 
     made = joined.mapInArrow(run, T.StructType([read.schema["row"], T.StructField("text", T.StringType())]))
