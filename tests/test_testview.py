@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terroir import testview
+from terroir.operators import genres as G
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +45,13 @@ def test_recent_figures_dont_write_all_lines(spark, folder):
     recent = testview.warehouse(spark, SF, recent=True)
     assert 0 < recent.chart_entries.count() < testview.lines(spark, SF).count() / 3
     assert max(spark.read.parquet(path).count() for path in recent.paths) < testview.lines(spark, SF).count() / 3
+
+
+def test_tags_are_written_once_and_without_their_texts(spark, folder):
+    view = testview.View(spark, folder, recent=False)
+    assert G.coverage(view.scored[2], ["country_code"]).count() > 0
+    assert view.country_genre_scores.count() > 0
+    assert [sorted(spark.read.parquet(path).columns) for path in view.paths] == [
+        ["artist_name", "bucket", "country_code", "snapshot_date", "source", "weight"],
+        ["country_code", "distinctiveness", "genre", "score", "snapshot_date", "sources"],
+    ]
