@@ -201,22 +201,23 @@ def blocks(benchmark: DataFrame, window: int, most: int = BLOCK_WORDS) -> Iterat
     discard(found)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int = BLOCK_WORDS, columns: list[str] | None = None) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int = BLOCK_WORDS, columns: list[str] | None = None, then: tuple | None = None) -> DataFrame:
     """The text of every row, the number of its words, the hit word spans and the items found; before them, as a
     struct ``row``, the named columns (the id).
 
     Nothing is shuffled. Each block of items is one more pass over the table, which is written between passes, so that
-    a worker builds each automaton once and holds one at a time.
+    a worker builds each automaton once and holds one at a time. ``then`` is a step on batches of these columns and its
+    schema; it runs in the workers of the last pass, so that no text goes to Python once more for it.
     """
     spark = docs.sparkSession
     out = docs.select(F.struct(*(columns or ["doc_id"])).alias("row"), "text", F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     schema = T.StructType([out.schema["row"], *(T.StructField(f.name, f.dataType) for f in out.schema.fields[1:])])
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    shared = written = None
+    shared = written = run = None
     for block in blocks(benchmark, window, most):
         if shared is not None:
             done, before = shared, written
-            out = written = settle(out)
+            out = written = settle(out.mapInArrow(run, schema))
             done.destroy()
             if before is not None:
                 discard(before)
@@ -235,8 +236,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, most: int =
                 made = [pa.array(counts, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], span), pa.array(items, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), *made], names=["row", "text", "n_words", "spans", "items"])
 
-        out = out.mapInArrow(scan, schema)
-    return out
+        run = scan
+    if then is None:
+        return out.mapInArrow(run, schema)
+    step, made = then
+    return out.mapInArrow(lambda batches: step(run(batches)), made)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -297,7 +301,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = 10, most_share:
             made = dict(zip(rest, batch.column("row").flatten(), strict=True)) | {"text": pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_arrays([made[c] for c in names], names=names).filter(pa.array(keep))
 
-    return matches(docs, benchmark, window, columns=rest).select("row", "text", "n_words", "spans").mapInArrow(cut, docs.schema)
+    return matches(docs, benchmark, window, columns=rest, then=(cut, docs.schema))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, table, text_bytes
+from .common import give_back, slices, table, text_bytes
 
 WINDOW, EMBEDDING, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 #: The sample that the network is trained on: about so many documents of each language, so many windows of each.
@@ -152,7 +152,7 @@ _LOADED: dict[tuple, Predictor] = {}
 
 
 def _predictor(net: Network) -> Predictor:
-    """The folded network; a worker keeps the last one."""
+    """The folded network; a worker keeps the last one until its task ends."""
     key = net.key()
     if key not in _LOADED:
         _LOADED.clear()
@@ -160,6 +160,12 @@ def _predictor(net: Network) -> Predictor:
     return _LOADED[key]
 
 
+def _forget() -> None:
+    """Free the folded network: a worker lives on for other stages, which have no use for it."""
+    _LOADED.clear()
+    give_back()
+
+
 def remainder() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 3
 
@@ -220,6 +226,8 @@ def predict(docs: DataFrame, net: Network | None, columns: list[str], text_too:
             if len(told):
                 best[lettered], score[lettered] = told.argmax(1), told.max(1)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in shown), pa.array(names[best], pa.string()), pa.array(score)], names=[*shown, "lang_pred", "score"])
+        del model
+        _forget()
 
     return read.mapInArrow(run, T.StructType([*(read.schema[c] for c in shown), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 

@@ -96,3 +96,12 @@ def test_automaton_shared_windows():
         _, hit, n_items, digest, _ = brute([(i, doc)], items, 6)[i]
         assert sum(b - a for a, b in spans) == hit and len(named) == n_items
         assert hashlib.sha256(",".join(sorted(map(str, named))).encode()).hexdigest() == digest
+
+
+def test_removing_sends_texts_to_python_once(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j and more of it, so that most of these words are not of the item"), (2, "clean"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "A b c d e f g h i j"), (8, "of other words a whole window, and one word more than that")], "item_id long, text string")
+    plan = D.remove(docs, items)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = [(1, " and more of it, so that most of these words are not of the item"), (2, "clean"), (3, None)]
+    assert sorted(map(tuple, plan.collect())) == want

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -190,3 +191,17 @@ def test_folded_tables_equal_the_plain_network():
     texts = ["x", "héllo wörld", "short " * 3, "long text " * 80, "日本語" * 100, "q" * 256, "q" * 257]
     got = L.Predictor(net).texts([t.encode() for t in texts])
     assert np.allclose(got, [plain_network(net, t) for t in texts], atol=1e-4)
+
+
+def test_workers_forget_the_folded_network(spark):
+    docs = spark.createDataFrame([(i, ["the cat and the dog ", "le chat et le chien "][i % 2] * 3, ["en", "fr"][i % 2]) for i in range(60)], "doc_id long, text string, lang string").repartition(4)
+
+    def held(batches):
+        from terroir.llm import language_id
+
+        yield from ()
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(language_id._LOADED)]})
+
+    assert L.keep_known(docs).count() > 0
+    assert {r.n for r in spark.range(64).repartition(16).mapInArrow(held, "n long").collect()} == {0}
