@@ -30,6 +30,7 @@ and kept by ``one_of_each``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -38,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import alone, binaries, discard, give_back, numbers, settle, slices, small, table, text_bytes
@@ -57,7 +58,7 @@ BROADCAST_BYTES = 48 << 20
 #: Pairs per row of the key table whose bits are simply compared; with more, new pivots are taken.
 PAIRS_PER_ROW = 512
 #: Longs of parities of a set; rows of a key that one block of the last join holds.
-LONGS, BLOCK = 8, 512
+LONGS, BLOCK = 8, 8192
 #: Differences from a pivot that one class of them holds, about, when sets are as far from it as linked ones can be.
 CLASS = 6
 
@@ -335,6 +336,12 @@ def combined(found: np.ndarray, missing: int, bits: int, k: int, salt: int) -> t
     return np.concatenate(out), missing
 
 
+def schemes(n: int, measure: Measure) -> set[int]:
+    """Of sets of 2^s to 2^(s+1) tokens it is s, and also s - 1 if a linked set can be that small: linked sets have one in common."""
+    scheme = n.bit_length() - 1
+    return {scheme, scheme - 1} if n - measure.errors(n) < 1 << scheme else {scheme}
+
+
 def prefix_keys(found: np.ndarray, level: np.ndarray, missing: int, n: int, measure: Measure, k: int = 2) -> np.ndarray:
     """The index keys of a set of n tokens; ``found`` are those that other sets hold, in order, with their levels.
 
@@ -347,9 +354,8 @@ def prefix_keys(found: np.ndarray, level: np.ndarray, missing: int, n: int, meas
     if len(rare) >= missing:
         return rare
     often = found[level >= FREQUENT]
-    scheme = n.bit_length() - 1
     out = [rare]
-    for s in {scheme, scheme - 1} if n - measure.errors(n) < 1 << scheme else {scheme}:
+    for s in schemes(n, measure):
         left = missing - len(rare)
         # the smallest sets are indexed by single tokens
         out.append(often[:left] if s < 4 else combined(often, left, s - 4, k, s)[0])
@@ -364,7 +370,8 @@ def difference_keys(mine: tuple[int, np.ndarray, np.ndarray], pivot: tuple[int,
     being (1 - t) / (1 + t) for a similarity of t. If x isn't linked with the pivot, f = e(x) - r (n(x) + k) is above
     -u (1 - r), and it follows that o >= f / (1 + r) and o > (e(y) - r max(0, n(y) - k) - u (1 - r)) / 2. So sets that aren't
     linked with the pivot are indexed by the first bound, and those that are by the second: a prefix of the differences
-    that leaves out less than o of them, in pairs of one class. Where these don't suffice, single differences are keys as well, and where o may be 0 one key
+    that leaves out less than o of them, in pairs of one class; classes grow with the set (``schemes``) and not with the pivot, which may
+    be far smaller, so that a class holds few tokens whatever the pivot. Where these don't suffice, single differences are keys as well, and where o may be 0 one key
     that all of them share. Rare additions come first, and commonest omissions.
     """
     (n, x, x_level), (n_pivot, p, p_level) = mine, pivot
@@ -384,12 +391,17 @@ def difference_keys(mine: tuple[int, np.ndarray, np.ndarray], pivot: tuple[int,
     rank = np.concatenate((x_level[added].astype(np.int64), 128 - p_level[omitted].astype(np.int64)))
     found = np.concatenate((x[added], ~p[omitted]))
     found = found[np.lexsort((found, rank))]
-    bits = max(0, (2 * r * k // (one * CLASS)).bit_length())
-    keys, missing = combined(found, s - max(least, 1) + 1, bits, 2, salt)
-    if missing > 0:
-        keys = np.concatenate((keys, _mix(found + _U(salt))))
+    keys = [np.zeros(0, np.uint64)]
+    for scheme in schemes(n, measure):
+        salted = (salt + scheme * _K) % (1 << 64)
+        bits = max(0, (2 * r * (1 << scheme) // (one * CLASS)).bit_length())
+        pairs, missing = combined(found, s - max(least, 1) + 1, bits, 2, salted)
+        keys.append(pairs)
+        if missing > 0:
+            keys.append(_mix(found + _U(salted)))
     if least <= 0:
-        keys = np.append(keys, _mix(np.array([salt], np.uint64)))
+        keys.append(_mix(np.array([salt], np.uint64)))
+    keys = np.concatenate(keys)
     return linked, np.unique(keys)
 
 
@@ -530,26 +542,39 @@ def parities_of(held: DataFrame) -> DataFrame:
     return held.select("sid", "tokens").mapInArrow(run, "sid long, k long, bits array<long>")
 
 
+def blocks_of() -> Column:
+    """How many blocks the members (``c``) of a key are dealt to."""
+    return F.ceil(F.col("c") / BLOCK).cast("int")
+
+
+def placed_twice(rows: DataFrame) -> DataFrame:
+    """``rows`` at the places where the greater set of a pair meets lesser ones: its class of sizes and the one below, in all blocks of the key."""
+    at = F.explode(F.sequence(F.lit(0), 2 * blocks_of() - 1))
+    return rows.withColumn("at", at).withColumns({"size": F.col("size") - F.col("at") % 2, "block": F.floor(F.col("at") / 2).cast("int")})
+
+
 def near_pairs(rows: DataFrame, held: DataFrame, measure: Measure) -> DataFrame:
     """(a, b, n, m): sets of different components (``comp``) that share a key, have alike sizes, and may be linked by their parities.
 
-    ``rows`` has (key, sid, n, comp, c), c being the members of the key. Each token that only one of two sets has changes
+    ``rows`` has (key, sid, n, comp, c), c being the members of the key. Members meet by classes of sizes, so that three rows
+    are made of one, whatever the key holds; only a key of more than ``BLOCK`` members is dealt out in blocks as well. Each token that only one of two sets has changes
     one parity, so as many bits as differ, and the tokens that no other set holds, are a lower bound on what they differ by.
     """
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    # a little wider than linked sets' sizes can differ, so that rounding can't part them by two classes
+    wide = math.log(1.001 * measure.den / measure.num)
     bits = settle(parities_of(held))
-    told = rows.join(small(bits, 100 + 8 * LONGS, BROADCAST_BYTES), "sid").withColumn("own", F.col("n") - F.col("k")).withColumn("block", F.pmod(F.xxhash64("sid"), blocks).cast("int"))
-    dealt_ = told.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    side = lambda x, at: dealt_.where(F.col("block") == F.col(at)).select("key", "low", "high", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "n", "comp", "own")], *[F.col("bits")[i].alias(f"bits_{x}{i}") for i in range(LONGS)])
-    x, y = side("x", "low").alias("x"), side("y", "high").alias("y")
+    told = rows.join(small(bits, 100 + 8 * LONGS, BROADCAST_BYTES), "sid").withColumn("own", F.col("n") - F.col("k")).withColumn("size", F.floor(F.ln("n") / wide).cast("int"))
+    side = lambda df, x: df.select("key", "size", "block", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "n", "comp", "own")], *[F.col("bits")[i].alias(f"bits_{x}{i}") for i in range(LONGS)])
+    x, y = side(told.withColumn("block", F.pmod(F.xxhash64("sid"), blocks_of()).cast("int")), "x"), side(placed_twice(told), "y")
     n, m = F.col("n_x"), F.col("n_y")
-    alike = (n * measure.den >= m * measure.num) & (m * measure.den >= n * measure.num)
+    once_ = ((n < m) | ((n == m) & (F.col("sid_x") < F.col("sid_y")))) & (F.col("comp_x") != F.col("comp_y"))
+    alike = n * measure.den >= m * measure.num
     differ = F.col("own_x") + F.col("own_y")
     for i in range(LONGS):
         differ = differ + F.bit_count(F.col(f"bits_x{i}").bitwiseXOR(F.col(f"bits_y{i}")))
     near = differ * (measure.den + measure.num) <= (n + m) * (measure.den - measure.num)
-    once_ = F.when(F.col("x.low") < F.col("x.high"), F.col("comp_x") != F.col("comp_y")).otherwise(F.col("comp_x") < F.col("comp_y"))
-    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    x, y = x.alias("x"), y.alias("y")
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.size") == F.col("y.size")) & (F.col("x.block") == F.col("y.block"))
     met = x.join(y, same & once_ & alike & near)
     one, two = (F.struct(F.col(f"sid_{s}").alias("a"), F.col(f"n_{s}").alias("n")) for s in "xy")
     pair = met.select(F.least(one, two).alias("one"), F.greatest(one, two).alias("two")).distinct()

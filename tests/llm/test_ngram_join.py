@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terroir.llm import components as K
 from terroir.llm import ngram_join as N
@@ -155,6 +156,34 @@ def test_differences_of_linked_sets_meet(measure):
     assert met > 50
 
 
+def test_a_small_pivot_gives_a_large_set_few_keys():
+    rng, m = np.random.default_rng(4), N.Measure(5, 80)
+    x, p = (np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)) for n in (6000, 40))
+    p[:4] = x[:4]
+    p.sort()
+    linked, keys = N.difference_keys((len(x), x, np.full(len(x), 3, np.uint8)), (len(p), p, np.full(len(p), 3, np.uint8)), 9, m)
+    assert not linked and 0 < len(keys) < 10 * len(x)
+
+
+def test_rows_of_a_crowded_key_are_placed_twice(spark):
+    rows = spark.range(6000).select("id", F.lit(6000).alias("c"), F.lit(7).alias("size"))
+    assert {(r["size"], r.block): r["count"] for r in N.placed_twice(rows).groupBy("size", "block").count().collect()} == {(6, 0): 6000, (7, 0): 6000}
+
+
+def test_near_pairs_of_unlike_sizes_and_blocks(spark, monkeypatch):
+    """Every pair that parities and sizes allow is made once, at the edges of classes of sizes too, in one block and in several."""
+    rng, m = np.random.default_rng(2), N.Measure(3, 80)
+    base = np.unique(rng.integers(0, 1 << 64, 125, dtype=np.uint64))
+    sets = [base[:n] for n in range(60, 126)]
+    held = spark.createDataFrame([(i, len(x), x.tobytes()) for i, x in enumerate(sets)], "sid long, n long, tokens binary")
+    rows = held.select("sid", F.lit(1).cast("long").alias("key"), "n", F.col("sid").alias("comp"), F.lit(len(sets)).cast("long").alias("c"))
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if m.holds(len(sets[i]), len(sets[i]), len(sets[j]))}
+    for block in (8192, 10):
+        monkeypatch.setattr(N, "BLOCK", block)
+        got = [(r.a, r.b) for r in N.near_pairs(rows, held, m).collect()]
+        assert len(got) == len(set(got)) and want <= set(got)
+
+
 def test_crowded_keys_and_hot_tokens(spark, monkeypatch):
     """Sets that share most tokens but aren't linked, with pivots until nothing is left; tokens of every document."""
     monkeypatch.setattr(N, "PAIRS_PER_ROW", 0.5)
