@@ -17,8 +17,8 @@ tokens, and every document of the key is verified against it; linked documents m
 that a pivot is the same as, but for a few tokens each, are linked if their differences from it overlap enough. So
 those differences are indexed in turn, by prefixes and combinations of tokens again, for the pivot's documents that it
 isn't linked with and for what they can be linked with. The new keys get new pivots, as long as that at least halves
-the pairs of different components that share a key. What is left is joined on the key, a key of many documents in
-blocks. Each set brings 512 bits there, the parities of its tokens by classes of hashes: where more bits differ than
+the pairs of different components that share a key. What is left is joined on the key and a class of
+sizes, a key of very many documents in blocks. Each set brings 512 bits there, the parities of its tokens by classes of hashes: where more bits differ than
 linked sets may differ in tokens, the join makes no row. The others are verified, by finer sketches and then by the
 tokens. So no link between components is lost, and a group of copies costs as many comparisons as it has documents.
 
