@@ -16,7 +16,8 @@ Documents that share a key are not paired with each other. Each key has a pivot,
 tokens, and every document of the key is verified against it; linked documents merge into components. Two documents
 that a pivot is the same as, but for a few tokens each, are linked if their differences from it overlap enough. So
 those differences are indexed in turn, by prefixes and combinations of tokens again, for the pivot's documents that it
-isn't linked with and for what they can be linked with. The new keys get new pivots, as long as that at least halves
+isn't linked with and for what they can be linked with. The documents of a pivot that has few share one key instead, as
+comparing them all costs less than those indexes. The new keys get new pivots, as long as that at least halves
 the pairs of different components that share a key. What is left is joined on the key and a class of
 sizes, a key of very many documents in blocks. Each set brings 512 bits there, the parities of its tokens by classes of hashes: where more bits differ than
 linked sets may differ in tokens, the join makes no row. The others are verified, by finer sketches and then by the
@@ -511,21 +512,30 @@ def once(rows: DataFrame) -> DataFrame:
 
 
 def differences(pairs: DataFrame, held: DataFrame, measure: Measure) -> DataFrame:
-    """(a, b, n, weight, linked, keys): sets a with their pivots b, whether these are linked, and the keys of the differences."""
+    """(a, b, n, weight, linked, keys): sets a with their pivots b, whether these are linked, and the keys of the differences.
+
+    All sets of a pivot share one key if comparing each with each makes ``PAIRS_PER_ROW`` pairs of a set at most. Then
+    the rows are as many as the sets, however many tokens these differ in and however the sets overlap.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ta"):
             linked, keys = [], []
-            for b, n, m, *blobs in zip(*(batch.column(c).to_pylist() for c in ("b", "n", "m", "ta", "la", "tb", "lb")), strict=True):
+            for b, few, n, m, *blobs in zip(*(batch.column(c).to_pylist() for c in ("b", "few", "n", "m", "ta", "la", "tb", "lb")), strict=True):
                 x, x_level, p, p_level = (np.frombuffer(v, t) for v, t in zip(blobs, (np.uint64, np.uint8) * 2, strict=True))
-                is_linked, found = difference_keys((n, x, x_level), (m, p, p_level), b % (1 << 64), measure)
+                if few:
+                    is_linked, found = bool(measure.holds(len(np.intersect1d(x, p)), n, m)), _mix(np.array([b % (1 << 64)], np.uint64))
+                else:
+                    is_linked, found = difference_keys((n, x, x_level), (m, p, p_level), b % (1 << 64), measure)
                 linked.append(is_linked)
                 keys.append(found.view(np.int64))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "n", "weight")), pa.array(linked, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))], names=["a", "b", "n", "weight", "linked", "keys"])
 
     first = held.select(F.col("sid").alias("a"), "n", "weight", F.col("tokens").alias("ta"), F.col("levels").alias("la"))
     second = held.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("tb"), F.col("levels").alias("lb"))
-    joined = pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "weight", "ta", "la", "tb", "lb")
+    crowds = settle(pairs.groupBy("b").agg((F.count("*") <= 2 * PAIRS_PER_ROW).alias("few")), pairs.count())
+    told = pairs.join(small(crowds, 32, BROADCAST_BYTES), "b")
+    joined = told.join(first, "a").join(second, "b").select("a", "b", "few", "n", "m", "weight", "ta", "la", "tb", "lb")
     return joined.mapInArrow(run, "a long, b long, n long, weight double, linked boolean, keys array<long>")
 
 

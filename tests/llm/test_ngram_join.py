@@ -165,6 +165,22 @@ def test_a_small_pivot_gives_a_large_set_few_keys():
     assert not linked and 0 < len(keys) < 10 * len(x)
 
 
+def test_few_sets_of_a_pivot_share_one_key(spark, monkeypatch):
+    """One row for each set, however they overlap; with more sets their differences are indexed. Links with the pivot are the same."""
+    rng, m = np.random.default_rng(6), N.Measure(5, 80)
+    pool = np.unique(rng.integers(0, 1 << 64, 400, dtype=np.uint64))
+    sets = [pool[:300], *(np.sort(rng.choice(pool, 300, replace=False)) for _ in range(20)), pool[:290]]
+    columns = "sid long, n long, weight double, tokens binary, levels binary"
+    held = spark.createDataFrame([(i, len(x), 1.0, x.tobytes(), bytes([3] * len(x))) for i, x in enumerate(sets)], columns)
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, len(sets))], "a long, b long")
+    few = N.differences(pairs, held, m).collect()
+    monkeypatch.setattr(N, "PAIRS_PER_ROW", 0.5)
+    more = N.differences(pairs, held, m).collect()
+    assert len(few) == len(pairs.collect()) and len({k for r in few for k in r["keys"]}) == 1 and all(len(r["keys"]) == 1 for r in few)
+    assert sum(len(r["keys"]) for r in more) > 10 * len(more)
+    assert {r.a for r in few if r.linked} == {r.a for r in more if r.linked} == {len(sets) - 1}
+
+
 def test_rows_of_a_crowded_key_are_placed_twice(spark):
     rows = spark.range(6000).select("id", F.lit(6000).alias("c"), F.lit(7).alias("size"))
     assert {(r["size"], r.block): r["count"] for r in N.placed_twice(rows).groupBy("size", "block").count().collect()} == {(6, 0): 6000, (7, 0): 6000}
