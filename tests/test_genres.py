@@ -9,6 +9,7 @@ import pytest
 
 from terroir.functions.names import similarity
 from terroir.operators import genres as G
+from terroir.plans import refresh
 
 TAGS = "country_code string, artist_name string, pos int, tag string, count string, source string"
 
@@ -85,3 +86,20 @@ def test_quality_report(spark):
     rates = spark.createDataFrame([("a", 10, 9, 0.9), ("b", 10, 1, 0.1)], "country_code string, total_tags long, unclassified_tags long, unclassified_rate double")
     counts = spark.createDataFrame([("a", 3), ("b", 3), ("c", 0)], "country_code string, artist_count long")
     assert G.quality_report(rates, counts).first() == (3, 0.5, ["c"], ["a"])
+
+
+def test_cleansing_takes_values_from_a_table(spark):
+    """With a table of values the rows aren't read for them: the result is the same, but for a tag that the table lacks."""
+    tags = spark.createDataFrame([("A", "x", 0, "iron", "40", "a"), ("A", "x", 1, "zinc", "20", "a"), ("B", "y", 0, "iron", None, "b"), ("B", "z", 0, "zinc", "80", "a")], TAGS)
+    artists = spark.createDataFrame([("A", "x", 1), ("B", "y", 1)], "country_code string, artist_name string, rank bigint")
+    countries = spark.createDataFrame([("A",), ("B",)], "code string")
+    buckets = spark.createDataFrame([("iron", 0), ("zinc", 1)], "bucket string, priority int")
+    none = spark.createDataFrame([], "keyword string, bucket string, priority int")
+
+    def scores(values):
+        given = {} if values is None else {"values": spark.createDataFrame([(v,) for v in values], "tag string")}
+        found = refresh.cleanse(artists, tags, countries, None, buckets, none, fuzzy=False, **given)
+        return sorted((r.country_code, r.genre, r.score) for r in found.scores.collect())
+
+    assert scores(["iron", "zinc", "iron", "lead"]) == scores(None) == [("A", "iron", 2), ("A", "zinc", 1), ("B", "iron", 1)]
+    assert scores(["iron"]) == [("A", "iron", 2), ("B", "iron", 1)]
