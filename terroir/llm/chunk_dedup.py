@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -69,7 +70,11 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.stack((starts, ends)), np.add.reduceat(_begins(data), starts)
 
 
-CHUNK = "rid long, doc_id long, idx int, start int, end int, before int, upto int, low int, high int, digest long, more long, mark long"
+#: A text and its chunks that are long enough to compare: their digests (128 bits each) and, packed, the rows of ``_spans``.
+TEXT = "rid long, doc_id long, mark long, digests binary, spans binary"
+SPANS = ("start", "end", "before", "upto", "low", "high")
+#: A chunk that meets a repeated digest.
+MET = "rid long, doc_id long, idx int, place long, start int, end int, before int, upto int, low int, high int, keep_id long, keep_place long"
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -81,64 +86,119 @@ def _mark(text: str) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF))
 
 
-def _place(mark: str, start: str) -> Column:
-    """A text and an offset in it in one number: the mark above, the offset in the low 32 bits."""
-    return F.shiftleft(mark, 32) + F.col(start)
+def _packed(rows: np.ndarray) -> bytes:
+    """Rows of growing numbers as steps, all low bytes before all higher ones: the steps are small, so that most of it is zeros side by side."""
+    return np.diff(rows, axis=1, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def chunk_rows(docs: DataFrame) -> DataFrame:
-    """One row per chunk that is long enough to compare; ``idx`` counts those alone, ``rid`` numbers the texts.
+def _unpacked(data: bytes, rows: int = len(SPANS)) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4")
+    return np.cumsum(steps.reshape(rows, -1), axis=1, dtype=np.int64)
+
+
+def _spans(text: bytes) -> np.ndarray:
+    """The chunks that are long enough to compare, one in a column: start, end, and words that begin before four places.
 
     ``before`` and ``upto`` count the words that begin before the chunk's start and end, ``low`` and ``high`` those
     before the furthest bytes that a passage can reach which begins, or ends, with the chunk.
     """
+    (starts, ends), _ = chunks(text)
+    keep = ends - starts >= LEAST_BYTES
+    starts, ends = starts[keep], ends[keep]
+    words = np.concatenate(([0], np.cumsum(_begins(np.frombuffer(text, np.uint8)))))
+    # before the first chunk, and after the last one, all of the text is within reach
+    low = np.maximum(np.concatenate(([0], starts[:-1])) - REACH, 0)[: len(starts)]
+    high = np.concatenate((ends[1:], [len(text)]))[: len(starts)]
+    return np.stack((starts, ends, words[starts], words[ends], words[low], words[high]))
+
+
+def chunk_texts(docs: DataFrame) -> DataFrame:
+    """One row per text that has chunks to compare, with all of them; ``rid`` numbers the texts, so settle it before it is read twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 36
         for batch in slices(batches, "text"):
-            out: list[list[np.ndarray]] = [[] for _ in range(11)]
-            ids: list[int] = []
+            rows: list[tuple[int, int, int, bytes, bytes]] = []
             for doc, mark, text in zip(batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(), text_bytes(batch), strict=True):
                 rid += 1
-                (starts, ends), _ = chunks(text)
-                keep = np.flatnonzero(ends - starts >= LEAST_BYTES)
-                if not len(keep):
-                    continue
-                starts, ends = starts[keep], ends[keep]
-                words = np.concatenate(([0], np.cumsum(_begins(np.frombuffer(text, np.uint8)))))
-                digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64).reshape(-1, 2)
-                # before the first chunk, and after the last one, all of the text is within reach
-                low = np.maximum(np.concatenate(([0], starts[:-1])) - REACH, 0)
-                high = np.concatenate((ends[1:], [len(text)]))
-                for values, more in zip(out, (np.full(len(keep), rid), np.arange(len(keep)), starts, ends, words[starts], words[ends], words[low], words[high], digests[:, 0], digests[:, 1], np.full(len(keep), mark)), strict=True):
-                    values.append(np.asarray(more))
-                ids += [doc] * len(keep)
-            if ids:
-                kinds = (np.int64, *[np.int32] * 7, *[np.int64] * 3)
-                columns = [pa.array(np.concatenate(x).astype(t)) for x, t in zip(out, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([columns[0], pa.array(ids, pa.int64()), *columns[1:]], names=[x.split()[0] for x in CHUNK.split(", ")])
-
-    return _texts(docs).mapInArrow(run, CHUNK)
+                spans = _spans(text)
+                if spans.shape[1]:
+                    digests = b"".join([xxhash.xxh3_128_digest(text[a:b]) for a, b in spans[:2].T.tolist()])
+                    rows.append((rid, doc, mark, digests, _packed(spans)))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=[x.split()[0] for x in TEXT.split(", ")])
+
+    return _texts(docs).mapInArrow(run, TEXT)
+
+
+def _digests(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The digests of all chunks of a batch, as two rows of numbers, and the number of chunks of each text."""
+    counts = pc.binary_length(batch.column("digests")).to_numpy(zero_copy_only=False) // 16
+    return np.frombuffer(b"".join(batch.column("digests").to_pylist()), np.int64).reshape(-1, 2).T, counts
+
+
+def _owned(texts: DataFrame) -> DataFrame:
+    """(digest, more, doc_id, place) of every chunk; a place is a text and an offset in it in one number, the mark above, the offset in the low 32 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "digests"):
+            (digest, more), counts = _digests(batch)
+            places = np.concatenate([(mark << 32) + _unpacked(spans)[0] for mark, spans in zip(batch.column("mark").to_pylist(), batch.column("spans").to_pylist(), strict=True)])
+            ids = np.repeat(batch.column("doc_id").to_numpy(), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (digest, more, ids, places)], names=["digest", "more", "doc_id", "place"])
+
+    return texts.mapInArrow(run, "digest long, more long, doc_id long, place long")
+
+
+def _numbered(texts: DataFrame) -> DataFrame:
+    """(digest, more, rid, idx) of every chunk; all else that is known of it stays with its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "digests"):
+            (digest, more), counts = _digests(batch)
+            idx = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            rids = np.repeat(batch.column("rid").to_numpy(), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (digest, more, rids, idx.astype(np.int32))], names=["digest", "more", "rid", "idx"])
+
+    return texts.select("rid", "digests").mapInArrow(run, "digest long, more long, rid long, idx int")
+
+
+def _met(texts: DataFrame, again: DataFrame) -> DataFrame:
+    """The chunks that meet a repeated digest, as in ``MET``; only they get their bytes and words back, beside their text."""
+    found = _numbered(texts).join(again, ["digest", "more"]).groupBy("rid").agg(F.collect_list(F.struct("idx", "keep_id", "keep_place")).alias("met"))
+    joined = texts.select("rid", "doc_id", "mark", "spans").join(found, "rid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "spans"):
+            counts = pc.list_value_length(batch.column("met")).to_numpy(zero_copy_only=False)
+            idx, keep_id, keep_place = (x.to_numpy() for x in batch.column("met").flatten().flatten())
+            ends = np.cumsum(counts)
+            spans = np.concatenate([_unpacked(data)[:, idx[b - n : b]] for data, n, b in zip(batch.column("spans").to_pylist(), counts, ends, strict=True)], axis=1)
+            rids, ids, marks = (np.repeat(batch.column(c).to_numpy(), counts) for c in ("rid", "doc_id", "mark"))
+            columns = (rids, ids, idx, (marks << 32) + spans[0], *spans.astype(np.int32), keep_id, keep_place)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in MET.split(", ")])
+
+    return joined.mapInArrow(run, MET)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """(digest, more, keep_id, keep_place): digests (128 bits) that more than one document holds, with the least of their ids and a place there."""
-    return _repeated(chunk_rows(docs))
+    return _repeated(chunk_texts(docs))
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
+def _repeated(texts: DataFrame) -> DataFrame:
     # the least and the largest id differ if there are two documents; both are known before the shuffle
-    found = rows.groupBy("digest", "more").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("most"), F.min_by(_place("mark", "start"), "doc_id").alias("keep_place"))
+    found = _owned(texts).groupBy("digest", "more").agg(F.min("doc_id").alias("keep_id"), F.max("doc_id").alias("most"), F.min_by("place", "doc_id").alias("keep_place"))
     return found.where("keep_id < most").select("digest", "more", "keep_id", "keep_place")
 
 
-def _runs(rows: DataFrame, again: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
+def _runs(texts: DataFrame, again: DataFrame, by_owner: bool, least_words: int) -> DataFrame:
     """Runs of neighbouring repeated chunks that may be part of a passage; with ``by_owner`` a run also ends where the document becomes, or stops being, the keeper.
 
-    ``rows`` and ``again`` are the settled chunks and repeated digests. ``mates`` are the keepers of a run's chunks, as the
+    ``texts`` and ``again`` are the settled texts' chunks and repeated digests. ``mates`` are the keepers of a run's chunks, as the
     document and by how much a place there differs from the place here.
     """
-    met = rows.join(again, ["digest", "more"]).withColumns({"mine": F.col("doc_id") == F.col("keep_id"), "place": _place("mark", "start")})
+    met = _met(texts, again).withColumn("mine", F.col("doc_id") == F.col("keep_id"))
     here = Window.partitionBy("rid").orderBy("idx")
     fresh = F.col("idx") != F.lag("idx").over(here) + 1
     if by_owner:
@@ -217,9 +277,9 @@ def _extended(docs: DataFrame, runs: DataFrame, by_owner: bool) -> DataFrame:
     base = F.col("place") - F.col("start_byte")
     edge = F.explode(F.array(F.struct(F.lit(0).alias("side"), (base + F.col("first_end")).alias("place"), (F.col("first_end") - F.col("start_byte")).alias("inner")), F.struct(F.lit(1).alias("side"), (base + F.col("last_start")).alias("place"), (F.col("end_byte") - F.col("last_start")).alias("inner"))))
     edges = runs.select("doc_id", edge.alias("e"), "mates").select("doc_id", "e.*", F.explode("mates").alias("m"))
-    pairs = settle(edges.select("doc_id", "place", "side", "inner", F.col("m.keep_id").alias("other_id"), (F.col("place") + F.col("m.away")).alias("other_place")).distinct())
+    pairs = settle(edges.select("doc_id", "place", "side", "inner", F.col("m.keep_id").alias("other_id"), (F.col("place") + F.col("m.away")).alias("other_place")).distinct(), tidy=True)
     asked = pairs.select("doc_id", "place", "side").unionByName(pairs.select(F.col("other_id").alias("doc_id"), F.col("other_place").alias("place"), "side")).distinct()
-    found = settle(_contexts(docs, asked))
+    found = settle(_contexts(docs, asked), tidy=True)
     theirs = found.select(F.col("doc_id").alias("other_id"), F.col("place").alias("other_place"), "side", F.col("context").alias("other"))
     both = pairs.join(found, ["doc_id", "place", "side"]).join(theirs, ["other_id", "other_place", "side"])
 
@@ -236,7 +296,7 @@ def _extended(docs: DataFrame, runs: DataFrame, by_owner: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in best], t) for i, t in enumerate(types)), pa.array(list(best.values()), pa.int64())], names=["doc_id", "place", "side", "inner", "mine", "ext"])
 
     told = both.select("doc_id", "place", "side", "inner", "other_id", "other_place", "context", "other").mapInArrow(run, "doc_id long, place long, side int, inner int, mine boolean, ext long")
-    far = settle(told.groupBy("doc_id", "place", "side", "inner", "mine").agg(F.max("ext").alias("ext")))
+    far = settle(told.groupBy("doc_id", "place", "side", "inner", "mine").agg(F.max("ext").alias("ext")), tidy=True)
     discard(pairs)
     discard(found)
     return far
@@ -247,10 +307,10 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS, by_owner: bool = F
 
     ``mark`` is a hash of the text that the bytes are counted in. ``keep_id`` is the document that keeps most of the passage's chunks; ``kept`` is true in that document.
     """
-    rows = settle(chunk_rows(docs))
-    again = settle(_repeated(rows))
-    runs = settle(_runs(rows, again, by_owner, least_words))
-    discard(rows)
+    texts = settle(chunk_texts(docs), tidy=True)
+    again = settle(_repeated(texts), tidy=True)
+    runs = settle(_runs(texts, again, by_owner, least_words), tidy=True)
+    discard(texts)
     discard(again)
     far = _extended(docs, runs, by_owner)
     base = F.col("place") - F.col("start_byte")

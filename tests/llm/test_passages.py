@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import time
+from pathlib import Path
 
 from terroir.llm import chunk_dedup as C
 
@@ -44,3 +46,50 @@ def test_passages_of_50_words_are_left(spark):
         passage = prose(rng, 48)
         docs += [(doc, f"{prose(rng, 20)} {passage} {prose(rng, 20)}") for doc in (i, 1000 + i)]
     assert C.passages(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
+
+
+def test_chunks_keep_their_places_beside_the_text(spark):
+    rng = random.Random(13)
+    texts = [prose(rng, n) for n in (1, 40, 300)] + ["x" * 70_000, "\n" * 9, "é"]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    table = C.settle(C.chunk_texts(df))
+    met = C._met(table, C.settle(C._repeated(table))).collect()
+    want = set()
+    for doc, text in docs:
+        data = text.encode()
+        kept = [(a, b) for a, b in C.chunks(data)[0].T.tolist() if b - a >= C.LEAST_BYTES]
+        words = lambda n: sum(not x.isspace() and (i == 0 or data[i - 1 : i].isspace()) for i, x in ((i, data[i : i + 1]) for i in range(n)))  # noqa: B023, E731
+        for i, (a, b) in enumerate(kept):
+            low, high = (max(kept[i - 1][0] - C.REACH, 0) if i else 0), (kept[i + 1][1] if i + 1 < len(kept) else len(data))
+            want.add((doc, i, a, b, words(a), words(b), words(low), words(high)))
+    got = [(r.doc_id, r.idx, r.start, r.end, r.before, r.upto, r.low, r.high) for r in met]
+    assert len(got) == len(set(got))
+    assert set(got) == want
+    assert all(r.place & 0xFFFFFFFF == r.start and r.keep_id == r.doc_id % 100 for r in met)
+
+
+def test_disk_of_a_step_is_given_back(spark, monkeypatch):
+    """The shuffles of one table are gone before the next is made, and the chunks take less than their texts."""
+    rng = random.Random(14)
+    lines = [prose(rng, 60) for _ in range(1500)]
+    docs = [(i, " ".join(rng.choice(lines) if rng.random() < 0.2 else prose(rng, 60) for _ in range(5))) for i in range(1500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    local = [Path(d.getPath()) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {f for d in local for f in d.rglob("shuffle_*.data")}
+    before, left, tables = shuffles(), [], []
+    settle = C.settle
+
+    def watched(*args, **more):
+        out = settle(*args, **more)
+        until = time.time() + 10
+        while (new := shuffles() - before) and time.time() < until:
+            time.sleep(0.1)
+        left.append(len(new))
+        tables.append(sum(Path(f.removeprefix("file://")).stat().st_size for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(C, "settle", watched)
+    assert C.passages(df).count() > 0
+    assert left == [0] * len(left)
+    assert tables[0] < 0.9 * sum(len(t.encode()) for _, t in docs)
